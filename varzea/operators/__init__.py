@@ -1,0 +1 @@
+"""Operators of the engine: plain functions from DataFrames to DataFrames."""

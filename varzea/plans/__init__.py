@@ -1,0 +1 @@
+"""Plans of the engine: plain functions from DataFrames to DataFrames."""

@@ -1,0 +1 @@
+"""Sources of the engine: plain functions from DataFrames to DataFrames."""

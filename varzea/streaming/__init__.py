@@ -1,0 +1 @@
+"""Streaming of the engine: plain functions from DataFrames to DataFrames."""
