@@ -128,3 +128,25 @@ def chunks(texts, budget: int = 2_000_000):
 def utf8(column) -> list[bytes]:
     """An Arrow string column as bytes; null is empty."""
     return [b"" if t is None else t.encode("utf-8") for t in column.to_pylist()]
+
+
+def pieces(texts: list[bytes], limit: int = 1_000_000) -> tuple[list[bytes], np.ndarray]:
+    """Cut texts at white space into parts of about `limit` bytes, so that arrays stay small; and each part's text."""
+    parts, owner = [], []
+    for i, t in enumerate(texts):
+        begin = 0
+        while len(t) - begin > limit:
+            cut = max(t.rfind(b" ", begin, begin + limit), t.rfind(b"\n", begin, begin + limit))
+            cut = cut if cut > begin else begin + limit
+            parts.append(t[begin:cut])
+            owner.append(i)
+            begin = cut
+        parts.append(t[begin:] if begin else t)
+        owner.append(i)
+    return parts, np.array(owner, dtype=np.int64)
+
+
+def fields_of(df: DataFrame, columns: list[str]) -> str:
+    """The columns as a schema string."""
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema}
+    return ", ".join(f"`{c}` {kinds[c]}" for c in columns)

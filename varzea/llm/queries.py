@@ -8,6 +8,9 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 
 _MODULES = {
+    "op5_language_id": "language_id",
+    "op7_quality_attention": "quality_classifier",
+    "op8_toxicity_fm": "toxicity",
     "op3_quality_divergence": "quality_rules",
 }
 
