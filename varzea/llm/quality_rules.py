@@ -99,16 +99,16 @@ def judge(docs: DataFrame) -> DataFrame:
     some = refs.filter(F.col("lang").isNotNull())
     if some.count() <= 10_000:  # a row for each language that is not rare
         some = F.broadcast(some)
-    whole = refs.filter(F.col("lang").isNull()).agg(F.first("char_ref").alias("_all"))
-    d = stats.join(some, "lang", "left").crossJoin(F.broadcast(whole))  # one row
-    d = d.withColumn("char_ref", F.coalesce("char_ref", "_all"))
+    whole = refs.filter(F.col("lang").isNull()).first()["char_ref"]  # the one row of all languages: seven shares
+    d = stats.join(some, "lang", "left")
+    d = d.withColumn("char_ref", F.coalesce("char_ref", F.array(*(F.lit(x).cast("double") for x in whole))))
     d = d.withColumn("char_distance", js_distance("char_share", "char_ref")).withColumn("word_distance", js_distance("word_share", "word_ref"))
     verdict = F.expr(
         f"NOT base_failed AND NOT (word_chars >= {MIN_CHARS} AND coalesce(char_distance > {MAX_CHAR_DISTANCE}, false))"
         f" AND NOT (n_words >= {MIN_WORDS_FOR_WORDS} AND (coalesce(word_distance > {MAX_WORD_DISTANCE}, false)"
         f" OR coalesce(char_distance > {BOTH_CHAR_DISTANCE} AND word_distance > {BOTH_WORD_DISTANCE}, false)))"
     )
-    return d.withColumn("kept", verdict).drop("_all", "char_ref", "word_ref")
+    return d.withColumn("kept", verdict).drop("char_ref", "word_ref")
 
 
 def op3_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:

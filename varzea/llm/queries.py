@@ -11,6 +11,8 @@ _MODULES = {
     "op5_language_id": "language_id",
     "op7_quality_attention": "quality_classifier",
     "op8_toxicity_fm": "toxicity",
+    "op9_simhash_pivots": "simhash",
+    "op10_decontamination": "decontamination",
     "op3_quality_divergence": "quality_rules",
 }
 
