@@ -38,6 +38,14 @@ def shingle_hashes(column: str, width: int):
     return F.expr(f"CASE WHEN size({column}) < {width} THEN array() ELSE transform(sequence(0, size({column}) - {width}), i -> xxhash64({joined})) END")
 
 
+def up_to(hashes, most: int):
+    return F.filter(hashes, lambda h: h <= F.lit(most))
+
+
+def tagged(hashes, width: int):
+    return F.transform(hashes, lambda h: F.struct(F.lit(width).alias("width"), h.alias("h")))
+
+
 def small(df: DataFrame) -> DataFrame:
     """Broadcast a written table if it is small enough; else leave the join to Spark."""
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
@@ -65,14 +73,14 @@ def containment(docs: DataFrame, items: DataFrame) -> DataFrame:
     if not limits:
         return spark.createDataFrame([], "row long, item_id long, shared long, size int")
     d = docs.select("row", words("text").alias("w"))
-    parts = [F.transform(F.array_distinct(F.filter(shingle_hashes("w", k), lambda h, most=most: h <= F.lit(most))), lambda h, k=k: F.struct(F.lit(k).alias("width"), h.alias("h"))) for k, most in limits.items()]
+    parts = [tagged(F.array_distinct(up_to(shingle_hashes("w", k), most)), k) for k, most in limits.items()]
     sketch = d.select("row", F.explode(F.concat(*parts)).alias("s")).select("row", "s.width", "s.h")
     probes = small(materialize(index.filter("sketch").select("width", "h", "item"), "sketches"))
     pairs = materialize(sketch.join(probes, ["width", "h"]).select("row", "item").distinct(), "candidates")
     # Exact containment: of the candidate documents only, all shingles that occur in an item.
     rows = pairs.select("row").distinct()
     again = docs.join(small(materialize(rows, "rows")), "row", "left_semi").select("row", words("text").alias("w"))
-    full = [F.transform(F.array_distinct(shingle_hashes("w", k)), lambda h, k=k: F.struct(F.lit(k).alias("width"), h.alias("h"))) for k in limits]
+    full = [tagged(F.array_distinct(shingle_hashes("w", k)), k) for k in limits]
     found = again.select("row", F.explode(F.concat(*full)).alias("s")).select("row", "s.width", "s.h")
     hits = found.join(small(index.select("width", "h", "item")), ["width", "h"]).groupBy("row", "item").agg(F.count("*").alias("shared"))
     sizes = index.select("item", "item_id", "size").distinct()
