@@ -13,6 +13,7 @@ _MODULES = {
     "op8_toxicity_fm": "toxicity",
     "op9_simhash_pivots": "simhash",
     "op10_decontamination": "decontamination",
+    "op4_mixing": "mixing",
     "op3_quality_divergence": "quality_rules",
 }
 
