@@ -14,6 +14,7 @@ _MODULES = {
     "op9_simhash_pivots": "simhash",
     "op10_decontamination": "decontamination",
     "op4_mixing": "mixing",
+    "op2_html_bilstm": "html_extraction",
     "op3_quality_divergence": "quality_rules",
 }
 
