@@ -15,6 +15,7 @@ _MODULES = {
     "op10_decontamination": "decontamination",
     "op4_mixing": "mixing",
     "op2_html_bilstm": "html_extraction",
+    "op6_suffix_dedup": "suffix_dedup",
     "op3_quality_divergence": "quality_rules",
 }
 
