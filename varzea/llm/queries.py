@@ -16,6 +16,7 @@ _MODULES = {
     "op4_mixing": "mixing",
     "op2_html_bilstm": "html_extraction",
     "op6_suffix_dedup": "suffix_dedup",
+    "op1_lm_elias_fano": "lm_scoring",
     "op3_quality_divergence": "quality_rules",
 }
 

@@ -28,62 +28,26 @@ from __future__ import annotations
 
 import hashlib
 import math
-import uuid
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
-import pyarrow.compute
-import pyarrow.ipc
-import zstandard
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from varzea.llm.common import _BYTE, fields_of, materialize, mix, new_path, table
+from varzea.llm.blocks import bits, frame, pack, pack_sorted, read_block, unbits, unpack, unpack_sorted, write_blocks
+from varzea.llm.common import _BYTE, fields_of, materialize, mix, table
 
 LENGTH, GRAM = 50, 32
 SPAN = LENGTH - GRAM + 1  # candidates of a window
-BLOCK_BYTES, SHARD_ANCHORS, CHUNK = 4_000_000, 1_500_000, 1 << 17
+SHARD_ANCHORS, CHUNK = 1_500_000, 1 << 17
 NO_ID = np.iinfo(np.int64).max
 _P = [np.uint64(pow(0x9E3779B97F4A7C15, k, 1 << 64)) for k in (1, 2, 4, 8, 16)]
 
 
-def write_blocks(docs: DataFrame) -> tuple[DataFrame, int]:
-    """Group whole documents to blocks, a row each: (block, payload), payload being an Arrow stream. Returns the table and its bytes of text."""
-    spark = docs.sparkSession
-    schema = "block long, n_bytes long, payload binary"
-
-    def run(batches):
-        for batch in batches:
-            sizes = pa.compute.binary_length(batch.column("text")).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            begin, total = 0, 0
-            for i in range(len(sizes) + 1):
-                if i == len(sizes) or (total and total + sizes[i] > BLOCK_BYTES):
-                    if i > begin:
-                        part = batch.slice(begin, i - begin)
-                        sink = pa.BufferOutputStream()
-                        with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
-                            w.write_batch(part)
-                        yield pa.RecordBatch.from_pydict({"block": [uuid.uuid4().int >> 65], "n_bytes": [int(total)], "payload": [sink.getvalue().to_pybytes()]}, schema=pa.schema([("block", pa.int64()), ("n_bytes", pa.int64()), ("payload", pa.binary())]))
-                    begin, total = i, 0
-                if i < len(sizes):
-                    total += sizes[i]
-
-    # The ids are random, so the table is written once and only ever read from then on.
-    path = new_path(spark, "blocks")
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    name = f"varzea_blocks_{uuid.uuid4().hex}"
-    made = docs.mapInArrow(run, schema)
-    made.write.option("path", path).option("compression", "uncompressed").bucketBy(buckets, "block").saveAsTable(name)
-    blocks = spark.table(name)
-    return blocks, blocks.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
-
-
 class Block:
     """A block's documents and the runs of windows that elect the same anchor."""
 
     def __init__(self, payload: bytes):
-        self.batch = pa.ipc.open_stream(pa.BufferReader(payload)).read_all().combine_chunks()
+        self.batch = read_block(payload)
         texts = self.batch.column("text").to_pylist()
         parts = [b"" if t is None else t.encode() for t in texts]
         self.bytes = np.frombuffer(b"".join(parts), dtype=np.uint8)
@@ -148,32 +112,6 @@ class Block:
         return self
 
 
-def pack(a: np.ndarray) -> bytes:
-    """Compress integers, byte plane by byte plane."""
-    return zstandard.compress(np.ascontiguousarray(a.view(np.uint8).reshape(len(a), -1).T).tobytes(), 3)
-
-
-def unpack(b: bytes, kind) -> np.ndarray:
-    raw = np.frombuffer(zstandard.decompress(b), dtype=np.uint8)
-    return np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize, -1).T).reshape(-1).view(kind)
-
-
-def pack_sorted(a: np.ndarray) -> bytes:
-    return pack(np.diff(a, prepend=a.dtype.type(0)))
-
-
-def unpack_sorted(b: bytes, kind) -> np.ndarray:
-    return np.cumsum(unpack(b, kind), dtype=kind)
-
-
-def bits(a: np.ndarray) -> bytes:
-    return np.packbits(a.astype(bool)).tobytes()
-
-
-def unbits(b: bytes, n: int) -> np.ndarray:
-    return np.unpackbits(np.frombuffer(b, dtype=np.uint8), count=n).astype(bool)
-
-
 class Round1:
     """Distinct ranks of a block, ordered by shard and key; which of them occur in more than one document."""
 
@@ -245,10 +183,6 @@ SENT = "shard int, block long, a binary, b binary, c binary, n long"
 ANSWER = "round int, shard int, block long, a binary, b binary"
 
 
-def _rows(kind: list[str], rows: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=kind)
-
-
 def send1(shards: int):
     def run(batches):
         for pdf in batches:
@@ -259,7 +193,7 @@ def send1(shards: int):
                     s = slice(one.first[k], one.first[k + 1])
                     if s.stop > s.start:
                         rows.append((k, block, pack_sorted(one.distinct[s].astype(np.uint32)), bits(one.several[s]), b"", s.stop - s.start))
-                yield _rows(["shard", "block", "a", "b", "c", "n"], rows)
+                yield frame(["shard", "block", "a", "b", "c", "n"], rows)
 
     return run
 
@@ -272,7 +206,7 @@ def rank1(pdf: pd.DataFrame) -> pd.DataFrame:
     for shard, block, several, n in zip(pdf["shard"], pdf["block"], pdf["b"], pdf["n"]):
         rows.append((1, shard, block, bits(shared[at : at + n] | unbits(several, n)), b""))
         at += n
-    return _rows(["round", "shard", "block", "a", "b"], rows)
+    return frame(["round", "shard", "block", "a", "b"], rows)
 
 
 def _answers(pdf: pd.DataFrame) -> list[dict]:
@@ -293,7 +227,7 @@ def send2(shards: int):
                 s = slice(two.first[k], two.first[k + 1])
                 if s.stop > s.start:
                     rows.append((k, block, pack_sorted(two.order[s].astype(np.uint32)), pack(two.context[s]), pack(two.least[s]), s.stop - s.start))
-        return _rows(["shard", "block", "a", "b", "c", "n"], rows)
+        return frame(["shard", "block", "a", "b", "c", "n"], rows)
 
     return run
 
@@ -316,7 +250,7 @@ def rank2(pdf: pd.DataFrame) -> pd.DataFrame:
     for shard, block, n in zip(pdf["shard"], pdf["block"], pdf["n"]):
         rows.append((2, shard, block, pack(back[at : at + n]), bits(mixed[at : at + n])))
         at += n
-    return _rows(["round", "shard", "block", "a", "b"], rows)
+    return frame(["round", "shard", "block", "a", "b"], rows)
 
 
 def _third(b: Block, shards: int, answers: list[dict]):
@@ -346,7 +280,7 @@ def send3(shards: int):
                 if e.stop > e.start:
                     w = slice(three.ends[e.start], three.ends[e.stop])
                     rows.append((k, block, pack(names[w]), pack(three.size[e].astype(np.uint8)), pack(two.least[three.entries[e]]), w.stop - w.start))
-        return _rows(["shard", "block", "a", "b", "c", "n"], rows)
+        return frame(["shard", "block", "a", "b", "c", "n"], rows)
 
     return run
 
@@ -363,7 +297,7 @@ def rank3(pdf: pd.DataFrame) -> pd.DataFrame:
     for shard, block, n in zip(pdf["shard"], pdf["block"], pdf["n"]):
         rows.append((3, shard, block, bits(repeated[at : at + n]), b""))
         at += n
-    return _rows(["round", "shard", "block", "a", "b"], rows)
+    return frame(["round", "shard", "block", "a", "b"], rows)
 
 
 def covered(b: Block, shards: int, answers: list[dict]) -> np.ndarray:
