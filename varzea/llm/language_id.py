@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from varzea.llm.common import LOWER, SPACE, bounded_sample, chunks, crc_mod, fields_of, table
 
 BUCKETS, DIM, ORDERS = 8192, 16, (2, 3, 4)
-MAX_TRAIN, EPOCHS, BATCH, RATE = 6000, 12, 64, 0.5
+MAX_TRAIN, EPOCHS, BATCH, RATE = 3000, 20, 64, 0.5
 UND = "und"
 
 

@@ -29,7 +29,7 @@ DOMAINS = ("clean", "junk", "toxic")
 TARGETS = {"clean": 0.78, "junk": 0.06, "toxic": 0.16}
 BUCKETS, MAX_TRAIN, MIN_DF, MIN_CHI2, MAX_FEATURES = 1 << 18, 20_000, 5, 25.0, 600
 EVIDENCE = 12
-MAX_RATE, STEP, ROUNDS, TOLERANCE = 8.0, 0.6, 60, 1e-4
+MAX_RATE, STEP, ROUNDS, TOLERANCE, MIN_MASS = 8.0, 0.6, 60, 1e-4, 0.01
 
 
 def domain(quality: Column, toxic: Column) -> Column:
@@ -112,7 +112,7 @@ def fit_rates(soft: DataFrame, targets: dict[str, float], max_rate: float = MAX_
         return []
     mass = [first[f"m{k}"] / first["all"] for k in range(len(DOMAINS))]
     scale = [max(first[f"g{k}"] / first["all"], 1e-12) for k in range(len(DOMAINS))]
-    want = [targets.get(name, 0.0) if m > 1e-9 else 0.0 for name, m in zip(DOMAINS, mass)]
+    want = [targets.get(name, 0.0) if m >= MIN_MASS else 0.0 for name, m in zip(DOMAINS, mass)]
     want = [x / (sum(want) or 1.0) for x in want]
     history: list[list[float]] = []
     for _ in range(ROUNDS):
@@ -140,6 +140,15 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
     return soft.select("*", *(F.get("q", F.lit(i)).alias(f"p_{k}") for i, k in enumerate(DOMAINS)), rate_column(history, max_rate).alias("rate")).drop("q")
 
 
+def apply_mix(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents at their rates: all columns, n_tokens, p_<domain>, rate, and copies, a whole number of expectation
+    rate that follows from the document's values. Documents of rate 0 are left out."""
+    mixed = mix(docs.withColumn("_text", F.col("text")), labels).withColumnRenamed("_text", "text")
+    draw = F.pmod(F.xxhash64("doc_id", "text", F.lit("copies")), F.lit(1_000_000)) / 1_000_000
+    made = [c for c in mixed.columns if c not in docs.columns]
+    return mixed.filter("rate > 0").select(*docs.columns, *made, F.floor(F.col("rate") + draw).cast("int").alias("copies"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return mix(docs, table(spark, sf_dir, "labels")).select("doc_id", "n_tokens", *(f"p_{k}" for k in DOMAINS), "rate")

@@ -93,13 +93,16 @@ def js_distance(p: str, q: str):
 
 
 def judge(docs: DataFrame) -> DataFrame:
-    """Add the counts, base_failed, char_distance, word_distance and kept to every document."""
-    stats = materialize(with_stats(docs.withColumn("lang", F.col("lang").cast("string"))).drop("text"), "quality")
+    """Add the counts, base_failed, char_distance, word_distance and kept to every document.
+
+    The counts are written once with the documents, since the verdict needs the references of all of them first.
+    """
+    stats = materialize(with_stats(docs.withColumn("lang", F.col("lang").cast("string"))), "quality")
     refs = materialize(references(stats), "references")
     some = refs.filter(F.col("lang").isNotNull())
     if some.count() <= 10_000:  # a row for each language that is not rare
         some = F.broadcast(some)
-    whole = refs.filter(F.col("lang").isNull()).first()["char_ref"]  # the one row of all languages: seven shares
+    whole = refs.filter(F.col("lang").isNull()).first()["char_ref"]  # the one row of all languages: seven shares, null without texts
     d = stats.join(some, "lang", "left")
     d = d.withColumn("char_ref", F.coalesce("char_ref", F.array(*(F.lit(x).cast("double") for x in whole))))
     d = d.withColumn("char_distance", js_distance("char_share", "char_ref")).withColumn("word_distance", js_distance("word_share", "word_ref"))
@@ -111,6 +114,11 @@ def judge(docs: DataFrame) -> DataFrame:
     return d.withColumn("kept", verdict).drop("char_ref", "word_ref")
 
 
+def keep_good(docs: DataFrame) -> DataFrame:
+    """The documents that the rules keep, with their own columns."""
+    return judge(docs).filter("kept").select(*docs.columns)
+
+
 def op3_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return judge(docs).select("doc_id", *STATS, "base_failed", "kept")

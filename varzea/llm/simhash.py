@@ -119,6 +119,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return prints.join(ids, "fp", "left").select("doc_id", "fp", "component_id")
 
 
+def keep_one(docs: DataFrame) -> DataFrame:
+    """One document of each group of near-duplicates, that with the smallest id. Rows with equal ids are one document;
+    a row without id gets one from its values, above all ordinary ids, for the time of the search."""
+    own = F.xxhash64(*docs.columns).bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    keyed = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), own))
+    found = near_duplicates(keyed.select(F.col("_id").alias("doc_id"), "text"))
+    best = materialize(found.filter("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct(), "best")
+    return keyed.join(best, "_id", "left_semi").dropDuplicates(["_id"]).drop("_id")
+
+
 def op9_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

@@ -32,6 +32,7 @@ import math
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from varzea.llm.blocks import bits, frame, pack, pack_sorted, read_block, unbits, unpack, unpack_sorted, write_blocks
 from varzea.llm.common import _BYTE, fields_of, materialize, mix, table
@@ -359,5 +360,13 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     return done.withColumnRenamed("_text", "text") if with_text else done
 
 
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """The documents with the repeated passages taken out of text, and n_chars (if there is one) counted anew. An emptied document stays."""
+    done = remove_repeats(docs, with_text=True)
+    if "n_chars" in docs.columns:
+        done = done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return done.select(*docs.columns)
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
