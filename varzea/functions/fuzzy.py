@@ -6,6 +6,7 @@ import re
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 _OTHER = re.compile(r"[\W_]+")
 
@@ -61,16 +62,16 @@ def partial_set_ratio(a: str | None, b: str | None) -> float:
     return max(indel(short, long[i : i + len(short)]) for i in range(max(1, len(long) - len(short) + 1)))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def token_sort_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([sort_ratio(x, y) for x, y in zip(a, b)])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def token_set_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([set_ratio(x, y) for x, y in zip(a, b)])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def partial_token_set_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([partial_set_ratio(x, y) for x, y in zip(a, b)])

@@ -1 +1,108 @@
-"""stub"""
+"""Queries of scalar functions on texts, phones, scores, times and pages."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from varzea.functions import hours, scalars
+from varzea.plans.bindings import table
+from varzea.plans.registry import query
+from varzea.sources import pages as page_source
+
+
+@query("SELECT p_partkey, regexp_replace(trim(lower(p_name)), '[^a-z0-9]+', '-', 'g') AS slug, lower(p_name) AS fold FROM part")
+def name_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "part")
+    return p.select("p_partkey", scalars.slug(F.col("p_name")).alias("slug"), scalars.fold_key(F.col("p_name")).alias("fold"))
+
+
+@query("SELECT n_nationkey, upper(n_name[1]) || lower(n_name[2:]) AS name FROM nation WHERE n_name NOT LIKE '% %'")
+def title_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = table(spark, sf_dir, "nation").filter("n_name NOT LIKE '% %'")
+    return n.select("n_nationkey", scalars.normalize_name(F.concat(F.lit("  "), F.col("n_name"), F.lit(" "))).alias("name"))
+
+
+_PHONE = "'+5573' || CASE WHEN c_custkey % 3 = 0 THEN '9' ELSE '3' END || lpad(CAST(c_custkey AS VARCHAR), CASE WHEN c_custkey % 3 = 0 THEN 8 ELSE 7 END, '0')"
+
+
+@query(
+    f"""SELECT c_custkey, substr(p, 1, 5) || '*****' || substr(p, -2) AS masked, CASE WHEN c_custkey % 3 = 0 THEN substr(p, 1, 5) || '*****' || substr(p, -2) END AS candidate,
+ CASE WHEN c_custkey % 3 = 0 THEN p END AS mobile, CASE WHEN c_custkey % 3 <> 0 THEN p END AS landline, p AS e164 FROM (SELECT c_custkey, {_PHONE} AS p FROM customer)"""
+)
+def phones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("c_custkey")
+    mobile = k % 3 == 0
+    p = F.concat(F.lit("+5573"), F.when(mobile, F.concat(F.lit("9"), F.lpad(k.cast("string"), 8, "0"))).otherwise(F.concat(F.lit("3"), F.lpad(k.cast("string"), 7, "0"))))
+    d = table(spark, sf_dir, "customer").select(k, p.alias("p"))
+    parts = scalars.split_phone(F.col("p"))
+    return d.select("c_custkey", scalars.mask_phone(F.col("p")).alias("masked"), scalars.whatsapp_candidate(F.col("p")).alias("candidate"), parts["mobile"].alias("mobile"), parts["landline"].alias("landline"), scalars.phone_e164(F.col("p")).alias("e164"))
+
+
+@query("SELECT event_id, regexp_replace('call ' || props || ' +55 73 99999-0001 now', '\\+?\\d[\\d\\s().-]{7,}\\d', '[redacted]', 'g')[:500] AS clean FROM events")
+def scrub_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events")
+    return e.select("event_id", scalars.scrub(F.concat(F.lit("call "), F.col("props"), F.lit(" +55 73 99999-0001 now"))).alias("clean"))
+
+
+@query("SELECT p_partkey, CASE WHEN p_size <= 0 THEN 0 ELSE floor(least(100.0, 100.0 * ln(1 + p_size::DOUBLE) / ln(501.0)) * 100 + 0.5) / 100 END AS corroboration, CASE WHEN p_size <= 30 THEN 100.0 ELSE 70.0 END::DOUBLE AS recency FROM part")
+def score_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "part")
+    return p.select("p_partkey", scalars.corroboration_from_reviews(F.col("p_size")).alias("corroboration"), scalars.recency_steps(F.col("p_size")).alias("recency"))
+
+
+@query("SELECT o_orderkey, CASE WHEN age <= 30 THEN 100 WHEN age <= 180 THEN 70 WHEN age <= 365 THEN 40 WHEN age <= 730 THEN 20 ELSE 0 END::DOUBLE AS recency FROM (SELECT o_orderkey, date_diff('day', CAST(o_orderdate AS DATE), DATE '2001-09-01') AS age FROM orders)")
+def recency_of_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    age = F.date_diff(F.to_date(F.lit("2001-09-01")), F.to_date("o_orderdate"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", scalars.recency_steps(age).alias("recency"))
+
+
+@query("SELECT c_custkey, floor((CASE WHEN c_name <> '' THEN 1 ELSE 0 END + CASE WHEN c_acctbal IS NOT NULL THEN 1 ELSE 0 END + 0)::DOUBLE / 4 * 80 * 100 + 0.5) / 100 AS completeness FROM customer")
+def completeness_of_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = [F.col("c_name"), F.col("c_acctbal"), F.lit(""), F.lit(None)]
+    return table(spark, sf_dir, "customer").select("c_custkey", scalars.completeness(fields, 80.0).alias("completeness"))
+
+
+@query("SELECT event_id, 86400 - (hour(ts) * 3600 + minute(ts) * 60 + CAST(second(ts) AS BIGINT)) AS left_s, CAST(CAST(ts AS DATE) AS VARCHAR) AS day FROM events")
+def day_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events")
+    return e.select("event_id", scalars.seconds_to_midnight(F.col("ts")).cast("long").alias("left_s"), F.to_date("ts").cast("string").alias("day"))
+
+
+@query("SELECT s_suppkey, CASE s_suppkey % 3 WHEN 0 THEN 'Turistico' WHEN 1 THEN 'Complementar' ELSE 'Apoio' END AS label, split_part('tripadvisor:attraction:' || CAST(s_suppkey AS VARCHAR), ':', 1) AS source FROM supplier")
+def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("s_suppkey")
+    raw = F.when(k % 3 == 0, "Municípios Turísticos").when(k % 3 == 1, "c ").otherwise("E")
+    return table(spark, sf_dir, "supplier").select(k, scalars.tourism_category(raw).alias("label"), scalars.source_of_key(F.concat(F.lit("tripadvisor:attraction:"), k.cast("string"))).alias("source"))
+
+
+@query("SELECT conv_id, turn, length(text) > 160 AS cut, CASE WHEN length(text) > 160 THEN text[:159] || '…' ELSE text END AS line FROM conversations")
+def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", (F.length("text") > 160).alias("cut"), scalars.ellipsis(F.col("text")).alias("line"))
+
+
+@query("SELECT n_nationkey, CASE WHEN n_nationkey % 2 = 0 THEN 'daily=09:00-17:00' ELSE 'mon_fri=09:00-17:00;sat=09:00-13:00;sun=closed' END AS hours FROM nation")
+def opening_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
+    same = F.array(*(F.lit(f"{n}: 9:00 AM – 5:00 PM") for n in names))
+    week = F.array(*(F.lit(f"{n}: 9:00 AM – 5:00 PM") for n in names[:5]), F.lit("Saturday: 9:00 AM – 1:00 PM"), F.lit("Sunday: Closed"))
+    d = table(spark, sf_dir, "nation").select("n_nationkey", F.when(F.col("n_nationkey") % 2 == 0, same).otherwise(week).alias("lines"))
+    m = hours.hours_map(F.col("lines"))
+    return d.select("n_nationkey", F.array_join(F.transform(F.map_entries(m), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";").alias("hours"))
+
+
+@query("SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, len(regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1))::INTEGER AS n_links, regexp_extract(html, 'track\\((\\d+)\\)', 1)::BIGINT AS island FROM pages")
+def page_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Title, links and the value embedded in the page's script."""
+    return page_source.cards(table(spark, sf_dir, "pages"))
+
+
+@query("SELECT page_id, list_aggregate(regexp_extract_all(regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1), '>([^<>]+)<', 1), 'string_agg', ' > ') AS breadcrumb FROM pages")
+def breadcrumbs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_source.breadcrumb(table(spark, sf_dir, "pages"))
+
+
+@query("SELECT page_id, split_part(split_part(url, '://', 2), '/', 1) AS host, split_part(split_part(url, '://', 2), '/', 2) AS lang FROM pages")
+def page_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = F.split_part("url", F.lit("://"), F.lit(2))
+    return table(spark, sf_dir, "pages").select("page_id", F.split_part(rest, F.lit("/"), F.lit(1)).alias("host"), F.split_part(rest, F.lit("/"), F.lit(2)).alias("lang"))

@@ -1 +1,106 @@
-"""stub"""
+"""Structured Streaming queries. Each reads a table as a stream, runs to its end and returns what the sink holds."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from varzea.plans.bindings import table
+from varzea.plans.registry import query
+from varzea.streaming import stateful
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """spark.checkpoint.dir, or a temporary folder where that is unset (local tests)."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="varzea-stream-")).rstrip("/")
+
+
+def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    schema = table(spark, sf_dir, name).schema
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parquet*")
+
+
+def run_to_end(rows: DataFrame, mode: str) -> DataFrame:
+    """Every micro-batch is written to the shared folder with its number; complete mode returns the last one."""
+    spark = rows.sparkSession
+    base = f"{shared_dir(spark)}/varzea-stream-{uuid.uuid4().hex}"
+
+    def sink(batch: DataFrame, number: int) -> None:
+        batch.withColumn("_batch", F.lit(number)).write.mode("overwrite").parquet(f"{base}/out/batch={number}")
+
+    q = rows.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
+    q.awaitTermination()
+    out = spark.read.parquet(f"{base}/out").drop("batch")
+    if mode == "complete":
+        last = out.agg(F.max("_batch").alias("m")).first()["m"]
+        out = out.filter(F.col("_batch") == last)
+    return out
+
+
+@query("SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2")
+def stream_daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tumbling days with a watermark of one day."""
+    e = stream(spark, sf_dir, "events").withColumn("at", F.col("ts").cast("timestamp")).withWatermark("at", "1 day")
+    n = e.groupBy(F.to_date("ts").alias("d"), "event_type").agg(F.count("*").alias("n"))
+    return run_to_end(n, "complete").select(F.date_format("d", "yyyy-MM-dd").alias("day"), "event_type", "n")
+
+
+@query("SELECT DISTINCT user_id, event_type FROM events")
+def stream_events_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each (reference, stage) passes once, whatever micro-batch it comes in."""
+    e = stream(spark, sf_dir, "events").select("user_id", "event_type").dropDuplicates(["user_id", "event_type"])
+    return run_to_end(e, "append").select("user_id", "event_type")
+
+
+@query("SELECT event_id, value FROM events WHERE event_type <> 'error'")
+def stream_good_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-row isolation: failed rows go aside, the rest passes on."""
+    e = stream(spark, sf_dir, "events").filter("event_type <> 'error'").select("event_id", "value")
+    return run_to_end(e, "append").select("event_id", "value")
+
+
+_MOVE = "CASE event_id % 7 WHEN 0 THEN 'discovered' WHEN 1 THEN 'signals' WHEN 2 THEN 'contacts' WHEN 3 THEN 'awaiting' WHEN 4 THEN 'approved' WHEN 5 THEN 'rejected' ELSE 'outreach' END"
+
+
+@query()
+def state_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Guarded moves per reference, folded in order of time (order-dependent: no SQL)."""
+    e = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", F.expr(_MOVE).alias("move"))
+    return stateful.machine_batch(e, "user_id", ["ts", "event_id"], "move")
+
+
+@query()
+def floored_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily counters with refunds, never below zero (order-dependent: no SQL)."""
+    e = table(spark, sf_dir, "events").select("ts", "event_id", F.to_date("ts").cast("string").alias("day"), F.when(F.col("event_type") == "error", -F.col("value") * 3).otherwise(F.col("value")).alias("delta"))
+    return stateful.floored_counters(e, "day", ["ts", "event_id"], "delta")
+
+
+@query()
+def rate_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten hits a day from the first hit on (order-dependent: no SQL)."""
+    e = table(spark, sf_dir, "events").select("user_id", F.unix_timestamp(F.col("ts").cast("timestamp")).alias("at"))
+    return stateful.fixed_window_limit(e, "user_id", "at", 86400, 10)
+
+
+@query(
+    """SELECT user_id, count(*) AS sessions, CAST(max(n) AS BIGINT) AS largest FROM (SELECT user_id, s, count(*) AS n FROM (SELECT user_id, sum(c) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s FROM
+ (SELECT user_id, ts, event_id, CASE WHEN ts < lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) + INTERVAL 12 HOUR THEN 0 ELSE 1 END AS c FROM events)) GROUP BY 1, 2) GROUP BY 1"""
+)
+def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversation windows: a session ends after 12 hours of silence."""
+    e = table(spark, sf_dir, "events").select("user_id", F.col("ts").cast("timestamp").alias("at"))
+    s = e.groupBy("user_id", F.session_window("at", "12 hours").alias("w")).agg(F.count("*").alias("n"))
+    return s.groupBy("user_id").agg(F.count("*").alias("sessions"), F.max("n").alias("largest"))
+
+
+@query("SELECT strftime(h, '%Y-%m-%d %H') AS window_start, CAST(sum(n) AS BIGINT) AS n FROM (SELECT date_trunc('hour', ts) AS hr, count(*) AS n FROM events GROUP BY 1) JOIN (SELECT unnest(range(0, 24)) AS k) ON true, LATERAL (SELECT hr - to_hours(CAST(k AS INTEGER)) AS h) GROUP BY 1")
+def trailing_monitor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sliding windows of 24 hours, every hour."""
+    e = table(spark, sf_dir, "events")
+    hourly = e.groupBy(F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("at")).agg(F.count("*").alias("n"))
+    w = hourly.groupBy(F.window("at", "24 hours", "1 hour").alias("w")).agg(F.sum("n").alias("n"))
+    return w.select(F.date_format("w.start", "yyyy-MM-dd HH").alias("window_start"), "n")
