@@ -1,14 +1,14 @@
 """Operator 4: soft-membership mixing to target weights, in DataFrame functions only.
 
 Domains are what the labels table marks: `clean` (quality 1, not toxic), `junk` (quality 0) and `toxic` (quality 1,
-toxic). A naive Bayes classifier over the presence of hashed words and of binned shape features is counted with SQL
+toxic). A naive Bayes classifier over the presence of words and of binned shape features is counted with SQL
 aggregates on a bounded sample of labelled rows (`max_train`, chosen by a hash of doc_id); features whose presence says
 little about the domain (chi-square under MIN_CHI2) are left out. It gives every document posteriors q_dk.
 
-Rates r_d >= 0 then minimise sum_k ((sum_d r_d t_d q_dk - T_k) / scale_k)^2, where t_d are a document's words and T_k the
+Rates r_d >= 0 then minimise the squared distance of the totals sum_d r_d t_d q_dk from T_k, where t_d are a document's words and T_k the
 target totals, by projected gradient: each round aggregates the expected totals of all documents (a few numbers reach
-the driver) and every document's rate follows from the residuals so far, r <- clip(r - step * sum_k q_dk e_k), starting
-from 1. The rate is bounded by `max_rate`, so that a target for a domain that hardly occurs cannot blow rates up; the
+the driver) and every document's rate follows from the residuals so far, r <- clip(r - sum_k q_dk e_k), starting
+from 1 (e is the scaled residual, see fit_rates). The rate is bounded by `max_rate`, so that a target for a domain that hardly occurs cannot blow rates up; the
 distance that then remains is left.
 
 Defined cases: null text has no words, prior posteriors and a rate without effect; domains without labelled rows or
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,30 +28,37 @@ from varzea.llm.common import bounded_sample, materialize, table
 
 DOMAINS = ("clean", "junk", "toxic")
 TARGETS = {"clean": 0.78, "junk": 0.06, "toxic": 0.16}
-BUCKETS, MAX_TRAIN, MIN_DF, MIN_CHI2, MAX_FEATURES = 1 << 18, 20_000, 5, 25.0, 600
+MAX_TRAIN, MIN_DF, MIN_CHI2, MAX_FEATURES = 20_000, 5, 25.0, 300
 EVIDENCE = 12
-MAX_RATE, STEP, ROUNDS, TOLERANCE, MIN_MASS = 8.0, 0.6, 60, 1e-4, 0.01
+MAX_RATE, STEP, ROUNDS, TOLERANCE, MIN_MASS = 8.0, 0.9, 30, 1e-4, 0.01
 
 
 def domain(quality: Column, toxic: Column) -> Column:
     return F.when(quality == 0, "junk").when((quality == 1) & (toxic == 1), "toxic").when(quality == 1, "clean")
 
 
-def features(docs: DataFrame) -> DataFrame:
-    """Add n_tokens and the array `found` of distinct feature numbers; drops text. Bins of shape features follow the word buckets."""
+def features(docs: DataFrame, only: list[str] | None = None) -> DataFrame:
+    """Add n_tokens and the array `found` of distinct features, of those in `only` if given; drops text. Features are words, and bins of shape measures."""
     rest = [c for c in docs.columns if c not in ("text", "n_tokens", "found")]
-    d = docs.select(*rest, F.coalesce("text", F.lit("")).alias("_t")).withColumn("_w", F.regexp_extract_all("_t", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
-    d = d.withColumn("_b", F.array_distinct(F.transform("_w", lambda w: F.pmod(F.xxhash64(F.lower(F.rtrim(w, F.lit(".,;:")))), F.lit(BUCKETS)).cast("int"))))
+    d = docs.select(*rest, F.coalesce("text", F.lit("")).alias("_t"))
+    d = d.withColumn("_w", F.filter(F.split(F.lower("_t"), r"[\x09-\x0D ,.;:]+"), lambda w: w != ""))
     d = d.withColumn("_low", F.translate("_t", "abcdefghijklmnopqrstuvwxyz ", ""))
-    n = F.length("_t")
-    share = lambda left: F.floor(F.coalesce(left * 20 / F.nullif(n, F.lit(0)), F.lit(0.0))).cast("int")
-    shapes = [
-        share(F.length("_low") - F.length(F.translate("_low", "#*$%&|<>!", ""))),
-        share(F.length("_low") - F.length(F.translate("_low", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ""))),
-        F.floor(F.coalesce(F.size("_b") * 10 / F.nullif(F.size("_w"), F.lit(0)), F.lit(0.0))).cast("int"),
-        F.least(F.lit(20), F.floor(F.log2(F.size("_w") + 1))).cast("int"),
-    ]
-    return d.select(*rest, F.size("_w").cast("long").alias("n_tokens"), F.concat("_b", F.array(*(F.lit(BUCKETS + 32 * i) + s for i, s in enumerate(shapes)))).alias("found"))
+    n, words = F.length("_t"), F.size("_w")
+    share = lambda part: F.floor(F.coalesce(part * 20 / F.nullif(n, F.lit(0)), F.lit(0.0))).cast("string")
+    without = lambda chars: F.length("_low") - F.length(F.translate("_low", chars, ""))
+    shapes = {
+        "symbols": share(without("#*$%&|<>!")),
+        "capitals": share(without("ABCDEFGHIJKLMNOPQRSTUVWXYZ")),
+        "word length": F.least(F.lit(30), F.floor(F.coalesce(n / F.nullif(words, F.lit(0)), F.lit(0.0)))).cast("string"),
+        "size": F.least(F.lit(20), F.floor(F.log2(words + 1))).cast("string"),
+    }
+    shape = F.array(*(F.concat(F.lit(f" {k} "), v) for k, v in shapes.items()))  # a blank starts no word
+    if only is not None:
+        pick = lambda a: F.filter(a, lambda w: w.isin(only)) if only else F.array().cast("array<string>")
+        found = F.concat(F.array_distinct(pick(F.col("_w"))), pick(shape))
+    else:
+        found = F.concat(F.array_distinct("_w"), shape)
+    return d.select(*rest, words.cast("long").alias("n_tokens"), found.alias("found"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> dict | None:
@@ -74,22 +82,21 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> dict
 
 def posteriors(docs: DataFrame, model: dict) -> DataFrame:
     """Add n_tokens and the array q of domain posteriors; drops text."""
-    d = features(docs)
     keys = sorted(model["weights"])
-    d = d.withColumn("_hit", F.filter("found", lambda f: f.isin(keys)) if keys else F.array().cast("array<int>")).drop("found")
+    places = F.array(*map(F.lit, keys)) if keys else F.array(F.lit(""))
+    d = features(docs, keys).withColumn("_hit", F.transform("found", lambda f: F.array_position(places, f).cast("int"))).drop("found")
     for i in range(len(DOMAINS)):
-        values = F.expr(f"cast(split('{','.join(repr(round(model['weights'][k][i], 6)) for k in keys) or '0'}', ',') AS array<double>)")
-        at = F.expr(f"cast(split('{','.join(map(str, keys)) or '-1'}', ',') AS array<int>)")
-        d = d.withColumn(f"_z{i}", _sum("_hit", at, values, model["prior"][i]))
+        values = F.array(*(F.lit(float(round(model["weights"][k][i], 6))) for k in keys)) if keys else F.array(F.lit(0.0))
+        d = d.withColumn(f"_z{i}", _sum("_hit", values, model["prior"][i]))
     top = F.greatest(*(F.col(f"_z{i}") for i in range(len(DOMAINS))))
     e = [F.exp(F.col(f"_z{i}") - top) for i in range(len(DOMAINS))]
     total = sum(e[1:], e[0])
     return d.withColumn("q", F.array(*(x / total for x in e))).drop("_hit", *(f"_z{i}" for i in range(len(DOMAINS))))
 
 
-def _sum(hits: str, at: Column, values: Column, start: float) -> Column:
+def _sum(hits: str, values: Column, start: float) -> Column:
     """The prior plus the evidence; that of more than EVIDENCE features is averaged down, since words are not independent."""
-    total = F.aggregate(hits, F.lit(0.0), lambda a, f: a + F.element_at(values, F.array_position(at, f).cast("int")))
+    total = F.aggregate(hits, F.lit(0.0), lambda a, i: a + F.element_at(values, i))
     return F.lit(float(start)) + total * F.lit(float(EVIDENCE)) / F.greatest(F.size(hits), F.lit(EVIDENCE))
 
 
@@ -104,29 +111,41 @@ def rate_column(history: list[list[float]], max_rate: float) -> Column:
 
 
 def fit_rates(soft: DataFrame, targets: dict[str, float], max_rate: float = MAX_RATE) -> list[list[float]]:
-    """Residual steps of the projected gradient over a table with n_tokens and q."""
+    """Steps of the projected gradient over a table with n_tokens and q, K numbers a round.
+
+    The distance is measured in the metric of the inverse Gram matrix of the documents whose rate is inside its bounds
+    (sum of t q q^T), in which the gradient step has length 1 and domains of any size close in alike.
+    """
+    k_all = range(len(DOMAINS))
     t = F.col("n_tokens").cast("double")
-    q = [F.get("q", F.lit(k)) for k in range(len(DOMAINS))]
-    first = soft.agg(F.sum(t).alias("all"), *(F.sum(t * x).alias(f"m{k}") for k, x in enumerate(q)), *(F.sum(t * x * x).alias(f"g{k}") for k, x in enumerate(q))).first()
-    if not first["all"]:
-        return []
-    mass = [first[f"m{k}"] / first["all"] for k in range(len(DOMAINS))]
-    scale = [max(first[f"g{k}"] / first["all"], 1e-12) for k in range(len(DOMAINS))]
-    want = [targets.get(name, 0.0) if m >= MIN_MASS else 0.0 for name, m in zip(DOMAINS, mass)]
-    want = [x / (sum(want) or 1.0) for x in want]
+    q = [F.get("q", F.lit(k)) for k in k_all]
+    # A rate depends on q alone, so documents of equal posteriors count as one.
+    alike = materialize(soft.groupBy("q").agg(F.sum("n_tokens").alias("n_tokens")), "alike")
+
+    def totals(history):
+        r, inside = F.col("_r"), (F.col("_r") > 0) & (F.col("_r") < max_rate)
+        sums = [F.sum(t).alias("all"), *(F.sum(r * t * x).alias(f"m{k}") for k, x in enumerate(q))]
+        sums += [F.sum(F.when(inside, t * q[i] * q[j])).alias(f"g{i}{j}") for i in k_all for j in k_all if i <= j]
+        return alike.withColumn("_r", rate_column(history, max_rate)).agg(*sums).first()
+
     history: list[list[float]] = []
-    for _ in range(ROUNDS):
-        off = [(m - w) for m, w in zip(mass, want)]
-        if max(map(abs, off)) < TOLERANCE:
-            break
-        history.append([STEP * e / s for e, s in zip(off, scale)])
-        r = rate_column(history, max_rate)
-        row = soft.withColumn("_r", r).agg(*(F.sum(F.col("_r") * t * x).alias(f"m{k}") for k, x in enumerate(q))).first()
-        new = [row[f"m{k}"] / first["all"] for k in range(len(DOMAINS))]
-        if max(abs(a - b) for a, b in zip(new, mass)) < TOLERANCE / 100:  # at the bounds: nothing moves any more
-            break
-        mass = new
-    return history
+    want, last = None, math.inf
+    while True:
+        row = totals(history)
+        if not row["all"]:
+            return []
+        mass = np.array([row[f"m{k}"] for k in k_all]) / row["all"]
+        gram = np.array([[row[f"g{min(i, j)}{max(i, j)}"] or 0.0 for j in k_all] for i in k_all]) / row["all"]
+        if want is None:
+            want = np.array([targets.get(name, 0.0) if m >= MIN_MASS else 0.0 for name, m in zip(DOMAINS, mass)])
+            want /= want.sum() or 1.0
+        off = mass - want
+        distance = float(np.abs(off).max())
+        if distance < TOLERANCE or len(history) >= ROUNDS or abs(last - distance) < TOLERANCE / 100:
+            return history
+        last = distance
+        step = STEP * np.linalg.solve(gram + np.eye(len(DOMAINS)) * max(1e-9, 1e-4 * np.trace(gram)), off)
+        history.append([float(x) for x in step])
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, max_rate: float = MAX_RATE) -> DataFrame:
