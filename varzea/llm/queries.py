@@ -7,17 +7,19 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
+from varzea.llm.oracles import oracle_sql  # noqa: F401
+
 _MODULES = {
+    "op1_lm_elias_fano": "lm_scoring",
+    "op2_html_bilstm": "html_extraction",
+    "op3_quality_divergence": "quality_rules",
+    "op4_mixing": "mixing",
     "op5_language_id": "language_id",
+    "op6_suffix_dedup": "suffix_dedup",
     "op7_quality_attention": "quality_classifier",
     "op8_toxicity_fm": "toxicity",
     "op9_simhash_pivots": "simhash",
     "op10_decontamination": "decontamination",
-    "op4_mixing": "mixing",
-    "op2_html_bilstm": "html_extraction",
-    "op6_suffix_dedup": "suffix_dedup",
-    "op1_lm_elias_fano": "lm_scoring",
-    "op3_quality_divergence": "quality_rules",
 }
 
 
@@ -27,7 +29,3 @@ def _call(module: str, name: str) -> Callable[[SparkSession, str], DataFrame]:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: _call(module, name) for name, module in _MODULES.items()}
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}
