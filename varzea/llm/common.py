@@ -146,6 +146,19 @@ def pieces(texts: list[bytes], limit: int = 1_000_000) -> tuple[list[bytes], np.
     return parts, np.array(owner, dtype=np.int64)
 
 
+def hide(df: DataFrame, *own: str) -> tuple[DataFrame, dict[str, str]]:
+    """Columns that an operator does not read itself get neutral names, so that they clash with none of its own; and the names."""
+    names = {c: c if c in own else f"varzea_{i}" for i, c in enumerate(df.columns)}
+    quote = lambda c: "`" + c.replace("`", "``") + "`"
+    return df.select(*(F.col(quote(c)).alias(n) for c, n in names.items())), names
+
+
+def show(names: dict[str, str], *without: str) -> list:
+    """The columns under their own names again, but those in `without`, in whatever case."""
+    gone = {w.lower() for w in without}
+    return [F.col(n).alias(c) for c, n in names.items() if c.lower() not in gone]
+
+
 def fields_of(df: DataFrame, columns: list[str]) -> str:
     """The columns as a schema string."""
     kinds = {f.name: f.dataType.simpleString() for f in df.schema}

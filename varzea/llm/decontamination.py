@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varzea.llm.common import materialize, table
+from varzea.llm.common import hide, materialize, show, table
 
 WIDTH, THRESHOLD = 5, 0.8
 #: rows of an item table up to which it is broadcast; beyond it Spark shuffles
@@ -79,7 +79,7 @@ def containment(docs: DataFrame, items: DataFrame) -> DataFrame:
     pairs = materialize(sketch.join(probes, ["width", "h"]).select("row", "item").distinct(), "candidates")
     # Exact containment: of the candidate documents only, all shingles that occur in an item.
     rows = pairs.select("row").distinct()
-    again = docs.join(small(materialize(rows, "rows")), "row", "left_semi").select("row", words("text").alias("w"))
+    again = docs.join(small(materialize(rows, "rows")), "row", "left_semi").dropDuplicates(["row"]).select("row", words("text").alias("w"))
     full = [tagged(F.array_distinct(shingle_hashes("w", k)), k) for k in limits]
     found = again.select("row", F.explode(F.concat(*full)).alias("s")).select("row", "s.width", "s.h")
     hits = found.join(small(index.select("width", "h", "item")), ["width", "h"]).groupBy("row", "item").agg(F.count("*").alias("shared"))
@@ -95,9 +95,10 @@ def with_row(docs: DataFrame) -> DataFrame:
 
 def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that contain no item, with all their columns."""
-    keyed = with_row(docs)
+    hidden, names = hide(docs, "doc_id", "text")
+    keyed = with_row(hidden)
     dirty = materialize(containment(keyed, items).select("row").distinct(), "dirty")
-    return keyed.join(small(dirty), "row", "left_anti").drop("row")
+    return keyed.join(small(dirty), "row", "left_anti").select(*show(names))
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

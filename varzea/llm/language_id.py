@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varzea.llm.common import LOWER, SPACE, bounded_sample, chunks, crc_mod, fields_of, table
+from varzea.llm.common import LOWER, SPACE, bounded_sample, chunks, crc_mod, fields_of, hide, show, table
 
 BUCKETS, DIM, ORDERS = 8192, 16, (2, 3, 4)
 MAX_TRAIN, EPOCHS, BATCH, RATE = 3000, 20, 64, 0.5
@@ -116,7 +116,8 @@ def fit(labelled: DataFrame, key: str = "doc_id", max_train: int = MAX_TRAIN) ->
 
 def predict(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
     """Add lang_pred, score and accepted (the calibrated rejection) to the documents' other columns, text dropped."""
-    rest = [c for c in docs.columns if c not in (text, "lang_pred", "score", "accepted")]
+    docs, names = hide(docs, text)
+    rest = [c for c in docs.columns if c != text]
     d = docs.select(*rest, F.coalesce(text, F.lit("")).alias("_text"), F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("_letter"))
     shared = docs.sparkSession.sparkContext.broadcast(model)  # buckets x languages floats
 
@@ -138,7 +139,8 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFr
             out["accepted"] = letter & (score >= m.threshold)
             yield out
 
-    return d.mapInPandas(run, f"{fields_of(d, rest)}, lang_pred string, score double, accepted boolean")
+    made = ["lang_pred", "score", "accepted"]
+    return d.mapInPandas(run, f"{fields_of(d, rest)}, lang_pred string, score double, accepted boolean").select(*show(names, text, *made), *made)
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,7 +13,8 @@ distance that then remains is left.
 
 Defined cases: null text has no words, prior posteriors and a rate without effect; domains without labelled rows or
 without target get none of the budget and the other targets are scaled up; without any labels all rates are 1 and the
-posteriors null; an empty table gives an empty result; repeated rows get equal rates; other columns pass through.
+posteriors null; an empty table gives an empty result; repeated rows get equal rates; other columns pass through,
+those that have the name of a result are replaced by it.
 """
 
 from __future__ import annotations
@@ -24,12 +25,13 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varzea.llm.common import bounded_sample, materialize, table
+from varzea.llm.common import bounded_sample, hide, materialize, show, table
 
 DOMAINS = ("clean", "junk", "toxic")
 TARGETS = {"clean": 0.78, "junk": 0.06, "toxic": 0.16}
 MAX_TRAIN, MIN_DF, MIN_CHI2, MAX_FEATURES = 20_000, 5, 25.0, 300
 EVIDENCE = 12
+MADE = ["n_tokens", *(f"p_{k}" for k in DOMAINS), "rate"]
 MAX_RATE, STEP, ROUNDS, TOLERANCE, MIN_MASS = 8.0, 0.9, 30, 1e-4, 0.01
 
 
@@ -150,22 +152,25 @@ def fit_rates(soft: DataFrame, targets: dict[str, float], max_rate: float = MAX_
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, max_rate: float = MAX_RATE) -> DataFrame:
     """The documents without text, with n_tokens, p_<domain> and rate."""
+    docs, names = hide(docs, "doc_id", "text")
+    own = show(names, "text", *MADE)
     model = fit(docs, labels)
     if model is None:
         none = F.lit(None).cast("double")
-        return features(docs).drop("found").select("*", *(none.alias(f"p_{k}") for k in DOMAINS), F.lit(1.0).alias("rate"))
+        return features(docs).select(*own, "n_tokens", *(none.alias(f"p_{k}") for k in DOMAINS), F.lit(1.0).alias("rate"))
     soft = materialize(posteriors(docs, model), "posteriors")
     history = fit_rates(soft, targets or TARGETS, max_rate)
-    return soft.select("*", *(F.get("q", F.lit(i)).alias(f"p_{k}") for i, k in enumerate(DOMAINS)), rate_column(history, max_rate).alias("rate")).drop("q")
+    made = {f"p_{k}": F.get("q", F.lit(i)) for i, k in enumerate(DOMAINS)} | {"rate": rate_column(history, max_rate)}
+    return soft.withColumns(made).select(*own, *MADE)
 
 
 def apply_mix(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents at their rates: all columns, n_tokens, p_<domain>, rate, and copies, a whole number of expectation
     rate that follows from the document's values. Documents of rate 0 are left out."""
-    mixed = mix(docs.withColumn("_text", F.col("text")), labels).withColumnRenamed("_text", "text")
+    hidden, names = hide(docs, "doc_id", "text")
+    mixed = mix(hidden.withColumn("_text", F.col("text")), labels).withColumnRenamed("_text", "text")
     draw = F.pmod(F.xxhash64("doc_id", "text", F.lit("copies")), F.lit(1_000_000)) / 1_000_000
-    made = [c for c in mixed.columns if c not in docs.columns]
-    return mixed.filter("rate > 0").select(*docs.columns, *made, F.floor(F.col("rate") + draw).cast("int").alias("copies"))
+    return mixed.filter("rate > 0").select(*show(names, *MADE, "copies"), *MADE, F.floor(F.col("rate") + draw).cast("int").alias("copies"))
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varzea.llm.common import SPACE, Words, bounded_sample, chunks, crc_mod, fields_of, pieces, table
+from varzea.llm.common import SPACE, Words, bounded_sample, chunks, crc_mod, fields_of, hide, pieces, show, table
 
 PASSAGE, PAIRS, STATS, HIDDEN, GATE = 64, 96, 14, 24, 12
 DIM = PAIRS + STATS
@@ -169,7 +169,8 @@ def fit(labelled: DataFrame, key: str = "doc_id", label: str = "quality", max_tr
 
 def score(docs: DataFrame, model: AttentionModel, text: str = "text") -> DataFrame:
     """Add score and n_passages; text is dropped."""
-    rest = [c for c in docs.columns if c not in (text, "score", "n_passages")]
+    docs, names = hide(docs, text)
+    rest = [c for c in docs.columns if c != text]
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a few thousand floats
 
     def run(batches):
@@ -182,7 +183,7 @@ def score(docs: DataFrame, model: AttentionModel, text: str = "text") -> DataFra
             yield pdf[rest].assign(score=s, n_passages=n)
 
     d = docs.select(*rest, F.col(text).alias("_text"))
-    return d.mapInPandas(run, f"{fields_of(d, rest)}, score double, n_passages long")
+    return d.mapInPandas(run, f"{fields_of(d, rest)}, score double, n_passages long").select(*show(names, text, "score", "n_passages"), "score", "n_passages")
 
 
 def op7_quality_attention(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ base rules adds its *share* of each bin once, so one very long text does not out
 Defined cases: a null text has no words and fails the base rule; a null or rare language (fewer than MIN_REFERENCE
 texts) is compared with the reference of all texts; a language without a list of common words, and a text under
 MIN_WORDS_FOR_WORDS words, is judged by its characters alone; repeated rows are judged alike, one output row for each
-input row; further columns pass through.
+input row; further columns pass through, those that have the name of a result are replaced by it.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varzea.llm.common import materialize, table
+from varzea.llm.common import hide, materialize, show, table
 
 # Twelve frequent function words of four languages, each a bin of the common-word histogram.
 COMMON = {
@@ -32,6 +32,7 @@ MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE = 0.28, 0.55
 BOTH_CHAR_DISTANCE, BOTH_WORD_DISTANCE = 0.13, 0.24
 LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 SPACES, STOPS, SYMBOLS = " \t\n\x0b\f\r", ".,;:!?", "#*$%&|<>"
+MADE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "char_share", "word_share", "char_distance", "word_distance", "kept"]
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
@@ -97,6 +98,7 @@ def judge(docs: DataFrame) -> DataFrame:
 
     The counts are written once with the documents, since the verdict needs the references of all of them first.
     """
+    docs, names = hide(docs, "text", "lang")
     stats = materialize(with_stats(docs.withColumn("lang", F.col("lang").cast("string"))), "quality")
     refs = materialize(references(stats), "references")
     some = refs.filter(F.col("lang").isNotNull())
@@ -111,12 +113,13 @@ def judge(docs: DataFrame) -> DataFrame:
         f" AND NOT (n_words >= {MIN_WORDS_FOR_WORDS} AND (coalesce(word_distance > {MAX_WORD_DISTANCE}, false)"
         f" OR coalesce(char_distance > {BOTH_CHAR_DISTANCE} AND word_distance > {BOTH_WORD_DISTANCE}, false)))"
     )
-    return d.withColumn("kept", verdict).drop("char_ref", "word_ref")
+    return d.withColumn("kept", verdict).select(*show(names, *MADE), *MADE)
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The documents that the rules keep, with their own columns."""
-    return judge(docs).filter("kept").select(*docs.columns)
+    hidden, names = hide(docs, "text", "lang")
+    return judge(hidden).filter("kept").select(*show(names))
 
 
 def op3_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:

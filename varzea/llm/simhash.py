@@ -22,10 +22,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varzea.llm.common import LOWER, materialize, table
+from varzea.llm.common import LOWER, hide, materialize, show, table
 from varzea.llm.components import components
 
 WIDTH, RADIUS, SEED, PIVOTS = 4, 4, 42, 16
+#: ids from here on stand for fingerprints of rows without doc_id; ordinary ids are smaller
+UNNAMED = 1 << 62
 BLOCKS = ((0, 11), (11, 11), (22, 11), (33, 11), (44, 10), (54, 10))  # (first bit, bits)
 
 
@@ -113,20 +115,23 @@ def links(nodes: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, fp, component_id) for every row of docs."""
     prints = materialize(fingerprints(docs), "fingerprints")
-    distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("node")), "distinct")
-    groups = components(links(distinct.filter("node IS NOT NULL")))
-    ids = distinct.join(groups, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
+    unnamed = F.xxhash64("fp").bitwiseAND(F.lit(UNNAMED - 1)).bitwiseOR(F.lit(UNNAMED))  # of rows without doc_id alone
+    distinct = materialize(prints.groupBy("fp").agg(F.coalesce(F.min("doc_id"), unnamed).alias("node")), "distinct")
+    groups = components(links(distinct))
+    least = F.coalesce("component", "node")
+    ids = distinct.join(groups, "node", "left").select("fp", F.when(least < UNNAMED, least).alias("component_id"))
     return prints.join(ids, "fp", "left").select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each group of near-duplicates, that with the smallest id. Rows with equal ids are one document;
     a row without id gets one from its values, above all ordinary ids, for the time of the search."""
-    own = F.xxhash64(*docs.columns).bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    docs, names = hide(docs, "doc_id", "text")
+    own = F.xxhash64(*docs.columns).bitwiseAND(F.lit((1 << 61) - 1)).bitwiseOR(F.lit(1 << 61))
     keyed = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), own))
     found = near_duplicates(keyed.select(F.col("_id").alias("doc_id"), "text"))
     best = materialize(found.filter("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct(), "best")
-    return keyed.join(best, "_id", "left_semi").dropDuplicates(["_id"]).drop("_id")
+    return keyed.join(best, "_id", "left_semi").dropDuplicates(["_id"]).select(*show(names))
 
 
 def op9_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,7 +21,8 @@ by a further name, so that a false match needs about 90 equal bits.
 
 Defined cases: a null or short text loses nothing (0 bytes for null); rows with the same id are the same document and
 remove nothing from each other; a null id counts as larger than all others; matches never cross documents; an empty
-table gives an empty result. All other columns travel in the blocks and come back unchanged.
+table gives an empty result. All other columns travel in the blocks and come back unchanged;
+one that has the name of a result is replaced by it.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from varzea.llm.blocks import bits, frame, pack, pack_sorted, read_block, unbits, unpack, unpack_sorted, write_blocks
-from varzea.llm.common import _BYTE, fields_of, materialize, mix, table
+from varzea.llm.common import _BYTE, fields_of, hide, materialize, mix, show, table
 
 LENGTH, GRAM = 50, 32
 SPAN = LENGTH - GRAM + 1  # candidates of a window
@@ -348,7 +349,8 @@ def finish(shards: int, rest: list[str], with_text: bool):
 
 def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     """Every row with n_bytes, n_removed, n_spans and kept_sha256; with_text: `text` holds what is left (cut characters dropped)."""
-    rest = [c for c in docs.columns if c not in ("text", "n_bytes", "n_removed", "n_spans", "kept_sha256")]
+    docs, names = hide(docs, "doc_id", "text")
+    rest = [c for c in docs.columns if c != "text"]
     blocks, total = write_blocks(docs.select(*rest, "text"))
     shards = max(16, math.ceil(total / 10 / SHARD_ANCHORS))
     answers = materialize(blocks.select("block", "payload").mapInPandas(send1(shards), SENT).groupBy("shard").applyInPandas(rank1, ANSWER), "round1")
@@ -357,15 +359,17 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
         answers = answers.unionByName(materialize(sent.groupBy("shard").applyInPandas(rank, ANSWER), name))
     schema = f"{fields_of(docs, rest)}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", _text string" if with_text else "")
     done = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(finish(shards, rest, with_text), schema)
-    return done.withColumnRenamed("_text", "text") if with_text else done
+    made = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    return done.select(*show(names, "text", *made), *made, *([F.col("_text").alias("text")] if with_text else []))
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """The documents with the repeated passages taken out of text, and n_chars (if there is one) counted anew. An emptied document stays."""
-    done = remove_repeats(docs, with_text=True)
+    hidden, names = hide(docs, "doc_id", "text")
+    done = remove_repeats(hidden, with_text=True)
     if "n_chars" in docs.columns:
-        done = done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return done.select(*docs.columns)
+        done = done.withColumn(names["n_chars"], F.length("text").cast(docs.schema["n_chars"].dataType))
+    return done.select(*show(names))
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
