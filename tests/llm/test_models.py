@@ -46,8 +46,8 @@ def test_trie_gives_discounted_trigrams(tmp_path):
         assert x == pytest.approx(a3 + b3 * a2, rel=0.05, abs=1e-6) and y == pytest.approx(b3 * b2, rel=0.05)
 
 
-def test_probabilities_of_a_history_add_up_to_one(spark):
-    """The words of one history, scored one at a time, have all the mass but what unknown words get."""
+def test_frequent_continuations_score_higher(spark):
+    """Of one history: a word seen after it often beats a rare one, and a seen word an unknown one."""
     texts = [(i, False, "a b a c a b d") for i in range(20)]
     ask = [(100 + i, True, f"a b {w}") for i, w in enumerate(["a", "b", "c", "d", "zzz"])] + [(200, True, "a b")]
     got = {r["doc_id"]: r for r in lm_scoring.score(spark.createDataFrame(texts + ask, "doc_id long, held_out boolean, text string")).collect()}
