@@ -10,6 +10,8 @@ pairs that are connected already, so a group of near copies gives no quadratic n
 Defined cases: null, empty and wordless texts have fingerprint zero and are linked like any other; repeated rows with
 the same id each get a row; a row without doc_id takes part with its fingerprint, and its component is the smallest
 non-null id reachable (null if there is none); further columns do not disturb.
+
+The pipeline stage (`keep_one`) is not bound to these values: it links texts by exact Jaccard similarity (near_copies.py).
 """
 
 from __future__ import annotations
@@ -24,8 +26,11 @@ from pyspark.sql import functions as F
 
 from varzea.llm.common import LOWER, hide, materialize, show, table
 from varzea.llm.components import components
+from varzea.llm.near_copies import kept_keys
 
 WIDTH, RADIUS, SEED, PIVOTS = 4, 4, 42, 16
+#: the pipeline stage: words a shingle, and the Jaccard similarity of near copies
+STAGE_WIDTH, STAGE_THRESHOLD = 5, 0.8
 #: ids from here on stand for fingerprints of rows without doc_id; ordinary ids are smaller
 UNNAMED = 1 << 62
 BLOCKS = ((0, 11), (11, 11), (22, 11), (33, 11), (44, 10), (54, 10))  # (first bit, bits)
@@ -123,15 +128,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return prints.join(ids, "fp", "left").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each group of near-duplicates, that with the smallest id. Rows with equal ids are one document;
-    a row without id gets one from its values, above all ordinary ids, for the time of the search."""
+def keep_one(docs: DataFrame, width: int = STAGE_WIDTH, threshold: float = STAGE_THRESHOLD) -> DataFrame:
+    """One row of each group of near copies, texts linked by a Jaccard similarity of at least `threshold` of their shingles
+    of `width` words: the row with the smallest id. Rows are told apart by all their values, so ids need not be unique."""
     docs, names = hide(docs, "doc_id", "text")
-    own = F.xxhash64(*docs.columns).bitwiseAND(F.lit((1 << 61) - 1)).bitwiseOR(F.lit(1 << 61))
-    keyed = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), own))
-    found = near_duplicates(keyed.select(F.col("_id").alias("doc_id"), "text"))
-    best = materialize(found.filter("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct(), "best")
-    return keyed.join(best, "_id", "left_semi").dropDuplicates(["_id"]).select(*show(names))
+    nulls = F.array(*(F.col(c).isNull() for c in docs.columns))  # xxhash64 passes over nulls
+    keyed = docs.withColumn("_key", F.xxhash64(*docs.columns, nulls))
+    best = materialize(kept_keys(keyed.select(F.col("_key").alias("key"), F.col("doc_id").alias("id"), "text"), width, threshold), "best")
+    return keyed.join(best.withColumnRenamed("key", "_key"), "_key", "left_semi").dropDuplicates(["_key"]).select(*show(names))
 
 
 def op9_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
