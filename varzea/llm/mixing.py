@@ -8,11 +8,11 @@ little about the domain (chi-square under MIN_CHI2) are left out. It gives every
 Rates r_d >= 0 then minimise the squared distance of the totals sum_d r_d t_d q_dk from T_k, where t_d are a document's words and T_k the
 target totals, by projected gradient: each round aggregates the expected totals of all documents (a few numbers reach
 the driver) and every document's rate follows from the residuals so far, r <- clip(r - sum_k q_dk e_k), starting
-from 1 (e is the scaled residual, see fit_rates). The rate is bounded by `max_rate`, so that a target for a domain that hardly occurs cannot blow rates up; the
-distance that then remains is left.
+from 1 (e is the scaled residual, see fit_rates). Rates have no upper bound unless `max_rate` is given; the distance that
+a bound leaves is left.
 
-Defined cases: null text has no words, prior posteriors and a rate without effect; domains without labelled rows or
-without target get none of the budget and the other targets are scaled up; without any labels all rates are 1 and the
+Defined cases: null text has no words, prior posteriors and a rate without effect; domains without labelled rows have
+posterior 0, and a domain whose expected words are exactly 0 cannot have its target: the other targets are scaled up; without any labels all rates are 1 and the
 posteriors null; an empty table gives an empty result; repeated rows get equal rates; other columns pass through,
 those that have the name of a result are replaced by it.
 """
@@ -20,6 +20,7 @@ those that have the name of a result are replaced by it.
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,7 +33,8 @@ TARGETS = {"clean": 0.78, "junk": 0.06, "toxic": 0.16}
 MAX_TRAIN, MIN_DF, MIN_CHI2, MAX_FEATURES = 20_000, 5, 25.0, 300
 EVIDENCE = 12
 MADE = ["n_tokens", *(f"p_{k}" for k in DOMAINS), "rate"]
-MAX_RATE, STEP, ROUNDS, TOLERANCE, MIN_MASS = 8.0, 0.9, 30, 1e-4, 0.01
+STEP, ROUNDS, TOLERANCE = 0.9, 30, 1e-4
+MIN_MASS = sys.float_info.min  # the least share of words above zero: only a domain without any has no target
 
 
 def domain(quality: Column, toxic: Column) -> Column:
@@ -79,7 +81,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> dict
     best = per.filter(F.col("df") >= MIN_DF).withColumn("chi2", chi2).filter(F.col("chi2") >= MIN_CHI2).orderBy(F.desc("chi2"), "f").limit(MAX_FEATURES).collect()
     ratio = lambda r, k: (r[k] + 0.5) / (n.get(k, 0) + 1) / ((r["df"] + 0.5) / (total + 1))
     weights = {r["f"]: [max(-3.0, min(3.0, math.log(ratio(r, k)))) for k in DOMAINS] for r in best}
-    return {"prior": [math.log(max(n.get(k, 0) / total, 1e-9)) for k in DOMAINS], "weights": weights}
+    return {"prior": [math.log(n[k] / total) if n.get(k) else -math.inf for k in DOMAINS], "weights": weights}
 
 
 def posteriors(docs: DataFrame, model: dict) -> DataFrame:
@@ -102,17 +104,18 @@ def _sum(hits: str, values: Column, start: float) -> Column:
     return F.lit(float(start)) + total * F.lit(float(EVIDENCE)) / F.greatest(F.size(hits), F.lit(EVIDENCE))
 
 
-def rate_column(history: list[list[float]], max_rate: float) -> Column:
+def rate_column(history: list[list[float]], max_rate: float | None) -> Column:
     """The rate after all steps so far, from the residuals of each round."""
     r = F.lit(1.0)
     if not history:
         return r
     steps = F.expr("array(" + ", ".join("array(" + ", ".join(f"{x!r}D" for x in g) + ")" for g in history) + ")")
     moved = lambda a, g: a - sum((F.get("q", F.lit(k)) * F.get(g, F.lit(k)) for k in range(len(DOMAINS))), F.lit(0.0))
-    return F.aggregate(steps, r, lambda a, g: F.least(F.lit(float(max_rate)), F.greatest(F.lit(0.0), moved(a, g))))
+    bound = lambda x: x if max_rate is None else F.least(F.lit(float(max_rate)), x)
+    return F.aggregate(steps, r, lambda a, g: bound(F.greatest(F.lit(0.0), moved(a, g))))
 
 
-def fit_rates(soft: DataFrame, targets: dict[str, float], max_rate: float = MAX_RATE) -> list[list[float]]:
+def fit_rates(soft: DataFrame, targets: dict[str, float], max_rate: float | None = None) -> list[list[float]]:
     """Steps of the projected gradient over a table with n_tokens and q, K numbers a round.
 
     The distance is measured in the metric of the inverse Gram matrix of the documents whose rate is inside its bounds
@@ -125,7 +128,7 @@ def fit_rates(soft: DataFrame, targets: dict[str, float], max_rate: float = MAX_
     alike = materialize(soft.groupBy("q").agg(F.sum("n_tokens").alias("n_tokens")), "alike")
 
     def totals(history):
-        r, inside = F.col("_r"), (F.col("_r") > 0) & (F.col("_r") < max_rate)
+        r, inside = F.col("_r"), (F.col("_r") > 0) & (F.lit(max_rate is None) | (F.col("_r") < F.lit(max_rate)))
         sums = [F.sum(t).alias("all"), *(F.sum(r * t * x).alias(f"m{k}") for k, x in enumerate(q))]
         sums += [F.sum(F.when(inside, t * q[i] * q[j])).alias(f"g{i}{j}") for i in k_all for j in k_all if i <= j]
         return alike.withColumn("_r", rate_column(history, max_rate)).agg(*sums).first()
@@ -150,7 +153,7 @@ def fit_rates(soft: DataFrame, targets: dict[str, float], max_rate: float = MAX_
         history.append([float(x) for x in step])
 
 
-def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, max_rate: float = MAX_RATE) -> DataFrame:
+def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, max_rate: float | None = None) -> DataFrame:
     """The documents without text, with n_tokens, p_<domain> and rate."""
     docs, names = hide(docs, "doc_id", "text")
     own = show(names, "text", *MADE)
