@@ -2,10 +2,13 @@
 
 Each text's histogram of character classes and of common words is compared with its language's reference by the
 Jensen-Shannon distance (base 2, 0 to 1). The references are gathered from all documents: every text that passes the
-base rules adds its *share* of each bin once, so one very long text does not outweigh the others.
+base rules adds its *share* of each bin once, so one very long text does not outweigh the others. Characters are compared
+with the language's mean and with that mean drawn towards the mean of all texts (which counts as PRIOR_TEXTS texts); the
+smaller distance is the text's, so a language of few texts is judged mildly and no number of texts switches the method.
 
-Defined cases: a null text has no words and fails the base rule; a null or rare language (fewer than MIN_REFERENCE
-texts) is compared with the reference of all texts; a language without a list of common words, and a text under
+Defined cases: a null text has no words and fails the base rule; a null language, and one without a text that passes the
+base rule, has no reference, and its texts are judged by the base rule alone (in the registered query, whose SQL fixes
+its references, languages of fewer than MIN_REFERENCE texts are compared with the mean characters of all texts); a language without a list of common words, and a text under
 MIN_WORDS_FOR_WORDS words, is judged by its characters alone; repeated rows are judged alike, one output row for each
 input row; further columns pass through, those that have the name of a result are replaced by it.
 """
@@ -26,7 +29,9 @@ COMMON = {
 }
 MIN_WORDS, MAX_REPEAT_PCT = 50, 50
 #: guards and limits of the divergence rules
-MIN_REFERENCE, MIN_CHARS, MIN_WORDS_FOR_WORDS = 200, 200, 100
+PRIOR_TEXTS, MIN_CHARS, MIN_WORDS_FOR_WORDS = 50, 200, 100
+#: of the query alone, whose SQL fixes it: a language of fewer texts has no reference
+MIN_REFERENCE = 200
 MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE = 0.28, 0.55
 #: a text that is past both of these is rejected too: the two histograms together tell lists and tables from prose
 BOTH_CHAR_DISTANCE, BOTH_WORD_DISTANCE = 0.13, 0.24
@@ -79,12 +84,11 @@ def mean_shares(bins: int, column: str):
 
 
 def references(stats: DataFrame) -> DataFrame:
-    """Per language, and for all texts under the null language: the mean shares of the texts that pass the base rule."""
+    """Per language, and for all texts under the null language: the mean shares of the texts that pass the base rule, and their number."""
     good = stats.filter(~F.col("base_failed"))
-    made = [mean_shares(7, "char_share").alias("char_ref"), mean_shares(13, "word_share").alias("word_ref"), F.count("*").alias("n")]
-    by_lang = good.filter(F.col("lang").isNotNull()).groupBy("lang").agg(*made).filter(F.col("n") >= MIN_REFERENCE)
-    whole = good.agg(mean_shares(7, "char_share").alias("char_ref")).select(F.lit(None).cast("string").alias("lang"), "char_ref", F.lit(None).cast("array<double>").alias("word_ref"))
-    return by_lang.drop("n").unionByName(whole)
+    made = [mean_shares(7, "char_share").alias("char_ref"), mean_shares(13, "word_share").alias("word_ref"), F.count("*").alias("n_ref")]
+    by_lang = good.filter(F.col("lang").isNotNull()).groupBy("lang").agg(*made)
+    return by_lang.unionByName(good.agg(*made).select(F.lit(None).cast("string").alias("lang"), "char_ref", "word_ref", "n_ref"))
 
 
 def js_distance(p: str, q: str):
@@ -93,8 +97,9 @@ def js_distance(p: str, q: str):
     return F.expr(f"sqrt(greatest(0D, 0.5D * {part}))")
 
 
-def judge(docs: DataFrame) -> DataFrame:
-    """Add the counts, base_failed, char_distance, word_distance and kept to every document.
+def judge(docs: DataFrame, min_reference: int | None = None) -> DataFrame:
+    """Add the counts, base_failed, char_distance, word_distance and kept to every document. With `min_reference` a language
+    of fewer texts is compared with all texts, and no reference is drawn towards theirs: the contract of the query's SQL.
 
     The counts are written once with the documents, since the verdict needs the references of all of them first.
     """
@@ -102,12 +107,18 @@ def judge(docs: DataFrame) -> DataFrame:
     stats = materialize(with_stats(docs.withColumn("lang", F.col("lang").cast("string"))), "quality")
     refs = materialize(references(stats), "references")
     some = refs.filter(F.col("lang").isNotNull())
-    if some.count() <= 10_000:  # a row for each language that is not rare
+    if min_reference is not None:
+        some = some.filter(F.col("n_ref") >= min_reference)
+    if some.count() <= 10_000:  # a row for each language
         some = F.broadcast(some)
     whole = refs.filter(F.col("lang").isNull()).first()["char_ref"]  # the one row of all languages: seven shares, null without texts
     d = stats.join(some, "lang", "left")
-    d = d.withColumn("char_ref", F.coalesce("char_ref", F.array(*(F.lit(x).cast("double") for x in whole))))
-    d = d.withColumn("char_distance", js_distance("char_share", "char_ref")).withColumn("word_distance", js_distance("word_share", "word_ref"))
+    drawn = [(F.get("char_ref", F.lit(i)) * F.col("n_ref") + F.lit(x).cast("double") * PRIOR_TEXTS) / (F.col("n_ref") + PRIOR_TEXTS) for i, x in enumerate(whole)]
+    if min_reference is None:
+        d = d.withColumn("drawn_ref", F.when(F.col("n_ref").isNotNull(), F.array(*drawn)))
+    else:
+        d = d.withColumn("char_ref", F.coalesce("char_ref", F.array(*(F.lit(x).cast("double") for x in whole)))).withColumn("drawn_ref", F.col("char_ref"))
+    d = d.withColumn("char_distance", F.least(js_distance("char_share", "char_ref"), js_distance("char_share", "drawn_ref"))).withColumn("word_distance", js_distance("word_share", "word_ref"))
     verdict = F.expr(
         f"NOT base_failed AND NOT (word_chars >= {MIN_CHARS} AND coalesce(char_distance > {MAX_CHAR_DISTANCE}, false))"
         f" AND NOT (n_words >= {MIN_WORDS_FOR_WORDS} AND (coalesce(word_distance > {MAX_WORD_DISTANCE}, false)"
@@ -124,4 +135,4 @@ def keep_good(docs: DataFrame) -> DataFrame:
 
 def op3_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return judge(docs).select("doc_id", *STATS, "base_failed", "kept")
+    return judge(docs, MIN_REFERENCE).select("doc_id", *STATS, "base_failed", "kept")
