@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import html as htmllib
 import re
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -133,11 +134,9 @@ def vectors(page: list[tuple[tuple[str, ...], str, int]]) -> np.ndarray:
                     _slots[token] = at
             row[at[0]] += at[1] * (1.0 if depth >= len(path) - 3 else 0.7)
         words = text.split(" ")
-        step = max(1, len(words) // 24)  # evenly over the whole block
-        some = words[::step]
-        for w in some:
-            h = xxhash.xxh64_intdigest(w.lower(), 3)
-            row[PATH_DIM + (h >> 1) % WORD_DIM] += (1.0 if h & 1 else -1.0) / len(some)
+        for w, times in Counter(text.lower().split(" ")).items():
+            h = xxhash.xxh64_intdigest(w, 3)
+            row[PATH_DIM + (h >> 1) % WORD_DIM] += (1.0 if h & 1 else -1.0) * times / len(words)
         n = len(text)
         ends = text[-1] in ".!?…\"»”"
         row[-STATS:] = (
