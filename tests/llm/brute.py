@@ -24,6 +24,30 @@ def lm_base(docs):
     return [(len(ws), sum(count[w] > 0 for w in ws), n, sum(math.log10((count[w] + 1) / (n + v + 1)) for w in ws)) for ws in split]
 
 
+def lm_score(docs, mu):
+    """{doc_id: log10 probability} of (doc_id, held_out, text) rows: hierarchical Dirichlet smoothing over whole-corpus counts."""
+    split = {i: [*WORD.findall((t or "").translate(LOW)), "</s>"] for i, _, t in docs}
+    learn = [split[i] for i, h, _ in docs if not h]
+    one, two, three = Counter(w for ws in learn for w in ws), Counter(), Counter()
+    before2, before3 = Counter(), Counter()
+    for ws in learn:
+        for a, b, c in zip(["<s>", "<s>", *ws], ["<s>", *ws], ws):
+            two[b, c] += 1
+            three[a, b, c] += 1
+            before2[b] += 1
+            before3[a, b] += 1
+    n, v = sum(one.values()), len(one)
+    out = {}
+    for i, ws in split.items():
+        total = 0.0
+        for a, b, c in zip(["<s>", "<s>", *ws], ["<s>", *ws], ws):
+            p = (one[c] + 1) / (n + v + 1)
+            p = (two[b, c] + mu[2] * p) / (before2[b] + mu[2])
+            total += math.log10((three[a, b, c] + mu[3] * p) / (before3[a, b] + mu[3]))
+        out[i] = total
+    return out
+
+
 def quality_base(text):
     text = text or ""
     words = WORD.findall(text)

@@ -1,10 +1,11 @@
 """Held-out results of the trained models, and exactness of what they are made of."""
 
+import brute
 import numpy as np
 import pytest
 from fixed import SF
 
-from varzea.llm import html_extraction, lm_scoring, mixing
+from varzea.llm import html_extraction, lm_scoring, mixing, toxicity
 from varzea.llm import queries as llm
 from varzea.llm.elias_fano import EliasFano, Trie
 
@@ -25,25 +26,43 @@ def test_elias_fano_round_trip():
         assert e.find(ask).tolist() == want
 
 
-def test_trie_gives_discounted_trigrams(tmp_path):
+@pytest.mark.parametrize("order", [2, 3])
+def test_trie_gives_smoothed_probabilities(tmp_path, order):
     rng = np.random.default_rng(2)
-    grams, count = np.unique(rng.integers(0, 12, (3000, 3)), axis=0, return_counts=True)
-    keep = rng.random(len(grams)) < 0.6
-    seen, c = grams[keep], count[keep]
-    Trie.build(*seen.T, c).save(str(tmp_path / "t"))
-    a, b = Trie.load(str(tmp_path / "t")).weights(*grams.T)
-    d = Trie.DISCOUNT
-    for (w1, w2, w3), x, y in zip(grams.tolist(), a, b):
-        history = (seen[:, 0] == w1) & (seen[:, 1] == w2)
-        middle = seen[:, 1] == w2
-        pairs = {w: int(c[middle & (seen[:, 2] == w)].sum()) for w in np.unique(seen[middle, 2]).tolist()}
-        total = sum(pairs.values())
-        a2 = max(0, pairs.get(w3, 0) - d) / total if total else 0
-        b2 = d * len(pairs) / total if total else 1
-        n = int(c[history].sum())
-        a3 = max(0, int(c[history & (seen[:, 2] == w3)].sum()) - d) / n if n else 0
-        b3 = d * int(history.sum()) / n if n else 1
-        assert x == pytest.approx(a3 + b3 * a2, rel=0.05, abs=1e-6) and y == pytest.approx(b3 * b2, rel=0.05)
+    grams = np.unique(rng.integers(0, 12, (600, order)), axis=0)
+    count = np.where(rng.random(len(grams)) < 0.6, rng.integers(1, 9, len(grams)), 0)
+    names = np.unique(rng.integers(100, 10**12, 40))[:12]
+    history = [tuple(g[:-1]) for g in grams.tolist()]
+    totals = {h: int(sum(c for x, c in zip(history, count) if x == h)) + 3 * (h[0] % 2) for h in set(history)}  # successors elsewhere
+    total = np.array([totals[h] for h in history])
+    Trie.build(names, tuple(grams.T), count, total, 7.0).save(str(tmp_path / "t"))
+    trie = Trie.load(str(tmp_path / "t"))
+    number = trie.numbers(names)
+    a, b = trie.weights(tuple(number[g] for g in grams.T))
+    assert a == pytest.approx(count / (total + 7), rel=0.05, abs=1e-9) and b == pytest.approx(7 / (total + 7), rel=0.05)
+
+
+@pytest.mark.parametrize("entries", [lm_scoring.SHARD_ENTRIES, 300, 60])
+def test_scores_are_those_of_one_trigram_model(spark, entries):
+    """Whatever the number of shards, frequent words and histories spread over several of them or not."""
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(40)]
+    docs = [(i, i % 4 == 1, " ".join(words[min(39, int(x))] for x in rng.exponential(4, int(rng.integers(0, 60))))) for i in range(120)]
+    got = lm_scoring.score(spark.createDataFrame(docs, "doc_id long, held_out boolean, text string"), entries, 2000).collect()
+    want = brute.lm_score([(i, h, t) for i, h, t in docs], lm_scoring.MU)
+    assert len(got) == len(docs)
+    for r in got:
+        assert r["score"] == pytest.approx(want[r["doc_id"]], abs=0.008 * r["n_tokens"])
+
+
+def test_frequent_histories_are_spread(spark):
+    """Of two parts that share a history each gives the weights of the whole."""
+    t = lm_scoring.Tokens.__new__(lm_scoring.Tokens)
+    g = lm_scoring.Grams.__new__(lm_scoring.Grams)
+    g.names, g.totals = (np.full(1000, 7), np.arange(1000)), np.full(1000, 900)
+    assert len(g._cut(64, 1000).shard) > 32 and t is not None
+    g.totals = np.full(1000, 1)
+    assert len(g._cut(64, 1000).shard) == 1
 
 
 def test_frequent_continuations_score_higher(spark):
@@ -99,3 +118,22 @@ def test_mixing_meets_its_targets(spark):
     live = {k for k in mixing.DOMAINS if alone[k] >= mixing.MIN_MASS}
     want = {k: (mixing.TARGETS[k] if k in live else 0) / sum(mixing.TARGETS[x] for x in live) for k in mixing.DOMAINS}
     assert max(abs(mass[k] - want[k]) for k in mixing.DOMAINS) < 0.01
+
+
+def test_a_pair_of_neutral_terms_is_learned():
+    """Each of two terms is as frequent among harmless texts as among toxic ones; only both together are toxic. No sum of weights tells them apart."""
+    rng = np.random.default_rng(8)
+    rows, y = [], []
+    for _ in range(4000):
+        words = {int(x) for x in rng.integers(10, 400, 20)}
+        kind = rng.integers(0, 12)
+        words |= {0: {1, 2}, 1: {1}, 2: {2}, 3: {1}, 4: {2}}.get(int(kind), set())
+        rows.append(np.array(sorted(words), dtype=np.int64))
+        y.append(float(kind == 0))
+    y = np.array(y)
+    cut = 3000
+    pack = lambda part: (np.concatenate(part), np.array([len(r) for r in part], dtype=np.int64))
+    fm = toxicity.train(*pack(rows[:cut]), y[:cut])
+    assert {1, 2} <= set(fm.ids.tolist())
+    s = fm.score(*pack(rows[cut:]))
+    assert s[y[cut:] == 1].min() > 0.7 and s[y[cut:] == 0].max() < 0.3

@@ -47,14 +47,13 @@ def test_operators_beside_clashing_columns(spark, odd_dir, apply):
     from varzea.llm import html_extraction, language_id, mixing, quality_classifier, suffix_dedup, toxicity
 
     docs, labels, pages = (spark.read.parquet(f"{odd_dir}/{t}.parquet") for t in ("documents", "labels", "pages"))
-    rows = docs.join(labels, "doc_id")
     out = {
         "judge": lambda: judge(docs),
         "mix": lambda: mixing.mix(docs, labels),
         "remove_repeats": lambda: suffix_dedup.remove_repeats(docs),
         "predict": lambda: language_id.predict(docs, language_id.fit(docs)),
-        "toxicity": lambda: toxicity.score(docs, toxicity.fit(rows)),
-        "quality": lambda: quality_classifier.score(docs, quality_classifier.fit(rows)),
+        "toxicity": lambda: toxicity.score(docs, toxicity.fit(docs, labels)),
+        "quality": lambda: quality_classifier.score(docs, quality_classifier.fit(docs, labels)),
         "extract": lambda: html_extraction.extract(pages, html_extraction.fit(pages, composed=20)),
     }[apply]()
     assert len(set(out.columns)) == len(out.columns)

@@ -2,26 +2,61 @@
 
 from __future__ import annotations
 
+import atexit
+import struct
 import uuid
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute
 import pyarrow.ipc
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varzea.llm.common import new_path
+from varzea.llm.common import delete_path, new_path
 
 BLOCK_BYTES = 4_000_000
 
 
-def write_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int]:
-    """Group whole documents to blocks, a row each: (block, payload), payload being an Arrow stream. Returns the table and its bytes of text."""
+def arrow_payload(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+        w.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+@dataclass(frozen=True)
+class Blocks:
+    """A table (block, payload) in the catalog, and its bytes of text."""
+
+    table: DataFrame
+    name: str
+    path: str
+    size: int
+
+    def drop(self) -> None:
+        """Take the table out of the catalog and delete its files. Best effort: when the driver ends the JVM may be gone already."""
+        spark = self.table.sparkSession
+        try:
+            spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        except Exception:  # noqa: BLE001
+            return
+        delete_path(spark, self.path)
+
+
+def write_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES, payload=arrow_payload) -> Blocks:
+    """Group whole documents to blocks, a row each, `payload` making bytes of a batch of documents.
+
+    A block's number is a hash of its payload, so a repeated task gives the same blocks; equal blocks share it and get
+    equal answers. The table has a file for each shuffle partition, and rounds that are keyed by block shuffle only what
+    they exchange. It goes with `drop`, or when the driver ends.
+    """
     spark = docs.sparkSession
-    schema = "block long, n_bytes long, payload binary"
+    fields = pa.schema([("block", pa.int64()), ("n_bytes", pa.int64()), ("payload", pa.binary())])
 
     def run(batches):
         for batch in batches:
@@ -30,23 +65,20 @@ def write_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[DataF
             for i in range(len(sizes) + 1):
                 if i == len(sizes) or (total and total + sizes[i] > block_bytes):
                     if i > begin:
-                        part = batch.slice(begin, i - begin)
-                        sink = pa.BufferOutputStream()
-                        with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
-                            w.write_batch(part)
-                        yield pa.RecordBatch.from_pydict({"block": [uuid.uuid4().int >> 65], "n_bytes": [int(total)], "payload": [sink.getvalue().to_pybytes()]}, schema=pa.schema([("block", pa.int64()), ("n_bytes", pa.int64()), ("payload", pa.binary())]))
+                        made = payload(batch.slice(begin, i - begin))
+                        yield pa.RecordBatch.from_pydict({"block": [xxhash.xxh64_intdigest(made) >> 1], "n_bytes": [int(total)], "payload": [made]}, schema=fields)
                     begin, total = i, 0
                 if i < len(sizes):
                     total += sizes[i]
 
-    # The ids are random, so the table is written once and only ever read from then on.
-    path = new_path(spark, "blocks")
+    path, name = new_path(spark, "blocks"), f"varzea_blocks_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    name = f"varzea_blocks_{uuid.uuid4().hex}"
-    made = docs.mapInArrow(run, schema)
+    made = docs.mapInArrow(run, "block long, n_bytes long, payload binary").repartition(buckets, "block")
     made.write.option("path", path).option("compression", "uncompressed").bucketBy(buckets, "block").saveAsTable(name)
-    blocks = spark.table(name)
-    return blocks, blocks.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
+    table = spark.table(name)
+    blocks = Blocks(table, name, path, table.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0])
+    atexit.register(blocks.drop)
+    return blocks
 
 
 def read_block(payload: bytes) -> pa.Table:
@@ -71,6 +103,19 @@ def unpack_sorted(b: bytes, kind) -> np.ndarray:
     return np.cumsum(unpack(b, kind), dtype=kind)
 
 
+def join_parts(*parts: bytes) -> bytes:
+    return struct.pack(f"<{len(parts) + 1}q", len(parts), *map(len, parts)) + b"".join(parts)
+
+
+def split_parts(b: bytes) -> list[bytes]:
+    n = struct.unpack_from("<q", b)[0]
+    at, out = 8 * (n + 1), []
+    for size in struct.unpack_from(f"<{n}q", b, 8):
+        out.append(b[at : at + size])
+        at += size
+    return out
+
+
 def bits(a: np.ndarray) -> bytes:
     return np.packbits(a.astype(bool)).tobytes()
 

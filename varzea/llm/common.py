@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 
@@ -36,6 +37,13 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def release(spark: SparkSession, df: DataFrame) -> None:
+    """Delete the files of a materialised table that nothing reads any more."""
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if "/varzea-" in path:
+            delete_path(spark, path)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Best effort: at exit the JVM may be gone already."""
     try:
@@ -59,6 +67,11 @@ def crc_mod(col, n: int):
     return F.crc32(F.col(col).cast("string").cast("binary")) % F.lit(n)
 
 
+def held_by(col, n: int, rest: int):
+    """Whether the id falls in the held-out fold; a null id does not."""
+    return F.coalesce(crc_mod(col, n) == rest, F.lit(False))
+
+
 def bounded_sample(df: DataFrame, key: str, bound: int) -> DataFrame:
     """About `bound` rows, chosen by a hash of the key: the same rows whatever the partitioning."""
     n = df.count()
@@ -68,6 +81,15 @@ def bounded_sample(df: DataFrame, key: str, bound: int) -> DataFrame:
     return df.filter(F.pmod(F.xxhash64(F.col(key), F.lit(17)), F.lit(1_000_000)) < F.lit(cut))
 
 
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int) -> DataFrame:
+    """(doc_id, label, text) of about `bound` ids, chosen by a hash, that have a label of 0 or 1. The labels are sampled first, so
+    that no text is shuffled but those; an id with several labels has the largest, one with several texts the largest."""
+    named = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.max(label).cast("int").alias(label))
+    sample = bounded_sample(named, "doc_id", bound)
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # about `bound` rows of two numbers
+    return rows.groupBy("doc_id", label).agg(F.max(F.coalesce("text", F.lit(""))).alias("text"))
+
+
 #: white space of the contracts: \x20 and \x09-\x0D
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -79,6 +101,7 @@ PUNCT = np.array([b < 128 and not (chr(b).isalnum() or b == 39) for b in range(2
 _rng = np.random.default_rng(20240601)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MULT = np.uint64(0x9E3779B97F4A7C15)
+STRETCH = 2_000_000  # bytes that are hashed at once
 _POWERS = np.cumprod(np.full(4096, _MULT, dtype=np.uint64), dtype=np.uint64)
 
 
@@ -105,12 +128,26 @@ class Words:
         self.first = np.concatenate([[0], np.cumsum(self.per_text)])
 
     def hashes(self) -> np.ndarray:
-        if not len(self.start):
-            return np.zeros(0, dtype=np.uint64)
+        """Of each word; a stretch of about STRETCH bytes at a time, a longer word in parts."""
+        out = np.empty(len(self.start), dtype=np.uint64)
         length = self.end - self.start
-        at = np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
-        value = _BYTE[self.bytes[at + np.repeat(self.start, length)]] * _POWERS[at & 4095]
-        return mix(np.add.reduceat(value, np.cumsum(length) - length) + length.astype(np.uint64))
+        upto = np.cumsum(length)
+        i = 0
+        while i < len(length):
+            j = max(i + 1, int(np.searchsorted(upto, upto[i] - length[i] + STRETCH, side="right")))
+            size = length[i:j]
+            if size[0] > STRETCH:
+                total = np.zeros(1, dtype=np.uint64)
+                for a in range(0, int(size[0]), STRETCH):
+                    b = self.bytes[self.start[i] + a : min(self.start[i] + a + STRETCH, self.end[i])]
+                    total += (_BYTE[b] * _POWERS[np.arange(a, a + len(b)) & 4095]).sum(dtype=np.uint64)
+            else:
+                begin = np.cumsum(size) - size
+                at = np.arange(int(size.sum())) - np.repeat(begin, size)
+                total = np.add.reduceat(_BYTE[self.bytes[at + np.repeat(self.start[i:j], size)]] * _POWERS[at & 4095], begin)
+            out[i:j] = mix(total + size.astype(np.uint64))
+            i = j
+        return out
 
 
 def chunks(texts, budget: int = 2_000_000):
@@ -130,14 +167,27 @@ def utf8(column) -> list[bytes]:
     return [b"" if t is None else t.encode("utf-8") for t in column.to_pylist()]
 
 
+_BLANK = re.compile(rb"[\x09-\x0D ]")
+
+
+def blank_near(text: bytes, begin: int, stop: int) -> int:
+    """The last white space byte in (begin, stop), else the first one from stop on, else the end of the text."""
+    last = max(text.rfind(bytes([b]), begin + 1, stop) for b in np.flatnonzero(SPACE).tolist())
+    if last > begin:
+        return last
+    m = _BLANK.search(text, stop)
+    return m.start() if m else len(text)
+
+
 def pieces(texts: list[bytes], limit: int = 1_000_000) -> tuple[list[bytes], np.ndarray]:
-    """Cut texts at white space into parts of about `limit` bytes, so that arrays stay small; and each part's text."""
+    """Cut texts at white space into parts of about `limit` bytes, so that arrays stay small; and each part's text. A longer word stays whole."""
     parts, owner = [], []
     for i, t in enumerate(texts):
         begin = 0
         while len(t) - begin > limit:
-            cut = max(t.rfind(b" ", begin, begin + limit), t.rfind(b"\n", begin, begin + limit))
-            cut = cut if cut > begin else begin + limit
+            cut = blank_near(t, begin, begin + limit)
+            if cut == len(t):
+                break
             parts.append(t[begin:cut])
             owner.append(i)
             begin = cut

@@ -20,11 +20,14 @@ class EliasFano:
         v = values.astype(np.uint64)
         n, top = len(v), int(v[-1]) + 1 if len(v) else 1
         low_bits = max(0, (top // max(n, 1)).bit_length() - 1)
-        planes = ((v[:, None] >> np.arange(low_bits, dtype=np.uint64)) & np.uint64(1)).astype(np.uint8) if low_bits else np.zeros((n, 0), np.uint8)
+        low = []
+        for at in range(0, n if low_bits else 0, 16 * SEGMENT):  # whole bytes at a time, since a segment is a multiple of eight
+            planes = (v[at : at + 16 * SEGMENT, None] >> np.arange(low_bits, dtype=np.uint64)).astype(np.uint8) & np.uint8(1)
+            low.append(np.packbits(planes.reshape(-1), bitorder="little"))
         place = (v >> np.uint64(low_bits)).astype(np.int64) + np.arange(n)
         high = np.zeros(int(place[-1]) + 1 if n else 0, dtype=np.uint8)
         high[place] = 1
-        return cls(n, low_bits, np.packbits(planes.reshape(-1), bitorder="little"), np.packbits(high, bitorder="little"), place[::SEGMENT].astype(np.int64), v[::SEGMENT])
+        return cls(n, low_bits, np.concatenate([*low, np.zeros(0, np.uint8)]), np.packbits(high, bitorder="little"), place[::SEGMENT].astype(np.int64), v[::SEGMENT])
 
     def segment(self, k: int) -> np.ndarray:
         """Elements k*SEGMENT up to the next skip pointer."""
@@ -84,49 +87,59 @@ def quantise(p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Trie:
-    """Trigrams below the words before them: vocabulary, contexts w2 with their successors w3, contexts (w2, w1) with
-    the successors' places among those of w2 (context-relative numbers), smoothed probabilities and backoff weights as codes.
+    """N-grams below the words before them, of order 2 or 3, each level an Elias-Fano sequence in one mapped file.
 
-    p(w3 | w1 w2) = a3 + b3 (a2 + b2 p(w3)): absolute discounting, interpolated down to the unigram probability, which
-    the caller knows. Levels that a history does not reach have a = 0, b = 1.
+    `vocabulary` numbers the names; `words2` holds the words w2 that precede, `start2` the monotone pointers to each
+    one's successors and `next2` the successors w3. Order 3 adds the histories (w2, w1) in `words3` and, in `next3`, their
+    successors as places among those of w2 (context-relative numbers). The last level carries the smoothed probability
+    a = count / (total + mu) of each n-gram and the weight b = mu / (total + mu) of each history, as codes of one byte.
+    A history that is known here without a successor has its weight; any other has a = 0 and b = 1.
     """
 
-    DISCOUNT = 0.75
-    SEQUENCES = ("vocabulary", "words2", "start2", "next2", "words3", "next3")
-
-    def __init__(self, parts: dict, sizes: dict):
-        self.parts, self.sizes = parts, sizes
+    def __init__(self, order: int, parts: dict, sizes: dict):
+        self.order, self.parts, self.sizes = order, parts, sizes
+        self.sequences = ("vocabulary", "words2", "start2", "next2", "words3", "next3")[: 4 if order == 2 else 6]
 
     @classmethod
-    def build(cls, w1: np.ndarray, w2: np.ndarray, w3: np.ndarray, count: np.ndarray) -> Trie:
-        """From distinct trigrams of word numbers, in any order, with their counts (all positive)."""
-        vocabulary, local = np.unique(np.concatenate([w1, w2, w3]), return_inverse=True)
-        a, b, c = np.split(local.astype(np.int64), 3)
-        n_words = max(1, len(vocabulary))
-        by = np.lexsort((c, a, b))
-        a, b, c, count = a[by], b[by], c[by], count[by].astype(float)
-        words2, of2 = np.unique(b, return_inverse=True)
-        pair, of_pair = np.unique(of2 * n_words + c, return_inverse=True)  # (w2, w3)
-        pair_count = np.bincount(of_pair, weights=count, minlength=len(pair))
-        pair_of2 = pair // n_words
-        total2, types2 = np.bincount(pair_of2, weights=pair_count, minlength=len(words2)), np.bincount(pair_of2, minlength=len(words2))
-        start2 = np.searchsorted(pair_of2, np.arange(len(words2) + 1))
-        history, of3 = np.unique(of2 * n_words + a, return_inverse=True)  # (w2, w1)
-        total3, types3 = np.bincount(of3, weights=count, minlength=len(history)), np.bincount(of3, minlength=len(history))
-        place = of_pair - start2[of2]
-        width = int(types2.max(initial=0)) + 1
-        parts = {k: EliasFano.encode(v) for k, v in (("vocabulary", vocabulary), ("words2", words2), ("start2", start2), ("next2", pair), ("words3", history), ("next3", of3 * width + place))}
-        d = cls.DISCOUNT
-        for name, p in (("a2", (pair_count - d).clip(0) / total2[pair_of2]), ("b2", d * types2 / total2), ("a3", (count - d).clip(0) / total3[of3]), ("b3", d * types3 / total3)):
-            parts[name] = quantise(p)
-        return cls(parts, {"words": n_words, "width": width})
+    def build(cls, names: np.ndarray, grams: tuple[np.ndarray, ...], count: np.ndarray, total: np.ndarray, mu: float) -> Trie:
+        """From distinct n-grams (w2, w3) or (w2, w1, w3) in ascending order, as places in the sorted `names`. `total` is
+        how often each one's history occurs, wherever its successors may be; n-grams may have the count 0."""
+        order = len(grams)
+        context = total > 0
+        known = count > 0
+        used = np.zeros(len(names), dtype=bool)
+        for g in grams[:-1]:
+            used[g[context]] = True
+        used[grams[-1][known]] = True
+        place = np.cumsum(used) - 1  # of a name in the vocabulary
+        n_words = max(1, int(used.sum()))
+        b, c = place[grams[0]], place[grams[-1]]
+        words2 = np.unique(b[context])
+        i = np.searchsorted(words2, b[known])
+        pair = np.unique(i * n_words + c[known])
+        start2 = np.searchsorted(pair, np.arange(len(words2) + 1) * n_words)
+        parts = {"vocabulary": names[used], "words2": words2, "start2": start2, "next2": pair}
+        sizes = {"words": n_words, "width": 1}
+        if order == 2:
+            _, first = np.unique(b[context], return_index=True)
+        else:
+            a = place[grams[1]]
+            history, first = np.unique(np.searchsorted(words2, b[context]) * n_words + a[context], return_index=True)
+            j = np.searchsorted(history, i * n_words + a[known])
+            at = np.searchsorted(pair, i * n_words + c[known]) - start2[i]
+            sizes["width"] = int(np.diff(start2).max(initial=0)) + 1
+            parts |= {"words3": history, "next3": j * sizes["width"] + at}
+        parts = {k: EliasFano.encode(v) for k, v in parts.items()}
+        parts["a"] = quantise(count[known] / (total[known] + mu))
+        parts["b"] = quantise(mu / (total[context][first] + mu))
+        return cls(order, parts, sizes)
 
     def arrays(self) -> dict[str, np.ndarray]:
         out = {}
-        for name in self.SEQUENCES:
+        for name in self.sequences:
             e = self.parts[name]
             out |= {f"{name}.low": e.low, f"{name}.high": e.high, f"{name}.bit": e.skip_bit, f"{name}.value": e.skip_value, f"{name}.n": np.array([e.n, e.low_bits])}
-        for name in ("a2", "b2", "a3", "b3"):
+        for name in "ab":
             out |= {f"{name}.code": self.parts[name][0], f"{name}.book": self.parts[name][1]}
         return out
 
@@ -136,7 +149,7 @@ class Trie:
         for k, v in arrays.items():
             where[k] = [at, len(v), v.dtype.str]
             at += -(-v.nbytes // 8) * 8
-        head = json.dumps({"sizes": self.sizes, "where": where}).encode()
+        head = json.dumps({"order": self.order, "sizes": self.sizes, "where": where}).encode()
         head += b" " * (-(len(head) + 1) % 8) + b"\n"
         with open(path, "wb") as f:
             f.write(head)
@@ -150,12 +163,17 @@ class Trie:
             head = f.readline()
         info, data = json.loads(head), np.memmap(path, dtype=np.uint8, mode="r", offset=0)
         get = lambda k: data[len(head) + info["where"][k][0] :][: info["where"][k][1] * np.dtype(info["where"][k][2]).itemsize].view(info["where"][k][2])
-        parts = {k: EliasFano(*(int(x) for x in get(f"{k}.n")), get(f"{k}.low"), get(f"{k}.high"), get(f"{k}.bit"), get(f"{k}.value")) for k in cls.SEQUENCES}
-        parts |= {k: (get(f"{k}.code"), np.array(get(f"{k}.book"))) for k in ("a2", "b2", "a3", "b3")}
-        return cls(parts, info["sizes"])
+        out = cls(info["order"], {}, info["sizes"])
+        out.parts = {k: EliasFano(*(int(x) for x in get(f"{k}.n")), get(f"{k}.low"), get(f"{k}.high"), get(f"{k}.bit"), get(f"{k}.value")) for k in out.sequences}
+        out.parts |= {k: (get(f"{k}.code"), np.array(get(f"{k}.book"))) for k in "ab"}
+        return out
+
+    def numbers(self, names: np.ndarray) -> np.ndarray:
+        """Places of ascending names in the vocabulary, -1 for unknown ones."""
+        return self.parts["vocabulary"].find(names.astype(np.uint64))
 
-    def weights(self, w1: np.ndarray, w2: np.ndarray, w3: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(a, b) with p = a + b * p(w3), for any trigrams."""
+    def weights(self, grams: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
+        """(a, b) of any n-grams (w2, w3) or (w2, w1, w3) of vocabulary numbers, with p = a + b * p of the shorter history."""
         p, n_words, width = self.parts, self.sizes["words"], self.sizes["width"]
 
         def lookup(sequence: EliasFano, value: np.ndarray, ok: np.ndarray) -> np.ndarray:
@@ -171,17 +189,14 @@ class Trie:
             out[some] = book[np.asarray(codes)[at[some]]]
             return out
 
-        every = np.ones(len(w1), dtype=bool)
-        x1, x2, x3 = (lookup(p["vocabulary"], w, every) for w in (w1, w2, w3))
+        x2, x3 = grams[0], grams[-1]
         i = lookup(p["words2"], x2, x2 >= 0)
         pair = lookup(p["next2"], i * n_words + x3, (i >= 0) & (x3 >= 0))
-        j = lookup(p["words3"], i * n_words + x1, (i >= 0) & (x1 >= 0))
+        if self.order == 2:
+            return code("a", pair, 0.0), code("b", i, 1.0)
+        j = lookup(p["words3"], i * n_words + grams[1], (i >= 0) & (grams[1] >= 0))
         both = (pair >= 0) & (j >= 0)
         distinct, inverse = np.unique(i[both], return_inverse=True)
-        place = pair[both] - p["start2"].at(distinct)[inverse].astype(np.int64)
-        value = np.zeros(len(w1), dtype=np.int64)
-        value[both] = j[both] * width + place
-        triple = lookup(p["next3"], value, both)
-        a2, b2 = code("a2", pair, 0.0), code("b2", i, 1.0)
-        a3, b3 = code("a3", triple, 0.0), code("b3", j, 1.0)
-        return a3 + b3 * a2, b3 * b2
+        value = np.zeros(len(x2), dtype=np.int64)
+        value[both] = j[both] * width + pair[both] - p["start2"].at(distinct)[inverse].astype(np.int64)
+        return code("a", lookup(p["next3"], value, both), 0.0), code("b", j, 1.0)

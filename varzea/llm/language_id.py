@@ -2,13 +2,13 @@
 
 A text is the average of the embeddings of its hashed byte n-grams (orders 2 to 4 of the lower-cased text, white space
 as one blank); a linear layer and a softmax follow. The model is trained in numpy by stochastic gradient descent on a
-bounded sample of labelled texts (`max_train` rows, chosen by a hash of doc_id, labelled texts of every language); part
+bounded sample of labelled texts (`max_train` rows, the same number of every language where it has them); part
 of that sample is held back to fit the temperature and the rejection threshold. Since both layers are linear, a task
 multiplies n-gram histograms with one buckets x languages table.
 
 Defined cases: null or letterless text is `und` with score 0 and is rejected; a text with letters gets a learned
 language however short; without any labelled row every prediction is `und`; repeated rows are predicted alike; lang,
-source and doc_id are no inputs.
+source and doc_id are no inputs; a row without doc_id is not held out.
 """
 
 from __future__ import annotations
@@ -18,12 +18,14 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from varzea.llm.common import LOWER, SPACE, bounded_sample, chunks, crc_mod, fields_of, hide, show, table
+from varzea.llm.common import LOWER, SPACE, chunks, fields_of, held_by, hide, show, table
 
 BUCKETS, DIM, ORDERS = 8192, 16, (2, 3, 4)
-MAX_TRAIN, EPOCHS, BATCH, RATE = 3000, 20, 64, 0.5
+MAX_TRAIN, MIN_TRAIN, EPOCHS, BATCH, RATE = 3000, 50, 20, 64, 0.5
+STRETCH = 4_000_000  # bytes whose n-grams are counted at once
 UND = "und"
 
 
@@ -31,18 +33,17 @@ def histograms(texts: list[bytes]) -> np.ndarray:
     """Relative frequencies of hashed n-grams, a row for each text. Runs of white space count as one blank."""
     out = np.zeros((len(texts), BUCKETS), dtype=np.float32)
     for row, text in enumerate(texts):
-        for begin in range(0, len(text), 4_000_000):  # bounds the arrays; n-grams across a cut are counted with it
-            a = np.frombuffer(text[max(0, begin - 3) : begin + 4_000_000].translate(LOWER), dtype=np.uint8)
-            blank = SPACE[a]
-            a = np.where(blank, np.uint8(32), a)[~(blank & np.concatenate([[False], blank[:-1]]))]
-            a = np.concatenate([[32], a, [32]]).astype(np.uint32)
-            h = a
-            for n in range(2, max(ORDERS) + 1):
-                if len(a) < n:
-                    break
-                h = h[:-1] * np.uint32(16777619) ^ a[n - 1 :]
+        a = np.frombuffer(text.translate(LOWER), dtype=np.uint8)
+        blank = SPACE[a]
+        a = np.where(blank, np.uint8(32), a)[~(blank & np.concatenate([[False], blank[:-1]]))]
+        a = np.concatenate([[32], a, [32]]).astype(np.uint8)
+        for begin in range(0, len(a), STRETCH):  # n-grams that start in this stretch
+            part = a[begin : begin + STRETCH + max(ORDERS) - 1].astype(np.uint32)
+            h = part
+            for n in range(2, min(max(ORDERS), len(part)) + 1):
+                h = h[:-1] * np.uint32(16777619) ^ part[n - 1 :]
                 if n in ORDERS:
-                    g = h * np.uint32(2654435769) + np.uint32(n * 40503)
+                    g = h[:STRETCH] * np.uint32(2654435769) + np.uint32(n * 40503)
                     out[row] += np.bincount(g >> np.uint32(19), minlength=BUCKETS)
     return out / np.maximum(out.sum(axis=1, keepdims=True), 1)
 
@@ -98,15 +99,19 @@ def train(x: np.ndarray, y: np.ndarray, labels: list[str], epochs: int = EPOCHS,
 
 
 def fit(labelled: DataFrame, key: str = "doc_id", max_train: int = MAX_TRAIN) -> LanguageModel:
-    """Learn from rows with text and lang, at most about `max_train` of them."""
-    sample = bounded_sample(labelled.filter("text IS NOT NULL AND lang IS NOT NULL"), key, max_train)
+    """Learn from rows with text and lang, of each language at most about its part of `max_train` (MIN_TRAIN rows at least), chosen by a hash of the key."""
+    known = labelled.filter("text IS NOT NULL AND lang IS NOT NULL").select(F.col(key).cast("long").alias("key"), "text", F.col("lang").cast("string").alias("lang"))
+    counts = known.groupBy("lang").agg(F.count("*").alias("n"))  # a row for each language
+    counts = counts.withColumn("part", F.greatest(F.lit(max_train) / F.count("*").over(W.partitionBy()), F.lit(MIN_TRAIN)))
+    draw = F.pmod(F.xxhash64("key", "text", F.lit(17)), F.lit(1_000_000)) / 1_000_000
+    sample = known.join(counts, "lang").filter(draw * F.col("n") < F.col("part"))
 
     def features(batches):
         for pdf in batches:
             h = histograms([t.encode() for t in pdf["text"]])
-            yield pd.DataFrame({"key": pdf[key], "lang": pdf["lang"], "h": [r.astype(np.float16).tobytes() for r in h]})
+            yield pd.DataFrame({"key": pdf["key"], "lang": pdf["lang"], "h": [r.astype(np.float16).tobytes() for r in h]})
 
-    rows = sample.select(key, "text", "lang").mapInPandas(features, "key long, lang string, h binary").toPandas().sort_values("key")
+    rows = sample.select("key", "text", "lang").mapInPandas(features, "key long, lang string, h binary").toPandas().sort_values(["lang", "key", "h"])
     labels = sorted(rows["lang"].unique())
     if not labels:
         return LanguageModel([UND], np.zeros((BUCKETS, 1), np.float32), np.zeros(1, np.float32), 1.0, 1.0)
@@ -145,6 +150,6 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFr
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    held = crc_mod("doc_id", 5) == 0
+    held = held_by("doc_id", 5, 0)
     model = fit(docs.filter(~held).select("doc_id", "text", "lang"))
     return predict(docs.select("doc_id", held.alias("held_out"), "text"), model)

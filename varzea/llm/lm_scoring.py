@@ -1,18 +1,24 @@
 """Operator 1: language-model scoring with an Elias-Fano n-gram trie.
 
-A trigram model with absolute discounting, interpolated down to add-one unigram probabilities. It is never in one place:
-
-1. Blocks of documents send their distinct words with training counts, hashed to shards; the counts and word numbers
-   (small for frequent words) come back. N and V are sums over the shards.
-2. Blocks send their distinct trigrams with training counts, sharded by the middle word; a frequent middle word is split
-   by the word before it, so that no word makes a large shard. A shard builds its trie (see elias_fano.py), saves it,
-   maps it and answers the weights (a, b) of every trigram sent, p = a + b * p(w3).
-3. Blocks sum the logarithms of each document's tokens.
-
-A block sends each word and trigram once, however often it occurs. Codes have 16 bits, 500 to a decade.
+A trigram model of hierarchical Dirichlet smoothing: with a = c(h w) / (c(h) + mu) and b = mu / (c(h) + mu) of each history h,
+p(w3 | w1 w2) = a3 + b3 (a2 + b2 p(w3)), and p(w3) = (c + 1) / (N + V + 1). Everything is a count over all training
+tokens, so the score of a text does not depend on how the work is split. The model is never in one place:
+
+1. Documents become blocks of token numbers, tokenised once. Blocks send their distinct words with training counts,
+   hashed to shards; the counts and word numbers (small for frequent words) come back. N and V are sums over the shards.
+2. Blocks send their distinct pairs (w2, w3), sharded by w2; the pairs of a frequent w2 are spread over several shards by
+   w3. A shard builds the trie of its pairs (see elias_fano.py), saves and maps it, and answers each pair's a and b as
+   well as its count. That count is the history's total in the next round.
+3. The same for trigrams (w2, w1, w3), sharded by (w2, w1); a frequent history is spread over several shards by w3.
+4. Blocks sum the logarithms of each document's tokens.
+
+A history's total comes from the round before, so shards that share a history need nothing of each other. A block sends
+each word and n-gram once, however often it occurs. A shard has about SHARD_ENTRIES entries. Codes have 16 bits on the
+way, 500 to a decade, and 8 bits in the trie.
 
 Defined cases: a null or empty text is its end token alone; rows with a null id count by the text form of null (they are
-held out: crc32 is null); without training tokens the base is log10(1/1) = 0 and so is the score; repeated rows score alike.
+held out: crc32 is null); without training tokens the base is log10(1/1) = 0 and so is the score; repeated rows score
+alike; columns but doc_id, held_out and text are left out of the result.
 """
 
 from __future__ import annotations
@@ -23,83 +29,144 @@ import tempfile
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varzea.llm.blocks import frame, pack, pack_sorted, read_block, unpack, unpack_sorted, write_blocks
-from varzea.llm.common import LOWER, Words, chunks, crc_mod, materialize, mix, pieces, table
+from varzea.llm.blocks import arrow_payload, frame, join_parts, pack, pack_sorted, read_block, split_parts, unpack, unpack_sorted, write_blocks
+from varzea.llm.common import LOWER, Words, chunks, crc_mod, materialize, mix, pieces, release, table
 from varzea.llm.elias_fano import Trie
 
-BLOCK_BYTES, SHARD_TOKENS = 8_000_000, 3_000_000
+BLOCK_BYTES, SHARD_ENTRIES, SLICE = 8_000_000, 1_500_000, 1 << 18
+MU = {2: 2000.0, 3: 4.0}  # chosen by held-out probability
 END, BEGIN = np.uint64(1), np.uint64(2)  # names of the two marks; words have hashes
-SENT = "shard int, block long, a binary, b binary, c binary, d binary, n long"
-ANSWER = "round int, shard int, block long, a binary, b binary, n_types long, n_tokens long"
+SENT = "shard int, block long, n long, a binary, b binary, c binary, d binary, e binary"
+ANSWER = "round int, shard int, block long, a binary, b binary, c binary, n_types long, n_tokens long"
+
+
+def tokenise(batch: pa.RecordBatch) -> bytes:
+    """A block: doc_id and held_out of its documents, tokens of each, sorted hashes of the distinct tokens, and the token numbers."""
+    texts = [b"" if t is None else t.encode().translate(LOWER) for t in batch.column("text").to_pylist()]
+    parts, owner = pieces(texts)
+    hashes, per_part = [], []
+    for s in chunks(parts):
+        w = Words(parts[s])
+        hashes.append(w.hashes())
+        per_part.append(w.per_text)
+    words = np.bincount(owner, weights=np.concatenate(per_part), minlength=len(texts)).astype(np.int64)
+    size = words + 1
+    token = np.full(int(size.sum()), END, dtype=np.uint64)
+    is_word = np.ones(len(token), dtype=bool)
+    is_word[np.cumsum(size) - 1] = False
+    token[is_word] = np.concatenate(hashes)
+    distinct, local = np.unique(np.append(token, BEGIN), return_inverse=True)
+    kind = np.uint32 if len(distinct) < 1 << 32 else np.int64
+    return join_parts(arrow_payload(batch.select(["doc_id", "held_out"])), pack(size), pack_sorted(distinct), pack(local[:-1].astype(kind)), bytes([kind is np.uint32]))
 
 
 class Tokens:
-    """A block's token stream: for each text its words' hashes and the end mark; `local` numbers the block's distinct tokens."""
+    """A block's token stream: for each text its tokens' numbers, and how often training texts have each of the distinct tokens.
+    The begin mark counts once for each training text."""
 
     def __init__(self, payload: bytes):
-        self.batch = read_block(payload)
-        texts = [b"" if t is None else t.encode().translate(LOWER) for t in self.batch.column("text").to_pylist()]
+        rows, size, distinct, local, narrow = split_parts(payload)
+        self.batch = read_block(rows)
         self.learn = np.array([not h for h in self.batch.column("held_out").to_pylist()], dtype=bool)
-        parts, owner = pieces(texts)
-        hashes, per_part = [], []
-        for s in chunks(parts):
-            w = Words(parts[s])
-            hashes.append(w.hashes())
-            per_part.append(w.per_text)
-        words = np.bincount(owner, weights=np.concatenate(per_part), minlength=len(texts)).astype(np.int64)
-        self.size = words + 1
-        self.end = np.cumsum(self.size) - 1
-        token = np.full(int(self.size.sum()), END, dtype=np.uint64)
-        is_word = np.ones(len(token), dtype=bool)
-        is_word[self.end] = False
-        token[is_word] = np.concatenate(hashes)
-        self.distinct, local = np.unique(np.append(token, BEGIN), return_inverse=True)
-        self.token, self.begin = local[:-1], local[-1]
-        self.doc = np.repeat(np.arange(len(texts)), self.size)
-        self.learned = np.bincount(self.token[self.learn[self.doc]], minlength=len(self.distinct))
-
-    def by_shard(self, shards: int) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct tokens ordered by shard and hash, and where each shard's begin."""
-        shard = (mix(self.distinct) % np.uint64(shards)).astype(np.int64)
-        order = np.lexsort((self.distinct, shard))
-        return order, np.searchsorted(shard[order], np.arange(shards + 1))
-
-
-class Trigrams:
-    """A block's distinct trigrams by shard, and the number of each token's trigram."""
-
-    def __init__(self, t: Tokens, shards: int, answers: dict, total: int):
-        order, first = t.by_shard(shards)
-        count, number = np.zeros(len(t.distinct), dtype=np.int64), np.zeros(len(t.distinct), dtype=np.int64)
-        for k, (a, b) in answers.items():
-            s = order[first[k] : first[k + 1]]
-            count[s], number[s] = unpack(a, np.int64), unpack(b, np.int64)
-        self.count = count
-        by = np.argsort(number)
-        rank = np.empty(len(by), dtype=np.int64)
-        rank[by] = np.arange(len(by))
+        self.size, self.distinct = unpack(size, np.int64), unpack_sorted(distinct, np.uint64)
+        self.token = unpack(local, np.uint32 if narrow[0] else np.int64).astype(np.int64)
+        self.begin = int(np.searchsorted(self.distinct, BEGIN))
+        self.start = np.cumsum(self.size) - self.size
+        self.doc = np.repeat(np.arange(len(self.size)), self.size)
+        self.learned = self.learn[self.doc]
+        self.count = np.bincount(self.token[self.learned], minlength=len(self.distinct))
+        self.count[self.begin] = self.learn.sum()
+
+    def by_shard(self, shards: int) -> Cut:
+        return Cut((mix(self.distinct) % np.uint64(shards)).astype(np.int64), self.distinct)
+
+
+class Cut:
+    """Entries ordered by shard, and in a shard by `value` or as they were."""
+
+    def __init__(self, shard: np.ndarray, value: np.ndarray | None = None):
+        self.order = np.argsort(shard, kind="stable") if value is None else np.lexsort((value, shard))
+        ordered = shard[self.order]
+        self.begin = np.flatnonzero(np.diff(ordered, prepend=-1))
+        self.end = np.append(self.begin[1:], len(ordered))
+        self.shard = ordered[self.begin]
+        self.at = {s: i for i, s in enumerate(self.shard.tolist())}
+
+    def __iter__(self):
+        """(shard, positions of its entries), of shards with entries only."""
+        for s, b, e in zip(self.shard.tolist(), self.begin, self.end):
+            yield s, self.order[b:e]
+
+    def __getitem__(self, shard: int) -> np.ndarray:
+        i = self.at[shard]
+        return self.order[self.begin[i] : self.end[i]]
+
+    def spread(self, answers: dict[int, tuple], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The a, b and count of each of n entries from the shards' answers."""
+        x, y, seen = np.zeros(n), np.ones(n), np.zeros(n, dtype=np.int64)
+        for k, (a, b, c) in answers.items():
+            s = self[k]
+            x[s], y[s] = from_code(unpack(a, np.uint16)), from_code(unpack(b, np.uint16))
+            if c:
+                seen[s] = unpack(c, np.int64)
+        return x, y, seen
+
+
+def numbered(first: np.ndarray, second: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs in ascending order, and each row's pair; `second` < n."""
+    if len(first) and (int(first.max()) + 1) * n >= 1 << 63:
+        raise OverflowError("a block has too many distinct tokens for pairs of 63 bits")
+    key, of = np.unique(first * n + second, return_inverse=True)
+    return key // n, key % n, of
+
+
+class Grams:
+    """A block's distinct n-grams as the shards want them: names in ascending order, (w2, w3) or (w2, w1, w3), their counts in
+    training texts, the totals of their histories, and the n-gram of each token."""
+
+    def __init__(self, t: Tokens, shards: int, answers: dict[int, dict], total: int, order: int):
+        n = len(t.distinct)
+        self.word_count, name = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
+        cut = t.by_shard(shards)
+        for k, (a, b, _) in answers[1].items():
+            self.word_count[cut[k]], name[cut[k]] = unpack(a, np.int64), unpack(b, np.int64)
+        by = np.argsort(name)
+        rank = np.empty(n, dtype=np.int64)
+        rank[by] = np.arange(n)
+        name, count, begin = name[by], self.word_count[by], rank[t.begin]
         w3 = rank[t.token]
-        w2, w1 = np.roll(w3, 1), np.roll(w3, 2)
-        starts = np.append(0, t.end[:-1] + 1)
-        w2[starts] = w1[starts] = rank[t.begin]
-        second = (starts + 1)[t.size > 1]
-        w1[second] = rank[t.begin]
-        width = max(1, int(len(by)).bit_length())  # a block has fewer than 2^21 distinct words
-        key, self.of_token = np.unique((w2 << 2 * width) | (w1 << width) | w3, return_inverse=True)
-        self.learned = np.bincount(self.of_token[t.learn[t.doc]], minlength=len(key))
-        mask = (1 << width) - 1
-        named = number[by]
-        w2 = key >> 2 * width
-        self.w1, self.w2, self.w3 = named[(key >> width) & mask], named[w2], named[key & mask]
-        # frequent middle words are split so that a part has about half a shard's tokens at most
-        split = 1 + count[by][w2] * 2 * shards // max(total, 1)
-        part = mix(self.w1.astype(np.uint64)) % split.astype(np.uint64)
-        shard = (mix(self.w2.astype(np.uint64) * np.uint64(2654435761) + part) % np.uint64(shards)).astype(np.int64)
-        self.order = np.argsort(shard, kind="stable")
-        self.first = np.searchsorted(shard[self.order], np.arange(shards + 1))
+        w2 = np.roll(w3, 1)
+        w2[t.start] = begin
+        b, c, self.of_token = numbered(w2, w3, n)
+        self.names, self.totals = (name[b], name[c]), count[b]
+        if order == 3:
+            self.lower = self._cut(shards, total).spread(answers[2], len(b))
+            seen = self.lower[2]
+            w1 = np.roll(w2, 1)
+            w1[t.start] = begin
+            here = np.roll(seen[self.of_token], 1)  # how often the pair before each token occurs
+            here[t.start] = count[begin]
+            self.lower = self.lower[0][self.of_token], self.lower[1][self.of_token]
+            b, a, of_history = numbered(w2, w1, n)
+            totals = np.empty(len(b), dtype=np.int64)
+            totals[of_history] = here
+            h, c, self.of_token = numbered(of_history, w3, n)
+            self.names, self.totals = (name[b[h]], name[a[h]], name[c]), totals[h]
+        self.count = np.bincount(self.of_token[t.learned], minlength=len(self.totals))
+        self.cut = self._cut(shards, total)
+
+    def _cut(self, shards: int, total: int) -> Cut:
+        """By the history; one of more than half a shard's tokens is spread over several shards by the last word."""
+        h = np.zeros(len(self.totals), dtype=np.uint64)
+        for x in self.names[:-1]:
+            h = mix(h * np.uint64(31) + x.astype(np.uint64))
+        split = (1 + self.totals * (2 * shards / max(total, 1))).astype(np.uint64)
+        part = mix(self.names[-1].astype(np.uint64)) % split
+        return Cut((mix(h + part) % np.uint64(shards)).astype(np.int64))
 
 
 def send_words(shards: int):
@@ -107,13 +174,8 @@ def send_words(shards: int):
         for pdf in batches:
             for block, payload in zip(pdf["block"], pdf["payload"]):
                 t = Tokens(payload)
-                order, first = t.by_shard(shards)
-                rows = []
-                for k in range(shards):
-                    s = order[first[k] : first[k + 1]]
-                    if len(s):
-                        rows.append((k, block, pack_sorted(t.distinct[s]), pack(t.learned[s].astype(np.int64)), b"", b"", len(s)))
-                yield frame(["shard", "block", "a", "b", "c", "d", "n"], rows)
+                rows = [(k, block, len(s), pack_sorted(t.distinct[s]), b"", b"", pack(t.count[s]), b"") for k, s in t.by_shard(shards)]
+                yield frame(["shard", "block", "n", "a", "b", "c", "d", "e"], rows)
 
     return run
 
@@ -121,45 +183,53 @@ def send_words(shards: int):
 def count_words(shards: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         word = np.concatenate([unpack_sorted(a, np.uint64) for a in pdf["a"]])
-        seen = np.concatenate([unpack(b, np.int64) for b in pdf["b"]])
         distinct, inverse = np.unique(word, return_inverse=True)
-        total = np.bincount(inverse, weights=seen, minlength=len(distinct)).astype(np.int64)
+        total = np.zeros(len(distinct), dtype=np.int64)
+        np.add.at(total, inverse, np.concatenate([unpack(b, np.int64) for b in pdf["d"]]))
         rank = np.empty(len(distinct), dtype=np.int64)
         rank[np.argsort(-total, kind="stable")] = np.arange(len(distinct))
         number = rank * shards + int(pdf["shard"].iloc[0])
+        token = distinct != BEGIN
+        sums = int((total[token] > 0).sum()), int(total[token].sum())
         at, rows = 0, []
         for shard, block, n in zip(pdf["shard"], pdf["block"], pdf["n"]):
             i = inverse[at : at + n]
-            rows.append((1, shard, block, pack(total[i]), pack(number[i]), int((total > 0).sum()) if at == 0 else 0, int(total.sum()) if at == 0 else 0))
+            rows.append((1, shard, block, pack(total[i]), pack(number[i]), b"", *(sums if at == 0 else (0, 0))))
             at += n
-        return frame(["round", "shard", "block", "a", "b", "n_types", "n_tokens"], rows)
+        return frame(["round", "shard", "block", "a", "b", "c", "n_types", "n_tokens"], rows)
 
     return run
 
 
-def _answers(pdf: pd.DataFrame) -> tuple[dict, dict]:
-    out: tuple[dict, dict] = ({}, {})
-    for r, shard, a, b in zip(pdf["round"], pdf["shard"], pdf["a"], pdf["b"]):
-        out[r - 1][shard] = (a, b)
+def _answers(pdf: pd.DataFrame) -> dict[int, dict]:
+    out: dict[int, dict] = {1: {}, 2: {}, 3: {}}
+    for r, shard, a, b, c in zip(pdf["round"], pdf["shard"], pdf["a"], pdf["b"], pdf["c"]):
+        out[r][shard] = (a, b, c)
     return out
 
 
-def send_trigrams(shards: int, total: int):
+def send_grams(shards: int, total: int, order: int):
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        words, _ = _answers(right)
-        rows = []
+        answers, rows = _answers(right), []
         for block, payload in zip(left["block"], left["payload"]):
-            g = Trigrams(Tokens(payload), shards, words, total)
-            for k in range(shards):
-                s = g.order[g.first[k] : g.first[k + 1]]
-                if len(s):
-                    delta = np.diff(g.w2[s], prepend=0)
-                    rows.append((k, block, pack(g.w1[s]), pack(delta), pack(g.w3[s]), pack(g.learned[s].astype(np.uint32)), len(s)))
-        return frame(["shard", "block", "a", "b", "c", "d", "n"], rows)
+            g = Grams(Tokens(payload), shards, answers, total, order)
+            for k, s in g.cut:
+                names = [x[s] for x in g.names]
+                rows.append((k, block, len(s), pack_sorted(names[0]), pack(names[1]) if order == 3 else b"", pack(names[-1]), pack(g.count[s].astype(np.uint32)), pack(g.totals[s][history_starts(names)])))
+        return frame(["shard", "block", "n", "a", "b", "c", "d", "e"], rows)
 
     return run
 
 
+def history_starts(names: list[np.ndarray]) -> np.ndarray:
+    """Where the words before the last one change."""
+    new = np.zeros(len(names[0]), dtype=bool)
+    new[0] = True
+    for x in names[:-1]:
+        new[1:] |= x[1:] != x[:-1]
+    return new
+
+
 def to_code(x: np.ndarray) -> np.ndarray:
     """16 bits: 0 for zero, else 500 steps to a decade."""
     return np.where(x > 0, np.clip(np.round((np.log10(np.maximum(x, 1e-300)) + 120) * 500), 1, 65535), 0).astype(np.uint16)
@@ -169,48 +239,76 @@ def from_code(c: np.ndarray) -> np.ndarray:
     return np.where(c > 0, 10.0 ** (c / 500 - 120), 0.0)
 
 
-def answer_trigrams(pdf: pd.DataFrame) -> pd.DataFrame:
-    w1 = np.concatenate([unpack(x, np.int64) for x in pdf["a"]])
-    w2 = np.concatenate([np.cumsum(unpack(x, np.int64)) for x in pdf["b"]])
-    w3 = np.concatenate([unpack(x, np.int64) for x in pdf["c"]])
-    seen = np.concatenate([unpack(x, np.uint32) for x in pdf["d"]])
-    names, local = np.unique(np.concatenate([w1, w2, w3]), return_inverse=True)
-    width = max(1, len(names).bit_length())  # a shard has fewer than 2^21 distinct words
-    a, b, c = np.split(local, 3)
-    key, inverse = np.unique((b << 2 * width) | (a << width) | c, return_inverse=True)
-    total = np.bincount(inverse, weights=seen, minlength=len(key))
-    mask = (1 << width) - 1
-    w1, w2, w3 = names[(key >> width) & mask], names[key >> 2 * width], names[key & mask]
-    known = total > 0
-    fd, path = tempfile.mkstemp(suffix=".trie")
-    os.close(fd)
-    try:
-        Trie.build(w1[known], w2[known], w3[known], total[known]).save(path)
-        x, y = Trie.load(path).weights(w1, w2, w3)
-    finally:
-        os.remove(path)
-    x, y = to_code(x)[inverse], to_code(y)[inverse]
-    at, rows = 0, []
-    for shard, block, n in zip(pdf["shard"], pdf["block"], pdf["n"]):
-        rows.append((2, shard, block, pack(x[at : at + n]), pack(y[at : at + n]), 0, 0))
-        at += n
-    return frame(["round", "shard", "block", "a", "b", "n_types", "n_tokens"], rows)
+def shard_entries(pdf: pd.DataFrame, order: int):
+    """The sorted names of a shard, and each entry's places in them (32 bits each), its count and its history's total."""
+    columns = ["a", "b", "c"] if order == 3 else ["a", "c"]
+    read = {"a": lambda x: unpack_sorted(x, np.int64), "b": lambda x: unpack(x, np.int64), "c": lambda x: unpack(x, np.int64)}
+    names = np.zeros(0, dtype=np.int64)
+    for begin in range(0, len(pdf), 16):  # a few rows at a time: most names occur in many rows
+        some = [np.unique(read[k](x)) for k in columns for x in pdf[k].iloc[begin : begin + 16]]
+        names = np.union1d(names, np.concatenate(some))
+    size = int(pdf["n"].sum())
+    local = [np.empty(size, dtype=np.uint32) for _ in columns]
+    count, total, at = np.empty(size, dtype=np.uint32), np.empty(size, dtype=np.int64), 0
+    for row in pdf.itertuples(index=False):
+        s = slice(at, at + row.n)
+        mine = [read[k](getattr(row, k)) for k in columns]
+        for out, x in zip(local, mine):
+            out[s] = np.searchsorted(names, x)
+        count[s] = unpack(row.d, np.uint32)
+        total[s] = unpack(row.e, np.int64)[np.cumsum(history_starts(mine)) - 1]
+        at += row.n
+    return names, local, count, total
+
+
+def answer_grams(order: int):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        names, local, count, total = shard_entries(pdf, order)
+        by = np.lexsort(tuple(reversed(local)))
+        new = np.zeros(len(by), dtype=bool)
+        new[0] = True
+        for x in local:
+            s = x[by]
+            new[1:] |= s[1:] != s[:-1]
+        first = np.flatnonzero(new)
+        grams = tuple(x[by[first]] for x in local)
+        total = total[by[first]]
+        seen = np.add.reduceat(count[by].astype(np.int64), first)
+        inverse = np.empty(len(by), dtype=np.uint32)
+        inverse[by] = np.cumsum(new) - 1
+        del by, new, local, count, first
+        fd, path = tempfile.mkstemp(suffix=".trie")
+        os.close(fd)
+        try:
+            Trie.build(names, grams, seen, total, MU[order]).save(path)
+            trie = Trie.load(path)
+            number = trie.numbers(names)
+            x, y = np.empty(len(seen), dtype=np.uint16), np.empty(len(seen), dtype=np.uint16)
+            for at in range(0, len(seen), SLICE):
+                a, b = trie.weights(tuple(number[g[at : at + SLICE]] for g in grams))
+                x[at : at + SLICE], y[at : at + SLICE] = to_code(a), to_code(b)
+        finally:
+            os.remove(path)
+        at, rows = 0, []
+        for shard, block, n in zip(pdf["shard"], pdf["block"], pdf["n"]):
+            i = inverse[at : at + n]
+            rows.append((order, shard, block, pack(x[i]), pack(y[i]), pack(seen[i]) if order == 2 else b"", 0, 0))
+            at += n
+        return frame(["round", "shard", "block", "a", "b", "c", "n_types", "n_tokens"], rows)
+
+    return run
 
 
 def finish(shards: int, total: int, types: int):
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        words, weights = _answers(right)
-        out = []
+        answers, out = _answers(right), []
         for payload in left["payload"]:
             t = Tokens(payload)
-            g = Trigrams(t, shards, words, total)
-            x, y = np.zeros(len(g.order)), np.ones(len(g.order))
-            for k, (a, b) in weights.items():
-                s = g.order[g.first[k] : g.first[k + 1]]
-                x[s], y[s] = from_code(unpack(a, np.uint16)), from_code(unpack(b, np.uint16))
-            c = g.count[t.token]
+            g = Grams(t, shards, answers, total, 3)
+            x, y, _ = g.cut.spread(answers[3], len(g.totals))
+            c = g.word_count[t.token]
             one = (c + 1) / (total + types + 1)
-            p = np.minimum(1.0, x[g.of_token] + y[g.of_token] * one)
+            p = np.minimum(1.0, x[g.of_token] + y[g.of_token] * (g.lower[0] + g.lower[1] * one))
             n = len(t.size)
             out.append(
                 pd.DataFrame(
@@ -225,18 +323,32 @@ def finish(shards: int, total: int, types: int):
     return run
 
 
-def score(docs: DataFrame) -> DataFrame:
+def score(docs: DataFrame, shard_entries: int = SHARD_ENTRIES, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Score every row of (doc_id, held_out, text), learning from those that are not held out."""
-    blocks, size = write_blocks(docs.select("doc_id", F.coalesce("held_out", F.lit(True)).alias("held_out"), "text"), BLOCK_BYTES)
-    shards = max(16, math.ceil(size / 6 / SHARD_TOKENS))
-    sent = blocks.select("block", "payload").mapInPandas(send_words(shards), SENT)
-    answers = materialize(sent.groupBy("shard").applyInPandas(count_words(shards), ANSWER), "words")
-    sums = answers.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.coalesce(F.sum("n_types"), F.lit(0))).first()
+    spark = docs.sparkSession
+    held = docs.select("doc_id", F.coalesce("held_out", F.lit(True)).alias("held_out"), "text")
+    made = write_blocks(held, block_bytes, tokenise)
+    blocks, shards = made.table.select("block", "payload"), max(16, math.ceil(made.size / 6 / shard_entries))
+    sent = blocks.mapInPandas(send_words(shards), SENT)
+    rounds = [materialize(sent.groupBy("shard").applyInPandas(count_words(shards), ANSWER), "words")]
+    sums = rounds[0].agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.coalesce(F.sum("n_types"), F.lit(0))).first()
     total, types = int(sums[0]), int(sums[1])
-    sent = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(send_trigrams(shards, total), SENT)
-    answers = answers.unionByName(materialize(sent.groupBy("shard").applyInPandas(answer_trigrams, ANSWER), "trigrams"))
+    for order in (2, 3):
+        sent = blocks.groupBy("block").cogroup(union(rounds).groupBy("block")).applyInPandas(send_grams(shards, total, order), SENT)
+        rounds.append(materialize(sent.groupBy("shard").applyInPandas(answer_grams(order), ANSWER), f"grams{order}"))
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(finish(shards, total, types), schema)
+    scores = materialize(blocks.groupBy("block").cogroup(union(rounds).groupBy("block")).applyInPandas(finish(shards, total, types), schema), "scores")
+    for r in rounds:
+        release(spark, r)
+    made.drop()
+    return scores
+
+
+def union(rounds: list[DataFrame]) -> DataFrame:
+    out = rounds[0]
+    for r in rounds[1:]:
+        out = out.unionByName(r)
+    return out
 
 
 def op1_lm_elias_fano(spark: SparkSession, sf_dir: str) -> DataFrame:

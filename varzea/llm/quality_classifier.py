@@ -4,11 +4,11 @@ A document is a bag of passages of PASSAGE words. Every passage becomes a featur
 classes, word lengths, share of distinct and of repeated words); an encoder embeds it, gated attention
 (tanh(V e) * sigmoid(U e)) weighs the passages, and a logistic layer scores the weighted representation. Only document
 labels are used; the gradients run through attention and encoder. Training is numpy on a bounded sample of labelled
-rows (`max_train`, texts up to `max_train_chars` characters); scoring reads every passage of every whole text.
+rows (`max_train`, up to MAX_BAG passages of each); scoring reads every passage of every whole text.
 
 Defined cases: a null or empty text is one empty passage (all features 0) and gets that passage's score; without
 labelled rows of both classes every score is the share of label 1 (0.5 without rows); repeated rows score alike;
-labels, lang, source and doc_id are no inputs.
+labels, lang, source and doc_id are no inputs; a row without doc_id is not held out (and has no label to learn from).
 """
 
 from __future__ import annotations
@@ -18,11 +18,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varzea.llm.common import SPACE, Words, bounded_sample, chunks, crc_mod, fields_of, hide, pieces, show, table
+from varzea.llm.common import SPACE, Words, blank_near, chunks, fields_of, held_by, hide, labelled_sample, show, table
 
 PASSAGE, PAIRS, STATS, HIDDEN, GATE = 64, 96, 14, 24, 12
 DIM = PAIRS + STATS
-MAX_TRAIN, MAX_TRAIN_CHARS, EPOCHS, BATCH, RATE = 6000, 200_000, 12, 32, 0.01
+MAX_TRAIN, MAX_BAG, EPOCHS, BATCH, RATE = 6000, 512, 12, 32, 0.01
+PART_BYTES = 1_000_000
 
 _CLASS = np.zeros(256, dtype=np.int64)  # other ASCII
 _CLASS[list(range(97, 123))] = 1
@@ -70,10 +71,29 @@ def passages(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return x, count
 
 
+def whole_passages(text: bytes):
+    """Parts of about PART_BYTES that hold whole passages, the last one excepted."""
+    begin, size = 0, PART_BYTES
+    while len(text) - begin > size:
+        cut = blank_near(text, begin, begin + size)
+        starts = Words([text[begin:cut]]).start
+        full = len(starts) // PASSAGE * PASSAGE
+        if not full:
+            size += PART_BYTES
+            continue
+        stop = begin + int(starts[full]) if full < len(starts) else cut + 1
+        yield text[begin : stop - 1]  # less the white space before the next passage, for which a line feed is put
+        begin, size = stop, PART_BYTES
+    if begin < len(text) or not begin:
+        yield text[begin:] if begin else text
+
+
 def bags(texts: list[bytes]):
-    """Yield (slice of texts, features of their passages, passages of each text); parts of a very long text start new passages."""
+    """Yield (slice of texts, features of their passages, passages of each text)."""
     for c in chunks(texts):
-        parts, owner = pieces(texts[c])
+        each = [list(whole_passages(t)) for t in texts[c]]
+        owner = np.repeat(np.arange(len(each)), [len(p) for p in each])
+        parts = [p for ps in each for p in ps]
         got = [passages(parts[p]) for p in chunks(parts)]
         count = np.bincount(owner, weights=np.concatenate([n for _, n in got])).astype(np.int64)
         yield c, np.concatenate([x for x, _ in got]), count
@@ -152,18 +172,18 @@ def train(bags: list[np.ndarray], y: np.ndarray, epochs: int = EPOCHS, seed: int
     return model
 
 
-def fit(labelled: DataFrame, key: str = "doc_id", label: str = "quality", max_train: int = MAX_TRAIN) -> AttentionModel:
-    """Learn from about `max_train` rows with a label of 0 or 1; a null text counts as empty."""
-    rows = labelled.filter(F.col(label).isin(0, 1) & (F.coalesce(F.length("text"), F.lit(0)) <= MAX_TRAIN_CHARS))
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_train: int = MAX_TRAIN) -> AttentionModel:
+    """Learn from about `max_train` labelled documents, of a longer one from MAX_BAG passages spread evenly over it."""
 
     def features(batches):
         for pdf in batches:
             rows = []
-            for _, x, count in bags([(t or "").encode() for t in pdf["text"]]):
-                rows += [x[e - n : e].tobytes() for n, e in zip(count, np.cumsum(count))]
-            yield pd.DataFrame({"key": pdf[key], "y": pdf[label], "x": rows})
+            for _, x, count in bags([t.encode() for t in pdf["text"]]):
+                for n, e in zip(count, np.cumsum(count)):
+                    rows.append(x[np.unique(np.linspace(e - n, e - 1, min(n, MAX_BAG)).astype(np.int64))].tobytes())
+            yield pd.DataFrame({"key": pdf["doc_id"], "y": pdf[label], "x": rows})
 
-    got = bounded_sample(rows, key, max_train).select(key, "text", label).mapInPandas(features, "key long, y int, x binary").toPandas().sort_values(["key", "y"])
+    got = labelled_sample(docs, labels, label, max_train).mapInPandas(features, "key long, y int, x binary").toPandas().sort_values(["key", "y"])
     return train([np.frombuffer(b, dtype=np.float32).reshape(-1, DIM) for b in got["x"]], got["y"].to_numpy(dtype=np.float32))
 
 
@@ -189,7 +209,7 @@ def score(docs: DataFrame, model: AttentionModel, text: str = "text") -> DataFra
 def op7_quality_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
-    held = crc_mod("doc_id", 4) == 2
-    model = fit(docs.join(labels.filter(~held), "doc_id"))
+    held = held_by("doc_id", 4, 2)
+    model = fit(docs, labels.filter(~held))
     out = score(docs.select("doc_id", held.alias("held_out"), "text"), model)
     return out.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))

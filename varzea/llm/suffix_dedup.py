@@ -351,8 +351,8 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     """Every row with n_bytes, n_removed, n_spans and kept_sha256; with_text: `text` holds what is left (cut characters dropped)."""
     docs, names = hide(docs, "doc_id", "text")
     rest = [c for c in docs.columns if c != "text"]
-    blocks, total = write_blocks(docs.select(*rest, "text"))
-    shards = max(16, math.ceil(total / 10 / SHARD_ANCHORS))
+    made = write_blocks(docs.select(*rest, "text"))
+    blocks, shards = made.table, max(16, math.ceil(made.size / 10 / SHARD_ANCHORS))
     answers = materialize(blocks.select("block", "payload").mapInPandas(send1(shards), SENT).groupBy("shard").applyInPandas(rank1, ANSWER), "round1")
     for send, rank, name in ((send2, rank2, "round2"), (send3, rank3, "round3")):
         sent = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(send(shards), SENT)
