@@ -9,6 +9,20 @@ import numpy as np
 SEGMENT = 4096  # elements between two skip pointers
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct integers, by sorting unless they are in order."""
+    v = values if (values[1:] >= values[:-1]).all() else np.sort(values)
+    return v[np.concatenate([[True], v[1:] != v[:-1]])] if len(v) else v
+
+
+def distinct_inverse(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same, and each value's place."""
+    if len(values) and (values[1:] >= values[:-1]).all():
+        new = np.concatenate([[True], values[1:] != values[:-1]])
+        return values[new], np.cumsum(new) - 1
+    return np.unique(values, return_inverse=True)
+
+
 class EliasFano:
     """A non-decreasing sequence: the low bits packed, the high parts as a bit vector in unary; a skip pointer (bit position and value) every SEGMENT elements."""
 
@@ -114,17 +128,19 @@ class Trie:
         place = np.cumsum(used) - 1  # of a name in the vocabulary
         n_words = max(1, int(used.sum()))
         b, c = place[grams[0]], place[grams[-1]]
-        words2 = np.unique(b[context])
+        words2 = distinct(b[context])
         i = np.searchsorted(words2, b[known])
-        pair = np.unique(i * n_words + c[known])
+        pair = distinct(i * n_words + c[known])
         start2 = np.searchsorted(pair, np.arange(len(words2) + 1) * n_words)
         parts = {"vocabulary": names[used], "words2": words2, "start2": start2, "next2": pair}
         sizes = {"words": n_words, "width": 1}
         if order == 2:
-            _, first = np.unique(b[context], return_index=True)
+            first = np.searchsorted(b[context], words2)
         else:
             a = place[grams[1]]
-            history, first = np.unique(np.searchsorted(words2, b[context]) * n_words + a[context], return_index=True)
+            each = np.searchsorted(words2, b[context]) * n_words + a[context]
+            history = distinct(each)
+            first = np.searchsorted(each, history)
             j = np.searchsorted(history, i * n_words + a[known])
             at = np.searchsorted(pair, i * n_words + c[known]) - start2[i]
             sizes["width"] = int(np.diff(start2).max(initial=0)) + 1
@@ -178,8 +194,8 @@ class Trie:
 
         def lookup(sequence: EliasFano, value: np.ndarray, ok: np.ndarray) -> np.ndarray:
             out = np.full(len(value), -1, dtype=np.int64)
-            distinct, inverse = np.unique(value[ok], return_inverse=True)
-            out[ok] = sequence.find(distinct.astype(np.uint64))[inverse]
+            ask, inverse = distinct_inverse(value[ok])
+            out[ok] = sequence.find(ask.astype(np.uint64))[inverse]
             return out
 
         def code(name: str, at: np.ndarray, missing: float) -> np.ndarray:
@@ -196,7 +212,7 @@ class Trie:
             return code("a", pair, 0.0), code("b", i, 1.0)
         j = lookup(p["words3"], i * n_words + grams[1], (i >= 0) & (grams[1] >= 0))
         both = (pair >= 0) & (j >= 0)
-        distinct, inverse = np.unique(i[both], return_inverse=True)
+        ask, inverse = distinct_inverse(i[both])
         value = np.zeros(len(x2), dtype=np.int64)
-        value[both] = j[both] * width + pair[both] - p["start2"].at(distinct)[inverse].astype(np.int64)
+        value[both] = j[both] * width + pair[both] - p["start2"].at(ask)[inverse].astype(np.int64)
         return code("a", lookup(p["next3"], value, both), 0.0), code("b", j, 1.0)

@@ -35,9 +35,9 @@ from pyspark.sql import functions as F
 
 from varzea.llm.blocks import arrow_payload, frame, join_parts, pack, pack_sorted, read_block, split_parts, unpack, unpack_sorted, write_blocks
 from varzea.llm.common import LOWER, Words, chunks, crc_mod, materialize, mix, pieces, release, table
-from varzea.llm.elias_fano import Trie
+from varzea.llm.elias_fano import Trie, distinct
 
-BLOCK_BYTES, SHARD_ENTRIES, SLICE = 8_000_000, 1_500_000, 1 << 18
+BLOCK_BYTES, SHARD_ENTRIES, SLICE, TABLE = 3_000_000, 1_000_000, 1 << 18, 1 << 24
 MU = {2: 2000.0, 3: 4.0}  # chosen by held-out probability
 END, BEGIN = np.uint64(1), np.uint64(2)  # names of the two marks; words have hashes
 SENT = "shard int, block long, n long, a binary, b binary, c binary, d binary, e binary"
@@ -239,14 +239,27 @@ def from_code(c: np.ndarray) -> np.ndarray:
     return np.where(c > 0, 10.0 ** (c / 500 - 120), 0.0)
 
 
+def places_of(rows: list[np.ndarray]):
+    """The sorted distinct values of some arrays, and a function that gives values their places. Numbers of words are dense,
+    so that a table of them serves where it is small."""
+    top = max(int(r.max()) for r in rows)
+    if top < TABLE:
+        there = np.zeros(top + 1, dtype=bool)
+        for r in rows:
+            there[r] = True
+        names, place = np.flatnonzero(there), np.cumsum(there, dtype=np.uint32) - np.uint32(1)
+        return names, lambda x: place[x]
+    names = rows[0][:0]
+    for begin in range(0, len(rows), 16):  # a few at a time: most names occur in many
+        names = distinct(np.concatenate([names, *map(distinct, rows[begin : begin + 16])]))
+    return names, lambda x: np.searchsorted(names, x).astype(np.uint32)
+
+
 def shard_entries(pdf: pd.DataFrame, order: int):
     """The sorted names of a shard, and each entry's places in them (32 bits each), its count and its history's total."""
-    columns = ["a", "b", "c"] if order == 3 else ["a", "c"]
     read = {"a": lambda x: unpack_sorted(x, np.int64), "b": lambda x: unpack(x, np.int64), "c": lambda x: unpack(x, np.int64)}
-    names = np.zeros(0, dtype=np.int64)
-    for begin in range(0, len(pdf), 16):  # a few rows at a time: most names occur in many rows
-        some = [np.unique(read[k](x)) for k in columns for x in pdf[k].iloc[begin : begin + 16]]
-        names = np.union1d(names, np.concatenate(some))
+    columns = ["a", "b", "c"] if order == 3 else ["a", "c"]
+    names, place = places_of([read[k](x) for k in columns for x in pdf[k]])
     size = int(pdf["n"].sum())
     local = [np.empty(size, dtype=np.uint32) for _ in columns]
     count, total, at = np.empty(size, dtype=np.uint32), np.empty(size, dtype=np.int64), 0
@@ -254,22 +267,35 @@ def shard_entries(pdf: pd.DataFrame, order: int):
         s = slice(at, at + row.n)
         mine = [read[k](getattr(row, k)) for k in columns]
         for out, x in zip(local, mine):
-            out[s] = np.searchsorted(names, x)
+            out[s] = place(x)
         count[s] = unpack(row.d, np.uint32)
         total[s] = unpack(row.e, np.int64)[np.cumsum(history_starts(mine)) - 1]
         at += row.n
     return names, local, count, total
 
 
+def ascending(local: list[np.ndarray], n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the entries by their columns of numbers below n, and where a new entry begins in it."""
+    if n ** len(local) < 1 << 63:
+        key = np.zeros(len(local[0]), dtype=np.int64)
+        for x in local:
+            key = key * n + x
+        by = np.argsort(key)
+        s = key[by]
+        return by, np.concatenate([[True], s[1:] != s[:-1]])
+    by = np.lexsort(tuple(reversed(local)))
+    new = np.zeros(len(by), dtype=bool)
+    new[0] = True
+    for x in local:
+        s = x[by]
+        new[1:] |= s[1:] != s[:-1]
+    return by, new
+
+
 def answer_grams(order: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         names, local, count, total = shard_entries(pdf, order)
-        by = np.lexsort(tuple(reversed(local)))
-        new = np.zeros(len(by), dtype=bool)
-        new[0] = True
-        for x in local:
-            s = x[by]
-            new[1:] |= s[1:] != s[:-1]
+        by, new = ascending(local, len(names))
         first = np.flatnonzero(new)
         grams = tuple(x[by[first]] for x in local)
         total = total[by[first]]
