@@ -188,8 +188,9 @@ class Trie:
         """Places of ascending names in the vocabulary, -1 for unknown ones."""
         return self.parts["vocabulary"].find(names.astype(np.uint64))
 
-    def weights(self, grams: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
-        """(a, b) of any n-grams (w2, w3) or (w2, w1, w3) of vocabulary numbers, with p = a + b * p of the shorter history."""
+    def weights(self, grams: tuple[np.ndarray, ...], convert=np.asarray) -> tuple[np.ndarray, np.ndarray]:
+        """(a, b) of any n-grams (w2, w3) or (w2, w1, w3) of vocabulary numbers, with p = a + b * p of the shorter history;
+        `convert` is applied to the values in the codebooks."""
         p, n_words, width = self.parts, self.sizes["words"], self.sizes["width"]
 
         def lookup(sequence: EliasFano, value: np.ndarray, ok: np.ndarray) -> np.ndarray:
@@ -200,10 +201,10 @@ class Trie:
 
         def code(name: str, at: np.ndarray, missing: float) -> np.ndarray:
             codes, book = p[name]
-            out = np.full(len(at), missing)
-            some = at >= 0
-            out[some] = book[np.asarray(codes)[at[some]]]
-            return out
+            values = convert(np.append(book, missing))
+            out = np.full(len(at), 256)
+            out[at >= 0] = codes[at[at >= 0]]
+            return values[out]
 
         x2, x3 = grams[0], grams[-1]
         i = lookup(p["words2"], x2, x2 >= 0)

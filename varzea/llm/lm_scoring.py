@@ -37,11 +37,13 @@ from varzea.llm.blocks import arrow_payload, frame, join_parts, pack, pack_sorte
 from varzea.llm.common import LOWER, Words, chunks, crc_mod, materialize, mix, pieces, release, table
 from varzea.llm.elias_fano import Trie, distinct
 
-BLOCK_BYTES, SHARD_ENTRIES, SLICE, TABLE = 3_000_000, 1_000_000, 1 << 18, 1 << 24
+BLOCK_BYTES, SHARD_ENTRIES, SLICE, TABLE = 4_000_000, 1_000_000, 1 << 18, 1 << 24
 MU = {2: 2000.0, 3: 4.0}  # chosen by held-out probability
 END, BEGIN = np.uint64(1), np.uint64(2)  # names of the two marks; words have hashes
 SENT = "shard int, block long, n long, a binary, b binary, c binary, d binary, e binary"
-ANSWER = "round int, shard int, block long, a binary, b binary, c binary, n_types long, n_tokens long"
+ANSWER = "round int, shard int, block long, a binary, b binary, n_types long, n_tokens long"
+ANSWERS = [f.split(" ")[0] for f in ANSWER.split(", ")]
+VALUE = np.append(0.0, 10.0 ** (np.arange(1, 1 << 16) / 500 - 120))  # of the codes
 
 
 def tokenise(batch: pa.RecordBatch) -> bytes:
@@ -82,14 +84,14 @@ class Tokens:
         self.count[self.begin] = self.learn.sum()
 
     def by_shard(self, shards: int) -> Cut:
-        return Cut((mix(self.distinct) % np.uint64(shards)).astype(np.int64), self.distinct)
+        return Cut((mix(self.distinct) % np.uint64(shards)).astype(np.int64))
 
 
 class Cut:
-    """Entries ordered by shard, and in a shard by `value` or as they were."""
+    """Entries ordered by shard, and in a shard as they were."""
 
-    def __init__(self, shard: np.ndarray, value: np.ndarray | None = None):
-        self.order = np.argsort(shard, kind="stable") if value is None else np.lexsort((value, shard))
+    def __init__(self, shard: np.ndarray):
+        self.order = np.argsort(shard.astype(np.uint16) if shard.max() < 1 << 16 else shard, kind="stable")
         ordered = shard[self.order]
         self.begin = np.flatnonzero(np.diff(ordered, prepend=-1))
         self.end = np.append(self.begin[1:], len(ordered))
@@ -105,15 +107,15 @@ class Cut:
         i = self.at[shard]
         return self.order[self.begin[i] : self.end[i]]
 
-    def spread(self, answers: dict[int, tuple], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The a, b and count of each of n entries from the shards' answers."""
-        x, y, seen = np.zeros(n), np.ones(n), np.zeros(n, dtype=np.int64)
-        for k, (a, b, c) in answers.items():
+    def spread(self, answers: dict[int, tuple], n: int) -> tuple[np.ndarray, np.ndarray]:
+        """The a and the count of each of n entries from the shards' answers."""
+        x, seen = np.zeros(n), np.zeros(n, dtype=np.int64)
+        for k, (a, b) in answers.items():
             s = self[k]
-            x[s], y[s] = from_code(unpack(a, np.uint16)), from_code(unpack(b, np.uint16))
-            if c:
-                seen[s] = unpack(c, np.int64)
-        return x, y, seen
+            x[s] = VALUE[unpack(a, np.uint16)]
+            if b:
+                seen[s] = unpack(b, np.int64)
+        return x, seen
 
 
 def numbered(first: np.ndarray, second: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -132,8 +134,8 @@ class Grams:
         n = len(t.distinct)
         self.word_count, name = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
         cut = t.by_shard(shards)
-        for k, (a, b, _) in answers[1].items():
-            self.word_count[cut[k]], name[cut[k]] = unpack(a, np.int64), unpack(b, np.int64)
+        for k, (a, b) in answers[1].items():
+            self.word_count[cut[k]], name[cut[k]] = unpack(a, np.int64), unpack(b, np.int64) * shards + k
         by = np.argsort(name)
         rank = np.empty(n, dtype=np.int64)
         rank[by] = np.arange(n)
@@ -144,13 +146,12 @@ class Grams:
         b, c, self.of_token = numbered(w2, w3, n)
         self.names, self.totals = (name[b], name[c]), count[b]
         if order == 3:
-            self.lower = self._cut(shards, total).spread(answers[2], len(b))
-            seen = self.lower[2]
+            p2, seen = self._cut(shards, total).spread(answers[2], len(b))
+            self.lower = p2[self.of_token], backoff(self.totals, 2)[self.of_token]
             w1 = np.roll(w2, 1)
             w1[t.start] = begin
             here = np.roll(seen[self.of_token], 1)  # how often the pair before each token occurs
             here[t.start] = count[begin]
-            self.lower = self.lower[0][self.of_token], self.lower[1][self.of_token]
             b, a, of_history = numbered(w2, w1, n)
             totals = np.empty(len(b), dtype=np.int64)
             totals[of_history] = here
@@ -188,26 +189,30 @@ def count_words(shards: int):
         np.add.at(total, inverse, np.concatenate([unpack(b, np.int64) for b in pdf["d"]]))
         rank = np.empty(len(distinct), dtype=np.int64)
         rank[np.argsort(-total, kind="stable")] = np.arange(len(distinct))
-        number = rank * shards + int(pdf["shard"].iloc[0])
         token = distinct != BEGIN
         sums = int((total[token] > 0).sum()), int(total[token].sum())
         at, rows = 0, []
         for shard, block, n in zip(pdf["shard"], pdf["block"], pdf["n"]):
             i = inverse[at : at + n]
-            rows.append((1, shard, block, pack(total[i]), pack(number[i]), b"", *(sums if at == 0 else (0, 0))))
+            rows.append((1, shard, block, pack(total[i]), pack(rank[i]), *(sums if at == 0 else (0, 0))))
             at += n
-        return frame(["round", "shard", "block", "a", "b", "c", "n_types", "n_tokens"], rows)
+        return frame(ANSWERS, rows)
 
     return run
 
 
 def _answers(pdf: pd.DataFrame) -> dict[int, dict]:
     out: dict[int, dict] = {1: {}, 2: {}, 3: {}}
-    for r, shard, a, b, c in zip(pdf["round"], pdf["shard"], pdf["a"], pdf["b"], pdf["c"]):
-        out[r][shard] = (a, b, c)
+    for r, shard, a, b in zip(pdf["round"], pdf["shard"], pdf["a"], pdf["b"]):
+        out[r][shard] = (a, b)
     return out
 
 
+def backoff(totals: np.ndarray, order: int) -> np.ndarray:
+    """The weight b of histories; the trie has it as a code, but a block knows the totals and need not be sent it."""
+    return MU[order] / (totals + MU[order])
+
+
 def send_grams(shards: int, total: int, order: int):
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         answers, rows = _answers(right), []
@@ -235,10 +240,6 @@ def to_code(x: np.ndarray) -> np.ndarray:
     return np.where(x > 0, np.clip(np.round((np.log10(np.maximum(x, 1e-300)) + 120) * 500), 1, 65535), 0).astype(np.uint16)
 
 
-def from_code(c: np.ndarray) -> np.ndarray:
-    return np.where(c > 0, 10.0 ** (c / 500 - 120), 0.0)
-
-
 def places_of(rows: list[np.ndarray]):
     """The sorted distinct values of some arrays, and a function that gives values their places. Numbers of words are dense,
     so that a table of them serves where it is small."""
@@ -309,18 +310,15 @@ def answer_grams(order: int):
             Trie.build(names, grams, seen, total, MU[order]).save(path)
             trie = Trie.load(path)
             number = trie.numbers(names)
-            x, y = np.empty(len(seen), dtype=np.uint16), np.empty(len(seen), dtype=np.uint16)
-            for at in range(0, len(seen), SLICE):
-                a, b = trie.weights(tuple(number[g[at : at + SLICE]] for g in grams))
-                x[at : at + SLICE], y[at : at + SLICE] = to_code(a), to_code(b)
+            x = np.concatenate([trie.weights(tuple(number[g[at : at + SLICE]] for g in grams), to_code)[0] for at in range(0, len(seen), SLICE)])
         finally:
             os.remove(path)
         at, rows = 0, []
         for shard, block, n in zip(pdf["shard"], pdf["block"], pdf["n"]):
             i = inverse[at : at + n]
-            rows.append((order, shard, block, pack(x[i]), pack(y[i]), pack(seen[i]) if order == 2 else b"", 0, 0))
+            rows.append((order, shard, block, pack(x[i]), pack(seen[i]) if order == 2 else b"", 0, 0))
             at += n
-        return frame(["round", "shard", "block", "a", "b", "c", "n_types", "n_tokens"], rows)
+        return frame(ANSWERS, rows)
 
     return run
 
@@ -331,7 +329,8 @@ def finish(shards: int, total: int, types: int):
         for payload in left["payload"]:
             t = Tokens(payload)
             g = Grams(t, shards, answers, total, 3)
-            x, y, _ = g.cut.spread(answers[3], len(g.totals))
+            x, _ = g.cut.spread(answers[3], len(g.totals))
+            y = backoff(g.totals, 3)
             c = g.word_count[t.token]
             one = (c + 1) / (total + types + 1)
             p = np.minimum(1.0, x[g.of_token] + y[g.of_token] * (g.lower[0] + g.lower[1] * one))
