@@ -89,3 +89,22 @@ def test_page_texts_of_awkward_pages(spark, odd_dir):
     assert rows[2, None]["text"] == "" and rows[3, "u"]["n_chars"] == 0 and rows[6, "u"]["text"] == ""
     assert all(r["n_chars"] == len(r["text"]) for r in rows.values())
     assert "Menu" not in rows[1, "u"]["text"]
+
+
+def test_items_beyond_their_bound_are_found(spark, monkeypatch):
+    """Whether hashes are listed or all are probed, and whatever the sizes."""
+    import random
+
+    from varzea.llm import decontamination as d
+
+    rng = random.Random(12)
+    word = lambda: f"w{rng.randrange(3000)}"
+    items = [(i, " ".join(word() for _ in range(n))) for i, n in enumerate([1, 2, 4, 5, 6, 9, 12, 14, 20, 40, 90] * 6)]
+    docs = [(i, " ".join(word() for _ in range(60)) + " " + items[i % len(items)][1] + " " + " ".join(word() for _ in range(60))) for i in range(150)]
+    want = sorted(brute.contained(docs, items))
+    frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    for most in (d.LISTED, 3):
+        monkeypatch.setattr(d, "LISTED", most)
+        keyed = d.with_row(frames[0])
+        found = d.containment(keyed, frames[1]).join(keyed.select("row", "doc_id"), "row")
+        assert sorted((r["doc_id"], r["item_id"], r["shared"], r["size"]) for r in found.collect()) == want

@@ -1,12 +1,16 @@
 """Operator 10: benchmark decontamination by size-partitioned MinHash containment search, in DataFrame functions only.
 
-An item is found in a document if at least `threshold` of the item's distinct 5-word shingles occur in it. Items are
-partitioned by size (number of distinct shingles, doubling classes). An item's sketch is its m smallest shingle hashes
-(bottom-m MinHash), m = floor((1 - threshold) * size) + 1: an item that is contained lacks at most m - 1 shingles, so
-at least one sketch hash occurs in the document and no contained item is missed, however long the document. Each size
-class has a hash limit, the largest hash in its sketches; a document's sketch keeps the hashes under the largest limit
-(a fixed fraction of its shingles). Joining the two sketches gives candidate pairs, which exact containment over all
-of the item's shingles then confirms.
+An item is found in a document if at least `threshold` of the item's distinct 5-word shingles occur in it. An item's
+sketch is its m smallest shingle hashes (bottom-m MinHash), m = floor((1 - threshold) * size) + 1: an item that is contained
+lacks at most m - 1 shingles, so at least one sketch hash occurs in the document and no contained item is missed, however
+long the document.
+
+Items are partitioned by size (number of distinct shingles, doubling classes). Every class from SMALL shingles on has a
+bound on its sketches' hashes, SLACK times the largest m / size of the class (about a third to a quarter of all hashes),
+and a document probes with a hash only if it is within the bound of a class of its width. Sketch hashes beyond the bound
+of their class, and those of items of fewer than SMALL shingles, whose minima may lie anywhere, are looked up exactly,
+each by its value. Joining probes and sketches gives candidate pairs, which exact containment over all of the item's
+shingles then confirms.
 
 Words are runs of letters and digits, lower-cased, so that punctuation and case do not hide a leak. Items of fewer than
 five words are one shingle of all their words, and documents are cut to shingles of that length as well.
@@ -23,7 +27,10 @@ from pyspark.sql import functions as F
 
 from varzea.llm.common import hide, materialize, show, table
 
-WIDTH, THRESHOLD = 5, 0.8
+WIDTH, THRESHOLD, SMALL, SLACK = 5, 0.8, 8, 1.2
+#: exact values up to which a document's hashes are compared with a list of them; beyond it all hashes are probed
+LISTED = 20_000
+ROW = "struct<a: bigint, b: bigint>"
 #: rows of an item table up to which it is broadcast; beyond it Spark shuffles
 BROADCAST_ROWS = 1_000_000
 
@@ -38,8 +45,10 @@ def shingle_hashes(column: str, width: int):
     return F.expr(f"CASE WHEN size({column}) < {width} THEN array() ELSE transform(sequence(0, size({column}) - {width}), i -> xxhash64({joined})) END")
 
 
-def up_to(hashes, most: int):
-    return F.filter(hashes, lambda h: h <= F.lit(most))
+def probing(hashes, bound: int | None, exact: list[int]):
+    """The hashes that a document probes with: those up to the bound (none if it is null), and those of the list."""
+    within = (lambda h: h <= F.lit(bound)) if bound is not None else (lambda h: F.lit(False))
+    return F.filter(hashes, lambda h: within(h) | h.isin(exact) if exact else within(h))
 
 
 def tagged(hashes, width: int):
@@ -51,6 +60,17 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+def sketch_size(size: str) -> str:
+    return f"cast(floor({1 - THRESHOLD + 1e-9} * {size}) AS int) + 1"
+
+
+def class_bounds(index: DataFrame) -> dict[tuple[int, int], int]:
+    """(width, class): the largest hash that a document probes the class with. A few tens of classes at most."""
+    share = f"CASE WHEN size >= {SMALL} THEN {SLACK} * ({sketch_size('size')}) / size END"
+    rows = index.groupBy("width", "class").agg(F.max(F.expr(share)).alias("share")).filter("share IS NOT NULL").collect()
+    return {(r["width"], r["class"]): int(min(1.0, r["share"]) * (2**64 - 1)) - 2**63 for r in rows}
+
+
 def item_shingles(items: DataFrame) -> DataFrame:
     """(item, width, h, size, class, sketch): distinct shingles of each item row; `sketch` marks the bottom-m ones."""
     w = items.select(F.monotonically_increasing_id().alias("item"), "item_id", words("text").alias("w"))
@@ -60,7 +80,7 @@ def item_shingles(items: DataFrame) -> DataFrame:
         hashes = hashes.when(F.size("w") == k, shingle_hashes("w", k))
     d = w.select("item", "item_id", F.least(F.size("w"), F.lit(WIDTH)).alias("width"), F.array_sort(F.array_distinct(hashes)).alias("hs"))
     d = d.withColumn("size", F.size("hs")).withColumn("class", F.floor(F.log2("size")).cast("int"))
-    d = d.withColumn("m", F.floor(F.lit(1 - THRESHOLD + 1e-9) * F.col("size")).cast("int") + 1)
+    d = d.withColumn("m", F.expr(f"{sketch_size('size')}"))
     return d.select("item", "item_id", "width", "size", "class", "m", F.posexplode("hs").alias("at", "h")).withColumn("sketch", F.col("at") < F.col("m")).drop("at", "m")
 
 
@@ -68,19 +88,26 @@ def containment(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(row, item_id, shared, size): for every document row (column `row`) each item that it contains."""
     spark = docs.sparkSession
     index = materialize(item_shingles(items), "index")
-    # At most five widths; the limit of each: the largest sketch hash of any size class.
-    limits = {r["width"]: r["h"] for r in index.filter("sketch").groupBy("width").agg(F.max("h").alias("h")).collect()}
-    if not limits:
-        return spark.createDataFrame([], "row long, item_id long, shared long, size int")
+    bounds = class_bounds(index)
+    of_class = F.create_map(*(F.lit(y) for (k, c), b in bounds.items() for y in (f"{k} {c}", b))) if bounds else F.lit(None).cast("map<string,bigint>")
+    bound = F.try_element_at(of_class, F.concat_ws(" ", "width", "class"))
+    beyond = index.filter("sketch").filter(bound.isNull() | (F.col("h") > bound)).select("width", "h").distinct()
+    listed = beyond.limit(LISTED + 1).collect()
+    widths = [r["width"] for r in index.select("width").distinct().collect()]  # five at most
+    if not widths:
+        return spark.createDataFrame([], f"row {ROW}, item_id long, shared long, size int")
     d = docs.select("row", words("text").alias("w"))
-    parts = [tagged(F.array_distinct(up_to(shingle_hashes("w", k), most)), k) for k, most in limits.items()]
+    most = {k: max((b for (w, _), b in bounds.items() if w == k), default=None) for k in widths}
+    if len(listed) > LISTED:
+        most, listed = dict.fromkeys(widths, 2**63 - 1), []
+    parts = [tagged(F.array_distinct(probing(shingle_hashes("w", k), b, [r["h"] for r in listed if r["width"] == k])), k) for k, b in most.items()]
     sketch = d.select("row", F.explode(F.concat(*parts)).alias("s")).select("row", "s.width", "s.h")
     probes = small(materialize(index.filter("sketch").select("width", "h", "item"), "sketches"))
     pairs = materialize(sketch.join(probes, ["width", "h"]).select("row", "item").distinct(), "candidates")
     # Exact containment: of the candidate documents only, all shingles that occur in an item.
     rows = pairs.select("row").distinct()
     again = docs.join(small(materialize(rows, "rows")), "row", "left_semi").dropDuplicates(["row"]).select("row", words("text").alias("w"))
-    full = [tagged(F.array_distinct(shingle_hashes("w", k)), k) for k in limits]
+    full = [tagged(F.array_distinct(shingle_hashes("w", k)), k) for k in widths]
     found = again.select("row", F.explode(F.concat(*full)).alias("s")).select("row", "s.width", "s.h")
     hits = found.join(small(index.select("width", "h", "item")), ["width", "h"]).groupBy("row", "item").agg(F.count("*").alias("shared"))
     sizes = index.select("item", "item_id", "size").distinct()
@@ -89,8 +116,10 @@ def containment(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def with_row(docs: DataFrame) -> DataFrame:
-    """A key for every row that follows from its values, so that a repeated task gives it again; equal rows share it."""
-    return docs.withColumn("row", F.xxhash64(*[c for c in ("doc_id", "text") if c in docs.columns]))
+    """A key for every row that follows from its values, so that a repeated task gives it again; equal rows share it. Two
+    hashes, so that no two of very many documents fall together."""
+    own = [c for c in ("doc_id", "text") if c in docs.columns]
+    return docs.withColumn("row", F.struct(F.xxhash64(*own).alias("a"), F.xxhash64(F.lit(7), *own).alias("b")))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
