@@ -52,7 +52,7 @@ def test_score_is_weighted_and_routed(spark):
 
 
 @pytest.mark.parametrize(
-    "line, want", [("9:00 AM – 5:00 PM", {"daily": "09:00-17:00"}), ("Closed", {"daily": "closed"}), ("Open 24 hours", {"daily": "00:00-24:00"}), ("25:00 – 26:00", None)]
+    "line, want", [("9:00 AM – 5:00 PM", {"daily": "09:00-17:00"}), ("Closed", {"daily": "closed"}), ("Open 24 hours", {"daily": "open_24h"}), ("25:00 – 26:00", None)]
 )
 def test_equal_days(spark, line, want):
     days = "Monday Tuesday Wednesday Thursday Friday Saturday Sunday".split()

@@ -40,8 +40,8 @@ def test_edges_compare_null_states(spark):
 
 
 def test_refunds_do_not_go_below_zero(spark):
-    d = spark.createDataFrame([("d", 1, 2.0), ("d", 2, -5.0), ("d", 3, 1.0)], "k string, at int, delta double")
-    assert stateful.floored_counters(d, "k", ["at"], "delta").first()["total"] == 1.0 == stateful.floored_total([2.0, -5.0, 1.0])
+    d = spark.sql("SELECT 'd' AS k, timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, at, 30) AS at, delta FROM VALUES (1, 2), (2, -5), (2, 1), (3, 4), (9, -1) v(at, delta)").withColumn("n", F.col("delta"))
+    assert stateful.floored_counters(d, "k", "at", ["n"], "delta").first()["total"] == 4
 
 
 def test_stream_and_batch_state_machines_agree(spark, tmp_path):

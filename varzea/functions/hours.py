@@ -8,12 +8,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from varzea.functions.scalars import fold
+from varzea.functions.scalars import collapse, fold
 
 # Names of the days, words for closed and for open all day.
 DAYS = ["mon", "tue", "wed", "thu", "fri", "sat", "sun"]
 NAMES = [["monday", "segunda"], ["tuesday", "terca"], ["wednesday", "quarta"], ["thursday", "quinta"], ["friday", "sexta"], ["saturday", "sabado"], ["sunday", "domingo"]]
-CLOSED, ALL_DAY = ["closed", "fechado"], ["open 24 hours", "atendimento 24 horas", "aberto 24 horas"]
+CLOSED, ALL_DAY = ["closed", "fechado", "fechada"], ["open 24 hours", "24 hours", "aberto 24 horas", "24 horas"]
+OPEN = "open_24h"
 
 
 def _day(line: Column) -> Column:
@@ -22,25 +23,32 @@ def _day(line: Column) -> Column:
 
 
 def _clock(t: Column) -> Column:
-    """`5:00 PM` or `17:00` to `17:00`, else null."""
-    part = lambda n: F.regexp_extract(t, r"(?i)^(\d{1,2})(?::(\d{2}))?\s*([ap])\.?m\.?$", n)
-    hour, minute = F.try_to_number(part(1), F.lit("99")).cast("int"), F.coalesce(F.nullif(part(2), F.lit("")), F.lit("00"))
-    twelve = F.when(hour.between(1, 12) & (minute <= "59"), F.concat(F.lpad((hour % 12 + F.when(F.lower(part(3)) == "p", 12).otherwise(0)).cast("string"), 2, "0"), F.lit(":"), minute))
-    h, m = F.regexp_extract(t, r"^(\d{1,2}):(\d{2})$", 1), F.regexp_extract(t, r"^(\d{1,2}):(\d{2})$", 2)
-    plain = F.when((h != "") & (F.lpad(h, 2, "0") <= "23") & (m <= "59"), F.concat(F.lpad(h, 2, "0"), F.lit(":"), m))
-    return F.coalesce(twelve, plain)
+    """`5:00 PM`, `5 p.m.` or `17:00` as minutes of the day, null if it is no time. Hour, minute and half of the day are taken
+    apart as fields: letters are the half, digits before and after the colon the numbers."""
+    text = F.lower(F.translate(t, " .\u00a0\u202f\t", ""))
+    half = F.regexp_extract(text, "[a-z].*$", 0)
+    numbers = F.split(F.substr(text, F.lit(1), F.length(text) - F.length(half)), ":")
+    hour, minute = F.get(numbers, F.lit(0)), F.coalesce(F.get(numbers, F.lit(1)), F.when(half != "", "00"))
+    h, m = hour.try_cast("int"), minute.try_cast("int")
+    sound = (F.size(numbers) <= 2) & F.length(hour).between(1, 2) & (F.length(minute) == 2) & hour.rlike("^[0-9]+$") & minute.rlike("^[0-9]+$") & (m < 60)
+    on_24 = F.when((half == "") & (h < 24), h)
+    on_12 = F.when(half.isin("am", "pm") & h.between(1, 12), h % 12 + F.when(half == "pm", 12).otherwise(0))
+    return F.when(sound, F.coalesce(on_24, on_12) * 60 + m)
 
 
 def _hours(line: Column) -> Column:
-    raw = F.trim(F.translate(F.regexp_extract(line, r"(?s)^[^:]*:(.*)$", 1), "  ", "  "))
-    folded = F.lower(fold(raw))
-
-    def shift(chunk: Column) -> Column:
-        ends = F.split(F.trim(chunk), r"\s*[–—-]\s*")
-        return F.when(F.size(ends) == 2, F.concat(_clock(F.get(ends, F.lit(0))), F.lit("-"), _clock(F.get(ends, F.lit(1)))))
-
-    shifts = F.transform(F.split(raw, ","), shift)
-    return F.when(folded.isin(CLOSED), "closed").when(folded.isin(ALL_DAY), "00:00-24:00").when(~F.exists(shifts, lambda x: x.isNull()), F.array_join(shifts, ", "))
+    """What follows the day's colon: closed, open all day, or spans of time in the order given."""
+    said = F.substr(line, F.instr(line, F.lit(":")) + 1)
+    word = collapse(F.lower(fold(said)))
+    show = lambda t: F.concat(F.lpad(F.floor(t / 60).cast("string"), 2, "0"), F.lit(":"), F.lpad((t % 60).cast("string"), 2, "0"))
+
+    def span(part: Column) -> Column:
+        ends = F.split(F.translate(part, "–—", "--"), "-")
+        a, b = _clock(F.get(ends, F.lit(0))), _clock(F.get(ends, F.lit(1)))
+        return F.when(F.size(ends) == 2, F.concat(show(a), F.lit("-"), show(b)))
+
+    spans = F.transform(F.split(said, ","), span)
+    return F.when(word.isin(CLOSED), "closed").when(word.isin(ALL_DAY), OPEN).when(~F.exists(spans, lambda x: x.isNull()), F.array_join(spans, ", "))
 
 
 def hours_map(lines: Column) -> Column:

@@ -2,14 +2,24 @@
 
 from __future__ import annotations
 
+import unicodedata
 from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Letters with marks of Portuguese and their bases.
-MARKED = "áàâãäéèêëíìîïóòôõöúùûüçñÁÀÂÃÄÉÈÊËÍÌÎÏÓÒÔÕÖÚÙÛÜÇÑ"
-PLAIN = "aaaaaeeeeiiiiooooouuuucnAAAAAEEEEIIIIOOOOOUUUUCN"
+def _plain_letters() -> tuple[str, str]:
+    """Letters that are one letter and combining marks, and that letter: Latin, Greek and Cyrillic blocks and their extensions."""
+    marked, plain = [], []
+    for code in (*range(0xC0, 0x530), *range(0x1E00, 0x2000)):
+        left = "".join(c for c in unicodedata.normalize("NFKD", chr(code)) if unicodedata.category(c) != "Mn")
+        if len(left) == 1 and left != chr(code):
+            marked.append(chr(code))
+            plain.append(left)
+    return "".join(marked), "".join(plain)
+
+
+MARKED, PLAIN = _plain_letters()
 # States of Brazil and their codes.
 STATES = {
     "acre": "AC", "alagoas": "AL", "amapa": "AP", "amazonas": "AM", "bahia": "BA", "ceara": "CE", "distrito federal": "DF", "federal district": "DF", "espirito santo": "ES", "goias": "GO",
@@ -25,8 +35,8 @@ def round2(x: Column) -> Column:
 
 
 def fold(x: Column) -> Column:
-    """Letters without marks (NFKD less combining marks, for the Portuguese alphabet)."""
-    return F.translate(x, MARKED, PLAIN)
+    """Letters without marks: those composed with a mark by their base letter, combining marks dropped."""
+    return F.regexp_replace(F.translate(x, MARKED, PLAIN), r"\p{Mn}+", "")
 
 
 def collapse(x: Column) -> Column:
@@ -102,9 +112,13 @@ def instagram_handle(x: Column) -> Column:
     return F.nullif(F.regexp_extract(x, r"(?:www\.)?instagram\.com/([^/?]+)", 1), F.lit(""))
 
 
+#: a phone number: a country code and an area code, both optional, then two to five groups of two to five digits; eight digits at least
+_PHONE = r"(?<!\d)(?=(?:[ .()+-]*\d){8})(?:\+\d{1,3}[ .-]*)?(?:\(\d{2,3}\)[ .-]*)?\d{2,5}(?:[ .-]*\d{2,5}){1,4}"
+
+
 def scrub(x: Column, limit: int = 500) -> Column:
     """Phone numbers replaced, length bounded."""
-    return F.substring(F.regexp_replace(x, r"\+?\d[\d\s().-]{7,}\d", "[redacted]"), 1, limit)
+    return F.substring(F.regexp_replace(x, _PHONE, "[redacted]"), 1, limit)
 
 
 def redact(x: Column) -> Column:
@@ -189,7 +203,8 @@ def route(score: Column, config: ScoreConfig = ScoreConfig()) -> Column:
 
 
 def corroboration_from_reviews(n: Column) -> Column:
-    return F.when(n <= 0, 0.0).otherwise(round2(F.least(F.lit(100.0), F.lit(100.0) * F.log1p(n.cast("double")) / F.log1p(F.lit(500.0)))))
+    """Of a review count; none, or null, gives 0."""
+    return F.when(n.isNull() | (n <= 0), 0.0).otherwise(round2(F.least(F.lit(100.0), F.lit(100.0) * F.log1p(n.cast("double")) / F.log1p(F.lit(500.0)))))
 
 
 def recency_steps(age_days: Column) -> Column:
@@ -204,8 +219,8 @@ def recency_of_reviews(ages: Column) -> Column:
 
 
 def completeness(fields: list[Column], cap: float = 100.0) -> Column:
-    """Share of present fields; 0 is present, the empty string is not."""
-    present = sum((F.when(f.isNotNull() & (f.cast("string") != ""), 1).otherwise(0) for f in fields), F.lit(0))
+    """Share of present fields; 0 is present, the empty string and empty arrays and maps are not."""
+    present = sum((F.when(f.isNotNull() & ~f.cast("string").isin("", "[]", "{}"), 1).otherwise(0) for f in fields), F.lit(0))
     return round2(present / float(len(fields)) * cap)
 
 
@@ -213,6 +228,38 @@ def completeness_steps(present: Column) -> Column:
     return F.when(present >= 3, 90.0).when(present == 2, 75.0).when(present == 1, 50.0).otherwise(25.0)
 
 
+# Fields that no log keeps.
+BLOCKED = "cookie cookies session token proxy user_agent password secret authorization api_key exc_info".split()
+
+
+def sanitize(fields: Column, limit: int = 2000) -> Column:
+    """A log's map without blocked fields (in any case), long values cut."""
+    return F.transform_values(F.map_filter(fields, lambda k, v: ~F.lower(k).isin(BLOCKED)), lambda k, v: F.substring(v, 1, limit))
+
+
+def strip_dashes(x: Column) -> Column:
+    """A dash between blanks becomes a comma, any other a blank; runs of blanks fall together."""
+    return F.trim(F.regexp_replace(F.translate(F.regexp_replace(x, " [—–] ", ", "), "—–", "  "), " {2,}", " "))
+
+
+def uf_hint(categories: Column, name: Column) -> Column:
+    """The state in the brackets of the first category that names one, else the only state code among the title's words of two capitals."""
+    table = F.create_map(*(F.lit(y) for kv in STATES.items() for y in kv))
+    named = F.transform(F.coalesce(categories, F.array().cast("array<string>")), lambda c: F.try_element_at(table, fold_key(F.regexp_extract(c, r"\(([^)]+)\)", 1))))
+    codes = F.filter(F.array_distinct(F.regexp_extract_all(F.coalesce(name, F.lit("")), F.lit(r"(?<![A-Za-z])([A-Z]{2})(?![A-Za-z])"), F.lit(1))), lambda c: c.isin(sorted(set(STATES.values()))))
+    return F.coalesce(F.get(F.filter(named, lambda u: u.isNotNull()), F.lit(0)), F.when(F.size(codes) == 1, F.get(codes, F.lit(0))))
+
+
+def coordinate(x: Column) -> Column:
+    """Six decimals."""
+    return F.round(x, 6)
+
+
+def moment(x: Column) -> Column:
+    """An ISO 8601 text as an instant, UTC where it names no zone; null where it cannot be read."""
+    return F.try_to_timestamp(F.when(x.rlike(r"^\d{4}-\d{2}-\d{2}[T ].*\d$") & ~x.rlike(r"[+-]\d{2}:?\d{2}$"), F.concat(x, F.lit("Z"))).when(x.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.concat(x, F.lit("T00:00:00Z"))).otherwise(x))
+
+
 def price_level(x: Column) -> Column:
     names = ["FREE", "INEXPENSIVE", "MODERATE", "EXPENSIVE", "VERY_EXPENSIVE"]
     return F.try_element_at(F.create_map(*(y for i, n in enumerate(names) for y in (F.lit(f"PRICE_LEVEL_{n}"), F.lit(i)))), x)
@@ -224,7 +271,8 @@ def llm_cost(tokens_in: Column, tokens_out: Column, cache_write: Column, cache_r
 
 
 def batch_size(limit: int, remaining_usd: Column, reserve: float = 0.075) -> Column:
-    return F.least(F.lit(limit), F.floor(remaining_usd / reserve)).cast("int")
+    """How many calls the remaining budget pays for, `limit` at most; none where the budget is unknown or used up."""
+    return F.when(remaining_usd > 0, F.least(F.lit(limit), F.floor(remaining_usd / reserve))).otherwise(0).cast("int")
 
 
 def seconds_to_midnight(ts: Column) -> Column:

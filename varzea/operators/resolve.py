@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from varzea.functions.fuzzy import token_set_ratio, token_sort_ratio
-from varzea.functions.scalars import cosine, fold_key, haversine_km
+from varzea.functions.scalars import fold_key, haversine_km
 
 #: rows of a reference table up to which it is broadcast
 BROADCAST_ROWS = 200_000
+#: rows of a tile of a block of vectors
+TILE_ROWS = 4_000
 
 
 def dimension(df: DataFrame) -> DataFrame:
@@ -25,16 +29,50 @@ def exact_duplicates(rows: DataFrame, key: list[str], row_id: str) -> DataFrame:
     return rows.withColumn("duplicate_of", F.when(F.col(row_id) > least, least))
 
 
-def knn_in_block(rows: DataFrame, block: list[str], row_id: str, vector: str, k: int = 10, min_similarity: float = 0.95) -> DataFrame:
-    """(id, other, similarity): up to k other rows of the block with cosine similarity above the limit.
+def knn_in_block(rows: DataFrame, block: list[str], row_id: str, vector: str, k: int = 10, min_similarity: float = 0.95, tile: int = TILE_ROWS) -> DataFrame:
+    """(block, a, b, similarity, rank): up to k other rows of the block with cosine similarity above the limit, exactly.
 
-    The block is the equi-join key, so pairs are formed within blocks only; Spark splits skewed blocks.
+    A block of any size is cut into tiles of about `tile` rows. Each pair of tiles is a matrix product in its own task, which
+    returns the k best of each of its rows; these are ranked over the pairs of tiles. Work is quadratic in a block, as exact
+    neighbours are, but no task holds more than two tiles. A vector of norm 0 or null has similarity 0 to all.
     """
-    left = rows.select(*block, F.col(row_id).alias("a"), F.col(vector).alias("va"))
-    right = rows.select(*block, F.col(row_id).alias("b"), F.col(vector).alias("vb"))
-    pairs = left.join(right, block).filter("a <> b").withColumn("similarity", cosine(F.col("va"), F.col("vb")))
+    counts = rows.groupBy(*block).agg(F.ceil(F.count("*") / F.lit(tile)).alias("_tiles"))
+    d = rows.select(*block, F.col(row_id).alias("id"), F.col(vector).cast("array<double>").alias("v")).join(counts, block)
+    d = d.withColumn("_own", F.pmod(F.xxhash64("id"), F.col("_tiles"))).withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_tiles") - 1)))
+    d = d.select(*block, "id", "v", "_own", F.least("_own", "_other").alias("_low"), F.greatest("_own", "_other").alias("_high"))
+    kinds = dict(d.dtypes)
+    fields = ", ".join(f"{c} {kinds[c]}" for c in block)
+
+    def best(pdf: pd.DataFrame) -> pd.DataFrame:
+        own = pdf["_own"].to_numpy()
+        size = max((len(v) for v in pdf["v"] if v is not None), default=0)
+        x = np.array([v if v is not None else np.zeros(size) for v in pdf["v"]], dtype=np.float64).reshape(len(pdf), size)
+        norm = np.linalg.norm(x, axis=1, keepdims=True)
+        x = np.divide(x, norm, out=np.zeros_like(x), where=norm > 0)
+        ids, low = pdf["id"].to_numpy(), own == pdf["_low"].iloc[0]
+        one_tile = pdf["_low"].iloc[0] == pdf["_high"].iloc[0]
+        sides = [(low, low)] if one_tile else [(low, ~low), (~low, low)]
+        out = []
+        for left, right in sides:
+            here, there = np.flatnonzero(left), np.flatnonzero(right)
+            for at in range(0, len(here), 512):
+                part = here[at : at + 512]
+                s = x[part] @ x[there].T
+                if one_tile:
+                    s[np.arange(len(part)), np.arange(at, at + len(part))] = -2
+                enough = s > min_similarity
+                if s.shape[1] > k:  # ties with the k-th stay, the final rank decides
+                    enough &= s >= np.partition(s, s.shape[1] - k, axis=1)[:, -k][:, None]
+                i, j = np.nonzero(enough)
+                out.append(pd.DataFrame({"a": ids[part[i]], "b": ids[there[j]], "similarity": s[i, j]}))
+        made = pd.concat(out)
+        for c in block:
+            made[c] = pdf[c].iloc[0]
+        return made[[*block, "a", "b", "similarity"]]
+
+    found = d.groupBy(*block, "_low", "_high").applyInPandas(best, f"{fields}, a {kinds['id']}, b {kinds['id']}, similarity double")
     w = W.partitionBy("a").orderBy(F.desc("similarity"), "b")
-    return pairs.filter(F.col("similarity") > min_similarity).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).drop("va", "vb")
+    return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
 def exact_place(rows: DataFrame, places: DataFrame, name: str, region: str) -> DataFrame:
@@ -47,11 +85,17 @@ def exact_place(rows: DataFrame, places: DataFrame, name: str, region: str) -> D
 
 
 def fuzzy_place(rows: DataFrame, places: DataFrame, row_id: str, name: str, region: str, least: float = 88.0) -> DataFrame:
-    """(id, place_code, ratio): the best place of the same region at or above the limit; the first of equals."""
-    pairs = rows.join(dimension(places), rows[region] == places["place_region"])
-    scored = pairs.withColumn("ratio", token_sort_ratio(fold_key(F.col(name)), fold_key(F.col("place_name"))))
-    w = W.partitionBy(row_id).orderBy(F.desc("ratio"), "place_code")
-    return scored.filter(F.col("ratio") >= least).withColumn("_n", F.row_number().over(w)).filter("_n = 1").select(row_id, "place_code", "ratio")
+    """(id, place_code, ratio): the best place of the same region at or above the limit; the first of equals. Each distinct
+    name of a region is compared once, with places whose length allows the ratio."""
+    asked = rows.select(F.col(name).alias("_name"), F.col(region).alias("place_region")).distinct().withColumn("_key", fold_key(F.col("_name")))
+    p = places.select("place_code", "place_region", fold_key(F.col("place_name")).alias("_place"))
+    size = lambda c: F.length(F.trim(F.regexp_replace(c, r"[^\p{L}\p{N}\p{M}]+", " ")))
+    x, y = size("_key"), size("_place")
+    pairs = asked.join(dimension(p), "place_region").filter((F.least(x, y) + 2) * (200 - least) >= F.greatest(x, y) * least)
+    scored = pairs.withColumn("ratio", token_sort_ratio(F.col("_key"), F.col("_place"))).filter(F.col("ratio") >= least)
+    w = W.partitionBy("_name", "place_region").orderBy(F.desc("ratio"), "place_code")
+    best = scored.withColumn("_n", F.row_number().over(w)).filter("_n = 1").select("_name", F.col("place_region").alias("_region"), "place_code", "ratio")
+    return rows.join(best, (rows[name] == best["_name"]) & (rows[region] == best["_region"])).select(rows[row_id], "place_code", "ratio")
 
 
 def best_match(rows: DataFrame, candidates: DataFrame, block: str, row_id: str, name: str, other: str, least: float = 85.0, max_km: float | None = None) -> DataFrame:
@@ -68,13 +112,23 @@ def best_match(rows: DataFrame, candidates: DataFrame, block: str, row_id: str,
 def nearest_place(rows: DataFrame, places: DataFrame, row_id: str, max_km: float, region: str | None = None) -> DataFrame:
     """(id, place_code, km): the nearest place within max_km, of the same region if `region` is given.
 
-    Places and rows meet by cells of max_km's width in latitude, so only neighbours are compared; the first of equals wins.
+    Places and rows meet by cells of max_km's width in latitude and, widened towards the poles, in longitude, so only
+    neighbours are compared; the first of equals wins.
     """
     step = max_km / 111.0
-    cell = lambda lat: F.floor(lat / step).cast("long")
+
+    def across(band):
+        """How many cells of longitude a band of latitude has."""
+        edge = F.least(F.lit(90.0), F.greatest(F.abs(band * step), F.abs((band + 1) * step)) + step)
+        return F.greatest(F.lit(1), F.floor(360 * F.cos(F.radians(edge)) / (1.1 * step))).cast("long")
+
+    band = lambda lat: F.floor(lat / step).cast("long")
+    column = lambda lng, n: F.pmod(F.floor((lng + 180) / 360 * n).cast("long"), n)
     p = places.select("place_code", F.col("place_region").alias("_region"), F.col("place_lat").alias("_lat"), F.col("place_lng").alias("_lng"))
-    p = p.withColumn("_cell", F.explode(F.array(*(cell(F.col("_lat")) + d for d in (-1, 0, 1)))))
-    near = rows.withColumn("_cell", cell(F.col("lat"))).join(dimension(p), "_cell")
+    p = p.withColumn("_band", F.explode(F.array(*(band(F.col("_lat")) + d for d in (-1, 0, 1))))).withColumn("_n", across(F.col("_band")))
+    p = p.withColumn("_cell", F.explode(F.array_distinct(F.array(*(F.pmod(column(F.col("_lng"), F.col("_n")) + d, F.col("_n")) for d in (-1, 0, 1)))))).drop("_n")
+    r = rows.withColumn("_band", band(F.col("lat")))
+    near = r.withColumn("_cell", column(F.col("lng"), across(F.col("_band")))).join(dimension(p), ["_band", "_cell"])
     if region:
         near = near.filter(F.col(region) == F.col("_region"))
     near = near.withColumn("km", haversine_km(F.col("lat"), F.col("lng"), F.col("_lat"), F.col("_lng"))).filter(F.col("km") <= max_km)

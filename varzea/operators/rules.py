@@ -24,16 +24,28 @@ def edge_allowed(spark, moves: DataFrame, before: str = "before", after: str = "
     return moves.join(F.broadcast(e), moves[before].eqNullSafe(e["_a"]) & moves[after].eqNullSafe(e["_b"]), "left").withColumn("allowed", F.coalesce("_ok", F.lit(False))).drop("_a", "_b", "_ok")
 
 
-def admitted(rows: DataFrame, day: str, order: list[str], cap: int) -> DataFrame:
-    """Add `admitted`: the first `cap` rows of each day."""
-    return rows.withColumn("admitted", F.row_number().over(W.partitionBy(day).orderBy(*order)) <= cap)
-
-
-def budget_blocked(rows: DataFrame, day: str, order: list[str], usd: str, budget: float) -> DataFrame:
+def running(rows: DataFrame, day: str, at: str, order: list[str], value: Column, name: str) -> DataFrame:
+    """Add the sum of `value` over the day's rows before each row, in the order (at, *order). Sums by hour come first and are
+    added up over the day, rows in order only within their hour, so that a day of very many rows is no single task."""
+    hour = rows.withColumn("_value", value).withColumn("_hour", F.date_trunc("hour", F.col(at)))
+    sums = hour.groupBy(day, "_hour").agg(F.sum("_value").alias("_sum"))
+    past = lambda w: w.rowsBetween(W.unboundedPreceding, -1)
+    before = sums.select(F.col(day).alias("_day"), F.col("_hour").alias("_at"), F.coalesce(F.sum("_sum").over(past(W.partitionBy(day).orderBy("_hour"))), F.lit(0)).alias("_before"))
+    inside = F.coalesce(F.sum("_value").over(past(W.partitionBy(day, "_hour").orderBy(at, *order))), F.lit(0))
+    d = hour.withColumn("_inside", inside)
+    d = d.join(before, d[day].eqNullSafe(before["_day"]) & d["_hour"].eqNullSafe(before["_at"]))
+    return d.withColumn(name, F.col("_before") + F.col("_inside")).drop("_value", "_hour", "_day", "_at", "_before", "_inside")
+
+
+def admitted(rows: DataFrame, day: str, at: str, order: list[str], cap: int, rejected: Column | None = None) -> DataFrame:
+    """Add `admitted`: the first `cap` rows of each day; a row that is `rejected` gives its place back."""
+    counts = F.lit(1) if rejected is None else F.when(F.coalesce(rejected, F.lit(False)), 0).otherwise(1)
+    return running(rows, day, at, order, counts, "_sent").withColumn("admitted", F.col("_sent") < cap).drop("_sent")
+
+
+def budget_blocked(rows: DataFrame, day: str, at: str, order: list[str], usd: str, budget: float) -> DataFrame:
     """Add spent (before the row, on its day) and blocked (spent + own cost reaches the budget)."""
-    w = W.partitionBy(day).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
-    spent = F.coalesce(F.sum(usd).over(w), F.lit(0))
-    return rows.withColumn("spent", spent).withColumn("blocked", F.col("spent") + F.col(usd) >= budget)
+    return running(rows, day, at, order, F.col(usd), "spent").withColumn("blocked", F.col("spent") + F.col(usd) >= budget)
 
 
 def all_or_nothing(rows: DataFrame, group: str, reason: str) -> DataFrame:

@@ -46,7 +46,7 @@ def all_or_nothing_move(spark: SparkSession, sf_dir: str) -> DataFrame:
 FROM (SELECT *, row_number() OVER (PARTITION BY CAST(ts AS DATE) ORDER BY ts, event_id) AS n FROM events)"""
 )
 def compliance_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = rules.admitted(table(spark, sf_dir, "events").withColumn("day", F.to_date("ts")), "day", ["ts", "event_id"], 300)
+    e = rules.admitted(table(spark, sf_dir, "events").withColumn("day", F.to_date("ts")), "day", "ts", ["event_id"], 300)
     reason = rules.first_reason([("no_phone", F.col("user_id") % 10 == 0), ("quality_red", F.col("event_type") == "error"), ("no_legal_basis", F.col("value") < 5), ("ramp_cap", ~F.col("admitted"))])
     return e.select("event_id", reason.alias("gate_reason"))
 
@@ -54,7 +54,7 @@ def compliance_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT event_id, row_number() OVER (PARTITION BY CAST(ts AS DATE) ORDER BY ts, event_id) <= 100 AS admitted FROM events")
 def daily_ramp(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
-    return rules.admitted(e, "day", ["ts", "event_id"], 100).select("event_id", "admitted")
+    return rules.admitted(e, "day", "ts", ["event_id"], 100).select("event_id", "admitted")
 
 
 @query(
@@ -62,7 +62,7 @@ def daily_ramp(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def budget_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").select("event_id", "ts", F.to_date("ts").alias("day"), F.floor(F.col("value") * 100 + 0.5).alias("cents"))
-    return rules.budget_blocked(e, "day", ["ts", "event_id"], "cents", 500000).select("event_id", "spent", "blocked")
+    return rules.budget_blocked(e, "day", "ts", ["event_id"], "cents", 500000).select("event_id", "spent", "blocked")
 
 
 @query("SELECT o_orderkey, o_orderdate >= TIMESTAMP '2001-09-01 00:00:00' - INTERVAL 90 DAY AS recent FROM orders")
@@ -148,6 +148,8 @@ def failed_payload_ref(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", F.when(F.col("raw").isNotNull() & ~F.col("raw").isin("", "unknown"), F.concat(F.lit("places:"), F.upper("lang"), F.lit(":"), F.col("raw"))).alias("source_ref"))
 
 
-@query("SELECT s_suppkey, least(130, CAST(floor((s_acctbal + 2000) / 0.075) AS INTEGER)) AS n FROM supplier")
+@query("SELECT s_suppkey, CAST(CASE WHEN s_suppkey % 4 = 0 OR s_acctbal <= 0 THEN 0 ELSE least(130, floor(s_acctbal / 1000 / 0.075)) END AS INTEGER) AS n FROM supplier")
 def batch_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "supplier").select("s_suppkey", scalars.batch_size(130, F.col("s_acctbal") + 2000).alias("n"))
+    """Remaining budgets, overdrawn and unknown ones among them."""
+    left = F.when(F.col("s_suppkey") % 4 != 0, F.col("s_acctbal") / 1000)
+    return table(spark, sf_dir, "supplier").select("s_suppkey", scalars.batch_size(130, left).alias("n"))

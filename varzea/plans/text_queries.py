@@ -17,10 +17,10 @@ def name_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("p_partkey", scalars.slug(F.col("p_name")).alias("slug"), scalars.fold_key(F.col("p_name")).alias("fold"))
 
 
-@query("SELECT n_nationkey, upper(n_name[1]) || lower(n_name[2:]) AS name FROM nation WHERE n_name NOT LIKE '% %'")
+@query("SELECT n_nationkey, list_aggregate(list_transform(string_split(n_name, ' '), lambda w: upper(w[1]) || lower(w[2:])), 'string_agg', ' ') AS name FROM nation")
 def title_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = table(spark, sf_dir, "nation").filter("n_name NOT LIKE '% %'")
-    return n.select("n_nationkey", scalars.normalize_name(F.concat(F.lit("  "), F.col("n_name"), F.lit(" "))).alias("name"))
+    n = table(spark, sf_dir, "nation")
+    return n.select("n_nationkey", scalars.normalize_name(F.concat(F.lit("  "), F.regexp_replace("n_name", " ", " \t "), F.lit(" "))).alias("name"))
 
 
 _PHONE = "'+5573' || CASE WHEN c_custkey % 3 = 0 THEN '9' ELSE '3' END || lpad(CAST(c_custkey AS VARCHAR), CASE WHEN c_custkey % 3 = 0 THEN 8 ELSE 7 END, '0')"
@@ -39,16 +39,17 @@ def phones(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("c_custkey", scalars.mask_phone(F.col("p")).alias("masked"), scalars.whatsapp_candidate(F.col("p")).alias("candidate"), parts["mobile"].alias("mobile"), parts["landline"].alias("landline"), scalars.phone_e164(F.col("p")).alias("e164"))
 
 
-@query("SELECT event_id, regexp_replace('call ' || props || ' +55 73 99999-0001 now', '\\+?\\d[\\d\\s().-]{7,}\\d', '[redacted]', 'g')[:500] AS clean FROM events")
+@query("SELECT event_id, ('call ' || props || ' [redacted] now or [redacted].')[:500] AS clean FROM events")
 def scrub_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
-    return e.select("event_id", scalars.scrub(F.concat(F.lit("call "), F.col("props"), F.lit(" +55 73 99999-0001 now"))).alias("clean"))
+    return e.select("event_id", scalars.scrub(F.concat(F.lit("call "), F.col("props"), F.lit(" +55 73 99999-0001 now or (73) 3222.1111."))).alias("clean"))
 
 
-@query("SELECT p_partkey, CASE WHEN p_size <= 0 THEN 0 ELSE floor(least(100.0, 100.0 * ln(1 + p_size::DOUBLE) / ln(501.0)) * 100 + 0.5) / 100 END AS corroboration, CASE WHEN p_size <= 30 THEN 100.0 ELSE 70.0 END::DOUBLE AS recency FROM part")
+@query("SELECT p_partkey, CASE WHEN n IS NULL OR n <= 0 THEN 0.0 ELSE floor(least(100.0, 100.0 * ln(1 + n::DOUBLE) / ln(501.0)) * 100 + 0.5) / 100 END::DOUBLE AS corroboration, CASE WHEN n <= 30 THEN 100.0 WHEN n <= 180 THEN 70.0 WHEN n <= 365 THEN 40.0 WHEN n <= 730 THEN 20.0 ELSE 0.0 END::DOUBLE AS recency FROM (SELECT p_partkey, CASE WHEN p_partkey % 7 <> 0 THEN p_size * 20 - 100 END AS n FROM part)")
 def score_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "part")
-    return p.select("p_partkey", scalars.corroboration_from_reviews(F.col("p_size")).alias("corroboration"), scalars.recency_steps(F.col("p_size")).alias("recency"))
+    """Counts from below zero to a thousand, and none."""
+    p = table(spark, sf_dir, "part").select("p_partkey", F.when(F.col("p_partkey") % 7 != 0, F.col("p_size") * 20 - 100).alias("n"))
+    return p.select("p_partkey", scalars.corroboration_from_reviews(F.col("n")).alias("corroboration"), scalars.recency_steps(F.col("n")).alias("recency"))
 
 
 @query("SELECT o_orderkey, CASE WHEN age <= 30 THEN 100 WHEN age <= 180 THEN 70 WHEN age <= 365 THEN 40 WHEN age <= 730 THEN 20 ELSE 0 END::DOUBLE AS recency FROM (SELECT o_orderkey, date_diff('day', CAST(o_orderdate AS DATE), DATE '2001-09-01') AS age FROM orders)")
@@ -57,9 +58,12 @@ def recency_of_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", scalars.recency_steps(age).alias("recency"))
 
 
-@query("SELECT c_custkey, floor((CASE WHEN c_name <> '' THEN 1 ELSE 0 END + CASE WHEN c_acctbal IS NOT NULL THEN 1 ELSE 0 END + 0)::DOUBLE / 4 * 80 * 100 + 0.5) / 100 AS completeness FROM customer")
+@query("SELECT c_custkey, floor((2 + CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 0 END + CASE WHEN c_custkey % 5 = 0 THEN 1 ELSE 0 END)::DOUBLE / 6 * 80 * 100 + 0.5) / 100 AS completeness FROM customer")
 def completeness_of_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fields = [F.col("c_name"), F.col("c_acctbal"), F.lit(""), F.lit(None)]
+    """A name and a number, an empty text and a null, a text and an array that are filled in some rows."""
+    k = F.col("c_custkey")
+    texts = F.when(k % 5 == 0, F.array(F.lit("x"))).otherwise(F.array().cast("array<string>"))
+    fields = [F.col("c_name"), F.col("c_acctbal") * 0, F.lit(""), F.lit(None), F.when(k % 3 == 0, F.col("c_name")), texts]
     return table(spark, sf_dir, "customer").select("c_custkey", scalars.completeness(fields, 80.0).alias("completeness"))
 
 
@@ -81,14 +85,31 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", (F.length("text") > 160).alias("cut"), scalars.ellipsis(F.col("text")).alias("line"))
 
 
-@query("SELECT n_nationkey, CASE WHEN n_nationkey % 2 = 0 THEN 'daily=09:00-17:00' ELSE 'mon_fri=09:00-17:00;sat=09:00-13:00;sun=closed' END AS hours FROM nation")
+_HOURS = {  # text, and what it is read as (null: not at all)
+    0: ("9:00 AM – 5:00 PM", "09:00-17:00"), 1: ("Closed", "closed"), 2: ("Open 24 hours", "open_24h"), 3: ("24 horas", "open_24h"), 4: ("Fechada", "closed"), 5: ("08:00-12:00, 13:00 — 17:30", "08:00-12:00, 13:00-17:30"),
+    6: ("12:00 AM – 11:59 PM", "00:00-23:59"), 7: ("5 p.m. - 2 a.m.", "17:00-02:00"), 8: ("12:00 PM – 12:30 PM", "12:00-12:30"), 9: ("por agendamento", None), 10: ("25:00-26:00", None), 11: ("13:00 PM – 2:00 PM", None), 12: ("9:60 – 10:00", None),
+}
+_DAY_NAMES = [["Monday", "segunda-feira"], ["Tuesday", "terça-feira"], ["Wednesday", "Quarta"], ["Thursday", "QUINTA FEIRA"], ["Friday", "sexta"], ["Saturday", "sábado"], ["Sunday", "domingo"]]
+_CASE = "CASE {x} " + " ".join(f"WHEN {k} THEN {'NULL' if v is None else repr(v)}" for k, (_, v) in _HOURS.items()) + " END"
+
+
+@query(
+    f"""WITH d AS (SELECT o_orderkey, g, i, {_CASE.format(x='h')} AS h FROM (SELECT o_orderkey, g, i, CASE WHEN (g + i) % 7 < 4 THEN g % 13 WHEN (g + i) % 7 = 4 THEN (g * 3) % 9 ELSE (g * 5) % 9 END AS h FROM (SELECT o_orderkey, CAST(o_orderkey % 97 AS INT) AS g FROM orders), (SELECT unnest(range(0, 7)) AS i))),
+r AS (SELECT *, sum(c) OVER (PARTITION BY o_orderkey ORDER BY i) AS run FROM (SELECT *, CASE WHEN h IS NOT DISTINCT FROM lag(h) OVER (PARTITION BY o_orderkey ORDER BY i) AND i > 0 THEN 0 ELSE 1 END AS c FROM d)),
+k AS (SELECT o_orderkey, min(i) AS a, max(i) AS b, first(h) AS h FROM r GROUP BY o_orderkey, run),
+n AS (SELECT *, ['mon', 'tue', 'wed', 'thu', 'fri', 'sat', 'sun'] AS days FROM k),
+m AS (SELECT o_orderkey, string_agg((CASE WHEN a = 0 AND b = 6 THEN 'daily' WHEN a = b THEN days[a + 1] ELSE days[a + 1] || '_' || days[b + 1] END) || '=' || h, ';' ORDER BY a) AS hours, count(*) = count(h) AS sound FROM n GROUP BY 1)
+SELECT o_orderkey, CASE WHEN sound AND o_orderkey % 11 <> 0 THEN hours END AS hours FROM m"""
+)
 def opening_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
-    same = F.array(*(F.lit(f"{n}: 9:00 AM – 5:00 PM") for n in names))
-    week = F.array(*(F.lit(f"{n}: 9:00 AM – 5:00 PM") for n in names[:5]), F.lit("Saturday: 9:00 AM – 1:00 PM"), F.lit("Sunday: Closed"))
-    d = table(spark, sf_dir, "nation").select("n_nationkey", F.when(F.col("n_nationkey") % 2 == 0, same).otherwise(week).alias("lines"))
+    """Weeks of varied days in two languages, some unreadable; every eleventh lacks a day."""
+    g = (F.col("o_orderkey") % 97).cast("int")
+    texts = F.array(*(F.lit(t) for t, _ in _HOURS.values()))
+    kind = lambda i: F.when((g + i) % 7 < 4, g % 13).when((g + i) % 7 == 4, (g * 3) % 9).otherwise((g * 5) % 9)
+    lines = [F.concat(F.when(g % 2 == 0, names[0]).otherwise(names[1]), F.lit(": "), F.get(texts, kind(i))) for i, names in enumerate(_DAY_NAMES)]
+    d = table(spark, sf_dir, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 11 == 0, F.array(*lines[:6])).otherwise(F.array(*reversed(lines))).alias("lines"))
     m = hours.hours_map(F.col("lines"))
-    return d.select("n_nationkey", F.array_join(F.transform(F.map_entries(m), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";").alias("hours"))
+    return d.select("o_orderkey", F.array_join(F.transform(F.map_entries(m), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";").alias("hours"))
 
 
 @query("SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, len(regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1))::INTEGER AS n_links, regexp_extract(html, 'track\\((\\d+)\\)', 1)::BIGINT AS island FROM pages")

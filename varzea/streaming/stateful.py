@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from varzea.operators.rules import EDGES
@@ -24,16 +25,39 @@ def advance(state: str | None, moves: Iterable[str]) -> tuple[str | None, int, i
     return state, made, ignored
 
 
-def machine_batch(moves: DataFrame, key: str, order: list[str], move: str) -> DataFrame:
-    """(key, state, made, ignored) from a table of moves; ordered per key in arrays of one column, folded in Arrow batches."""
+def fold_sorted(rows: DataFrame, key: str, order: list[str], schema: str, begin: Callable, step: Callable, end: Callable) -> DataFrame:
+    """Fold each key's rows in order. Spark sorts the rows by key and order; a task passes over them in Arrow batches and holds
+    one state only, however many rows a key has. `begin()` makes a state, `step(state, rows)` folds rows of one key,
+    `end(state)` makes the output tuple after the key."""
+
+    names = [f.split(" ")[0] for f in schema.split(", ")]
 
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, state, started = None, None, False
         for pdf in batches:
-            rows = [advance(None, ms) for ms in pdf["moves"]]
-            yield pd.DataFrame({key: pdf[key], "state": [r[0] for r in rows], "made": [r[1] for r in rows], "ignored": [r[2] for r in rows]})
+            done = []
+            for k, part in pdf.groupby(key, sort=False, dropna=False):
+                if not started or k != now:
+                    if started:
+                        done.append((now, *end(state)))
+                    now, state, started = k, begin(), True
+                state = step(state, part)
+            if done:
+                yield pd.DataFrame(done, columns=[key, *names])
+        if started:
+            yield pd.DataFrame([(now, *end(state))], columns=[key, *names])
+
+    return rows.repartition(key).sortWithinPartitions(key, *order).mapInPandas(run, f"{key} {dict(rows.dtypes)[key]}, {schema}")
 
-    ordered = moves.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct(*order, move))), lambda x: x[move]).alias("moves"))
-    return ordered.mapInPandas(fold, f"{key} {dict(moves.dtypes)[key]}, state string, made long, ignored long")
+
+def machine_batch(moves: DataFrame, key: str, order: list[str], move: str) -> DataFrame:
+    """(key, state, made, ignored) from a table of moves."""
+
+    def step(s, part):
+        state, made, ignored = advance(s[0], part[move])
+        return state, s[1] + made, s[2] + ignored
+
+    return fold_sorted(moves.select(key, *order, move), key, order, "state string, made long, ignored long", lambda: (None, 0, 0), step, lambda s: s)
 
 
 def machine_stream(moves: DataFrame, key: str, order: list[str], move: str) -> DataFrame:
@@ -50,28 +74,44 @@ def machine_stream(moves: DataFrame, key: str, order: list[str], move: str) -> D
     return moves.groupBy(key).applyInPandasWithState(fold, out, "state string, made long, ignored long", "update", "NoTimeout")
 
 
-def floored_total(deltas: Iterable[float]) -> float:
-    total = 0.0
-    for d in deltas:
-        total = max(0.0, total + d)
-    return total
+def floored_counters(rows: DataFrame, key: str, at: str, order: list[str], delta: str) -> DataFrame:
+    """Running counters that refunds cannot take below zero, per key (a day). The floored counter is the sum less its least
+    prefix sum below zero; prefix sums are taken within hours and added up over them, so that no key is one task."""
+    d = rows.select(key, at, *order, F.col(delta).alias("_d")).withColumn("_hour", F.date_trunc("hour", F.col(at)))
+    prefix = F.sum("_d").over(W.partitionBy(key, "_hour").orderBy(at, *order).rowsBetween(W.unboundedPreceding, 0))
+    hours = d.withColumn("_p", prefix).groupBy(key, "_hour").agg(F.sum("_d").alias("_sum"), F.min("_p").alias("_least"))
+    before = F.coalesce(F.sum("_sum").over(W.partitionBy(key).orderBy("_hour").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    least = hours.withColumn("_least", before + F.col("_least")).groupBy(key).agg(F.sum("_sum").alias("_sum"), F.min("_least").alias("_least"))
+    return least.select(key, (F.col("_sum") - F.least(F.lit(0), F.col("_least"))).alias("total"))
 
 
-def floored_counters(rows: DataFrame, key: str, order: list[str], delta: str) -> DataFrame:
-    """Running counters that refunds cannot take below zero, per key (a day): folded in order inside one expression."""
-    deltas = F.transform(F.array_sort(F.collect_list(F.struct(*order, F.col(delta).alias("_d")))), lambda x: x["_d"].cast("double"))
-    return rows.groupBy(key).agg(F.aggregate(deltas, F.lit(0.0), lambda a, d: F.greatest(F.lit(0.0), a + d)).alias("total"))
+def window_limit(state: tuple[float, int, int, int], times: Iterable[float], seconds: int, most: int) -> tuple[float, int, int, int]:
+    """(begin, hits, admitted, refused) after further hits: a window starts at the first hit after the last window's end."""
+    begin, n, ok, no = state
+    for t in times:
+        begin, n = (t, 1) if t - begin >= seconds else (begin, n + 1)
+        ok, no = (ok + 1, no) if n <= most else (ok, no + 1)
+    return begin, n, ok, no
 
 
 def fixed_window_limit(rows: DataFrame, key: str, at: str, seconds: int = 60, most: int = 10) -> DataFrame:
-    """(key, admitted, refused): windows start at the first hit after the last window's end, unlike tumbling windows."""
-    start = F.struct(F.lit(-1.0e18).alias("begin"), F.lit(0).alias("n"), F.lit(0).alias("ok"), F.lit(0).alias("no"))
+    """(key, admitted, refused)."""
+    timed = rows.select(key, F.col(at).cast("double").alias("_at"))
+    return fold_sorted(timed, key, ["_at"], "admitted long, refused long", lambda: (float("-inf"), 0, 0, 0), lambda s, part: window_limit(s, part["_at"], seconds, most), lambda s: (s[2], s[3]))
 
-    def step(s, t):
-        fresh = t - s["begin"] >= seconds
-        n = F.when(fresh, 1).otherwise(s["n"] + 1)
-        return F.struct(F.when(fresh, t).otherwise(s["begin"]).alias("begin"), n.alias("n"), (s["ok"] + F.when(n <= most, 1).otherwise(0)).alias("ok"), (s["no"] + F.when(n > most, 1).otherwise(0)).alias("no"))
 
-    times = F.array_sort(F.collect_list(F.col(at).cast("double")))
-    folded = rows.groupBy(key).agg(F.aggregate(times, start, step).alias("s"))
-    return folded.select(key, F.col("s.ok").cast("long").alias("admitted"), F.col("s.no").cast("long").alias("refused"))
+def window_limit_stream(rows: DataFrame, key: str, at: str, seconds: int = 60, most: int = 10) -> DataFrame:
+    """The same over a stream; the state of a key that has been silent for a day goes."""
+
+    def fold(group, batches, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        s = window_limit(state.get if state.exists else (float("-inf"), 0, 0, 0), sorted(float(t) for b in batches for t in b["_at"]), seconds, most)
+        state.update(s)
+        state.setTimeoutDuration(86_400_000)
+        yield pd.DataFrame({key: [group[0]], "admitted": [s[2]], "refused": [s[3]]})
+
+    timed = rows.select(key, F.col(at).cast("double").alias("_at"))
+    out = f"{key} {dict(rows.dtypes)[key]}, admitted long, refused long"
+    return timed.groupBy(key).applyInPandasWithState(fold, out, "begin double, n long, ok long, no long", "update", "ProcessingTimeTimeout")

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from varzea.operators.rules import EDGES
 from varzea.plans.bindings import table
 from varzea.plans.registry import query
 from varzea.streaming import stateful
@@ -23,65 +25,95 @@ def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parquet*")
 
 
-def run_to_end(rows: DataFrame, mode: str) -> DataFrame:
-    """Every micro-batch is written to the shared folder with its number; complete mode returns the last one."""
+def run_to_end(rows: DataFrame, mode: str, keys: list[str] | None = None, good: Column | None = None) -> DataFrame:
+    """Every micro-batch is written to the shared folder with its number. In update mode the last row of each key is
+    returned. With `good`, rows that fail it are written aside, and come back with `aside` true."""
     spark = rows.sparkSession
     base = f"{shared_dir(spark)}/varzea-stream-{uuid.uuid4().hex}"
+    atexit.register(delete_path, spark, base)
 
     def sink(batch: DataFrame, number: int) -> None:
-        batch.withColumn("_batch", F.lit(number)).write.mode("overwrite").parquet(f"{base}/out/batch={number}")
+        parts = {"out": batch} if good is None else {"out": batch.filter(good), "aside": batch.filter(~F.coalesce(good, F.lit(False)))}
+        for name, part in parts.items():
+            part.withColumn("_batch", F.lit(number)).write.mode("overwrite").parquet(f"{base}/{name}/batch={number}")
 
     q = rows.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
     q.awaitTermination()
     out = spark.read.parquet(f"{base}/out").drop("batch")
-    if mode == "complete":
-        last = out.agg(F.max("_batch").alias("m")).first()["m"]
-        out = out.filter(F.col("_batch") == last)
-    return out
+    if good is not None:
+        aside = spark.read.parquet(f"{base}/aside").drop("batch")
+        return out.withColumn("aside", F.lit(False)).unionByName(aside.withColumn("aside", F.lit(True))).drop("_batch")
+    if mode == "update":
+        rest = [c for c in out.columns if c not in (*keys, "_batch")]
+        out = out.groupBy(*keys).agg(*(F.max_by(c, "_batch").alias(c) for c in rest))
+    return out.drop("_batch")
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Best effort: when the driver ends the JVM may be gone already."""
+    try:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    except Exception:  # noqa: BLE001
+        pass
 
 
 @query("SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def stream_daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tumbling days with a watermark of one day."""
+    """Tumbling days; a day's state goes a day after its end, by the watermark."""
     e = stream(spark, sf_dir, "events").withColumn("at", F.col("ts").cast("timestamp")).withWatermark("at", "1 day")
-    n = e.groupBy(F.to_date("ts").alias("d"), "event_type").agg(F.count("*").alias("n"))
-    return run_to_end(n, "complete").select(F.date_format("d", "yyyy-MM-dd").alias("day"), "event_type", "n")
+    n = e.groupBy(F.window("at", "1 day").alias("w"), "event_type").agg(F.count("*").alias("n")).select(F.date_format("w.start", "yyyy-MM-dd").alias("day"), "event_type", "n")
+    return run_to_end(n, "update", ["day", "event_type"]).select("day", "event_type", "n")
 
 
 @query("SELECT DISTINCT user_id, event_type FROM events")
 def stream_events_once(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each (reference, stage) passes once, whatever micro-batch it comes in."""
-    e = stream(spark, sf_dir, "events").select("user_id", "event_type").dropDuplicates(["user_id", "event_type"])
-    return run_to_end(e, "append").select("user_id", "event_type")
+    """Each (reference, stage) passes once within the watermark of 31 days; older state goes."""
+    e = stream(spark, sf_dir, "events").select("user_id", "event_type", F.col("ts").cast("timestamp").alias("at")).withWatermark("at", "31 days")
+    return run_to_end(e.dropDuplicatesWithinWatermark(["user_id", "event_type"]), "append").select("user_id", "event_type")
 
 
-@query("SELECT event_id, value FROM events WHERE event_type <> 'error'")
+@query("SELECT event_id, value, event_type = 'error' OR event_type IS NULL AS aside FROM events")
 def stream_good_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-row isolation: failed rows go aside, the rest passes on."""
-    e = stream(spark, sf_dir, "events").filter("event_type <> 'error'").select("event_id", "value")
-    return run_to_end(e, "append").select("event_id", "value")
+    return run_to_end(stream(spark, sf_dir, "events"), "append", good=F.col("event_type") != "error").select("event_id", "value", "aside")
 
 
 _MOVE = "CASE event_id % 7 WHEN 0 THEN 'discovered' WHEN 1 THEN 'signals' WHEN 2 THEN 'contacts' WHEN 3 THEN 'awaiting' WHEN 4 THEN 'approved' WHEN 5 THEN 'rejected' ELSE 'outreach' END"
 
 
-@query()
+_EDGES = " OR ".join(f"(s.st {'IS NULL' if a is None else f'= {a!r}'} AND m.mv = {b!r})" for a, b in EDGES)
+_STATE = "{{'st': CAST({st} AS VARCHAR), 'mv': CAST({mv} AS VARCHAR), 'made': CAST({made} AS BIGINT), 'ignored': CAST({ignored} AS BIGINT)}}"
+
+
+@query(
+    f"""SELECT user_id, z.st AS state, z.made AS made, z.ignored AS ignored FROM (SELECT user_id, list_reduce(list_prepend({_STATE.format(st='NULL', mv='NULL', made=0, ignored=0)}, list({_STATE.format(st='NULL', mv='mv', made=0, ignored=0)} ORDER BY ts, event_id)),
+ lambda s, m: CASE WHEN {_EDGES} THEN {_STATE.format(st='m.mv', mv='NULL', made='s.made + 1', ignored='s.ignored')} ELSE {_STATE.format(st='s.st', mv='NULL', made='s.made', ignored='s.ignored + 1')} END) AS z FROM (SELECT *, {_MOVE} AS mv FROM events) GROUP BY 1)"""
+)
 def state_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Guarded moves per reference, folded in order of time (order-dependent: no SQL)."""
+    """Guarded moves per reference, folded in order of time."""
     e = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", F.expr(_MOVE).alias("move"))
     return stateful.machine_batch(e, "user_id", ["ts", "event_id"], "move")
 
 
-@query()
+@query(
+    """SELECT day, CAST(list_reduce(list_prepend(CAST(0 AS BIGINT), list(delta ORDER BY ts, event_id)), lambda a, d: greatest(0, a + d)) AS BIGINT) AS total FROM
+ (SELECT *, strftime(ts, '%Y-%m-%d') AS day, CAST(CASE WHEN event_type = 'error' THEN -3 ELSE 1 END * CAST(floor(value * 100 + 0.5) AS BIGINT) AS BIGINT) AS delta FROM events) GROUP BY 1"""
+)
 def floored_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily counters with refunds, never below zero (order-dependent: no SQL)."""
-    e = table(spark, sf_dir, "events").select("ts", "event_id", F.to_date("ts").cast("string").alias("day"), F.when(F.col("event_type") == "error", -F.col("value") * 3).otherwise(F.col("value")).alias("delta"))
-    return stateful.floored_counters(e, "day", ["ts", "event_id"], "delta")
+    """Daily counters of cents with refunds, never below zero."""
+    cents = F.floor(F.col("value") * 100 + 0.5)
+    e = table(spark, sf_dir, "events").select("ts", "event_id", F.date_format("ts", "yyyy-MM-dd").alias("day"), F.when(F.col("event_type") == "error", cents * -3).otherwise(cents).alias("delta"))
+    return stateful.floored_counters(e, "day", "ts", ["event_id"], "delta")
 
 
-@query()
+@query(
+    """SELECT user_id, CAST(z.ok AS BIGINT) AS admitted, CAST(z.no AS BIGINT) AS refused FROM (SELECT user_id, list_reduce(list({'b': hit, 'n': 1, 'ok': 1, 'no': 0} ORDER BY hit),
+ lambda s, t: CASE WHEN t.b - s.b >= 86400 THEN {'b': t.b, 'n': 1, 'ok': s.ok + 1, 'no': s.no} WHEN s.n < 10 THEN {'b': s.b, 'n': s.n + 1, 'ok': s.ok + 1, 'no': s.no} ELSE {'b': s.b, 'n': s.n + 1, 'ok': s.ok, 'no': s.no + 1} END) AS z
+ FROM (SELECT user_id, CAST(floor(epoch(ts)) AS BIGINT) AS hit FROM events) GROUP BY 1)"""
+)
 def rate_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ten hits a day from the first hit on (order-dependent: no SQL)."""
+    """Ten hits a day from the first hit on."""
     e = table(spark, sf_dir, "events").select("user_id", F.unix_timestamp(F.col("ts").cast("timestamp")).alias("at"))
     return stateful.fixed_window_limit(e, "user_id", "at", 86400, 10)
 
