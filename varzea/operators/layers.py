@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from varzea.operators.gates import recent
+from varzea.operators.records import canonical_map
+
 
 def version_chain(rows: DataFrame, key: list[str], order: list[str], row_id: str = "id") -> DataFrame:
     """Version numbers and the pointer to the next version, per key."""
@@ -79,3 +82,20 @@ def quarantine(rows: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, Da
     broken = F.filter(F.array(*(F.when(~F.coalesce(ok, F.lit(False)), name) for name, ok in rules.items())), lambda x: x.isNotNull())
     judged = rows.withColumn("broken_rules", broken)
     return judged.filter(F.size("broken_rules") == 0).drop("broken_rules"), judged.filter(F.size("broken_rules") > 0)
+
+
+def content_key(canonical: Column, *more: Column) -> Column:
+    """A hash of a map's entries in order of their keys, and of further columns."""
+    return F.sha2(F.to_json(F.struct(F.array_sort(F.map_entries(canonical)).alias("entries"), *more)), 256)
+
+
+def promote_records(rows: DataFrame, canonical: DataFrame, now: Column) -> DataFrame:
+    """Add routing, dlq_reason, canonical, content and version to (entity_type, source_ref, normalized, score, newest_review) rows:
+    attractions without a review of the last 90 days go to review, what is equal to its active version gets none, else a
+    new version follows the active one."""
+    held = (F.col("entity_type") == "attraction") & ~recent(F.col("newest_review"), now, 90)
+    d = rows.withColumn("routing", F.when(held, "dlq").otherwise("mar")).withColumn("dlq_reason", F.when(held, "no_recent_reviews"))
+    d = d.withColumn("canonical", F.when(~held, canonical_map(F.col("normalized")))).withColumn("content", F.when(~held, content_key(F.col("canonical"), F.col("score"))))
+    last = active(canonical).select("source_ref", F.col("content").alias("_content"), F.col("version").alias("_version"))
+    new = ~held & ~F.col("content").eqNullSafe(F.col("_content"))
+    return d.join(last, "source_ref", "left").withColumn("version", F.when(new, F.coalesce("_version", F.lit(0)) + 1)).drop("_content", "_version")

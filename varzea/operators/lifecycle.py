@@ -135,8 +135,8 @@ def reaped(rows: DataFrame, gone: DataFrame, now: Column) -> DataFrame:
 def collected(rows: DataFrame, results: DataFrame) -> DataFrame:
     """Rows after their results: a result counts only while the row bears its batch's stamp, and clears it. What was billed
     (succeeded, errored) costs an attempt unless it brought a text, what was not (expired, canceled) an expiry."""
-    r = results.select("id", F.col("batch_id").alias("_batch"), "type", "text").dropDuplicates(["id", "_batch"])
-    d = rows.join(r, (rows["id"] == r["id"]) & (rows["batch_id"] == r["_batch"]), "left").drop(r["id"])
+    r = results.select(F.col("id").alias("_id"), F.col("batch_id").alias("_batch"), "type", "text").dropDuplicates(["_id", "_batch"])
+    d = rows.join(r, (F.col("id") == F.col("_id")) & (F.col("batch_id") == F.col("_batch")), "left")
     hit, got = F.col("_batch").isNotNull(), F.coalesce(F.col("text"), F.lit("")) != ""
     billed = F.col("type").isin("succeeded", "errored")
     done = F.coalesce(hit & (F.col("type") == "succeeded") & got, F.lit(False))

@@ -155,3 +155,9 @@ def code_diff(new: DataFrame, old: DataFrame, code: str, name: str) -> DataFrame
 def missing_parents(children: DataFrame, parents: DataFrame, key: str) -> DataFrame:
     """Keys of parents that children refer to and that do not exist yet."""
     return children.filter(F.col(key).isNotNull()).select(key).distinct().join(parents.select(key), key, "left_anti")
+
+
+def pair_candidates(rows: DataFrame, block: list[str]) -> DataFrame:
+    """(block, candidates): how many pairs each block holds, whatever is made of them later."""
+    n = F.count("*")
+    return rows.groupBy(*block).agg((n * (n - 1) / 2).cast("long").alias("candidates"))

@@ -176,9 +176,9 @@ def distinct_in_flight(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").filter(~F.col("source").isin("src0", "src1")).select("source").distinct()
 
 
-@query("SELECT sources, count(*) AS n FROM (SELECT lang, quality, string_agg(DISTINCT source, ',' ORDER BY source) AS sources FROM documents JOIN labels USING (doc_id) WHERE source IN ('src0', 'src1', 'src2') GROUP BY 1, 2) GROUP BY 1")
+@query("SELECT sources, count(*) AS n FROM (SELECT lang, quality, string_agg(DISTINCT source, ',' ORDER BY source) AS sources FROM documents JOIN labels USING (doc_id) GROUP BY 1, 2) GROUP BY 1")
 def source_combinations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id").filter(F.col("source").isin("src0", "src1", "src2"))
+    d = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
     sets = d.groupBy("lang", "quality").agg(F.array_join(F.array_sort(F.collect_set("source")), ",").alias("sources"))
     return sets.groupBy("sources").agg(F.count("*").alias("n"))
 
@@ -192,11 +192,11 @@ def index_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT p_partkey, (a + b + c)::DOUBLE / 3 AS mean_rank FROM (SELECT p_partkey, row_number() OVER (ORDER BY p_size DESC, p_partkey) AS a, row_number() OVER (ORDER BY p_retailprice DESC, p_partkey) AS b, row_number() OVER (ORDER BY p_name, p_partkey) AS c FROM part WHERE p_brand = 'Brand#11')"""
+    """SELECT p_partkey, (a + b + c)::DOUBLE / 3 AS mean_rank FROM (SELECT p_partkey, row_number() OVER (PARTITION BY p_brand ORDER BY p_size DESC, p_partkey) AS a, row_number() OVER (PARTITION BY p_brand ORDER BY p_retailprice DESC, p_partkey) AS b, row_number() OVER (PARTITION BY p_brand ORDER BY p_name, p_partkey) AS c FROM part)"""
 )
 def engagement_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean of three ranks within a brand's parts."""
-    d, w = table(spark, sf_dir, "part").filter("p_brand = 'Brand#11'"), W.partitionBy("p_brand")
+    d, w = table(spark, sf_dir, "part"), W.partitionBy("p_brand")
     ranks = [F.row_number().over(w.orderBy(*o)) for o in ((F.desc("p_size"), "p_partkey"), (F.desc("p_retailprice"), "p_partkey"), ("p_name", "p_partkey"))]
     return d.select("p_partkey", ((ranks[0] + ranks[1] + ranks[2]) / F.lit(3.0)).alias("mean_rank"))
 

@@ -16,10 +16,10 @@ _KM = "2 * 6371.0 * atan2(sqrt({a}), sqrt(1 - {a}))".format(
 )
 
 
-@query("SELECT o.o_orderkey AS o_orderkey, l.l_linenumber AS l_linenumber FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey WHERE o.o_orderstatus = 'P'")
+@query("SELECT o.o_orderkey AS o_orderkey, l.l_linenumber AS l_linenumber FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey")
 def working_with_all_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per working row and canonical version, also without a version."""
-    o, li = table(spark, sf_dir, "orders").filter("o_orderstatus = 'P'"), table(spark, sf_dir, "lineitem")
+    o, li = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
     return o.join(li, F.col("o_orderkey") == F.col("l_orderkey"), "left").select("o_orderkey", "l_linenumber")
 
 
