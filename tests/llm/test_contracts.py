@@ -108,3 +108,23 @@ def test_items_beyond_their_bound_are_found(spark, monkeypatch):
         keyed = d.with_row(frames[0])
         found = d.containment(keyed, frames[1]).join(keyed.select("row", "doc_id"), "row")
         assert sorted((r["doc_id"], r["item_id"], r["shared"], r["size"]) for r in found.collect()) == want
+
+
+@pytest.mark.parametrize("blocks", [6, 7, 9])
+def test_links_of_any_ids_and_cuts(spark, monkeypatch, blocks):
+    """Ids near the ends of their range, and longer keys: the same components as by comparing all pairs."""
+    import random
+
+    from varzea.llm import simhash
+
+    rng = random.Random(blocks)
+    base = [rng.getrandbits(64) for _ in range(30)]
+    prints = [b ^ sum(1 << x for x in rng.sample(range(64), k)) for b in base for k in (0, 2, 4, 5, 7)]
+    prints += prints[:20]
+    ids = [rng.choice([0, 1 << 62, (1 << 63) - 1, -(1 << 63)]) + rng.choice([1, -1]) * 0 if rng.random() < 0.1 else rng.randrange(-(1 << 62), 1 << 62) for _ in prints]
+    rows = [(i, f - (1 << 64) if f >> 63 else f) for i, f in zip(ids, prints)]
+    monkeypatch.setattr(simhash, "fingerprints", lambda docs: docs)
+    monkeypatch.setattr(simhash, "cuts", lambda n: [(64 * i // blocks, 64 * (i + 1) // blocks - 64 * i // blocks) for i in range(blocks)])
+    got = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, fp long")).collect()
+    want = sorted((i, f, c) for (i, f), c in zip(rows, brute.components(list(zip(ids, prints)))))
+    assert sorted((r["doc_id"], r["fp"], r["component_id"]) for r in got) == want

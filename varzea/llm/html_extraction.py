@@ -31,10 +31,11 @@ from varzea.llm.common import bounded_sample, fields_of, hide, show, table
 
 PATH_DIM, WORD_DIM, STATS, HIDDEN = 128, 32, 10, 16
 DIM = PATH_DIM + WORD_DIM + STATS
-MAX_TRAIN, MAX_TRAIN_CHARS, COMPOSED, EPOCHS, BATCH, RATE, MAX_STEPS = 300, 100_000, 900, 6, 24, 0.01, 160
+#: bounds of the training sample: pages of the table, characters and blocks of each; composed pages
+MAX_TRAIN, MAX_TRAIN_CHARS, MAX_TRAIN_BLOCKS, COMPOSED, EPOCHS, BATCH, RATE = 300, 1_000_000, 500, 900, 6, 24, 0.01
 # Elements that end a block, elements whose content is no text, void elements.
 BLOCKS = set("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
-OPAQUE = set("script style template noscript title svg math iframe object canvas audio video textarea select button option datalist".split())
+OPAQUE = set("script style template noscript title svg iframe object canvas audio video textarea select button option datalist".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -42,13 +43,64 @@ _NAME = re.compile(r"[a-z]+")
 _CLOSE = {t: re.compile(rf"</{t}\s*>", re.I) for t in OPAQUE}
 
 
-def blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
-    """(path tokens, text, characters of link text) of the leaf blocks in page order."""
-    out: list[tuple[tuple[str, ...], str, int]] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+# Tags and class words that mark what is no main text, and what is.
+SIDE_TAGS = set("nav aside footer header form menu dialog".split())
+SIDE_WORDS = set(
+    "ad ads advert advertisement banner promo sponsor sponsored cookie consent notice alert popup modal newsletter subscribe nav navbar menu breadcrumb breadcrumbs sidebar widget related share social comments comment reply respond footer header masthead pagination pager login signup search toolbar copyright legal tags meta".split()
+)
+MAIN_TAGS, MAIN_WORDS = ("article", "main"), "content article post entry story body text main".split()
+
+
+class Path:
+    """The open tags above a block, a link to the tag above each: tags that are nested very deeply cost no more than others.
+    `inside` and `beside` are what the teacher reads off the path; `sum` adds up the tokens' hashed slots."""
+
+    __slots__ = ("above", "tokens", "inside", "beside", "sum")
+
+    def __init__(self, above: Path | None, tokens: tuple[str, ...]):
+        self.above, self.tokens, self.sum = above, tokens, None
+        self.inside, self.beside = (above.inside, above.beside) if above else (False, False)
+        for t in tokens:
+            if t in MAIN_TAGS:
+                self.inside, self.beside = True, False
+            elif t in SIDE_TAGS or (t[0] == "." and t[1:] in SIDE_WORDS):
+                self.beside = True
+
+    def last(self, n: int) -> list[str]:
+        """The last n tokens."""
+        out: list[str] = []
+        at = self
+        while at and len(out) < n:
+            out = [*at.tokens, *out]
+            at = at.above
+        return out[-n:]
+
+    def vector(self) -> np.ndarray:
+        """The sum over all tokens; worked out from the nearest path above that has it."""
+        todo, at = [], self
+        while at and at.sum is None:
+            todo.append(at)
+            at = at.above
+        total = at.sum if at else np.zeros(PATH_DIM, dtype=np.float32)
+        for p in reversed(todo):
+            if p.tokens:
+                total = total.copy()
+                for t in p.tokens:
+                    slot, sign = path_slot(t)
+                    total[slot] += sign
+            p.sum = total
+        return total
+
+
+def blocks(page: str) -> list[tuple[Path, str, int]]:
+    """(path, text, characters of link text) of the leaf blocks in page order."""
+    out: list[tuple[Path, str, int]] = []
+    root = Path(None, ())
+    stack: list[tuple[str, Path]] = []
+    is_open: Counter[str] = Counter()
     text: list[str] = []
-    linked, in_link, at, begun = 0, 0, 0, False
-    path: tuple[str, ...] = ()
+    linked, at, begun = 0, 0, False
+    path = root
 
     def flush():
         nonlocal text, linked, begun
@@ -58,18 +110,29 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
         text, linked, begun = [], 0, False
 
     def pop(to: int):
-        nonlocal in_link
-        in_link -= sum(t == "a" for t, _ in stack[to:])
+        for name, _ in stack[to:]:
+            is_open[name] -= 1
         del stack[to:]
 
+    def close(names: tuple[str, ...], until: tuple[str, ...], deepest: int | None = None):
+        """Close the nearest open one of `names`, unless one of `until` is nearer."""
+        if not any(is_open[n] for n in names):
+            return
+        for i in range(len(stack) - 1, -1 if deepest is None else max(-1, len(stack) - 1 - deepest), -1):
+            if stack[i][0] in names:
+                pop(i)
+                return
+            if stack[i][0] in until:
+                return
+
     while True:
         m = _TOKEN.search(page, at)
         piece = page[at : m.start()] if m else page[at:]
         if piece:
             if not begun and not piece.isspace():
-                path, begun = tuple(x for _, tokens in stack for x in tokens), True
+                path, begun = stack[-1][1] if stack else root, True
             text.append(piece)
-            linked += len(piece) if in_link else 0
+            linked += len(piece) if is_open["a"] else 0
         if not m:
             break
         at = m.end()
@@ -87,28 +150,15 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
         elif name in ("br", "img", "input"):
             text.append(" ")
         if closing:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    pop(i)
-                    break
-                if stack[i][0] in ("td", "table", "article", "body") and name not in BLOCKS:
-                    break
+            close((name,), () if name in BLOCKS else ("td", "table", "article", "body"))
         elif name not in VOID and not attrs.rstrip().endswith("/"):
             if name in BLOCKS:  # a new block ends an open paragraph and what is in it
-                for i in range(len(stack) - 1, max(-1, len(stack) - 12), -1):
-                    if stack[i][0] == "p":
-                        pop(i)
-                        break
+                close(("p",), (), 11)
             if name == "li":
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] in ("ul", "ol"):
-                        break
-                    if stack[i][0] == "li":
-                        pop(i)
-                        break
+                close(("li",), ("ul", "ol"))
             words = [w for a in _ATTR.findall(attrs) for w in _NAME.findall("".join(a[1:]).lower())]
-            stack.append((name, (name, *(f".{w}" for w in words))))
-            in_link += name == "a"
+            stack.append((name, Path(stack[-1][1] if stack else root, (name, *(f".{w}" for w in words)))))
+            is_open[name] += 1
     flush()
     return out
 
@@ -121,18 +171,24 @@ def _slot(token: str, size: int) -> tuple[int, float]:
 _slots: dict[str, tuple[int, float]] = {}
 
 
-def vectors(page: list[tuple[tuple[str, ...], str, int]]) -> np.ndarray:
-    """A row for each block."""
+def path_slot(token: str) -> tuple[int, float]:
+    at = _slots.get(token)
+    if at is None:
+        at = _slot(token, PATH_DIM)
+        if len(_slots) < 50_000:
+            _slots[token] = at
+    return at
+
+
+def vectors(page: list[tuple[Path, str, int]]) -> np.ndarray:
+    """A row for each block. Of the path's tokens the last three count fully, the others less."""
     x = np.zeros((len(page), DIM), dtype=np.float32)
     for i, (path, text, linked) in enumerate(page):
         row = x[i]
-        for depth, token in enumerate(path):
-            at = _slots.get(token)
-            if at is None:
-                at = _slot(token, PATH_DIM)
-                if len(_slots) < 50_000:
-                    _slots[token] = at
-            row[at[0]] += at[1] * (1.0 if depth >= len(path) - 3 else 0.7)
+        row[:PATH_DIM] = 0.7 * path.vector()
+        for token in path.last(3):
+            slot, sign = path_slot(token)
+            row[slot] += 0.3 * sign
         words = text.split(" ")
         for w, times in Counter(text.lower().split(" ")).items():
             h = xxhash.xxh64_intdigest(w, 3)
@@ -246,10 +302,10 @@ def train(pages: list[np.ndarray], labels: list[np.ndarray], epochs: int = EPOCH
         order = rng.permutation(len(pages))
         for i in range(0, len(order), BATCH):
             b = order[i : i + BATCH]
-            x, mask = padded([pages[j][:MAX_STEPS] for j in b])
+            x, mask = padded([pages[j] for j in b])
             y = np.zeros_like(mask)
             for r, j in enumerate(b):
-                y[r, : len(labels[j][:MAX_STEPS])] = labels[j][:MAX_STEPS]
+                y[r, : len(labels[j])] = labels[j]
             step += 1
             for k, g in model.gradients(x, mask, y).items():
                 g = g / max(1.0, float(np.linalg.norm(g)))
@@ -259,21 +315,9 @@ def train(pages: list[np.ndarray], labels: list[np.ndarray], epochs: int = EPOCH
     return model
 
 
-# Tags and class words that mark what is no main text, and what is.
-SIDE_TAGS = set("nav aside footer header form menu dialog".split())
-SIDE_WORDS = set(
-    "ad ads advert advertisement banner promo sponsor sponsored cookie consent notice alert popup modal newsletter subscribe nav navbar menu breadcrumb breadcrumbs sidebar widget related share social comments comment reply respond footer header masthead pagination pager login signup search toolbar copyright legal tags meta".split()
-)
-MAIN_TAGS, MAIN_WORDS = ("article", "main"), "content article post entry story body text main".split()
-
-
-def teacher(path: tuple[str, ...]) -> float | None:
+def teacher(path: Path) -> float | None:
     """The label by semantic tags: 1 in an article, 0 beside it, None where the tags do not say."""
-    inside = max((i for i, t in enumerate(path) if t in MAIN_TAGS), default=-1)
-    beside = any(t in SIDE_TAGS or (t[0] == "." and t[1:] in SIDE_WORDS) for t in path[inside + 1 :])
-    if beside:
-        return 0.0
-    return 1.0 if inside >= 0 else None
+    return 0.0 if path.beside else 1.0 if path.inside else None
 
 
 def compose(rng: np.random.Generator, pool: list[str]) -> tuple[str, list[int]]:
@@ -290,6 +334,9 @@ def compose(rng: np.random.Generator, pool: list[str]) -> tuple[str, list[int]]:
         y.extend(labels)
 
     def attribute(w: str) -> str:
+        if chance(0.3):  # names that say nothing: the block's text and its place must tell
+            w = word([f"c{rng.integers(99)}", "row", "col", "inner", "block", "section", "css", "grid"])
+            return f' class="{w}"' if chance(0.7) else ""
         return word([f' class="{w}"', f' id="{w}"', f' class="{w}-{word(["box", "wrap", "list", "top", "main", "area"])}"', f" class='{w} {word(['left', 'clear', 'col'])}'"])
 
     def menu(tag: str):
@@ -360,7 +407,8 @@ def compose(rng: np.random.Generator, pool: list[str]) -> tuple[str, list[int]]:
 
 
 def fit(pages: DataFrame, key: str = "page_id", html: str = "html", max_train: int = MAX_TRAIN, composed: int = COMPOSED) -> Labeller:
-    """Train on tagged pages of the table and on composed ones. `max_train` pages of up to MAX_TRAIN_CHARS reach the driver."""
+    """Train on tagged pages of the table and on composed ones. About `max_train` pages, of up to MAX_TRAIN_CHARS characters and
+    MAX_TRAIN_BLOCKS blocks, reach the driver; longer ones are no training pages."""
     usable = pages.filter(F.length(html) <= MAX_TRAIN_CHARS)
     rows = bounded_sample(usable, key, max_train).select(key, html).toPandas().sort_values([key, html])
     rng = np.random.default_rng(17)
@@ -369,7 +417,7 @@ def fit(pages: DataFrame, key: str = "page_id", html: str = "html", max_train: i
         found = blocks(page)
         said = [teacher(path) for path, _, _ in found]
         pool += [htmllib.escape(t, quote=False) for (_, t, _), s in zip(found, said) if s == 1.0 and " " in t][:40]
-        if found and None not in said:
+        if found and None not in said and len(found) <= MAX_TRAIN_BLOCKS:
             x.append(vectors(found))
             y.append(np.array(said, dtype=np.float32))
     pool = pool or [" ".join(w.capitalize() if i == 0 else w for i, w in enumerate("the house by the river was built when the old bridge fell".split())) + "."]

@@ -8,8 +8,8 @@ little about the domain (chi-square under MIN_CHI2) are left out. It gives every
 Rates r_d >= 0 then minimise the squared distance of the totals sum_d r_d t_d q_dk from T_k, where t_d are a document's words and T_k the
 target totals, by projected gradient: each round aggregates the expected totals of all documents (a few numbers reach
 the driver) and every document's rate follows from the residuals so far, r <- clip(r - sum_k q_dk e_k), starting
-from 1 (e is the scaled residual, see fit_rates). Rates have no upper bound unless `max_rate` is given; the distance that
-a bound leaves is left.
+from 1 (e is the scaled residual, see fit_rates). Rates have no upper bound unless `max_rate` is given. Targets that no rates
+reach, be it for such a bound or since all posteriors are soft, are come as near to as possible, and the driver logs the distance.
 
 Defined cases: null text has no words, prior posteriors and a rate without effect; domains without labelled rows have
 posterior 0, and a domain whose expected words are exactly 0 cannot have its target: the other targets are scaled up; without any labels all rates are 1 and the
@@ -19,6 +19,7 @@ those that have the name of a result are replaced by it.
 
 from __future__ import annotations
 
+import logging
 import math
 import sys
 
@@ -147,6 +148,8 @@ def fit_rates(soft: DataFrame, targets: dict[str, float], max_rate: float | None
         off = mass - want
         distance = float(np.abs(off).max())
         if distance < TOLERANCE or len(history) >= ROUNDS or abs(last - distance) < TOLERANCE / 100:
+            if distance >= 10 * TOLERANCE:
+                logging.getLogger(__name__).warning("targets are missed by %.4f of all words: %s", distance, dict(zip(DOMAINS, off.round(4).tolist())))
             return history
         last = distance
         step = STEP * np.linalg.solve(gram + np.eye(len(DOMAINS)) * max(1e-9, 1e-4 * np.trace(gram)), off)

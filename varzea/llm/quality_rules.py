@@ -41,9 +41,9 @@ MADE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
-def with_stats(docs: DataFrame) -> DataFrame:
+def with_stats(docs: DataFrame, keep_text: bool = True) -> DataFrame:
     """Add the base rule's counts, `base_failed`, and the share arrays `char_share` and `word_share`."""
-    keep = [c for c in docs.columns if c not in (*STATS, "base_failed", "char_share", "word_share")]
+    keep = [c for c in docs.columns if c not in (*STATS, "base_failed", "char_share", "word_share") and (keep_text or c != "text")]
     d = docs.select(*keep, F.coalesce("text", F.lit("")).alias("_t"))
     d = d.withColumn("_w", F.regexp_extract_all("_t", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
     d = d.withColumn("n_words", F.size("_w").cast("long"))
@@ -97,14 +97,15 @@ def js_distance(p: str, q: str):
     return F.expr(f"sqrt(greatest(0D, 0.5D * {part}))")
 
 
-def judge(docs: DataFrame, min_reference: int | None = None) -> DataFrame:
+def judge(docs: DataFrame, min_reference: int | None = None, keep_text: bool = True) -> DataFrame:
     """Add the counts, base_failed, char_distance, word_distance and kept to every document. With `min_reference` a language
     of fewer texts is compared with all texts, and no reference is drawn towards theirs: the contract of the query's SQL.
 
-    The counts are written once with the documents, since the verdict needs the references of all of them first.
+    The counts are written once with the documents (less their texts unless `keep_text`), since the verdict needs the
+    references of all of them first.
     """
     docs, names = hide(docs, "text", "lang")
-    stats = materialize(with_stats(docs.withColumn("lang", F.col("lang").cast("string"))), "quality")
+    stats = materialize(with_stats(docs.withColumn("lang", F.col("lang").cast("string")), keep_text), "quality")
     refs = materialize(references(stats), "references")
     some = refs.filter(F.col("lang").isNotNull())
     if min_reference is not None:
@@ -124,7 +125,7 @@ def judge(docs: DataFrame, min_reference: int | None = None) -> DataFrame:
         f" AND NOT (n_words >= {MIN_WORDS_FOR_WORDS} AND (coalesce(word_distance > {MAX_WORD_DISTANCE}, false)"
         f" OR coalesce(char_distance > {BOTH_CHAR_DISTANCE} AND word_distance > {BOTH_WORD_DISTANCE}, false)))"
     )
-    return d.withColumn("kept", verdict).select(*show(names, *MADE), *MADE)
+    return d.withColumn("kept", verdict).select(*show(names, *MADE, *([] if keep_text else ["text"])), *MADE)
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
@@ -135,4 +136,4 @@ def keep_good(docs: DataFrame) -> DataFrame:
 
 def op3_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return judge(docs, MIN_REFERENCE).select("doc_id", *STATS, "base_failed", "kept")
+    return judge(docs, MIN_REFERENCE, keep_text=False).select("doc_id", *STATS, "base_failed", "kept")

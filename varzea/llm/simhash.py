@@ -1,10 +1,10 @@
 """Operator 9: SimHash near-duplicates by pivot distance tables.
 
 Every text gets a 64-bit fingerprint of its 4-word shingles. Distinct fingerprints carry a table of Hamming distances to
-PIVOTS fixed reference fingerprints. Pairs come from buckets, not from all pairs: cut into six bit blocks, fingerprints
-at most four bits apart agree in two blocks at least, so they share one of fifteen bucket keys. In a bucket a pair whose
-pivot distances differ by more than the radius anywhere is discarded (triangle inequality), and the Hamming distance of
-the survivors is verified. Groups of copies are linked through one hub per bucket first; the pair search then skips
+PIVOTS fixed reference fingerprints. Pairs come from buckets, not from all pairs: cut into six bit blocks or more (see
+`cuts`), fingerprints at most four bits apart agree in all blocks but four at least, so they share a bucket. In a bucket a
+pair whose pivot distances differ by more than the radius anywhere is discarded (triangle inequality), be it with the
+bucket's hub or among its members, and the Hamming distance of the survivors is verified. Groups of copies are linked through one hub per bucket first; the pair search then skips
 pairs that are connected already, so a group of near copies gives no quadratic number of links.
 
 Defined cases: null, empty and wordless texts have fingerprint zero and are linked like any other; repeated rows with
@@ -31,9 +31,17 @@ from varzea.llm.near_copies import kept_keys
 WIDTH, RADIUS, SEED, PIVOTS = 4, 4, 42, 16
 #: the pipeline stage: words a shingle, and the Jaccard similarity of near copies
 STAGE_WIDTH, STAGE_THRESHOLD = 5, 0.8
-#: ids from here on stand for fingerprints of rows without doc_id; ordinary ids are smaller
-UNNAMED = 1 << 62
-BLOCKS = ((0, 11), (11, 11), (22, 11), (33, 11), (44, 10), (54, 10))  # (first bit, bits)
+
+
+def cuts(n: int) -> list[tuple[int, int]]:
+    """(first bit, bits) of the blocks that a fingerprint is cut into, for n distinct ones: two fingerprints within RADIUS agree
+    in all blocks but RADIUS, whose bits together are a bucket's key. More blocks give longer keys: enough of them that a key
+    has some two fingerprints on average."""
+    for blocks in range(RADIUS + 2, 2 * RADIUS + 3):
+        if n <= 1 << (64 // blocks * (blocks - RADIUS) + 1):
+            break
+    first = [64 * i // blocks for i in range(blocks + 1)]
+    return [(a, b - a) for a, b in zip(first, first[1:])]
 
 
 def fingerprint(text: bytes) -> int:
@@ -79,52 +87,58 @@ def pivot_table(fp: str) -> list:
 
 def within_pivots(a: str, b: str) -> str:
     """SQL: no coordinate of the two tables differs by more than the radius."""
-    one = lambda s, i: f"(shiftrightunsigned({s}.pivots{i // 8}, {8 * (i % 8)}) & 255)"
+    one = lambda s, i: f"(shiftrightunsigned({s}pivots{i // 8}, {8 * (i % 8)}) & 255)"
     return " AND ".join(f"abs({one(a, i)} - {one(b, i)}) <= {RADIUS}" for i in range(PIVOTS))
 
 
-def bucket_keys(fp: str):
-    """Array of bucket keys: the pair of blocks' number above, the two blocks' bits below."""
-    block = [F.shiftrightunsigned(F.col(fp), s).bitwiseAND(F.lit((1 << n) - 1)) for s, n in BLOCKS]
-    keys = [F.lit(k << 32).bitwiseOR(F.shiftleft(block[i], 16)).bitwiseOR(block[j]) for k, (i, j) in enumerate(combinations(range(len(BLOCKS)), 2))]
-    return F.array(*keys)
+def bucket_keys(fp: str, blocks: list[tuple[int, int]]):
+    """Array of bucket keys: the number of the choice of blocks above, their bits below."""
+    part = [F.shiftrightunsigned(F.col(fp), s).bitwiseAND(F.lit((1 << n) - 1)) for s, n in blocks]
+    keys = []
+    for k, chosen in enumerate(combinations(range(len(blocks)), len(blocks) - RADIUS)):
+        key = F.lit(k).cast("long")
+        for i in chosen:
+            key = F.shiftleft(key, blocks[i][1]).bitwiseOR(part[i])
+        keys.append(key)
+    return F.transform(F.array(*keys), lambda key, k: F.struct(k.alias("choice"), key.alias("bits")))
 
 
-def first_common_key(x: str) -> str:
-    """SQL: the number of the first pair of blocks that are zero in the difference x, so that a pair is found once."""
-    zero = [f"(shiftrightunsigned({x}, {s}) & {(1 << n) - 1}) = 0" for s, n in BLOCKS]
-    cases = " ".join(f"WHEN {zero[i]} AND {zero[j]} THEN {k}" for k, (i, j) in enumerate(combinations(range(len(BLOCKS)), 2)))
+def first_choice(x: str, blocks: list[tuple[int, int]]) -> str:
+    """SQL: the number of the first choice of blocks that are all zero in the difference x, so that a pair is found once. As
+    choices are in order, it is that of the first blocks that are zero."""
+    zero = [f"(shiftrightunsigned({x}, {s}) & {(1 << n) - 1}) = 0" for s, n in blocks]
+    cases = " ".join(f"WHEN {' AND '.join(zero[i] for i in chosen)} THEN {k}" for k, chosen in enumerate(combinations(range(len(blocks)), len(blocks) - RADIUS)))
     return f"(CASE {cases} ELSE -1 END)"
 
 
-def links(nodes: DataFrame) -> DataFrame:
-    """Edges (u, v) between nodes (node, fp), enough to connect all whose fingerprints are within the radius."""
-    keyed = nodes.select("node", "fp", *pivot_table("fp")).withColumn("key", F.explode(bucket_keys("fp")))
-    full = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("node", "fp")).alias("hub")).filter("n > 1")
+def links(nodes: DataFrame, blocks: list[tuple[int, int]] | None = None) -> DataFrame:
+    """Edges (u, v) between distinct fingerprints (fp), enough to connect all within the radius."""
+    blocks = blocks or cuts(nodes.count())
+    keyed = nodes.select("fp", *pivot_table("fp")).withColumn("key", F.explode(bucket_keys("fp", blocks)))
+    full = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("fp", "pivots0", "pivots1")).alias("hub")).filter("n > 1")
     live = materialize(keyed.join(full, "key"), "buckets")
-    near_hub = live.filter("hub.node <> node AND bit_count(fp ^ hub.fp) <= 4".replace("4", str(RADIUS))).select(F.col("node").alias("u"), F.col("hub.node").alias("v"))
+    near_hub = live.filter(f"hub.fp <> fp AND {within_pivots('', 'hub.')} AND bit_count(fp ^ hub.fp) <= {RADIUS}").select(F.col("fp").alias("u"), F.col("hub.fp").alias("v"))
     near_hub = materialize(near_hub.distinct(), "hubs")
-    groups = components(near_hub)
-    rows = live.filter("n > 2").drop("hub", "n").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    groups = components(near_hub).withColumnRenamed("node", "fp")
+    rows = live.filter("n > 2").drop("hub", "n").join(groups, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     rows = materialize(rows, "labelled")
     a, b = rows.alias("a"), rows.alias("b")
     pairs = a.join(
         b,
         F.expr("a.key = b.key AND a.component < b.component")
-        & F.expr(within_pivots("a", "b"))
-        & F.expr(f"bit_count(a.fp ^ b.fp) <= {RADIUS} AND shiftright(a.key, 32) = {first_common_key('(a.fp ^ b.fp)')}"),
+        & F.expr(within_pivots("a.", "b."))
+        & F.expr(f"bit_count(a.fp ^ b.fp) <= {RADIUS} AND a.key.choice = {first_choice('(a.fp ^ b.fp)', blocks)}"),
     )
-    return near_hub.unionByName(pairs.select(F.col("a.node").alias("u"), F.col("b.node").alias("v")))
+    return near_hub.unionByName(pairs.select(F.col("a.fp").alias("u"), F.col("b.fp").alias("v")))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, fp, component_id) for every row of docs."""
     prints = materialize(fingerprints(docs), "fingerprints")
-    unnamed = F.xxhash64("fp").bitwiseAND(F.lit(UNNAMED - 1)).bitwiseOR(F.lit(UNNAMED))  # of rows without doc_id alone
-    distinct = materialize(prints.groupBy("fp").agg(F.coalesce(F.min("doc_id"), unnamed).alias("node")), "distinct")
-    groups = components(links(distinct))
-    least = F.coalesce("component", "node")
-    ids = distinct.join(groups, "node", "left").select("fp", F.when(least < UNNAMED, least).alias("component_id"))
+    distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
+    groups = components(links(distinct)).withColumnRenamed("node", "fp")
+    whole = materialize(distinct.join(groups, "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("component")), "components")
+    ids = whole.join(whole.groupBy("component").agg(F.min("least").alias("component_id")), "component").select("fp", "component_id")
     return prints.join(ids, "fp", "left").select("doc_id", "fp", "component_id")
 
 
