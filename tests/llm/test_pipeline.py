@@ -5,7 +5,7 @@ import corpus_pipeline
 import pytest
 from fixed import SF
 
-from varzea.llm.quality_rules import judge
+from varzea.llm.quality_rules import STAGE_MIN_WORDS, judge
 
 
 @pytest.mark.parametrize("stage", [f for _, f in corpus_pipeline.STAGES], ids=[n for n, _ in corpus_pipeline.STAGES])
@@ -23,10 +23,11 @@ def test_awkward_rows(spark, odd_dir, empty_dir, stage, which):
 def test_run(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
-    kept = {r["doc_id"] for r in judge(docs).filter("kept").collect()}
+    judged = {r["doc_id"]: r for r in judge(docs, min_words=STAGE_MIN_WORDS).collect()}
+    assert all(judged[i]["kept"] for i, t in rows if 0 < len((t or "").split()) < 50 and judged[i]["n_repeat_words"] == 0 and judged[i]["word_chars"] < 200)
+    rows = [r for r in rows if judged[r[0]]["kept"]]
+    kept = {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs.filter(docs.doc_id.isin([r[0] for r in rows])), SF).collect()}
     rows = [r for r in rows if r[0] in kept]
-    prints = [(i, brute.fingerprint(t)) for i, t in rows]
-    rows = [r for r, c in zip(rows, brute.components(prints)) if r[0] == c]
     left = {x[0]: x[1] - x[2] for x in brute.repeats(rows)}
     got = {r["doc_id"]: r for r in corpus_pipeline.run(spark, SF).collect()}
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]

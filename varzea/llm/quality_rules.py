@@ -28,6 +28,8 @@ COMMON = {
     "es": "de la que el en y los se del las un por",
 }
 MIN_WORDS, MAX_REPEAT_PCT = 50, 50
+#: words that a document of the pipeline needs
+STAGE_MIN_WORDS = 1
 #: guards and limits of the divergence rules
 PRIOR_TEXTS, MIN_CHARS, MIN_WORDS_FOR_WORDS = 50, 200, 100
 #: of the query alone, whose SQL fixes it: a language of fewer texts has no reference
@@ -97,9 +99,9 @@ def js_distance(p: str, q: str):
     return F.expr(f"sqrt(greatest(0D, 0.5D * {part}))")
 
 
-def judge(docs: DataFrame, min_reference: int | None = None, keep_text: bool = True) -> DataFrame:
-    """Add the counts, base_failed, char_distance, word_distance and kept to every document. With `min_reference` a language
-    of fewer texts is compared with all texts, and no reference is drawn towards theirs: the contract of the query's SQL.
+def judge(docs: DataFrame, min_reference: int | None = None, keep_text: bool = True, min_words: int = MIN_WORDS) -> DataFrame:
+    """Add the counts, base_failed, char_distance, word_distance and kept to every document. `min_words` is the
+    verdict's own limit, base_failed keeps that of the base rule. With `min_reference` a language of fewer texts is compared with all texts, and no reference is drawn towards theirs: the contract of the query's SQL.
 
     The counts are written once with the documents (less their texts unless `keep_text`), since the verdict needs the
     references of all of them first.
@@ -121,7 +123,7 @@ def judge(docs: DataFrame, min_reference: int | None = None, keep_text: bool = T
         d = d.withColumn("char_ref", F.coalesce("char_ref", F.array(*(F.lit(x).cast("double") for x in whole)))).withColumn("drawn_ref", F.col("char_ref"))
     d = d.withColumn("char_distance", F.least(js_distance("char_share", "char_ref"), js_distance("char_share", "drawn_ref"))).withColumn("word_distance", js_distance("word_share", "word_ref"))
     verdict = F.expr(
-        f"NOT base_failed AND NOT (word_chars >= {MIN_CHARS} AND coalesce(char_distance > {MAX_CHAR_DISTANCE}, false))"
+        f"NOT (n_words < {min_words} OR 100 * n_repeat_words > {MAX_REPEAT_PCT} * n_words) AND NOT (word_chars >= {MIN_CHARS} AND coalesce(char_distance > {MAX_CHAR_DISTANCE}, false))"
         f" AND NOT (n_words >= {MIN_WORDS_FOR_WORDS} AND (coalesce(word_distance > {MAX_WORD_DISTANCE}, false)"
         f" OR coalesce(char_distance > {BOTH_CHAR_DISTANCE} AND word_distance > {BOTH_WORD_DISTANCE}, false)))"
     )
@@ -129,9 +131,10 @@ def judge(docs: DataFrame, min_reference: int | None = None, keep_text: bool = T
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The documents that the rules keep, with their own columns."""
+    """The documents that the rules keep, with their own columns. A short text is no reason to go here: only wordless ones fail
+    by their length, since a text's shape says nothing of its quality below the guards of the divergence rules."""
     hidden, names = hide(docs, "text", "lang")
-    return judge(hidden).filter("kept").select(*show(names))
+    return judge(hidden, min_words=STAGE_MIN_WORDS).filter("kept").select(*show(names))
 
 
 def op3_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
