@@ -101,7 +101,8 @@ def js_distance(p: str, q: str):
 
 def judge(docs: DataFrame, min_reference: int | None = None, keep_text: bool = True, min_words: int = MIN_WORDS) -> DataFrame:
     """Add the counts, base_failed, char_distance, word_distance and kept to every document. `min_words` is the
-    verdict's own limit, base_failed keeps that of the base rule. With `min_reference` a language of fewer texts is compared with all texts, and no reference is drawn towards theirs: the contract of the query's SQL.
+    verdict's own limit, base_failed keeps that of the base rule. With `min_reference` a language of fewer texts is compared
+    with all texts, and no reference is drawn towards theirs: the contract of the query's SQL.
 
     The counts are written once with the documents (less their texts unless `keep_text`), since the verdict needs the
     references of all of them first.
