@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from varzea.llm.common import delete_path, new_path
 
-BLOCK_BYTES = 4_000_000
+BLOCK_BYTES = 3_000_000
 
 
 def arrow_payload(batch: pa.RecordBatch) -> bytes:

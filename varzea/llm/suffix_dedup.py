@@ -40,7 +40,7 @@ from varzea.llm.common import _BYTE, fields_of, hide, materialize, mix, show, ta
 
 LENGTH, GRAM = 50, 32
 SPAN = LENGTH - GRAM + 1  # candidates of a window
-SHARD_ANCHORS, CHUNK = 1_500_000, 1 << 17
+SHARD_ANCHORS, CHUNK = 700_000, 1 << 16
 NO_ID = np.iinfo(np.int64).max
 _P = [np.uint64(pow(0x9E3779B97F4A7C15, k, 1 << 64)) for k in (1, 2, 4, 8, 16)]
 
@@ -240,8 +240,10 @@ def rank2(pdf: pd.DataFrame) -> pd.DataFrame:
     doc = np.concatenate([unpack(c, np.int64) for c in pdf["c"]])
     by = np.lexsort((context, key))
     k, c = key[by], context[by]
+    del key, context
     new_key = np.concatenate([[True], k[1:] != k[:-1]])
     new = new_key | np.concatenate([[True], c[1:] != c[:-1]])
+    del k, c
     cls = np.cumsum(new) - 1
     least = np.minimum.reduceat(doc[by], np.flatnonzero(new))[cls]
     group = np.cumsum(new_key) - 1
