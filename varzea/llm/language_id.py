@@ -21,9 +21,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from varzea.llm.common import LOWER, SPACE, chunks, fields_of, held_by, hide, show, table
+from varzea.llm.common import LOWER, SPACE, chunks, fields_of, held_by, hide, materialize, show, table
 
 BUCKETS, DIM, ORDERS = 8192, 16, (2, 3, 4)
+#: languages up to which their counts are broadcast, so that a frequent one is no single task
+MAX_LANGUAGES = 10_000
 MAX_TRAIN, MIN_TRAIN, EPOCHS, BATCH, RATE = 3000, 50, 20, 64, 0.5
 STRETCH = 4_000_000  # bytes whose n-grams are counted at once
 UND = "und"
@@ -104,7 +106,8 @@ def fit(labelled: DataFrame, key: str = "doc_id", max_train: int = MAX_TRAIN) ->
     counts = known.groupBy("lang").agg(F.count("*").alias("n"))  # a row for each language
     counts = counts.withColumn("part", F.greatest(F.lit(max_train) / F.count("*").over(W.partitionBy()), F.lit(MIN_TRAIN)))
     draw = F.pmod(F.xxhash64("key", "text", F.lit(17)), F.lit(1_000_000)) / 1_000_000
-    sample = known.join(counts, "lang").filter(draw * F.col("n") < F.col("part"))
+    counts = materialize(counts, "languages")
+    sample = known.join(F.broadcast(counts) if counts.count() <= MAX_LANGUAGES else counts, "lang").filter(draw * F.col("n") < F.col("part"))
 
     def features(batches):
         for pdf in batches:
