@@ -20,6 +20,7 @@ _MODULES = {
     "op8_toxicity_fm": "toxicity",
     "op9_simhash_pivots": "simhash",
     "op10_decontamination": "decontamination",
+    "op11_token_counts": "token_counts",
 }
 
 
