@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from varzea.llm import quality_rules as q
+from varzea.llm import source_divergence as s
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -50,6 +51,23 @@ size AS (SELECT item, count(*) AS n FROM si GROUP BY 1)
 SELECT doc_id, item_id, shared, n AS n_shingles FROM (SELECT sd.row, sd.doc_id, si.item, si.item_id, count(*) AS shared FROM sd JOIN si ON si.k = sd.k AND si.s = sd.s GROUP BY ALL) JOIN size USING (item) WHERE shared >= 0.8 * n - 1e-9
 """
 
+OP12 = f"""
+WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+w AS (SELECT row, lang, source, unnest(regexp_extract_all(t, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM d),
+counted AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT row) AS docs FROM w GROUP BY ALL),
+kept AS (SELECT lang, term, sum(n) AS n FROM counted GROUP BY ALL HAVING sum(docs) >= {s.LEAST_DOCS}),
+c AS (SELECT counted.lang, source, term, counted.n FROM counted JOIN kept USING (lang, term)),
+v AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS total FROM kept GROUP BY 1),
+g AS (SELECT lang, source, coalesce(sum(n), 0)::HUGEINT AS total FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN c USING (lang, source) GROUP BY ALL),
+q AS (SELECT lang, term, 1 + ({s.SCALE}::HUGEINT * (n + {s.PRIOR})) // (total + {s.PRIOR} * v) AS q FROM kept JOIN v USING (lang)),
+p AS (SELECT g.lang, g.source, q.term, coalesce(c.n, 0) AS n, q, 1 + ({s.SCALE}::HUGEINT * (coalesce(c.n, 0) + {s.PRIOR})) // (g.total + {s.PRIOR} * v) AS p
+  FROM g JOIN q USING (lang) JOIN v USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = q.term),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+rows AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q)::BIGINT FROM p WHERE n > 0 AND p > q)
+SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM rows QUALIFY part = 'pair' OR rank <= {s.TOP}
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_quality_divergence": OP3, "op10_decontamination": OP10}
+    return {"op3_quality_divergence": OP3, "op10_decontamination": OP10, "op12_source_divergence": OP12}

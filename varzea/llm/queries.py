@@ -21,6 +21,8 @@ _MODULES = {
     "op9_simhash_pivots": "simhash",
     "op10_decontamination": "decontamination",
     "op11_token_counts": "token_counts",
+    "op12_source_divergence": "source_divergence",
+    "op13_tokenizer_alignment": "tokenizer_alignment",
 }
 
 
