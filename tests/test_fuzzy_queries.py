@@ -1,10 +1,8 @@
 """Queries of Indel ratios against plain versions that compare every pair."""
 
-import unicodedata
-
 import pytest
+from plain_ratios import fold, partial_set_ratio, set_ratio, sort_ratio
 
-from varzea.functions import fuzzy
 from varzea.operators import resolve
 from varzea.plans import registry
 
@@ -12,35 +10,14 @@ SF = "/root/testdata/sf0.001"
 Q = registry.queries()
 
 
-def lcs(a, b):
-    row = [0] * (len(b) + 1)
-    for x in a:
-        last = 0
-        for j, y in enumerate(b, 1):
-            last, row[j] = row[j], max(row[j], row[j - 1], last + 1 if x == y else 0)
-    return row[-1]
-
-
-def ratio(a, b):
-    return 100.0 * 2 * lcs(a, b) / (len(a) + len(b)) if a or b else 100.0
-
-
-def ordered(s):
-    return " ".join(sorted("".join(c if c.isalnum() else " " for c in s.lower()).split()))
-
-
-def key(s):
-    return " ".join("".join(c for c in unicodedata.normalize("NFKD", s) if unicodedata.category(c) != "Mn").lower().split())
-
-
 def test_fuzzy_place(spark):
     nations = spark.read.parquet(f"{SF}/nation.parquet").collect()
     by_code = {r["n_nationkey"]: r for r in nations}
     want = set()
     for c in spark.read.parquet(f"{SF}/customer.parquet").select("c_custkey", "c_nationkey").collect():
         own = by_code[c["c_nationkey"]]
-        typed = key(own["n_name"].lower() + "s")
-        scored = sorted((-ratio(ordered(typed), ordered(key(r["n_name"]))), r["n_nationkey"]) for r in nations if r["n_regionkey"] == own["n_regionkey"])
+        typed = fold(own["n_name"].lower() + "s")
+        scored = sorted((-sort_ratio(typed, fold(r["n_name"])), r["n_nationkey"]) for r in nations if r["n_regionkey"] == own["n_regionkey"])
         if -scored[0][0] >= 88:
             want.add((c["c_custkey"], scored[0][1], round(-scored[0][0], 6)))
     assert {(r["c_custkey"], r["place_code"], round(r["ratio"], 6)) for r in Q["fuzzy_place"](spark, SF).collect()} == want
@@ -51,7 +28,7 @@ def test_best_matches(spark):
     want = {}
     for a in p:
         if a["p_size"] % 5 == 0:
-            near = [(-fuzzy.set_ratio(a["p_name"], b["p_name"]), b["p_partkey"]) for b in p if b["p_brand"] == a["p_brand"] and b["p_size"] % 5 and b["p_partkey"] % 2]
+            near = [(-set_ratio(a["p_name"], b["p_name"]), b["p_partkey"]) for b in p if b["p_brand"] == a["p_brand"] and b["p_size"] % 5 and b["p_partkey"] % 2]
             best = min(near, default=(0, 0))
             if -best[0] >= 60:
                 want[a["p_partkey"]] = best[1]
@@ -63,12 +40,33 @@ def test_token_ratios(spark):
     for r in Q["token_ratios"](spark, SF).collect():
         a, other = names[r["p_partkey"]]
         b = f"{a.split(' ')[1]} {other}"
-        assert r["sort"] == pytest.approx(ratio(ordered(a), ordered(b)))
-        x, y = set(ordered(a).split()), set(ordered(b).split())
-        assert (r["partial"] == 100) == bool(x & y) or r["partial"] <= 100
-        common = " ".join(sorted(x & y))
-        p, q = (" ".join([common, *sorted(s)]).strip() for s in (x - y, y - x))
-        assert r["set"] >= ratio(p, q) - 1e-9 and r["set"] <= 100
+        assert (r["sort"], r["set"], r["partial"]) == pytest.approx((sort_ratio(a, b), set_ratio(a, b), partial_set_ratio(a, b)))
+
+
+def misspelt(name, key):
+    return [" ".join(reversed(name.split(" "))), name[:3] + name[4:], name.upper() + name[-1], name][key % 4]
+
+
+def test_fuzzy_district(spark):
+    p = spark.read.parquet(f"{SF}/part.parquet").collect()
+    want = set()
+    for a in p:
+        scored = sorted((-sort_ratio(fold(misspelt(a["p_name"], a["p_partkey"])), fold(b["p_name"])), b["p_partkey"]) for b in p if b["p_brand"] == a["p_brand"])
+        if -scored[0][0] >= 88:
+            want.add((a["p_partkey"], scored[0][1], round(-scored[0][0], 6)))
+    assert {(r["p_partkey"], r["place_code"], round(r["ratio"], 6)) for r in Q["fuzzy_district"](spark, SF).collect()} == want and want
+
+
+def test_place_matches(spark):
+    p = spark.read.parquet(f"{SF}/part.parquet").collect()
+    want = set()
+    for a in p:
+        k = a["p_partkey"]
+        name = " ".join(a["p_name"].split(" ")[:3]) if k % 5 == 0 else misspelt(a["p_name"], k)
+        best = min(((-set_ratio(name, b["p_name"]), b["p_partkey"]) for b in p if b["p_brand"] == a["p_brand"] and b["p_partkey"] % 3), default=(0, 0))
+        if -best[0] >= 85:
+            want.add((k, best[1], round(-best[0], 6)))
+    assert {(r["id"], r["position"], round(r["ratio"], 6)) for r in Q["place_matches"](spark, SF).collect()} == want and want
 
 
 def test_photo_matches(spark):
@@ -83,7 +81,7 @@ def test_photo_matches(spark):
             if hint and hint != uf:
                 continue
             hay = ordered_text(b["p_name"] + (" (Bahia)" if b["p_partkey"] % 3 == 0 else "") + " " + b["p_brand"] + (" - SP" if b["p_partkey"] % 3 == 1 else ""))
-            n, m = fuzzy.set_ratio(ordered_text(a["p_name"]), hay), fuzzy.partial_set_ratio("bahia", hay)
+            n, m = set_ratio(ordered_text(a["p_name"]), hay), partial_set_ratio("bahia", hay)
             if n >= 88 or (n >= 72 and m >= 88):
                 found.append((-(n if n >= 88 else round(0.7 * n + 0.3 * m)), -b["p_size"], b["p_partkey"]))
         want += [(a["p_partkey"], x[2], i) for i, x in enumerate(sorted(found)[:3], 1)]
@@ -91,7 +89,7 @@ def test_photo_matches(spark):
 
 
 def ordered_text(s):
-    return " ".join("".join(c if c.isascii() and c.isalnum() else " " for c in key(s)).split())
+    return " ".join("".join(c if c.isascii() and c.isalnum() else " " for c in fold(s)).split())
 
 
 def test_neighbours_over_many_tiles(spark):

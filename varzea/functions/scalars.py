@@ -95,25 +95,29 @@ def whatsapp_candidate(x: Column) -> Column:
 
 
 def split_phone(x: Column) -> Column:
-    """struct(mobile, landline); a foreign number stays as it is under landline."""
+    """struct(mobile, landline), one of them at most: a Brazilian mobile number, or any other as +55 and its digits. A number of
+    another country and one of no known length stay as they are under landline; a text without digits gives neither."""
     digits = F.regexp_replace(x, r"\D", "")
     national = F.when(digits.rlike(r"^55\d{10,11}$"), F.substring(digits, 3, 11)).when(digits.rlike(r"^\d{10,11}$"), digits)
-    full = F.concat(F.lit("+55"), national)
-    mobile = national.rlike(r"^\d{2}9\d{8}$")
-    return F.struct(F.when(mobile, full).alias("mobile"), F.when(mobile, F.lit(None)).otherwise(F.coalesce(full, F.nullif(F.trim(x), F.lit("")))).alias("landline"))
+    full = F.when(~(F.trim(x).startswith("+") & ~digits.startswith("55")), F.concat(F.lit("+55"), national))
+    mobile = full.rlike(r"^\+55\d{2}9\d{8}$")
+    return F.struct(F.when(mobile, full).alias("mobile"), F.when(mobile, F.lit(None)).when(digits != "", F.coalesce(full, x)).alias("landline"))
 
 
 def phone_e164(x: Column) -> Column:
-    digits = F.regexp_replace(x, r"\D", "")
-    return F.when(digits.rlike(r"^55\d{10,11}$"), F.concat(F.lit("+"), digits)).when(digits.rlike(r"^\d{10,11}$"), F.concat(F.lit("+55"), digits))
+    """A number with its + as it is without blanks and signs; else +55 before a national or a Brazilian one; others are null."""
+    signs = F.regexp_replace(x, r"[^\d+]", "")
+    return F.when(signs.rlike(r"^\+.*\d"), signs).when(signs.rlike(r"^\d{10,11}$"), F.concat(F.lit("+55"), signs)).when(signs.rlike(r"^55\d{10,11}$"), F.concat(F.lit("+"), signs))
 
 
 def instagram_handle(x: Column) -> Column:
-    return F.nullif(F.regexp_extract(x, r"(?:www\.)?instagram\.com/([^/?]+)", 1), F.lit(""))
+    """@name of a link whose host is instagram.com, else null."""
+    name = F.regexp_extract(x, r"(?:^|/)(?:www\.)?instagram\.com/([^/?]+)", 1)
+    return F.when(name.startswith("@"), name).when(name != "", F.concat(F.lit("@"), name))
 
 
-#: a phone number: a country code and an area code, both optional, then two to five groups of two to five digits; eight digits at least
-_PHONE = r"(?<!\d)(?=(?:[ .()+-]*\d){8})(?:\+\d{1,3}[ .-]*)?(?:\(\d{2,3}\)[ .-]*)?\d{2,5}(?:[ .-]*\d{2,5}){1,4}"
+# Fixed value: a phone number in a text is a digit, seven or more digits, blanks, brackets, dots and hyphens, and a digit.
+_PHONE = r"(?U)\+?\d[\d\s().-]{7,}\d"
 
 
 def scrub(x: Column, limit: int = 500) -> Column:
@@ -243,11 +247,14 @@ def strip_dashes(x: Column) -> Column:
 
 
 def uf_hint(categories: Column, name: Column) -> Column:
-    """The state in the brackets of the first category that names one, else the only state code among the title's words of two capitals."""
+    """The state that a category names in its first brackets (the first category that does), else the only state code that stands
+    alone in the title, where letters A-Z on either side would make it part of a word."""
     table = F.create_map(*(F.lit(y) for kv in STATES.items() for y in kv))
-    named = F.transform(F.coalesce(categories, F.array().cast("array<string>")), lambda c: F.try_element_at(table, fold_key(F.regexp_extract(c, r"\(([^)]+)\)", 1))))
-    codes = F.filter(F.array_distinct(F.regexp_extract_all(F.coalesce(name, F.lit("")), F.lit(r"(?<![A-Za-z])([A-Z]{2})(?![A-Za-z])"), F.lit(1))), lambda c: c.isin(sorted(set(STATES.values()))))
-    return F.coalesce(F.get(F.filter(named, lambda u: u.isNotNull()), F.lit(0)), F.when(F.size(codes) == 1, F.get(codes, F.lit(0))))
+    bracketed = lambda c: F.when(c.contains("(") & F.split_part(c, F.lit("("), F.lit(2)).contains(")"), F.split_part(F.split_part(c, F.lit("("), F.lit(2)), F.lit(")"), F.lit(1)))
+    named = F.filter(F.transform(categories, lambda c: F.try_element_at(table, fold_key(bracketed(c)))), lambda u: u.isNotNull())
+    words = F.array_distinct(F.split(F.coalesce(name, F.lit("")), "[^A-Za-z]+"))
+    codes = F.array_intersect(words, F.array(*(F.lit(u) for u in sorted(set(STATES.values())))))
+    return F.coalesce(F.get(named, F.lit(0)), F.when(F.size(codes) == 1, F.get(codes, F.lit(0))))
 
 
 def coordinate(x: Column) -> Column:

@@ -7,9 +7,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from varzea.functions import scalars
-from varzea.functions.fuzzy import partial_token_set_ratio, token_set_ratio
 from varzea.operators.gates import CLOSED, place_route, seat_district
-from varzea.operators.resolve import dimension
+from varzea.operators.matching import partly_similar, similar, similar_among
 
 
 def review_summary(reviews: Column, now: Column) -> Column:
@@ -45,11 +44,21 @@ def gather_signals(rows: DataFrame, now: Column) -> DataFrame:
 
 
 def gather_contacts(rows: DataFrame) -> DataFrame:
-    """Website, handle and phone of a place's page; records without any stay as they are."""
-    handle, phone = scalars.instagram_handle(F.col("link")), scalars.phone_e164(F.col("phone"))
-    website = F.when(handle.isNull(), F.nullif(F.col("link"), F.lit("")))
-    found = website.isNotNull() | handle.isNotNull() | phone.isNotNull()
-    return rows.select("id", website.alias("website"), handle.alias("ig_handle"), phone.alias("phone_e164"), F.when(found, "contacts").otherwise(F.col("sub_state")).alias("sub_state"))
+    """(id, website, ig_handle, phone_e164, whatsapp_candidate, sub_state, before): a place's contacts from its details (link and
+    phone). The candidate is masked, and null for a landline. Records without a place stay as they are."""
+    known = F.col("place_id").isNotNull()
+    only = lambda x: F.when(known, x)
+    phone = scalars.phone_e164(F.col("phone"))
+    return rows.select(
+        "id", only(F.nullif(F.col("link"), F.lit(""))).alias("website"), only(scalars.instagram_handle(F.col("link"))).alias("ig_handle"), only(phone).alias("phone_e164"),
+        only(scalars.whatsapp_candidate(phone)).alias("whatsapp_candidate"), F.when(known, "contacts_found").otherwise(F.col("sub_state")).alias("sub_state"), F.col("sub_state").alias("before"),
+    )
+
+
+def contact_audit(gathered: DataFrame) -> DataFrame:
+    """An audit row for each record that gather_contacts has moved on."""
+    moved = gathered.filter((F.col("sub_state") == "contacts_found") & ~F.coalesce(F.col("before") == "contacts_found", F.lit(False)))
+    return moved.select(F.lit("sub_state_advanced").alias("action"), F.lit("attraction").alias("entity_type"), F.col("id").alias("record_id"), F.col("before").alias("before_state"), F.col("sub_state").alias("after_state"), F.lit("contact_finder_agent").alias("actor"))
 
 
 def manual_records(rows: DataFrame) -> DataFrame:
@@ -98,16 +107,24 @@ def photo_matches(rows: DataFrame, photos: DataFrame, top: int = 3) -> DataFrame
     """(id, photo, confidence, via): up to `top` photographs of a place by name, or by a weaker name with the municipality.
 
     A photograph that names a region meets records of that region only, others meet all; both meet records without a region.
-    The photographs are a reference table: each is repeated for the regions it may meet, which are the join key."""
+    Distinct names and photographs' texts are compared by key (a region, none, or an unknown one), and only those that share
+    letter pairs enough: names at 88, and at 72 beside municipalities at 88."""
     states = F.array(*(F.lit(u) for u in sorted(set(scalars.STATES.values()))))
     r = rows.select("id", scalars.squeeze_alnum(F.col("name")).alias("_name"), scalars.squeeze_alnum(F.coalesce("municipality", F.lit(""))).alias("_muni"), F.when(F.col("uf").isNull(), "*").when(F.array_contains(states, F.col("uf")), F.col("uf")).otherwise("-").alias("_key"))
     p = photos.select("photo", "area", scalars.squeeze_alnum(F.concat_ws(" ", F.array_join("categories", " "), "object_name")).alias("_hay"), scalars.uf_hint(F.col("categories"), F.col("object_name")).alias("_uf"))
     keys = F.when(F.col("_uf").isNotNull(), F.array("_uf", F.lit("*"))).otherwise(F.concat(states, F.array(F.lit("*"), F.lit("-"))))
-    pairs = r.join(dimension(p.withColumn("_key", F.explode(keys))), "_key")
-    s = pairs.withColumn("_n", token_set_ratio(F.col("_name"), F.col("_hay"))).withColumn("_m", F.when(F.col("_muni") != "", partial_token_set_ratio(F.col("_muni"), F.col("_hay"))).otherwise(0.0))
-    strong, weak = F.col("_n") >= 88, (F.col("_n") >= 72) & (F.col("_m") >= 88)
-    s = s.withColumn("confidence", F.when(strong, F.col("_n")).when(weak, F.round(0.7 * F.col("_n") + 0.3 * F.col("_m")))).withColumn("via", F.when(strong, "nome").otherwise("nome+municipio")).filter("confidence IS NOT NULL")
+    p = p.withColumn("_key", F.explode(keys)).drop("_uf")
+    texts = lambda d, c: d.select(F.struct(F.col("_key").alias("key"), F.col(c).alias("text")).alias("id")).distinct().select("id", F.col("id.key").alias("block"), F.col("id.text").alias("name"))
+    names, munis, hays = texts(r, "_name"), texts(r.filter("_muni <> ''"), "_muni"), texts(p, "_hay")
+    near = partly_similar(munis, hays, 88.0).select(F.col("l.key").alias("_key"), F.col("l.text").alias("_muni"), F.col("r.text").alias("_hay"), F.col("ratio").alias("_m"))
+    both = r.select("_key", "_name", "_muni").distinct().join(near, ["_key", "_muni"])
+    pairs = both.select(F.struct(F.col("_key").alias("key"), F.col("_name").alias("text")).alias("l"), F.struct(F.col("_key").alias("key"), F.col("_hay").alias("text")).alias("r")).distinct()
+    split = lambda d: d.select(F.col("l.key").alias("_key"), F.col("l.text").alias("_name"), F.col("r.text").alias("_hay"), F.col("ratio").alias("_n"))
+    strong = split(similar(names, hays, 88.0, "set")).join(r, ["_key", "_name"]).select("id", "_key", "_hay", F.col("_n").alias("confidence"), F.lit("nome").alias("via"))
+    weak = split(similar_among(pairs, names, hays, 72.0)).filter("_n < 88").join(both, ["_key", "_name", "_hay"]).join(r, ["_key", "_name", "_muni"])
+    weak = weak.select("id", "_key", "_hay", F.round(0.7 * F.col("_n") + 0.3 * F.col("_m")).alias("confidence"), F.lit("nome+municipio").alias("via"))
     w = W.partitionBy("id").orderBy(F.desc("confidence"), F.desc("area"), "photo")
+    s = strong.unionByName(weak).join(p, ["_key", "_hay"])
     return s.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top).select("id", "photo", "confidence", "via", "rank")
 
 

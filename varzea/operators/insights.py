@@ -64,12 +64,6 @@ def runs_of_equal(rows: DataFrame, key: str, order: str, value: str) -> DataFram
     return rows.withColumn("_c", change).withColumn("_i", island).groupBy(key, "_i").agg(F.min(order).alias("first"), F.max(order).alias("last"), F.first(value).alias(value), F.count("*").alias("n")).drop("_i")
 
 
-def in_intervals(runs: DataFrame, facts: DataFrame, key: str, at: str) -> DataFrame:
-    """Range join: facts of the run's key between started and ended (now if open)."""
-    f = facts.select(F.col(key).alias("_k"), F.col(at).alias("_at"), *[c for c in facts.columns if c not in (key, at)])
-    return runs.join(f, (runs[key] == f["_k"]) & (f["_at"] >= runs["started"]) & (f["_at"] <= runs["ended"]), "left")
-
-
 def page(rows: DataFrame, order: list[Column], offset: int, limit: int) -> DataFrame:
     """A page of a total order; `order` must end in a unique column."""
     return rows.orderBy(*order).offset(offset).limit(limit)

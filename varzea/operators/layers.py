@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from varzea.functions.canonical import content_hash
 from varzea.operators.gates import recent
 from varzea.operators.records import canonical_map
 
@@ -19,6 +20,11 @@ def version_chain(rows: DataFrame, key: list[str], order: list[str], row_id: str
     return rows.withColumn("version", F.row_number().over(w)).withColumn("superseded_by_id", F.lead(row_id).over(w))
 
 
+def with_content_hash(rows: DataFrame, payload: str = "payload") -> DataFrame:
+    """Add content_hash, of the payload's canonical JSON: the order of keys and the spelling of a text do not make a new version."""
+    return rows.withColumn("content_hash", content_hash(F.col(payload), dict(rows.dtypes)[payload] == "string"))
+
+
 def append_raw(incoming: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """All versions after appending. A content hash that any version of the same (source, source_ref) has had is no new version."""
     rows = incoming if existing is None else incoming.unionByName(existing.select(*incoming.columns))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from varzea.functions.scalars import redact
 from varzea.operators.rules import first_reason, running
+from varzea.operators.scans import interval_sums, running_sums
 
 # Placeholders of a batch that is being claimed, and of one that may or may not exist.
 CLAIM, AMBIGUOUS = "claiming", "ambiguous"
@@ -55,22 +56,12 @@ def run_envelopes(starts: DataFrame, ends: DataFrame, now: Column) -> DataFrame:
     return starts.join(e, "run_id", "left").select("run_id", "started", "ended", F.coalesce("ended", now).alias("until"), F.coalesce("dispatched", F.lit(0)).alias("dispatched"), status.alias("status"))
 
 
-def run_totals(runs: DataFrame, published: DataFrame, routed: DataFrame, poison: DataFrame, step_s: int = 86_400) -> DataFrame:
-    """synced, failed and total of each run's window: published rows, routed rows of dlq or descarte, and quarantined rows.
-
-    Facts are counted by step of time first; whole steps inside a window come from these counts, only the facts of its two
-    border steps are compared one by one."""
-    facts = (
-        published.select("at", F.lit(1).alias("synced"), F.lit(0).alias("failed"))
-        .unionByName(routed.filter(F.col("routing").isin("dlq", "descarte") & F.col("at").isNotNull()).select("at", F.lit(0).alias("synced"), F.lit(1).alias("failed")))
-        .unionByName(poison.select("at", F.lit(0).alias("synced"), F.lit(1).alias("failed")))
-    )
-    step = lambda t: F.floor(F.unix_timestamp(F.col(t).cast("timestamp")) / step_s)
-    by_step = facts.groupBy(step("at").alias("step")).agg(F.sum("synced").alias("synced"), F.sum("failed").alias("failed"))
-    w = runs.select("run_id", "started", "until", step("started").alias("a"), step("until").alias("b"))
-    inner = w.filter("b - a > 1").withColumn("step", F.explode(F.sequence(F.col("a") + 1, F.col("b") - 1))).join(by_step, "step").select("run_id", "synced", "failed")
-    edge = w.withColumn("step", F.explode(F.array_distinct(F.array("a", "b")))).join(facts.withColumn("step", step("at")), "step").filter("at >= started AND at <= until").select("run_id", "synced", "failed")
-    n = inner.unionByName(edge).groupBy("run_id").agg(F.sum("synced").alias("synced"), F.sum("failed").alias("failed"))
+def run_totals(runs: DataFrame, published: DataFrame, routed: DataFrame, poison: DataFrame) -> DataFrame:
+    """synced, failed and total of each run's window: published rows, routed rows of dlq or descarte, and quarantined rows, in one
+    sweep over the windows' ends and the facts."""
+    fact = lambda rows, synced, failed: rows.select("at", F.lit(synced).cast("long").alias("synced"), F.lit(failed).cast("long").alias("failed"))
+    facts = fact(published, 1, 0).unionByName(fact(routed.filter(F.col("routing").isin("dlq", "descarte") & F.col("at").isNotNull()), 0, 1)).unionByName(fact(poison, 0, 1))
+    n = interval_sums(runs, facts, "run_id", ["synced", "failed"], ended="until")
     out = runs.join(n, "run_id", "left").withColumn("synced", F.coalesce("synced", F.lit(0))).withColumn("failed", F.coalesce("failed", F.lit(0)))
     return out.withColumn("total", F.col("synced") + F.col("failed"))
 
@@ -103,8 +94,7 @@ def engine_states(log: DataFrame) -> DataFrame:
     """Per engine its state after all events: running from start to the moment when, after a stop or not, nothing is in flight
     any more; in flight never falls below zero. The floored counter is the sum less its least prefix sum below zero."""
     delta = F.when(F.col("event") == "dispatch", 1).when(F.col("event") == "finish", -1).otherwise(0)
-    w = W.partitionBy("engine").orderBy("at", "id").rowsBetween(W.unboundedPreceding, 0)
-    run = log.withColumn("_d", delta).withColumn("_sum", F.sum("_d").over(w))
+    run = running_sums(log.withColumn("_d", delta), ["engine"], ["at", "id"], {"_sum": F.col("_d")}, inclusive=True)
     stamp = F.struct("at", "id")
     last = lambda e: F.max(F.when(F.col("event") == e, stamp))
     g = run.groupBy("engine").agg((F.sum("_d") - F.least(F.lit(0), F.min("_sum"))).alias("in_flight"), last("start").alias("_start"), last("stop").alias("_stop"))

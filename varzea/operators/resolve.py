@@ -8,20 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from varzea.functions.fuzzy import token_set_ratio, token_sort_ratio
 from varzea.functions.scalars import fold_key, haversine_km
+from varzea.operators.matching import dimension, similar
+from varzea.operators.neighbours import units
 
-#: rows of a reference table up to which it is broadcast
-BROADCAST_ROWS = 200_000
 #: rows of a tile of a block of vectors
 TILE_ROWS = 4_000
 
 
-def dimension(df: DataFrame) -> DataFrame:
-    """Broadcast a reference table whose row count is checked; a larger one is left to Spark's own choice."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
-
-
 def exact_duplicates(rows: DataFrame, key: list[str], row_id: str) -> DataFrame:
     """Each row with the smallest other id of its key that precedes it, null for the first."""
     w = W.partitionBy(*key)
@@ -34,7 +28,8 @@ def knn_in_block(rows: DataFrame, block: list[str], row_id: str, vector: str, k:
 
     A block of any size is cut into tiles of about `tile` rows. Each pair of tiles is a matrix product in its own task, which
     returns the k best of each of its rows; these are ranked over the pairs of tiles. Work is quadratic in a block, as exact
-    neighbours are, but no task holds more than two tiles. A vector of norm 0 or null has similarity 0 to all.
+    neighbours are, but no task holds more than two tiles; `nearest_by_cells` is the approximate form. A vector of norm 0 or null
+    has similarity 0 to all.
     """
     counts = rows.groupBy(*block).agg(F.ceil(F.count("*") / F.lit(tile)).alias("_tiles"))
     d = rows.select(*block, F.col(row_id).alias("id"), F.col(vector).cast("array<double>").alias("v")).join(counts, block)
@@ -46,9 +41,7 @@ def knn_in_block(rows: DataFrame, block: list[str], row_id: str, vector: str, k:
     def best(pdf: pd.DataFrame) -> pd.DataFrame:
         own = pdf["_own"].to_numpy()
         size = max((len(v) for v in pdf["v"] if v is not None), default=0)
-        x = np.array([v if v is not None else np.zeros(size) for v in pdf["v"]], dtype=np.float64).reshape(len(pdf), size)
-        norm = np.linalg.norm(x, axis=1, keepdims=True)
-        x = np.divide(x, norm, out=np.zeros_like(x), where=norm > 0)
+        x = units(pdf["v"].tolist(), size)
         ids, low = pdf["id"].to_numpy(), own == pdf["_low"].iloc[0]
         one_tile = pdf["_low"].iloc[0] == pdf["_high"].iloc[0]
         sides = [(low, low)] if one_tile else [(low, ~low), (~low, low)]
@@ -86,27 +79,26 @@ def exact_place(rows: DataFrame, places: DataFrame, name: str, region: str) -> D
 
 def fuzzy_place(rows: DataFrame, places: DataFrame, row_id: str, name: str, region: str, least: float = 88.0) -> DataFrame:
     """(id, place_code, ratio): the best place of the same region at or above the limit; the first of equals. Each distinct
-    name of a region is compared once, with places whose length allows the ratio."""
-    asked = rows.select(F.col(name).alias("_name"), F.col(region).alias("place_region")).distinct().withColumn("_key", fold_key(F.col("_name")))
-    p = places.select("place_code", "place_region", fold_key(F.col("place_name")).alias("_place"))
-    size = lambda c: F.length(F.trim(F.regexp_replace(c, r"[^\p{L}\p{N}\p{M}]+", " ")))
-    x, y = size("_key"), size("_place")
-    pairs = asked.join(dimension(p), "place_region").filter((F.least(x, y) + 2) * (200 - least) >= F.greatest(x, y) * least)
-    scored = pairs.withColumn("ratio", token_sort_ratio(F.col("_key"), F.col("_place"))).filter(F.col("ratio") >= least)
-    w = W.partitionBy("_name", "place_region").orderBy(F.desc("ratio"), "place_code")
-    best = scored.withColumn("_n", F.row_number().over(w)).filter("_n = 1").select("_name", F.col("place_region").alias("_region"), "place_code", "ratio")
+    name of a region is looked up once, and compared with places that share enough of its rarest letter pairs."""
+    asked = rows.select(F.struct(F.col(region).alias("region"), F.col(name).alias("name")).alias("id")).distinct()
+    asked = asked.select("id", F.col("id.region").alias("block"), fold_key(F.col("id.name")).alias("name"))
+    found = similar(asked, places.select(F.col("place_code").alias("id"), F.col("place_region").alias("block"), fold_key(F.col("place_name")).alias("name")), least)
+    w = W.partitionBy("l").orderBy(F.desc("ratio"), "r")
+    best = found.withColumn("_n", F.row_number().over(w)).filter("_n = 1").select(F.col("l.region").alias("_region"), F.col("l.name").alias("_name"), F.col("r").alias("place_code"), "ratio")
     return rows.join(best, (rows[name] == best["_name"]) & (rows[region] == best["_region"])).select(rows[row_id], "place_code", "ratio")
 
 
 def best_match(rows: DataFrame, candidates: DataFrame, block: str, row_id: str, name: str, other: str, least: float = 85.0, max_km: float | None = None) -> DataFrame:
-    """Best candidate by token-set ratio; where both have coordinates, those too far away are passed over."""
-    pairs = rows.join(candidates, block)
+    """Best candidate by token-set ratio; where both have coordinates, those too far away are passed over. Distinct names of a
+    block are compared once, where they share enough letter pairs."""
+    named = lambda d, c: d.select(F.struct(F.col(block).alias("block"), F.col(c).alias("name")).alias("id")).distinct().select("id", "id.block", "id.name")
+    found = similar(named(rows, name), named(candidates, other), least, "set").select(F.col("l.block").alias(block), F.col("l.name").alias(name), F.col("r.name").alias(other), "ratio")
+    pairs = rows.join(found, [block, name]).join(candidates, [block, other])
     if max_km is not None:
         far = haversine_km(F.col("lat"), F.col("lng"), F.col("c_lat"), F.col("c_lng")) > max_km
         pairs = pairs.filter(~F.coalesce(far, F.lit(False)))
     w = W.partitionBy(row_id).orderBy(F.desc("ratio"), "position")
-    scored = pairs.withColumn("ratio", token_set_ratio(F.col(name), F.col(other))).filter(F.col("ratio") >= least)
-    return scored.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
+    return pairs.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
 
 
 def nearest_place(rows: DataFrame, places: DataFrame, row_id: str, max_km: float, region: str | None = None) -> DataFrame:

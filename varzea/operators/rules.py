@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from varzea.operators.scans import running_sums
+
 # Allowed moves between the stages of an attraction's review.
 EDGES = [(None, "discovered"), ("discovered", "signals"), ("signals", "contacts"), ("contacts", "awaiting"), ("awaiting", "approved"), ("awaiting", "rejected"), ("approved", "outreach")]
 
@@ -25,16 +27,8 @@ def edge_allowed(spark, moves: DataFrame, before: str = "before", after: str = "
 
 
 def running(rows: DataFrame, day: str, at: str, order: list[str], value: Column, name: str) -> DataFrame:
-    """Add the sum of `value` over the day's rows before each row, in the order (at, *order). Sums by hour come first and are
-    added up over the day, rows in order only within their hour, so that a day of very many rows is no single task."""
-    hour = rows.withColumn("_value", value).withColumn("_hour", F.date_trunc("hour", F.col(at)))
-    sums = hour.groupBy(day, "_hour").agg(F.sum("_value").alias("_sum"))
-    past = lambda w: w.rowsBetween(W.unboundedPreceding, -1)
-    before = sums.select(F.col(day).alias("_day"), F.col("_hour").alias("_at"), F.coalesce(F.sum("_sum").over(past(W.partitionBy(day).orderBy("_hour"))), F.lit(0)).alias("_before"))
-    inside = F.coalesce(F.sum("_value").over(past(W.partitionBy(day, "_hour").orderBy(at, *order))), F.lit(0))
-    d = hour.withColumn("_inside", inside)
-    d = d.join(before, d[day].eqNullSafe(before["_day"]) & d["_hour"].eqNullSafe(before["_at"]))
-    return d.withColumn(name, F.col("_before") + F.col("_inside")).drop("_value", "_hour", "_day", "_at", "_before", "_inside")
+    """Add the sum of `value` over the day's rows before each row, in the order (at, *order)."""
+    return running_sums(rows, [day], [at, *order], {name: value})
 
 
 def admitted(rows: DataFrame, day: str, at: str, order: list[str], cap: int, rejected: Column | None = None) -> DataFrame:

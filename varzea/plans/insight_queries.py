@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from varzea.functions.scalars import llm_cost
-from varzea.operators import insights
+from varzea.operators import insights, scans
 from varzea.plans.bindings import EVENTS_SQL, NOW_EVENTS, ROUTES, SCORED_SQL, event_rows, scored_orders, table
 from varzea.plans.registry import query
 
@@ -154,9 +154,12 @@ FROM (SELECT o_custkey, min(o_orderdate) + INTERVAL 100 DAY AS started, max(o_or
 def run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run is a customer's span of orders without its first 100 days; facts inside count."""
     o = table(spark, sf_dir, "orders")
-    runs = o.groupBy("o_custkey").agg((F.min("o_orderdate") + F.expr("INTERVAL 100 DAY")).alias("started"), F.max("o_orderdate").alias("ended"))
-    facts = insights.in_intervals(runs, o.select("o_custkey", "o_orderdate", "o_orderkey", "o_orderstatus"), "o_custkey", "o_orderdate")
-    return facts.groupBy("o_custkey").agg(F.count("o_orderkey").alias("total"), F.count_if(F.col("o_orderstatus") == "F").alias("synced"), F.count_if(F.col("o_orderstatus") != "F").alias("failed"))
+    runs = o.groupBy("o_custkey").agg((F.min("o_orderdate") + F.expr("INTERVAL 100 DAY")).alias("started"), F.max("o_orderdate").alias("ended")).withColumn("run_id", F.col("o_custkey"))
+    done = (F.col("o_orderstatus") == "F").cast("long")
+    facts = o.select("o_custkey", F.col("o_orderdate").alias("at"), F.lit(1).cast("long").alias("total"), done.alias("synced"), (1 - done).alias("failed"))
+    n = scans.interval_sums(runs, facts, "run_id", ["total", "synced", "failed"], ["o_custkey"])
+    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    return runs.select("run_id", "o_custkey").join(n, "run_id", "left").select("o_custkey", zero("total"), zero("synced"), zero("failed"))
 
 
 @query("SELECT o_custkey, CAST(count(*) AS BIGINT) AS done, least(100.0::DOUBLE, floor(count(*)::DOUBLE / 20 * 100 + 0.5)) AS pct FROM orders GROUP BY 1")

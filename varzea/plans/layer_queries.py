@@ -16,6 +16,28 @@ def raw_version_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layers.append_raw(raw_rows(spark, sf_dir)).select("source", "source_ref", "id", "content_hash", F.col("version").cast("long").alias("version"), "superseded_by_id")
 
 
+_ESCAPED = "list_aggregate(list_transform(regexp_extract_all({x}, '(?s).'), lambda c: CASE WHEN c IN (chr(34), chr(92)) THEN chr(92) || c WHEN c = chr(10) THEN chr(92) || 'n' WHEN unicode(c) BETWEEN 32 AND 126 THEN c WHEN unicode(c) < 65536 THEN chr(92) || 'u' || lpad(lower(to_hex(unicode(c))), 4, '0') ELSE chr(92) || 'u' || lower(to_hex(55296 + (unicode(c) - 65536) // 1024)) || chr(92) || 'u' || lower(to_hex(56320 + (unicode(c) - 65536) % 1024)) END), 'string_agg', '')"
+_LINE = "left(text, 40) || chr(10) || chr(128512) || ' é " + '"' + "' || chr(92) || doc_id % 3"
+
+
+@query(
+    f"""WITH p AS (SELECT doc_id, source || ':' || lang || ':' || CAST(doc_id % 60 AS VARCHAR) AS source_ref, '{{"lang": "' || lang || '", "nested": {{"a": [1, 2.5, null, true, {{"b": 100000.0, "c": {{}}}}], "z": ' || (doc_id % 4) || '}}, "text": "' || {_ESCAPED.format(x=_LINE)} || '"}}' AS payload FROM documents),
+h AS (SELECT *, sha256(payload) AS content_hash FROM p QUALIFY row_number() OVER (PARTITION BY source_ref, content_hash ORDER BY doc_id) = 1)
+SELECT doc_id, content_hash, row_number() OVER (PARTITION BY source_ref ORDER BY doc_id) AS version FROM h"""
+)
+def raw_payload_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions by the hash of nested payloads, whose keys, blanks and escapes differ from row to row."""
+    k = F.col("doc_id")
+    d = table(spark, sf_dir, "documents").select(k, "source", "lang", F.concat(F.substring("text", 1, 40), F.lit('\n\U0001f600 é "\\'), (k % 3).cast("string")).alias("line"))
+    line = F.substring(F.to_json(F.struct(F.col("line").alias("x"))), 6, 10_000)  # "...."} with the quotes
+    line = F.regexp_replace(line, r"\}$", "")
+    nested = F.concat(F.lit('{"z":'), (k % 4).cast("string"), F.lit(',"a":[1,2.50,null,true,{"c":{ },"b":1e5}]}'))
+    one = F.concat(F.lit('{"text":'), line, F.lit(',"lang":"'), "lang", F.lit('","nested":'), nested, F.lit("}"))
+    other = F.concat(F.lit('{ "nested" : '), nested, F.lit(', "lang":"old","lang":"'), "lang", F.lit('",\n"text":'), line, F.lit("}"))
+    rows = d.select(k.alias("id"), "source", F.concat_ws(":", "source", "lang", (k % 60).cast("string")).alias("source_ref"), k.alias("ingested_at"), F.when(k % 2 == 0, one).otherwise(other).alias("payload"))
+    return layers.append_raw(layers.with_content_hash(rows)).select(F.col("id").alias("doc_id"), "content_hash", F.col("version").cast("long").alias("version"))
+
+
 @query(f"SELECT source_ref, id, version FROM ({VERSIONS_SQL}) WHERE superseded_by_id IS NULL")
 def raw_active(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layers.active(layers.append_raw(raw_rows(spark, sf_dir))).select("source_ref", "id", F.col("version").cast("long").alias("version"))

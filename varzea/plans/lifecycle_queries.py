@@ -274,7 +274,7 @@ def token_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", fuzzy.token_sort_ratio(a, b).alias("sort"), fuzzy.token_set_ratio(a, b).alias("set"), fuzzy.partial_token_set_ratio(a, b).alias("partial"))
 
 
-@query("SELECT c_custkey, CASE WHEN c_custkey % 5 <> 0 THEN 'Rua ' || upper(c_mktsegment[1]) || lower(c_mktsegment[2:]) END AS address, lower(c_mktsegment) || ' d agua' AS squeezed, c_mktsegment || 'dagua' AS bare, CASE WHEN c_custkey % 2 = 0 THEN 'BA' END AS uf, CASE WHEN c_custkey % 3 = 0 THEN 'h' || c_custkey END AS handle, CASE WHEN c_custkey % 5 <> 0 THEN '***' ELSE '' END AS redacted FROM customer")
+@query("SELECT c_custkey, CASE WHEN c_custkey % 5 <> 0 THEN 'Rua ' || upper(c_mktsegment[1]) || lower(c_mktsegment[2:]) END AS address, lower(c_mktsegment) || ' d agua' AS squeezed, c_mktsegment || 'dagua' AS bare, CASE WHEN c_custkey % 2 = 0 THEN 'BA' END AS uf, CASE WHEN c_custkey % 3 = 0 THEN '@h' || c_custkey END AS handle, CASE WHEN c_custkey % 5 <> 0 THEN '***' ELSE '' END AS redacted FROM customer")
 def address_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     k, s = F.col("c_custkey"), F.col("c_mktsegment")
     raw = F.when(k % 5 != 0, F.concat(F.lit(" rua "), s, F.lit(" "))).otherwise("  ")

@@ -114,15 +114,16 @@ def prompt_context(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""SELECT source_ref, entity_type, split_part(source_ref, ':', 1) AS source, CASE WHEN a THEN coalesce(name, '') ELSE coalesce(name, municipio, '') END AS name, CASE WHEN a THEN coalesce(nullif(tipo, ''), 'outros') END AS type,
- i AS municipio_ibge, CASE WHEN a THEN coalesce(owner_phone, {_PHONE_PARTS}) END AS whatsapp, CASE WHEN a AND phone LIKE '+55733%' THEN phone END AS telefone,
+ i AS municipio_ibge, CASE WHEN a THEN coalesce(owner_phone, {_PHONE_PARTS}) END AS whatsapp, CASE WHEN a AND (phone LIKE '+55733%' OR phone LIKE '+1 %') THEN phone END AS telefone,
  CASE WHEN a THEN coalesce(parent_source_ref, 'ibge:' || uf || ':' || coalesce(i, 'None')) END AS parent, CASE WHEN a AND price_level LIKE 'PRICE%' THEN CASE price_level WHEN 'PRICE_LEVEL_FREE' THEN 0 ELSE 2 END END AS price_level,
- CASE WHEN a AND id % 2 = 0 THEN 'closed' END AS sunday FROM (SELECT *, entity_type = 'attraction' AS a, CASE WHEN entity_type = 'attraction' THEN coalesce(municipio_id, ibge_code) ELSE coalesce(ibge_code, municipio_id) END AS i FROM {R})"""
+ CASE WHEN a AND id % 2 = 0 THEN 'closed' END AS sunday FROM (SELECT * REPLACE (CASE WHEN id % 7 = 0 THEN '+1 491 555 2671' ELSE phone END AS phone), entity_type = 'attraction' AS a, CASE WHEN entity_type = 'attraction' THEN coalesce(municipio_id, ibge_code) ELSE coalesce(ibge_code, municipio_id) END AS i FROM {R})"""
 )
 def push_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both shapes; every second record has readable hours."""
+    """Both shapes; every second record has readable hours, every seventh a number of another country."""
     days = "Monday Tuesday Wednesday Thursday Friday Saturday".split()
     week = F.array(*(F.lit(f"{d}: 09:00-17:00") for d in days), F.when(F.col("id") % 2 == 0, "Sunday: Closed").otherwise("Sunday: maybe"))
-    p = rec.push_payload(records(spark, sf_dir).withColumn("weekday_text", week))
+    d = records(spark, sf_dir).withColumn("phone", F.when(F.col("id") % 7 == 0, "+1 491 555 2671").otherwise(F.col("phone")))
+    p = rec.push_payload(d.withColumn("weekday_text", week))
     return p.select("source_ref", "entity_type", "payload.source", "payload.name", "payload.type", "payload.municipio_ibge", "payload.whatsapp", "payload.telefone", F.col("payload.destino.source_ref").alias("parent"), "payload.price_level", F.try_element_at("payload.opening_hours", F.lit("sun")).alias("sunday"))
 
 
@@ -264,11 +265,29 @@ def signal_gather(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.gather_signals(d, _now()).select("id", "score", "routing", "reason", F.col("reviews_recent").alias("recent"))
 
 
-@query(f"SELECT id, CASE WHEN id % 4 = 0 THEN 'https://site' || id END AS website, CASE WHEN id % 4 = 2 THEN 'place' || id END AS ig_handle, CASE WHEN phone LIKE '+55%' THEN phone END AS phone_e164, CASE WHEN id % 2 = 0 OR phone LIKE '+55%' THEN 'contacts' ELSE sub_state END AS sub_state FROM {R}")
-def contact_gather(spark: SparkSession, sf_dir: str) -> DataFrame:
+_LINKS = ["https://www.instagram.com/placeK?hl=pt", "http://instagram.com/@placeK/", "https://notinstagram.com/placeK", "https://siteK.com/instagram.com", "instagram.com/placeK/p/1", "https://instagram.com/", "", None, "https://siteK"]
+_PHONES = ["+1 491 555 2671", "+351 912 345 678", "(73) 9 9999-0001", "7333220001", "+55 73 99999-0001", "", None]
+_of = lambda texts, x: f"CASE {x} " + " ".join(f"WHEN {i} THEN " + ("NULL" if t is None else f"replace('{t}', 'K', id::VARCHAR)") for i, t in enumerate(texts)) + " END"
+_CONTACTS = f"""(SELECT id, l AS website, CASE WHEN list_contains(['instagram.com', 'www.instagram.com'], s[h]) AND q <> '' THEN CASE WHEN q[1] = '@' THEN q ELSE '@' || q END END AS ig_handle, e AS phone_e164, CASE WHEN e[:3] = '+55' AND length(e) = 14 AND e[6] = '9' THEN e[:5] || '*****' || e[-2:] END AS whatsapp_candidate, place_id, sub_state
+ FROM (SELECT *, split_part(s[h + 1], '?', 1) AS q, CASE WHEN d[1] = '+' THEN d WHEN length(d) IN (10, 11) THEN '+55' || d END AS e
+ FROM (SELECT *, coalesce(nullif(list_position(s, 'instagram.com'), 0), nullif(list_position(s, 'www.instagram.com'), 0)) AS h FROM (SELECT *, nullif({_of(_LINKS, f'id % {len(_LINKS)}')}, '') AS l, string_split(rtrim(l, '/'), '/') AS s, nullif(regexp_replace({_of(_PHONES, f'id % {len(_PHONES)}')}, '[^0-9+]', '', 'g'), '') AS d FROM {R}))))"""
+
+
+def _gathered(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("id")
-    link = F.when(k % 4 == 0, F.col("website")).when(k % 4 == 2, F.concat(F.lit("https://www.instagram.com/place"), k.cast("string"), F.lit("?hl=pt"))).when(k % 4 == 1, "")
-    return enrich.gather_contacts(records(spark, sf_dir).withColumn("link", link))
+    pick = lambda texts: F.replace(F.get(F.array(*map(F.lit, texts)), (k % len(texts)).cast("int")), F.lit("K"), k.cast("string"))
+    return enrich.gather_contacts(records(spark, sf_dir).withColumn("link", pick(_LINKS)).withColumn("phone", pick(_PHONES)))
+
+
+@query(f"SELECT id, CASE WHEN p THEN website END AS website, CASE WHEN p THEN ig_handle END AS ig_handle, CASE WHEN p THEN phone_e164 END AS phone_e164, CASE WHEN p THEN whatsapp_candidate END AS whatsapp_candidate, CASE WHEN p THEN 'contacts_found' ELSE sub_state END AS sub_state FROM (SELECT *, place_id IS NOT NULL AS p FROM {_CONTACTS})")
+def contact_gather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links to profiles and to other sites, numbers of three countries."""
+    return _gathered(spark, sf_dir).drop("before")
+
+
+@query(f"SELECT 'sub_state_advanced' AS action, 'attraction' AS entity_type, id AS record_id, sub_state AS before_state, 'contacts_found' AS after_state, 'contact_finder_agent' AS actor FROM {R} WHERE place_id IS NOT NULL AND sub_state IS DISTINCT FROM 'contacts_found'")
+def contact_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return enrich.contact_audit(_gathered(spark, sf_dir))
 
 
 @query(f"SELECT 'manual:' || uf || ':' || id AS source_ref, {SCORE.replace('origin', '100.0').replace('human', '100.0')} AS score, CASE WHEN {SCORE.replace('origin', '100.0').replace('human', '100.0')} >= 80 THEN 'mar' ELSE 'dlq' END AS routing FROM {R}")

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from varzea.functions.scalars import cosine, fold_key, token_jaccard
-from varzea.operators import resolve
+from varzea.operators import neighbours, resolve
 from varzea.plans.bindings import LOCATED_SQL, PLACES_SQL, RAW_SQL, located, places, raw_rows, table
 from varzea.plans.registry import query
 
@@ -77,6 +77,38 @@ def fuzzy_place(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve.fuzzy_place(typed, p, "c_custkey", "typed", "region")
 
 
+def misspelt(name: Column, key: Column) -> Column:
+    """Words turned round, a letter left out or doubled, or the name as it is."""
+    words = F.split(name, " ")
+    turned = F.array_join(F.reverse(words), " ")
+    return F.when(key % 4 == 0, turned).when(key % 4 == 1, F.concat(F.substring(name, 1, 3), F.substring(name, 5, 200))).when(key % 4 == 2, F.concat(F.upper(name), F.substring(name, -1, 1))).otherwise(name)
+
+
+@query()
+def fuzzy_district(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """District hints, some misspelt, looked up among their municipality's districts (a brand's parts) at 88 or more (no SQL)."""
+    p = table(spark, sf_dir, "part")
+    districts = p.select(F.col("p_partkey").alias("place_code"), F.col("p_name").alias("place_name"), F.col("p_brand").alias("place_region"))
+    hints = p.select("p_partkey", misspelt(F.col("p_name"), F.col("p_partkey")).alias("hint"), "p_brand")
+    return resolve.fuzzy_place(hints, districts, "p_partkey", "hint", "p_brand").select("p_partkey", "place_code", "ratio")
+
+
+@query()
+def place_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best search result of a brand's for misspelt and shortened names, 85 or more by the token-set ratio (no SQL)."""
+    p, k = table(spark, sf_dir, "part"), F.col("p_partkey")
+    short = F.array_join(F.slice(F.split("p_name", " "), 1, 3), " ")
+    rows = p.select(k.alias("id"), "p_brand", F.when(k % 5 == 0, short).otherwise(misspelt(F.col("p_name"), k)).alias("name"))
+    results = p.filter("p_partkey % 3 <> 0").select("p_brand", k.alias("position"), F.col("p_name").alias("other"))
+    return resolve.best_match(rows, results, "p_brand", "id", "name", "other").select("id", "position", "ratio")
+
+
+@query()
+def knn_by_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Up to ten neighbours of a label by a k-means index (approximate: recall is measured against knn_in_block in a test)."""
+    return neighbours.nearest_by_cells(table(spark, sf_dir, "embeddings"), ["label"], "vec_id", "embedding", 10, 0.2).select("label", "a", "b", "rank")
+
+
 @query(
     f"SELECT id, place_code, floor(km * 1000 + 0.5) / 1000 AS km FROM (SELECT id, place_code, {_KM} AS km FROM ({LOCATED_SQL}) CROSS JOIN ({PLACES_SQL})) WHERE km <= 120 QUALIFY row_number() OVER (PARTITION BY id ORDER BY km, place_code) = 1"
 )

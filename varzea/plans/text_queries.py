@@ -23,26 +23,44 @@ def title_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.select("n_nationkey", scalars.normalize_name(F.concat(F.lit("  "), F.regexp_replace("n_name", " ", " \t "), F.lit(" "))).alias("name"))
 
 
-_PHONE = "'+5573' || CASE WHEN c_custkey % 3 = 0 THEN '9' ELSE '3' END || lpad(CAST(c_custkey AS VARCHAR), CASE WHEN c_custkey % 3 = 0 THEN 8 ELSE 7 END, '0')"
+# spellings of a customer's number, K being its key in four digits; an even key makes a mobile number of the first ones
+_SPELLED = [
+    "+55 73 99999-K", "+55 27 3329-K", "7399999K", "739 9999-K", "+1 415 555 K", "+1 491 555 K", "+351 912 345 K", "55739999K9", "5573 9 9999 K", "12-K", "no number", "", None, "+55 11 98765", "(73) 9 9999-K", "0800 K", "+55 (73) 3222.K", "1 491 555 K",
+]
+_SPELLED_SQL = "CASE c_custkey % " + str(len(_SPELLED)) + " " + " ".join(f"WHEN {i} THEN " + ("NULL" if s is None else "replace('" + s + "', 'K', lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0'))") for i, s in enumerate(_SPELLED)) + " END"
+
+
+def spelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers with numbers in many spellings, of Brazil and of other countries, some that are none."""
+    k = F.col("c_custkey")
+    texts = F.array(*(F.lit(s) for s in _SPELLED))
+    return table(spark, sf_dir, "customer").select(k, F.replace(F.get(texts, (k % len(_SPELLED)).cast("int")), F.lit("K"), F.lpad((k % 10000).cast("string"), 4, "0")).alias("p"))
 
 
 @query(
-    f"""SELECT c_custkey, substr(p, 1, 5) || '*****' || substr(p, -2) AS masked, CASE WHEN c_custkey % 3 = 0 THEN substr(p, 1, 5) || '*****' || substr(p, -2) END AS candidate,
- CASE WHEN c_custkey % 3 = 0 THEN p END AS mobile, CASE WHEN c_custkey % 3 <> 0 THEN p END AS landline, p AS e164 FROM (SELECT c_custkey, {_PHONE} AS p FROM customer)"""
+    f"""WITH p AS (SELECT c_custkey, {_SPELLED_SQL} AS p FROM customer), d AS (SELECT *, regexp_replace(p, '[^0-9]', '', 'g') AS d, regexp_replace(p, '[^0-9+]', '', 'g') AS e FROM p),
+n AS (SELECT *, CASE WHEN length(d) IN (12, 13) AND d[:2] = '55' THEN d[3:] WHEN length(d) IN (10, 11) THEN d END AS n, p[1] = '+' AND d[:2] <> '55' AS abroad FROM d),
+m AS (SELECT *, CASE WHEN NOT abroad AND n IS NOT NULL THEN '+55' || n END AS f, coalesce(NOT abroad AND length(n) = 11 AND n[3] = '9', false) AS mobile FROM n)
+SELECT c_custkey, CASE WHEN length(p) <= 6 THEN '***' ELSE p[:5] || '*****' || p[-2:] END AS masked, CASE WHEN mobile AND n[1] <> '0' THEN f[:5] || '*****' || f[-2:] END AS candidate, CASE WHEN mobile THEN f END AS mobile,
+ CASE WHEN NOT mobile AND length(d) > 0 THEN coalesce(f, p) END AS landline, CASE WHEN e[1] = '+' THEN e WHEN length(e) IN (10, 11) THEN '+55' || e WHEN e[:2] = '55' AND length(e) IN (12, 13) THEN '+' || e END AS e164 FROM m"""
 )
 def phones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.col("c_custkey")
-    mobile = k % 3 == 0
-    p = F.concat(F.lit("+5573"), F.when(mobile, F.concat(F.lit("9"), F.lpad(k.cast("string"), 8, "0"))).otherwise(F.concat(F.lit("3"), F.lpad(k.cast("string"), 7, "0"))))
-    d = table(spark, sf_dir, "customer").select(k, p.alias("p"))
-    parts = scalars.split_phone(F.col("p"))
-    return d.select("c_custkey", scalars.mask_phone(F.col("p")).alias("masked"), scalars.whatsapp_candidate(F.col("p")).alias("candidate"), parts["mobile"].alias("mobile"), parts["landline"].alias("landline"), scalars.phone_e164(F.col("p")).alias("e164"))
+    p = F.col("p")
+    parts = scalars.split_phone(p)
+    return spelled(spark, sf_dir).select("c_custkey", scalars.mask_phone(p).alias("masked"), scalars.whatsapp_candidate(p).alias("candidate"), parts["mobile"].alias("mobile"), parts["landline"].alias("landline"), scalars.phone_e164(p).alias("e164"))
+
 
+_CALLS = ["11987654321", "(73) 9 9999-0001", "+55 73 9 9999-0001", "73\t3222\t1111", "+55 73 99999-0001 or (73) 3222.1111", "room 12-34 at 9", "1234567", "123456789", "a 1 2 3 4 5 6 7 8 9 b", "7" * 600]
 
-@query("SELECT event_id, ('call ' || props || ' [redacted] now or [redacted].')[:500] AS clean FROM events")
+
+@query(
+    "SELECT event_id, regexp_replace('call ' || props || ' ' || [" + ", ".join("'" + c.replace("\t", "' || chr(9) || '") + "'" for c in _CALLS) + "][event_id % " + str(len(_CALLS)) + " + 1] || repeat(' end', CAST(event_id % 3 * 80 AS INT)), '\\+?[0-9][0-9\\s().-]{7,}[0-9]', '[redacted]', 'g')[:500] AS clean FROM events"
+)
 def scrub_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
-    return e.select("event_id", scalars.scrub(F.concat(F.lit("call "), F.col("props"), F.lit(" +55 73 99999-0001 now or (73) 3222.1111."))).alias("clean"))
+    """Numbers in groups of any size, without blanks, with tabs; and digits that are too few."""
+    e, k = table(spark, sf_dir, "events"), F.col("event_id")
+    text = F.concat(F.lit("call "), F.col("props"), F.lit(" "), F.get(F.array(*map(F.lit, _CALLS)), (k % len(_CALLS)).cast("int")), F.repeat(F.lit(" end"), (k % 3 * 80).cast("int")))
+    return e.select("event_id", scalars.scrub(text).alias("clean"))
 
 
 @query("SELECT p_partkey, CASE WHEN n IS NULL OR n <= 0 THEN 0.0 ELSE floor(least(100.0, 100.0 * ln(1 + n::DOUBLE) / ln(501.0)) * 100 + 0.5) / 100 END::DOUBLE AS corroboration, CASE WHEN n <= 30 THEN 100.0 WHEN n <= 180 THEN 70.0 WHEN n <= 365 THEN 40.0 WHEN n <= 730 THEN 20.0 ELSE 0.0 END::DOUBLE AS recency FROM (SELECT p_partkey, CASE WHEN p_partkey % 7 <> 0 THEN p_size * 20 - 100 END AS n FROM part)")

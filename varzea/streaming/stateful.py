@@ -6,10 +6,10 @@ from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from varzea.operators.rules import EDGES
+from varzea.operators.scans import running_sums
 
 _NEXT = {(a, b) for a, b in EDGES}
 
@@ -76,12 +76,9 @@ def machine_stream(moves: DataFrame, key: str, order: list[str], move: str) -> D
 
 def floored_counters(rows: DataFrame, key: str, at: str, order: list[str], delta: str) -> DataFrame:
     """Running counters that refunds cannot take below zero, per key (a day). The floored counter is the sum less its least
-    prefix sum below zero; prefix sums are taken within hours and added up over them, so that no key is one task."""
-    d = rows.select(key, at, *order, F.col(delta).alias("_d")).withColumn("_hour", F.date_trunc("hour", F.col(at)))
-    prefix = F.sum("_d").over(W.partitionBy(key, "_hour").orderBy(at, *order).rowsBetween(W.unboundedPreceding, 0))
-    hours = d.withColumn("_p", prefix).groupBy(key, "_hour").agg(F.sum("_d").alias("_sum"), F.min("_p").alias("_least"))
-    before = F.coalesce(F.sum("_sum").over(W.partitionBy(key).orderBy("_hour").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    least = hours.withColumn("_least", before + F.col("_least")).groupBy(key).agg(F.sum("_sum").alias("_sum"), F.min("_least").alias("_least"))
+    prefix sum below zero, and prefix sums are added up by stretches, so that no key is one task."""
+    d = rows.select(key, at, *order, F.col(delta).alias("_d"))
+    least = running_sums(d, [key], [at, *order], {"_p": F.col("_d")}, inclusive=True).groupBy(key).agg(F.sum("_d").alias("_sum"), F.min("_p").alias("_least"))
     return least.select(key, (F.col("_sum") - F.least(F.lit(0), F.col("_least"))).alias("total"))
 
 

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from varzea.operators.rules import EDGES
 from varzea.plans.bindings import table
 from varzea.plans.registry import query
-from varzea.streaming import stateful
+from varzea.sources import page_stream
+from varzea.streaming import machine, settlement, stateful
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -79,6 +80,29 @@ def stream_good_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_to_end(stream(spark, sf_dir, "events"), "append", good=F.col("event_type") != "error").select("event_id", "value", "aside")
 
 
+_EXPECTS = "CASE WHEN event_id % 13 = 0 THEN 'contacts' ELSE CASE event_id % 7 WHEN 1 THEN 'discovered' WHEN 2 THEN 'signals' WHEN 3 THEN 'contacts' WHEN 4 THEN 'awaiting' WHEN 5 THEN 'awaiting' WHEN 6 THEN 'approved' END END"
+_PAGED = "SELECT o_orderkey, o_orderkey % 4 AS listing, o_orderkey // 4000 AS page FROM orders WHERE NOT (o_orderkey % 4 = 2 AND o_orderkey // 4000 = 3)"
+
+
+@query(f"SELECT 'l' || listing AS listing, CAST(page AS BIGINT) AS page, o_orderkey AS id FROM ({_PAGED}) WHERE NOT (listing = 2 AND page >= 3)")
+def resumed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as pages of four listings, one of which has an empty page; half of the pages land, the query stops, the rest lands,
+    and a second query goes on from the checkpoint."""
+    base = f"{shared_dir(spark)}/varzea-pages-{uuid.uuid4().hex}"
+    atexit.register(delete_path, spark, base)
+    k = F.col("o_orderkey")
+    o = table(spark, sf_dir, "orders").select(k, F.concat(F.lit("l"), (k % 4).cast("string")).alias("listing"), F.floor(k / 4000).alias("page"))
+    last = o.agg(F.max("page")).first()[0] or 0
+    for number, part in enumerate([o.filter(F.col("page") <= last // 2), o.filter(F.col("page") > last // 2)]):
+        page_stream.land(part.filter("NOT (listing = 'l2' AND page = 3)").select("listing", "page", F.struct(k.alias("locationId")).alias("card"), k.alias("place")), f"{base}/in")
+        if number == 0:
+            page_stream.land_empty(f"{base}/in", "l2", 3)
+        q = page_stream.page_stream(spark, f"{base}/in").writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
+        q.awaitTermination()
+    out = spark.read.schema("listing string, page long, position int, card string").parquet(f"{base}/out")
+    return out.select("listing", "page", F.get_json_object("card", "$.locationId").cast(dict(o.dtypes)["o_orderkey"]).alias("id"))
+
+
 _MOVE = "CASE event_id % 7 WHEN 0 THEN 'discovered' WHEN 1 THEN 'signals' WHEN 2 THEN 'contacts' WHEN 3 THEN 'awaiting' WHEN 4 THEN 'approved' WHEN 5 THEN 'rejected' ELSE 'outreach' END"
 
 
@@ -96,6 +120,50 @@ def state_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stateful.machine_batch(e, "user_id", ["ts", "event_id"], "move")
 
 
+_GUARDED = _STATE.replace("}}", ", 'ex': CAST({ex} AS VARCHAR)}}")
+
+
+@query(
+    f"""SELECT user_id, z.st AS state, z.made AS made, z.ignored AS ignored FROM (SELECT user_id, list_reduce(list_prepend({_GUARDED.format(st='NULL', mv='NULL', made=0, ignored=0, ex='NULL')}, list({_GUARDED.format(st='NULL', mv='mv', made=0, ignored=0, ex='ex')} ORDER BY date_trunc('millisecond', ts), event_id)),
+ lambda s, m: CASE WHEN s.st IS NOT DISTINCT FROM m.ex AND ({_EDGES}) THEN {_GUARDED.format(st='m.mv', mv='NULL', made='s.made + 1', ignored='s.ignored', ex='NULL')} ELSE {_GUARDED.format(st='s.st', mv='NULL', made='s.made', ignored='s.ignored + 1', ex='NULL')} END) AS z FROM (SELECT *, {_MOVE} AS mv, {_EXPECTS} AS ex FROM events) GROUP BY 1)"""
+)
+def stage_machine_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Moves that arrive up to twelve hours late, in slices of ten days, through a stateful processor with event-time timers; what
+    its audit rows add up to. A last slice of no one's move, far ahead, lets the watermark pass all others."""
+    moves = table(spark, sf_dir, "events").select(F.col("user_id").alias("key"), F.date_trunc("millisecond", F.col("ts").cast("timestamp")).alias("at"), F.col("event_id").cast("long").alias("id"), F.expr(_EXPECTS).alias("expected"), F.expr(_MOVE).alias("move"))
+    arrival = F.floor((F.unix_timestamp("at") + F.pmod(F.xxhash64("id"), F.lit(43_200))) / 864_000)
+    landed = moves.withColumn("slice", arrival)
+    end = landed.agg(F.max("at").alias("at")).select(F.lit(None).cast(dict(moves.dtypes)["key"]).alias("key"), (F.col("at") + F.expr("INTERVAL 9 DAYS")).alias("at"), F.lit(-1).cast("long").alias("id"), F.lit(None).cast("string").alias("expected"), F.lit("end").alias("move"))
+    slices = [r["slice"] for r in landed.select("slice").distinct().orderBy("slice").collect()]  # slices of time: a handful
+    base = f"{shared_dir(spark)}/varzea-moves-{uuid.uuid4().hex}"
+    atexit.register(delete_path, spark, base)
+    with machine.rocksdb(spark):
+        end.limit(0).write.mode("append").parquet(f"{base}/in")
+        audit = machine.audit_stream(spark.readStream.schema(end.schema).parquet(f"{base}/in"), "1 day")
+        q = audit.writeStream.outputMode("append").format("parquet").option("path", f"{base}/audit").option("checkpointLocation", f"{base}/state").start()
+        try:
+            for rows in [*(landed.filter(F.col("slice") == s).drop("slice") for s in slices), end]:
+                rows.write.mode("append").parquet(f"{base}/in")
+                q.processAllAvailable()
+        finally:
+            q.stop()
+    return machine.outcome(spark.read.parquet(f"{base}/audit")).filter("key IS NOT NULL").withColumnRenamed("key", "user_id")
+
+
+@query(
+    """WITH e AS (SELECT event_id, ts, CAST(floor(value * 100 + 0.5) AS BIGINT) AS cents FROM events), s AS (SELECT event_id, ts + to_hours(CAST(event_id % 24 AS INTEGER)) AS at, ts AS booked, cents * (event_id % 5) // 2 - cents AS d FROM e WHERE event_id % 11 <> 0),
+m AS (SELECT ts AS at, event_id, 0 AS kind, cents AS delta FROM e UNION ALL SELECT at, event_id, 1, CASE WHEN at::DATE = booked::DATE THEN d ELSE greatest(0, d) END FROM s)
+SELECT strftime(at, '%Y-%m-%d') AS day, CAST(list_reduce(list_prepend(CAST(0 AS BIGINT), list(CAST(delta AS BIGINT) ORDER BY at, kind, event_id)), lambda a, d: greatest(0, a + d)) AS BIGINT) AS spent FROM m GROUP BY 1"""
+)
+def settled_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reservations and their bills up to a day later, two streams joined in time; what each day has spent."""
+    k, cents = F.col("event_id"), F.floor(F.col("value") * 100 + 0.5).cast("long")
+    booked = lambda d: d.select(k.alias("call"), F.col("ts").cast("timestamp").alias("booked"), cents.alias("reserved"))
+    bills = lambda d: d.filter(k % 11 != 0).select(k.alias("bill"), (F.col("ts").cast("timestamp") + F.make_dt_interval(hours=(k % 24).cast("int"))).alias("settled"), F.floor(cents * (k % 5) / 2).cast("long").alias("actual"))
+    found = run_to_end(settlement.settlements(booked(stream(spark, sf_dir, "events")), bills(stream(spark, sf_dir, "events"))), "append")
+    return settlement.daily_spend(booked(table(spark, sf_dir, "events")), found)
+
+
 @query(
     """SELECT day, CAST(list_reduce(list_prepend(CAST(0 AS BIGINT), list(delta ORDER BY ts, event_id)), lambda a, d: greatest(0, a + d)) AS BIGINT) AS total FROM
  (SELECT *, strftime(ts, '%Y-%m-%d') AS day, CAST(CASE WHEN event_type = 'error' THEN -3 ELSE 1 END * CAST(floor(value * 100 + 0.5) AS BIGINT) AS BIGINT) AS delta FROM events) GROUP BY 1"""
