@@ -16,6 +16,7 @@ The pipeline stage (`keep_one`) is not bound to these values: it links texts by
 
 from __future__ import annotations
 
+import re
 from itertools import combinations
 
 import numpy as np
@@ -147,7 +148,8 @@ def keep_one(docs: DataFrame, width: int = STAGE_WIDTH, threshold: float = STAGE
     of `width` words: the row with the smallest id. Rows are told apart by all their values, so ids need not be unique."""
     docs, names = hide(docs, "doc_id", "text")
     nulls = F.array(*(F.col(c).isNull() for c in docs.columns))  # xxhash64 passes over nulls
-    keyed = docs.withColumn("_key", F.xxhash64(*docs.columns, nulls))
+    values = [F.to_json(F.struct(c)) if re.search(r"\b(map|variant)\b", kind) else F.col(c) for c, kind in docs.dtypes]  # that it does not take
+    keyed = docs.withColumn("_key", F.xxhash64(*values, nulls))
     best = materialize(kept_keys(keyed.select(F.col("_key").alias("key"), F.col("doc_id").alias("id"), "text"), width, threshold), "best")
     return keyed.join(best.withColumnRenamed("key", "_key"), "_key", "left_semi").dropDuplicates(["_key"]).select(*show(names))
 
