@@ -48,3 +48,41 @@ def test_ngrams_across_a_stretch_count_once(monkeypatch, stretch):
     whole = language_id.histograms(texts)
     monkeypatch.setattr(language_id, "STRETCH", stretch)
     assert np.allclose(language_id.histograms(texts), whole)
+
+
+def test_long_words_differ_by_every_place(monkeypatch):
+    """Halves of 4,096 bytes that change places give another hash; cut into stretches the hash is the same."""
+    a, b = b"a" * 4096, b"b" * 4096
+    words = [a + b, b + a, a + b + a, b + a + a, a * 3 + b, a * 2 + b + a, b"x" * 4095 + b"y", b"y" + b"x" * 4095]
+    whole = [int(common.Words([w]).hashes()[0]) for w in words]
+    assert len(set(whole)) == len(words)
+    assert common.Words([b" ".join(words)]).hashes().tolist() == whole
+    monkeypatch.setattr(common, "STRETCH", 1000)
+    assert [int(common.Words([w]).hashes()[0]) for w in words] == whole
+
+
+def test_a_long_page_is_scored_in_stretches(monkeypatch):
+    from varzea.llm import html_extraction as h
+
+    rng = np.random.default_rng(6)
+    page = h.blocks("<html><body>" + "".join(f"<div class='c{i % 7}'><p>{'word ' * int(rng.integers(1, 9))}.</p></div>" for i in range(900)) + "</body></html>")
+    model = h.Labeller()
+    model.p["S"] = rng.normal(0, 0.1, model.p["S"].shape).astype(np.float32)
+    whole = model.label([h.vectors(page)])[0]
+    monkeypatch.setattr(h, "STRETCH", 64)
+    assert len(page) == 900 and np.allclose(model.label_long(page), whole, atol=1e-5)
+
+
+def test_memory_of_a_page_of_many_blocks():
+    """A page of 20,000 short blocks takes little beside the blocks themselves."""
+    import tracemalloc
+
+    from varzea.llm import html_extraction as h
+
+    page = h.blocks("<html><body>" + "<p>one two.</p>" * 20_000 + "</body></html>")
+    model = h.Labeller()
+    tracemalloc.start()
+    assert len(model.label_long(page)) == 20_000
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 15e6

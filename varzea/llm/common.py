@@ -102,7 +102,17 @@ _rng = np.random.default_rng(20240601)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 STRETCH = 2_000_000  # bytes that are hashed at once
-_POWERS = np.cumprod(np.full(4096, _MULT, dtype=np.uint64), dtype=np.uint64)
+_POWERS = np.cumprod(np.full(4096, _MULT, dtype=np.uint64), dtype=np.uint64)  # of the places 0 to 4095 in a word
+
+
+def powers(at: np.ndarray) -> np.ndarray:
+    """What the byte at each place of a word counts: the multiplier to the power of the place plus one."""
+    out = _POWERS[at & 4095]
+    if len(at) and (most := int(at.max()) >> 12):
+        high = np.cumprod(np.full(most + 1, _POWERS[-1], dtype=np.uint64), dtype=np.uint64)  # of whole stretches of 4096 places
+        far = at >> 12 > 0
+        out[far] *= high[(at[far] >> 12) - 1]
+    return out
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -140,11 +150,11 @@ class Words:
                 total = np.zeros(1, dtype=np.uint64)
                 for a in range(0, int(size[0]), STRETCH):
                     b = self.bytes[self.start[i] + a : min(self.start[i] + a + STRETCH, self.end[i])]
-                    total += (_BYTE[b] * _POWERS[np.arange(a, a + len(b)) & 4095]).sum(dtype=np.uint64)
+                    total += (_BYTE[b] * powers(np.arange(a, a + len(b)))).sum(dtype=np.uint64)
             else:
                 begin = np.cumsum(size) - size
                 at = np.arange(int(size.sum())) - np.repeat(begin, size)
-                total = np.add.reduceat(_BYTE[self.bytes[at + np.repeat(self.start[i:j], size)]] * _POWERS[at & 4095], begin)
+                total = np.add.reduceat(_BYTE[self.bytes[at + np.repeat(self.start[i:j], size)]] * powers(at), begin)
             out[i:j] = mix(total + size.astype(np.uint64))
             i = j
         return out

@@ -27,9 +27,11 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varzea.llm.common import bounded_sample, fields_of, hide, show, table
+from varzea.llm.common import bounded_sample, chunks, fields_of, hide, show, table
 
 PATH_DIM, WORD_DIM, STATS, HIDDEN = 128, 32, 10, 16
+#: blocks of a page that are scored at once, and characters of the pages that are read together (one page at least)
+STRETCH, BATCH_CHARS = 4_096, 2_000_000
 DIM = PATH_DIM + WORD_DIM + STATS
 #: bounds of the training sample: pages of the table, characters and blocks of each; composed pages
 MAX_TRAIN, MAX_TRAIN_CHARS, MAX_TRAIN_BLOCKS, COMPOSED, EPOCHS, BATCH, RATE = 300, 1_000_000, 500, 900, 6, 24, 0.01
@@ -88,7 +90,8 @@ class Path:
                 for t in p.tokens:
                     slot, sign = path_slot(t)
                     total[slot] += sign
-            p.sum = total
+            if p is not self:  # what lies above is shared by many blocks, the block's own tag by few
+                p.sum = total
         return total
 
 
@@ -180,11 +183,13 @@ def path_slot(token: str) -> tuple[int, float]:
     return at
 
 
-def vectors(page: list[tuple[Path, str, int]]) -> np.ndarray:
-    """A row for each block. Of the path's tokens the last three count fully, the others less."""
-    x = np.zeros((len(page), DIM), dtype=np.float32)
-    for i, (path, text, linked) in enumerate(page):
-        row = x[i]
+def vectors(page: list[tuple[Path, str, int]], begin: int = 0, end: int | None = None) -> np.ndarray:
+    """A row for each block, or for some of them. Of the path's tokens the last three count fully, the others less."""
+    end = len(page) if end is None else min(end, len(page))
+    x = np.zeros((end - begin, DIM), dtype=np.float32)
+    for i in range(begin, end):
+        path, text, linked = page[i]
+        row = x[i - begin]
         row[:PATH_DIM] = 0.7 * path.vector()
         for token in path.last(3):
             slot, sign = path_slot(token)
@@ -219,31 +224,46 @@ class Labeller:
         self.p |= {"O": r.normal(0, 0.2, (2 * HIDDEN, 1)), "S": np.zeros((DIM, 1)), "o": np.zeros(1)}
         self.p = {k: v.astype(np.float32) for k, v in self.p.items()}
 
-    def _run(self, x, mask, side):
+    def _step(self, pre, h, c, m, side):
+        """The states after a step, and what its gradients need. `pre` is the step's input times its weights, `m` marks real blocks."""
+        z = pre + h @ self.p[f"R{side}"]
+        i, f, o, g = _sig(z[:, :HIDDEN]), _sig(z[:, HIDDEN : 2 * HIDDEN]), _sig(z[:, 2 * HIDDEN : 3 * HIDDEN]), np.tanh(z[:, 3 * HIDDEN :])
+        new = f * c + i * g
+        tc = np.tanh(new)
+        return np.where(m, o * tc, h), np.where(m, new, c), (h, c, i, f, o, g, tc, m)
+
+    def _run(self, x, mask, side, kept=None, h=None, c=None):
+        """The hidden states of all steps and the last states, from the states h and c (zeros at a sequence's start). `kept` gets what gradients need."""
         n, steps, _ = x.shape
-        h, c = np.zeros((n, HIDDEN), np.float32), np.zeros((n, HIDDEN), np.float32)
+        h, c = (np.zeros((n, HIDDEN), np.float32) if s is None else s for s in (h, c))
         pre = x @ self.p[f"W{side}"] + self.p[f"c{side}"]
-        out, kept = np.zeros((n, steps, HIDDEN), np.float32), [None] * steps
+        out = np.zeros((n, steps, HIDDEN), np.float32)
         for t in range(steps) if side == "f" else range(steps - 1, -1, -1):
-            z = pre[:, t] + h @ self.p[f"R{side}"]
-            i, f, o, g = _sig(z[:, :HIDDEN]), _sig(z[:, HIDDEN : 2 * HIDDEN]), _sig(z[:, 2 * HIDDEN : 3 * HIDDEN]), np.tanh(z[:, 3 * HIDDEN :])
-            new = f * c + i * g
-            tc = np.tanh(new)
-            m = mask[:, t : t + 1]
-            kept[t] = (h, c, i, f, o, g, tc, m)
-            c = np.where(m, new, c)
-            h = np.where(m, o * tc, h)
+            h, c, cache = self._step(pre[:, t], h, c, mask[:, t : t + 1], side)
             out[:, t] = h
-        return out, kept
+            if kept is not None:
+                kept[t] = cache
+        return out, h, c
 
-    def forward(self, x, mask):
-        fo, fk = self._run(x, mask, "f")
-        bo, bk = self._run(x, mask, "b")
-        both = np.concatenate([fo, bo], axis=2)
+    def forward(self, x, mask, training: bool = False):
+        fk, bk = ([None] * x.shape[1] if training else None for _ in range(2))
+        both = np.concatenate([self._run(x, mask, "f", fk)[0], self._run(x, mask, "b", bk)[0]], axis=2)
         return _sig((both @ self.p["O"] + x @ self.p["S"] + self.p["o"])[:, :, 0]), (both, fk, bk)
 
+    def label_long(self, page) -> np.ndarray:
+        """Probabilities of one page's blocks, STRETCH of them at a time: once forward and once backward, the states carried on."""
+        score = np.full(len(page), self.p["o"][0], dtype=np.float32)
+        begins = range(0, len(page), STRETCH)
+        for side, order, weights in (("f", begins, self.p["O"][:HIDDEN]), ("b", reversed(begins), self.p["O"][HIDDEN:])):
+            h = c = None
+            for begin in order:
+                x = vectors(page, begin, begin + STRETCH)[None]
+                out, h, c = self._run(x, np.ones(x.shape[:2], np.float32), side, None, h, c)
+                score[begin : begin + STRETCH] += (out @ weights)[0, :, 0] + ((x @ self.p["S"])[0, :, 0] if side == "f" else 0)
+        return _sig(score)
+
     def gradients(self, x, mask, y):
-        prob, (both, fk, bk) = self.forward(x, mask)
+        prob, (both, fk, bk) = self.forward(x, mask, training=True)
         d = ((prob - y) * mask / mask.sum())[:, :, None].astype(np.float32)
         g = {"O": np.einsum("nth,nto->ho", both, d), "S": np.einsum("ntd,nto->do", x, d), "o": d.sum((0, 1))}
         dboth = d @ self.p["O"].T
@@ -439,10 +459,11 @@ def extract(pages: DataFrame, model: Labeller, html: str = "html") -> DataFrame:
     def run(batches):
         m = shared.value
         for pdf in batches:
-            for begin in range(0, len(pdf), 200):
-                part = pdf.iloc[begin : begin + 200]
+            for part in (pdf.iloc[c] for c in chunks([p or "" for p in pdf["_html"]], BATCH_CHARS)):
                 found = [blocks(p or "") for p in part["_html"]]
-                said = m.label([vectors(b) for b in found])
+                long = [len(b) > STRETCH for b in found]
+                short = iter(m.label([vectors(b) for b, k in zip(found, long) if not k]))
+                said = [m.label_long(b) if k else next(short) for b, k in zip(found, long)]
                 main = [[t for (_, t, _), s in zip(b, p) if s >= 0.5] for b, p in zip(found, said)]
                 text = ["\n\n".join(t) for t in main]
                 yield part[rest].assign(text=text, n_chars=[len(t) for t in text], n_blocks=[len(b) for b in found], n_main=[len(t) for t in main])
