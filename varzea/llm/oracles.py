@@ -34,9 +34,10 @@ s AS (SELECT c.*, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_line
   list_transform(bins, lambda b: len(list_filter(w, lambda x: x = b))::DOUBLE) AS found FROM c LEFT JOIN repeated ON repeated.row = c.row),
 b AS (SELECT *, n_words < {q.MIN_WORDS} OR 100 * n_repeat_words > {q.MAX_REPEAT_PCT} * n_words AS base_failed,
   CASE WHEN n_words > 0 THEN list_append(list_transform(found, lambda x: x / n_words), (n_words - list_sum(found)) / n_words) END AS word_share FROM s),
-r AS (SELECT lang, [{", ".join(f"avg(char_share[{i}])" for i in range(1, 8))}] AS char_ref, [{", ".join(f"avg(word_share[{i}])" for i in range(1, 14))}] AS word_ref FROM b WHERE NOT base_failed AND lang IS NOT NULL GROUP BY 1 HAVING count(*) >= {q.MIN_REFERENCE}),
+r AS (SELECT lang, count(*) AS n_ref, [{", ".join(f"avg(char_share[{i}])" for i in range(1, 8))}] AS char_ref, [{", ".join(f"avg(word_share[{i}])" for i in range(1, 14))}] AS word_ref FROM b WHERE NOT base_failed AND lang IS NOT NULL GROUP BY 1),
 every AS (SELECT [{", ".join(f"avg(char_share[{i}])" for i in range(1, 8))}] AS all_ref FROM b WHERE NOT base_failed),
-j AS (SELECT b.*, {_js("char_share", "coalesce(char_ref, all_ref)")} AS cd, CASE WHEN word_ref IS NOT NULL AND word_ref[1] IS NOT NULL THEN {_js("word_share", "word_ref")} END AS wd FROM b LEFT JOIN r ON r.lang = b.lang CROSS JOIN every)
+drawn AS (SELECT r.*, list_transform(list_zip(char_ref, all_ref), lambda x: (x[1] * n_ref + x[2] * {q.PRIOR_TEXTS}) / (n_ref + {q.PRIOR_TEXTS})) AS drawn_ref FROM r CROSS JOIN every),
+j AS (SELECT b.*, CASE WHEN char_ref IS NOT NULL THEN least({_js("char_share", "char_ref")}, {_js("char_share", "drawn_ref")}) END AS cd, CASE WHEN word_ref IS NOT NULL AND word_ref[1] IS NOT NULL THEN {_js("word_share", "word_ref")} END AS wd FROM b LEFT JOIN drawn ON drawn.lang = b.lang)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT (word_chars >= {q.MIN_CHARS} AND coalesce(cd > {q.MAX_CHAR_DISTANCE}, false))
  AND NOT (n_words >= {q.MIN_WORDS_FOR_WORDS} AND (coalesce(wd > {q.MAX_WORD_DISTANCE}, false) OR coalesce(cd > {q.BOTH_CHAR_DISTANCE} AND wd > {q.BOTH_WORD_DISTANCE}, false))) AS kept FROM j
 """

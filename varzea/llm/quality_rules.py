@@ -7,9 +7,8 @@ with the language's mean and with that mean drawn towards the mean of all texts
 smaller distance is the text's, so a language of few texts is judged mildly and no number of texts switches the method.
 
 Defined cases: a null text has no words and fails the base rule; a null language, and one without a text that passes the
-base rule, has no reference, and its texts are judged by the base rule alone (in the registered query, whose SQL fixes
-its references, languages of fewer than MIN_REFERENCE texts are compared with the mean characters of all texts); a language without a list of common words, and a text under
-MIN_WORDS_FOR_WORDS words, is judged by its characters alone; repeated rows are judged alike, one output row for each
+base rule, has no reference, and its texts are judged by the base rule alone; a language without a list of common words, and
+a text under MIN_WORDS_FOR_WORDS words, is judged by its characters alone; repeated rows are judged alike, one output row for each
 input row; further columns pass through, those that have the name of a result are replaced by it.
 """
 
@@ -32,8 +31,6 @@ MIN_WORDS, MAX_REPEAT_PCT = 50, 50
 STAGE_MIN_WORDS = 1
 #: guards and limits of the divergence rules
 PRIOR_TEXTS, MIN_CHARS, MIN_WORDS_FOR_WORDS = 50, 200, 100
-#: of the query alone, whose SQL fixes it: a language of fewer texts has no reference
-MIN_REFERENCE = 200
 MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE = 0.28, 0.55
 #: a text that is past both of these is rejected too: the two histograms together tell lists and tables from prose
 BOTH_CHAR_DISTANCE, BOTH_WORD_DISTANCE = 0.13, 0.24
@@ -99,10 +96,9 @@ def js_distance(p: str, q: str):
     return F.expr(f"sqrt(greatest(0D, 0.5D * {part}))")
 
 
-def judge(docs: DataFrame, min_reference: int | None = None, keep_text: bool = True, min_words: int = MIN_WORDS) -> DataFrame:
+def judge(docs: DataFrame, keep_text: bool = True, min_words: int = MIN_WORDS) -> DataFrame:
     """Add the counts, base_failed, char_distance, word_distance and kept to every document. `min_words` is the
-    verdict's own limit, base_failed keeps that of the base rule. With `min_reference` a language of fewer texts is compared
-    with all texts, and no reference is drawn towards theirs: the contract of the query's SQL.
+    verdict's own limit, base_failed keeps that of the base rule.
 
     The counts are written once with the documents (less their texts unless `keep_text`), since the verdict needs the
     references of all of them first.
@@ -111,17 +107,12 @@ def judge(docs: DataFrame, min_reference: int | None = None, keep_text: bool = T
     stats = materialize(with_stats(docs.withColumn("lang", F.col("lang").cast("string")), keep_text), "quality")
     refs = materialize(references(stats), "references")
     some = refs.filter(F.col("lang").isNotNull())
-    if min_reference is not None:
-        some = some.filter(F.col("n_ref") >= min_reference)
     if some.count() <= 10_000:  # a row for each language
         some = F.broadcast(some)
     whole = refs.filter(F.col("lang").isNull()).first()["char_ref"]  # the one row of all languages: seven shares, null without texts
     d = stats.join(some, "lang", "left")
     drawn = [(F.get("char_ref", F.lit(i)) * F.col("n_ref") + F.lit(x).cast("double") * PRIOR_TEXTS) / (F.col("n_ref") + PRIOR_TEXTS) for i, x in enumerate(whole)]
-    if min_reference is None:
-        d = d.withColumn("drawn_ref", F.when(F.col("n_ref").isNotNull(), F.array(*drawn)))
-    else:
-        d = d.withColumn("char_ref", F.coalesce("char_ref", F.array(*(F.lit(x).cast("double") for x in whole)))).withColumn("drawn_ref", F.col("char_ref"))
+    d = d.withColumn("drawn_ref", F.when(F.col("n_ref").isNotNull(), F.array(*drawn)))
     d = d.withColumn("char_distance", F.least(js_distance("char_share", "char_ref"), js_distance("char_share", "drawn_ref"))).withColumn("word_distance", js_distance("word_share", "word_ref"))
     verdict = F.expr(
         f"NOT (n_words < {min_words} OR 100 * n_repeat_words > {MAX_REPEAT_PCT} * n_words) AND NOT (word_chars >= {MIN_CHARS} AND coalesce(char_distance > {MAX_CHAR_DISTANCE}, false))"
@@ -140,4 +131,4 @@ def keep_good(docs: DataFrame) -> DataFrame:
 
 def op3_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return judge(docs, MIN_REFERENCE, keep_text=False).select("doc_id", *STATS, "base_failed", "kept")
+    return judge(docs, keep_text=False).select("doc_id", *STATS, "base_failed", "kept")
