@@ -92,7 +92,7 @@ def test_page_texts_of_awkward_pages(spark, odd_dir):
 
 
 def test_items_beyond_their_bound_are_found(spark, monkeypatch):
-    """Whether hashes are listed or all are probed, and whatever the sizes."""
+    """Whether the table of bits has room or is full, and whatever the sizes."""
     import random
 
     from varzea.llm import decontamination as d
@@ -103,8 +103,8 @@ def test_items_beyond_their_bound_are_found(spark, monkeypatch):
     docs = [(i, " ".join(word() for _ in range(60)) + " " + items[i % len(items)][1] + " " + " ".join(word() for _ in range(60))) for i in range(150)]
     want = sorted(brute.contained(docs, items))
     frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
-    for most in (d.LISTED, 3):
-        monkeypatch.setattr(d, "LISTED", most)
+    for most in (d.MOST_BITS, 1 << 10):
+        monkeypatch.setattr(d, "MOST_BITS", most)
         keyed = d.with_row(frames[0])
         found = d.containment(keyed, frames[1]).join(keyed.select("row", "doc_id"), "row")
         assert sorted((r["doc_id"], r["item_id"], r["shared"], r["size"]) for r in found.collect()) == want

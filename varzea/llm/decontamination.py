@@ -8,8 +8,9 @@ long the document.
 Items are partitioned by size (number of distinct shingles, doubling classes). Every class from SMALL shingles on has a
 bound on its sketches' hashes, SLACK times the largest m / size of the class (about a third to a quarter of all hashes),
 and a document probes with a hash only if it is within the bound of a class of its width. Sketch hashes beyond the bound
-of their class, and those of items of fewer than SMALL shingles, whose minima may lie anywhere, are looked up exactly,
-each by its value. Joining probes and sketches gives candidate pairs, which exact containment over all of the item's
+of their class, and those of items of fewer than SMALL shingles, whose minima may lie anywhere, are marked in a table of
+bits (BITS of them for each, a power of two up to MOST_BITS), and a document probes with the hashes whose bit is set as well.
+The table only spares probes: one that is full lets all hashes probe, and changes no result. Joining probes and sketches gives candidate pairs, which exact containment over all of the item's
 shingles then confirms.
 
 Words are runs of letters and digits, lower-cased, so that punctuation and case do not hide a leak. Items of fewer than
@@ -28,8 +29,8 @@ from pyspark.sql import functions as F
 from varzea.llm.common import hide, materialize, show, table
 
 WIDTH, THRESHOLD, SMALL, SLACK = 5, 0.8, 8, 1.2
-#: exact values up to which a document's hashes are compared with a list of them; beyond it all hashes are probed
-LISTED = 20_000
+#: bits for each hash that is looked up by its value, and the most of them: 512 KB in the plan
+BITS, MOST_BITS = 16, 1 << 22
 ROW = "struct<a: bigint, b: bigint>"
 #: rows of an item table up to which it is broadcast; beyond it Spark shuffles
 BROADCAST_ROWS = 1_000_000
@@ -45,10 +46,26 @@ def shingle_hashes(column: str, width: int):
     return F.expr(f"CASE WHEN size({column}) < {width} THEN array() ELSE transform(sequence(0, size({column}) - {width}), i -> xxhash64({joined})) END")
 
 
-def probing(hashes, bound: int | None, exact: list[int]):
-    """The hashes that a document probes with: those up to the bound (none if it is null), and those of the list."""
-    within = (lambda h: h <= F.lit(bound)) if bound is not None else (lambda h: F.lit(False))
-    return F.filter(hashes, lambda h: within(h) | h.isin(exact) if exact else within(h))
+def bit_table(hashes: DataFrame):
+    """A column with the table of bits of (h), and how many bits: an array of longs, in the plan as one value."""
+    n = hashes.count()
+    size = 1 << max(10, min(MOST_BITS.bit_length() - 1, (n * BITS).bit_length()))
+    place = F.shiftrightunsigned("h", 20).bitwiseAND(F.lit(size - 1))
+    words = hashes.select(F.shiftrightunsigned(place, 6).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int")).alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).collect()
+    table = [0] * (size // 64)
+    for r in words:  # at most MOST_BITS / 64
+        table[r["word"]] = r["bits"]
+    return hashes.sparkSession.createDataFrame([(table,)], "bits array<bigint>").scalar(), size
+
+
+def wanted(bounds: dict[int, int | None], bits, size: int):
+    """Whether a document probes with a hash (width, h): up to the bound of its width (none if it is null), or if its bit is set."""
+    place = F.shiftrightunsigned("h", 20).bitwiseAND(F.lit(size - 1))
+    mask = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int"))
+    within = F.lit(False)
+    for width, bound in bounds.items():
+        within = within | ((F.col("width") == width) & (F.col("h") <= F.lit(bound))) if bound is not None else within
+    return within | (F.get(bits, F.shiftrightunsigned(place, 6).cast("int")).bitwiseAND(mask) != 0)
 
 
 def tagged(hashes, width: int):
@@ -91,17 +108,14 @@ def containment(docs: DataFrame, items: DataFrame) -> DataFrame:
     bounds = class_bounds(index)
     of_class = F.create_map(*(F.lit(y) for (k, c), b in bounds.items() for y in (f"{k} {c}", b))) if bounds else F.lit(None).cast("map<string,bigint>")
     bound = F.try_element_at(of_class, F.concat_ws(" ", "width", "class"))
-    beyond = index.filter("sketch").filter(bound.isNull() | (F.col("h") > bound)).select("width", "h").distinct()
-    listed = beyond.limit(LISTED + 1).collect()
+    bits, size = bit_table(index.filter("sketch").filter(bound.isNull() | (F.col("h") > bound)).select("h").distinct())
     widths = [r["width"] for r in index.select("width").distinct().collect()]  # five at most
     if not widths:
         return spark.createDataFrame([], f"row {ROW}, item_id long, shared long, size int")
     d = docs.select("row", words("text").alias("w"))
     most = {k: max((b for (w, _), b in bounds.items() if w == k), default=None) for k in widths}
-    if len(listed) > LISTED:
-        most, listed = dict.fromkeys(widths, 2**63 - 1), []
-    parts = [tagged(F.array_distinct(probing(shingle_hashes("w", k), b, [r["h"] for r in listed if r["width"] == k])), k) for k, b in most.items()]
-    sketch = d.select("row", F.explode(F.concat(*parts)).alias("s")).select("row", "s.width", "s.h")
+    parts = [tagged(F.array_distinct(shingle_hashes("w", k)), k) for k in widths]
+    sketch = d.select("row", F.explode(F.concat(*parts)).alias("s")).select("row", "s.width", "s.h").filter(wanted(most, bits, size))
     probes = small(materialize(index.filter("sketch").select("width", "h", "item"), "sketches"))
     pairs = materialize(sketch.join(probes, ["width", "h"]).select("row", "item").distinct(), "candidates")
     # Exact containment: of the candidate documents only, all shingles that occur in an item.
