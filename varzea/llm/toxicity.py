@@ -7,7 +7,8 @@ and a group's name can count for more than its parts. Training is numpy on a bou
 long texts gather no score from their length. A term of at least `min_df` sampled texts takes part if its presence
 tells of the label by itself (chi-square of MIN_CHI2), or together with another term: a pair that is labelled 1
 more often than either of its terms (chi-square of MIN_PAIR_CHI2 against the higher of their shares) brings in both,
-however neutral they are alone. Texts of the same terms and label count once in these tests.
+however neutral they are alone. Texts of the same terms and label count once in these tests. Of a training text the MAX_TERMS
+distinct terms of the smallest hashes are learnt from, which bounds what reaches the driver; scores read all terms.
 
 Defined cases: a null, empty or termless text gets the bias score; without labelled rows of both classes every score
 is the share of label 1 (0 without rows); repeated rows score alike; labels, lang, source and doc_id are no inputs; a row without doc_id is not held out (and has no label to learn from).
@@ -24,8 +25,8 @@ from varzea.llm.common import PUNCT, Words, chunks, fields_of, held_by, hide, la
 from varzea.llm.common import LOWER as TO_LOWER
 
 BITS, FACTORS = 20, 6
-#: bounds of the training sample: documents, distinct terms of each (those of the smallest hashes), terms that pairs are sought of
-MAX_TRAIN, MAX_TERMS, MAX_PAIRED = 12_000, 20_000, 6_000
+#: bounds of the training sample: documents, distinct terms of each
+MAX_TRAIN, MAX_TERMS = 12_000, 20_000
 MIN_DF, EPOCHS, BATCH = 5, 60, 64
 RATE, L1, L2, MAX_NORM, MIN_CHI2, MIN_PAIR_CHI2 = 1.0, 2e-5, 1e-4, 1.0, 20.0, 60.0
 
@@ -109,10 +110,11 @@ def chi_square(hits, seen, share):
 
 
 def paired(term: np.ndarray, count: np.ndarray, y: np.ndarray, ids: np.ndarray, at: np.ndarray, df: np.ndarray, hits: np.ndarray, min_df: int) -> np.ndarray:
-    """Which of `ids` belong to a pair that is labelled 1 more often than either term."""
+    """Which of `ids` belong to a pair that is labelled 1 more often than either term. A pair of n texts, all labelled 1, has a
+    chi-square of n (1 - share) / share against a term's share, and n is no more than the term's own texts labelled 1: so a
+    term with fewer than MIN_PAIR_CHI2 texts labelled 0 is in no such pair, and only the others are looked at."""
     out = np.zeros(len(ids), dtype=bool)
-    usable = np.flatnonzero((hits >= min_df) & (df >= min_df))
-    usable = np.sort(usable[np.argsort(-df[usable], kind="stable")][:MAX_PAIRED])
+    usable = np.flatnonzero((hits >= min_df) & (df - hits >= MIN_PAIR_CHI2))
     if len(usable) < 2:
         return out
     place = np.full(len(ids), -1)
