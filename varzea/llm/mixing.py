@@ -3,7 +3,7 @@
 Domains are what the labels table marks: `clean` (quality 1, not toxic), `junk` (quality 0) and `toxic` (quality 1,
 toxic). A naive Bayes classifier over the presence of words and of binned shape features is counted with SQL
 aggregates on a bounded sample of labelled rows (`max_train`, chosen by a hash of doc_id); features whose presence says
-little about the domain (chi-square under MIN_CHI2) are left out. It gives every document posteriors q_dk.
+little about the domain (chi-square under MIN_CHI2) are left out, and the MAX_FEATURES that say most are the model. It gives every document posteriors q_dk.
 
 Rates r_d >= 0 then minimise the squared distance of the totals sum_d r_d t_d q_dk from T_k, where t_d are a document's words and T_k the
 target totals, by projected gradient: each round aggregates the expected totals of all documents (a few numbers reach
