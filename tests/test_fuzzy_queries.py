@@ -73,8 +73,6 @@ def test_photo_matches(spark):
     p = spark.read.parquet(f"{SF}/part.parquet").collect()
     want = []
     for a in p:
-        if a["p_size"] > 2:
-            continue
         uf, found = "BA" if a["p_partkey"] % 2 == 0 else "SP", []
         for b in p:
             hint = {0: "BA", 1: "SP"}.get(b["p_partkey"] % 3)

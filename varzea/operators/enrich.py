@@ -113,7 +113,7 @@ def photo_matches(rows: DataFrame, photos: DataFrame, top: int = 3) -> DataFrame
     r = rows.select("id", scalars.squeeze_alnum(F.col("name")).alias("_name"), scalars.squeeze_alnum(F.coalesce("municipality", F.lit(""))).alias("_muni"), F.when(F.col("uf").isNull(), "*").when(F.array_contains(states, F.col("uf")), F.col("uf")).otherwise("-").alias("_key"))
     p = photos.select("photo", "area", scalars.squeeze_alnum(F.concat_ws(" ", F.array_join("categories", " "), "object_name")).alias("_hay"), scalars.uf_hint(F.col("categories"), F.col("object_name")).alias("_uf"))
     keys = F.when(F.col("_uf").isNotNull(), F.array("_uf", F.lit("*"))).otherwise(F.concat(states, F.array(F.lit("*"), F.lit("-"))))
-    p = p.withColumn("_key", F.explode(keys)).drop("_uf")
+    p = p.withColumn("_key", F.explode(keys)).drop("_uf").join(F.broadcast(r.select("_key").distinct()), "_key", "left_semi")  # the regions and two more at most
     texts = lambda d, c: d.select(F.struct(F.col("_key").alias("key"), F.col(c).alias("text")).alias("id")).distinct().select("id", F.col("id.key").alias("block"), F.col("id.text").alias("name"))
     names, munis, hays = texts(r, "_name"), texts(r.filter("_muni <> ''"), "_muni"), texts(p, "_hay")
     near = partly_similar(munis, hays, 88.0).select(F.col("l.key").alias("_key"), F.col("l.text").alias("_muni"), F.col("r.text").alias("_hay"), F.col("ratio").alias("_m"))
@@ -136,6 +136,12 @@ def image_order() -> list[Column]:
     return [curated, contest, distance, -(F.col("width") * F.col("height"))]
 
 
+def best_images(images: DataFrame, place: str, limit: int, tie: str) -> DataFrame:
+    """The `limit` best images of each place, with their place in the order."""
+    w = W.partitionBy(place).orderBy(*image_order(), tie)
+    return images.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= limit)
+
+
 def cohort(rows: DataFrame, parents: DataFrame, limit: int) -> DataFrame:
     """Published attractions with their parent's name in one join, the newest `limit` (which is the feature)."""
     p = parents.select(F.col("source_ref").alias("parent_source_ref"), F.col("name").alias("parent_name"))

@@ -51,12 +51,17 @@ def opt_outs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return life.opt_out(log, out.join(some, "phone", "left_semi")).groupBy("phone").agg(F.bool_or("opted_out").alias("opted_out"))
 
 
-@query("SELECT conv_id, turn, text IN ('never') AS out, lower(trim(text)) = 'sair' AS typed FROM conversations")
+# Words that opt a contact out, and those that may stand beside one.
+_OUT, _FILLER = ["SAIR", "PARAR", "NÃO", "STOP"], ["POR", "FAVOR", "QUERO", "ME", "QUER", "PFV", "PLEASE", "OBRIGADO", "OBRIGADA"]
+_TYPED = ["Quero SAIR, por favor!", "quero parar e sair", "nao", "NÃO.", "não sei", "", "por favor", "sair sair", "parar - obrigada", "Stop!!"]
+
+
+@query(f"SELECT conv_id, turn, list_contains(['SAIR', 'PARAR', 'NÃO', 'NAO', 'STOP'], array_to_string(list_filter(string_split_regex(upper(t), '[^0-9A-ZÀ-ÖØ-Þ]+'), lambda w: w <> '' AND NOT list_contains({_FILLER}, w)), ' ')) AS out FROM (SELECT conv_id, turn, CASE WHEN (conv_id + turn) % 3 = 0 THEN {_TYPED}[(conv_id * 7 + turn) % {len(_TYPED)} + 1] ELSE text END AS t FROM conversations)")
 def opt_out_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """No conversation here is an opt-out; the second column asks a fixed text."""
-    c = table(spark, sf_dir, "conversations")
-    asked = lambda x: scalars.opt_out_tokens(x, ["POR", "FAVOR", "QUERO"], ["SAIR", "PARAR", "NÃO"])
-    return c.select("conv_id", "turn", asked(F.col("text")).alias("out"), asked(F.when(F.lower(F.trim("text")) == "sair", "Quero sair, por favor!").otherwise("quero parar e sair")).alias("typed"))
+    """Replies that opt out with and without polite words, replies that only mention such a word, and ordinary turns."""
+    c, pick = table(spark, sf_dir, "conversations"), (F.col("conv_id") * 7 + F.col("turn")) % len(_TYPED)
+    text = F.when((F.col("conv_id") + F.col("turn")) % 3 == 0, F.get(F.array(*map(F.lit, _TYPED)), pick.cast("int"))).otherwise(F.col("text"))
+    return c.select("conv_id", "turn", scalars.opt_out_tokens(text, _FILLER, _OUT).alias("out"))
 
 
 @query("SELECT (SELECT count(*) FROM nation) AS kept, (SELECT count(*) FROM region) AS seeded")
@@ -361,14 +366,31 @@ def embedded_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.concat(F.lit('{"id":'), k.cast("string"), F.lit(',"in":[{"id":'), (k + 1).cast("string"), F.lit("}]}"))
     html = F.when(k % 3 != 0, F.concat(F.lit('<html><script>var a = 1; window.state = "'), F.url_encode(body), F.lit('";</script></html>'))).otherwise("<html><script>x</script></html>")
     d = pages.json_island(table(spark, sf_dir, "customer").select(k.alias("page_id"), html.alias("html")), "window.state")
-    found = d.lateralJoin(pages.FindNodes(F.col("body").outer(), F.lit("id")))
-    return found.groupBy("page_id", "body").agg(F.count("*").cast("int").alias("nodes"))
+    found = pages.find_nodes(d, "page_id", "body", pages.has_key("id")).groupBy("page_id").agg(F.count("*").cast("int").alias("nodes"))
+    return d.join(found, "page_id").select("page_id", "body", "nodes")
 
 
-@query("SELECT CAST(1000 AS BIGINT) AS n, true AS sound")
+@query(
+    """SELECT c_custkey AS page_id, u.id AS location_id, u.name AS name, u.rating AS rating, CAST(u.n AS INTEGER) AS review_count, u.category AS category FROM (SELECT c_custkey, unnest(list_filter([
+ {'id': c_custkey, 'name': c_name, 'rating': CASE WHEN c_custkey % 3 = 0 THEN 4.5::DOUBLE ELSE 0.0::DOUBLE END, 'n': CASE WHEN c_custkey % 3 = 0 THEN c_custkey % 100 ELSE 0 END, 'category': CASE WHEN c_custkey % 5 = 0 THEN 'Praia' ELSE '' END},
+ {'id': CASE WHEN c_custkey % 4 <> 0 THEN c_custkey + 1000000 END, 'name': 'inner é "q"', 'rating': 3.0::DOUBLE, 'n': 7, 'category': ''}], lambda x: x.id IS NOT NULL)) AS u FROM customer)"""
+)
+def flex_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cards in nested sections, some inside a string that holds JSON; some without a rating, a category, or an id."""
+    k, kind = F.col("c_custkey"), pages.CARD_TYPE
+    bubble = F.when(k % 3 == 0, F.struct(F.lit(4.5).alias("rating"), (k % 100).alias("reviewCount")))
+    link = lambda value: F.struct(F.struct(F.struct(value.alias("detailId")).alias("typedParams")).alias("webRoute"))
+    section = lambda *fields: F.struct(F.lit(kind).alias("__typename"), F.struct(*fields).alias("singleFlexCardContent"))
+    outer = section(F.struct(F.col("c_name").alias("text")).alias("cardTitle"), link(k.cast("string")).alias("cardLink"), bubble.alias("bubbleRating"), F.when(k % 5 == 0, F.struct(F.lit("Praia").alias("text"))).alias("primaryInfo"))
+    inner = section(F.struct(F.lit('inner é "q"').alias("text")).alias("cardTitle"), link(F.when(k % 4 != 0, k + 1000000)).alias("cardLink"), F.struct(F.lit(3.0).alias("rating"), F.lit(7).alias("reviewCount")).alias("bubbleRating"))
+    chunk = F.to_json(F.struct(F.array(F.struct(F.lit("Other").alias("__typename"), F.array(inner).alias("in"))).alias("sections")))
+    body = F.to_json(F.struct(F.struct(F.array(outer).alias("list"), F.array(F.struct(chunk.alias("payload"))).alias("chunks"), F.lit("{no json").alias("odd")).alias("data")))
+    return pages.flex_cards(table(spark, sf_dir, "customer").select(k.alias("page_id"), body.alias("body")), "page_id", "body").select("page_id", "location_id", "name", "rating", "review_count", "category")
+
+
+@query("SELECT source, count(*) AS n, true AS sound FROM documents GROUP BY 1")
 def cold_start(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A thousand simulated score inputs of a new source, all in their ranges."""
-    d = files.cold_start_samples(spark, 1000, 70.0)
-    return d.agg(F.count("*").alias("n"), F.bool_and(F.col("completeness").between(60, 100) & F.col("recency").between(0, 50) & (F.col("origin") == 70)).alias("sound"))
-
-
+    """Simulated score inputs of new sources, one for each document of a source, all in their ranges."""
+    d = files.cold_start_samples(table(spark, sf_dir, "documents").select("source"), 70.0)
+    ranges = F.col("completeness").between(60, 100) & F.col("recency").between(0, 50) & (F.col("origin") == 70) & (F.col("corroboration") == 0)
+    return d.groupBy("source").agg(F.count("*").alias("n"), F.bool_and(ranges).alias("sound"))

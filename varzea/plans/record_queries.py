@@ -338,16 +338,12 @@ def working_with_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records(spark, sf_dir).join(raw, F.col("id") == F.col("raw_id")).select("id", "raw_id")
 
 
-@query("SELECT p_partkey, CAST(row_number() OVER (ORDER BY CASE WHEN p_type LIKE '%STEEL%' THEN 0 WHEN p_type LIKE '%BRASS%' THEN 1 ELSE 2 END, CASE WHEN p_size % 2 = 0 THEN 0 ELSE 1 END, CASE WHEN p_size % 5 = 0 THEN 9999 ELSE p_size END, -(p_size * p_partkey), p_partkey) AS INT) AS place FROM part WHERE p_brand = 'Brand#23' ORDER BY 2 LIMIT 50")
+@query("SELECT p_partkey, CAST(row_number() OVER (PARTITION BY p_brand ORDER BY CASE WHEN p_type LIKE '%STEEL%' THEN 0 WHEN p_type LIKE '%BRASS%' THEN 1 ELSE 2 END, CASE WHEN p_size % 2 = 0 THEN 0 ELSE 1 END, CASE WHEN p_size % 5 = 0 THEN 9999 ELSE p_size END, -(p_size * p_partkey), p_partkey) AS INT) AS place FROM part QUALIFY place <= 10")
 def image_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fifty best pictures of a place (the limit is the feature)."""
-    p = table(spark, sf_dir, "part").filter("p_brand = 'Brand#23'")
+    """The ten best pictures of each place, a brand (the limit is the feature)."""
     size = F.col("p_size")
-    d = p.select("p_partkey", F.when(F.col("p_type").contains("STEEL"), "featured").when(F.col("p_type").contains("BRASS"), "quality").otherwise("").alias("assessments"), F.when(size % 2 == 0, F.array(F.lit("Wiki Loves Earth"))).otherwise(F.array(F.lit("x"))).alias("categories"), F.when(size % 5 != 0, size).alias("dist"), size.alias("width"), F.col("p_partkey").alias("height"))
-    best = d.orderBy(*enrich.image_order(), "p_partkey").limit(50)
-    from pyspark.sql import Window as W
-
-    return best.withColumn("place", F.row_number().over(W.partitionBy(F.lit(1)).orderBy(*enrich.image_order(), "p_partkey"))).select("p_partkey", "place")
+    d = table(spark, sf_dir, "part").select("p_brand", "p_partkey", F.when(F.col("p_type").contains("STEEL"), "featured").when(F.col("p_type").contains("BRASS"), "quality").otherwise("").alias("assessments"), F.when(size % 2 == 0, F.array(F.lit("Wiki Loves Earth"))).otherwise(F.array(F.lit("x"))).alias("categories"), F.when(size % 5 != 0, size).alias("dist"), size.alias("width"), F.col("p_partkey").alias("height"))
+    return enrich.best_images(d, "p_brand", 10, "p_partkey").select("p_partkey", "place")
 
 
 @query(f"SELECT a.id AS id, b.name AS parent_name FROM {R} a LEFT JOIN (SELECT source_ref, min(name) AS name FROM (SELECT parent_source_ref AS source_ref, municipio AS name FROM {R} WHERE entity_type = 'destination' AND parent_source_ref IS NOT NULL) GROUP BY 1) b ON b.source_ref = a.parent_source_ref WHERE a.entity_type = 'attraction' ORDER BY a.newest_review DESC NULLS LAST, a.id LIMIT 15")
@@ -362,7 +358,7 @@ def image_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
 def photo_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Photographs of places by name and region (Indel ratios: tested against every pair)."""
     photos = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("photo"), F.col("p_size").alias("area"), F.array(F.concat("p_name", F.when(F.col("p_partkey") % 3 == 0, " (Bahia)").otherwise(""))).alias("categories"), F.concat("p_brand", F.when(F.col("p_partkey") % 3 == 1, " - SP").otherwise("")).alias("object_name"))
-    rows = table(spark, sf_dir, "part").filter("p_size <= 2").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.lit("bahia").alias("municipality"), F.when(F.col("p_partkey") % 2 == 0, "BA").otherwise("SP").alias("uf"))
+    rows = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.lit("bahia").alias("municipality"), F.when(F.col("p_partkey") % 2 == 0, "BA").otherwise("SP").alias("uf"))
     return enrich.photo_matches(rows, photos)
 
 

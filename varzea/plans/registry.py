@@ -23,7 +23,7 @@ def query(sql: str | None = None):
 
 
 def _load() -> None:
-    from varzea.plans import insight_queries, layer_queries, lifecycle_queries, record_queries, resolve_queries, rule_queries, text_queries  # noqa: F401
+    from varzea.plans import curation_queries, insight_queries, layer_queries, lifecycle_queries, record_queries, resolve_queries, rule_queries, text_queries  # noqa: F401
     from varzea.streaming import stream_queries  # noqa: F401
 
 

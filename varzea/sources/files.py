@@ -66,15 +66,15 @@ def geocode(rows: DataFrame, cache: DataFrame, key: str, now, ttl_days: int = 30
     return rows.join(fresh.select(key, place.alias("place"), F.lit(True).alias("_hit")), key, "left").withColumn("known", F.coalesce("_hit", F.lit(False))).drop("_hit")
 
 
-def first_known(rows: DataFrame, key: str, value: str, *tables: DataFrame) -> DataFrame:
-    """The value of the first table that has the key: cache, then table, then seed file."""
+def first_known(rows: DataFrame, key: str, value: str, *tables: DataFrame, required: bool = False) -> DataFrame:
+    """The value of the first table that has the key: cache, then table, then seed file. With `required` a key that none has fails the query."""
     out = rows
     for i, t in enumerate(tables):
         out = out.join(t.select(key, F.col(value).alias(f"_{i}")), key, "left")
-    return out.withColumn(value, F.coalesce(*(f"_{i}" for i in range(len(tables))))).drop(*(f"_{i}" for i in range(len(tables))))
+    missing = [F.raise_error(F.concat(F.lit(f"no {value} for "), F.col(key).cast("string"))).cast(dict(out.dtypes)["_0"])] if required else []
+    return out.withColumn(value, F.coalesce(*(f"_{i}" for i in range(len(tables))), *missing)).drop(*(f"_{i}" for i in range(len(tables))))
 
 
-def cold_start_samples(spark: SparkSession, n: int, origin: float, seed: int = 42) -> DataFrame:
-    """Simulated score inputs of new sources: completeness 60 to 100, recency 0 to 50."""
-    r = spark.range(n)
-    return r.select("id", F.lit(origin).alias("origin"), (F.rand(seed) * 40 + 60).alias("completeness"), F.lit(0.0).alias("corroboration"), (F.rand(seed + 1) * 50).alias("recency"), F.lit(0.0).alias("human"))
+def cold_start_samples(rows: DataFrame, origin: float, seed: int = 42) -> DataFrame:
+    """Simulated score inputs beside each row of a new source: completeness 60 to 100, recency 0 to 50."""
+    return rows.withColumns({"origin": F.lit(origin), "completeness": F.rand(seed) * 40 + 60, "corroboration": F.lit(0.0), "recency": F.rand(seed + 1) * 50, "human": F.lit(0.0)})

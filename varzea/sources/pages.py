@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+
+from varzea.shared import checkpointed
 
 
 def cards(pages: DataFrame) -> DataFrame:
@@ -34,28 +34,44 @@ def json_island(pages: DataFrame, marker: str) -> DataFrame:
     return pages.select("page_id", F.try_url_decode(F.nullif(literal, F.lit(""))).alias("body")).filter("body IS NOT NULL")
 
 
-def _nodes(value, key: str, depth: int = 0, limit: int = 40) -> Iterator[dict]:
-    if depth > limit:
-        return
-    if isinstance(value, str) and value[:1] in "{[":
-        try:
-            value = json.loads(value)
-        except ValueError:
-            return
-    if isinstance(value, dict):
-        if key in value:
-            yield value
-        for v in value.values():
-            yield from _nodes(v, key, depth + 1, limit)
-    elif isinstance(value, list):
-        for v in value:
-            yield from _nodes(v, key, depth + 1, limit)
-
-
-@F.udtf(returnType=StructType([StructField("node", StringType())]))
-class FindNodes:
-    """SQL: every object in a JSON text that has the key, texts that hold JSON opened, to a depth of 40."""
-
-    def eval(self, body: str, key: str):
-        for node in _nodes(body or "", key):
-            yield (json.dumps(node, ensure_ascii=False),)
+def find_nodes(rows: DataFrame, row_id: str, body: str, is_node: Callable[[Column], Column], limit: int = 40) -> DataFrame:
+    """(row_id, node) of every object in a JSON text for which `is_node` holds, as a variant; strings that hold JSON are opened.
+
+    One level of all documents at a time, `limit` levels at most: objects and arrays are exploded, scalars fall out. Levels are
+    checkpointed, so that a level is worked out once. A text that is no JSON has no nodes."""
+    spark = rows.sparkSession
+    parsed = lambda v: F.coalesce(F.when(F.try_variant_get(v, "$", "string").rlike(r"^\s*[{\[]"), F.try_parse_json(F.try_variant_get(v, "$", "string"))), v)
+    level = rows.select(F.col(row_id).alias("_row"), F.try_parse_json(body).alias("v")).filter("v IS NOT NULL")
+    found = []
+    for _ in range(limit + 1):
+        level = checkpointed(level)
+        if level.isEmpty():
+            break
+        found.append(level.filter(is_node(F.col("v"))).select(F.col("_row").alias(row_id), F.col("v").alias("node")))
+        level = level.lateralJoin(spark.tvf.variant_explode(F.col("v").outer())).select("_row", parsed(F.col("value")).alias("v"))
+    out = found[0] if found else level.select(F.col("_row").alias(row_id), F.col("v").alias("node"))
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def has_key(key: str) -> Callable[[Column], Column]:
+    return lambda v: F.try_variant_get(v, f"$.{key}", "variant").isNotNull()
+
+
+# Fixed value: the type name of a listing's cards.
+CARD_TYPE = "WebPresentation_SingleFlexCardSection"
+
+
+def flex_cards(rows: DataFrame, row_id: str, body: str) -> DataFrame:
+    """(row_id, name, location_id, rating, review_count, category) of the cards in a listing's JSON; a card without an id that is a
+    number is passed over, what else is missing is empty or 0."""
+    typed = lambda v: F.try_variant_get(v, "$.__typename", "string") == CARD_TYPE
+    n = find_nodes(rows, row_id, body, typed)
+    get = lambda path, kind: F.try_variant_get("node", f"$.singleFlexCardContent.{path}", kind)
+    cards = n.select(
+        row_id, F.coalesce(get("cardTitle.text", "string"), F.lit("")).alias("name"), get("cardLink.webRoute.typedParams.detailId", "string").try_cast("bigint").alias("location_id"),
+        F.coalesce(get("bubbleRating.rating", "double"), F.lit(0.0)).alias("rating"), F.coalesce(get("bubbleRating.reviewCount", "int"), F.lit(0)).alias("review_count"),
+        F.coalesce(get("primaryInfo.text", "string"), F.lit("")).alias("category"),
+    )
+    return cards.filter("location_id IS NOT NULL")

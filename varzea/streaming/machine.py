@@ -36,7 +36,7 @@ class Machine(StatefulProcessor):
         self.reached = handle.getValueState("reached", "state string")
         self.waiting = handle.getListState("waiting", "ms long, id long, expected string, move string")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         new = pd.concat(list(rows))
         ms = (new["at"].astype("datetime64[us]").astype("int64") // 1000).tolist()
         plain = lambda c: [None if pd.isna(x) else x for x in new[c]]
@@ -45,9 +45,9 @@ class Machine(StatefulProcessor):
             self.handle.registerTimer(t)
         return iter(())
 
-    def handleExpiredTimer(self, key, timer, expired) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         """All moves up to the watermark are folded at the first timer; the timers of the others then find nothing to do."""
-        passed = max(expired.getExpiryTimeInMs(), timer.getCurrentWatermarkInMs())
+        passed = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
         moves = list(self.waiting.get()) if self.waiting.exists() else []
         due = sorted((m for m in moves if m[0] <= passed), key=lambda m: (m[0], m[1]))
         if not due:

@@ -151,9 +151,9 @@ def stage_machine_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """WITH e AS (SELECT event_id, ts, CAST(floor(value * 100 + 0.5) AS BIGINT) AS cents FROM events), s AS (SELECT event_id, ts + to_hours(CAST(event_id % 24 AS INTEGER)) AS at, ts AS booked, cents * (event_id % 5) // 2 - cents AS d FROM e WHERE event_id % 11 <> 0),
-m AS (SELECT ts AS at, event_id, 0 AS kind, cents AS delta FROM e UNION ALL SELECT at, event_id, 1, CASE WHEN at::DATE = booked::DATE THEN d ELSE greatest(0, d) END FROM s)
-SELECT strftime(at, '%Y-%m-%d') AS day, CAST(list_reduce(list_prepend(CAST(0 AS BIGINT), list(CAST(delta AS BIGINT) ORDER BY at, kind, event_id)), lambda a, d: greatest(0, a + d)) AS BIGINT) AS spent FROM m GROUP BY 1"""
+    """WITH e AS (SELECT event_id, ts, CAST(floor(value * 100 + 0.5) AS BIGINT) AS cents FROM events), s AS (SELECT event_id, ts + to_hours(CAST(event_id % 24 AS INTEGER)) AS due, ts AS booked, cents * (event_id % 5) // 2 - cents AS d FROM e WHERE event_id % 11 <> 0),
+m AS (SELECT ts AS due, event_id, 0 AS kind, cents AS delta FROM e UNION ALL SELECT due, event_id, 1, CASE WHEN due::DATE = booked::DATE THEN d ELSE greatest(0, d) END FROM s)
+SELECT strftime(due, '%Y-%m-%d') AS day, CAST(list_reduce(list_prepend(CAST(0 AS BIGINT), list(CAST(delta AS BIGINT) ORDER BY due, kind, event_id)), lambda a, d: greatest(0, a + d)) AS BIGINT) AS spent FROM m GROUP BY 1"""
 )
 def settled_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reservations and their bills up to a day later, two streams joined in time; what each day has spent."""
