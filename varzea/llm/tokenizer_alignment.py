@@ -105,17 +105,42 @@ class Aligner:
         self.groups, self.group_first = none, np.zeros(1, dtype=np.int64)
         self.links, self.link_first = none, np.zeros(1, dtype=np.int64)
 
+    def encode_joined(self, units: list[str]) -> list[np.ndarray] | None:
+        """The A ids and B ids of units one after the other, and each unit's numbers of them. The units are encoded as one text, in
+        which they are units again; None if the tokens' bytes are not the text's."""
+        text = "".join(units)
+        a, b = self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.b.encode(text[1:], num_threads=1)
+        raw = text.encode("utf-8")
+        if any(i not in self.bytes_a for i in set(a)) or b"".join(map(self.bytes_a.__getitem__, a)) != raw or b"".join(map(self.bytes_b.__getitem__, b)) != raw:
+            return None
+        ends = np.cumsum([len(u.encode("utf-8")) for u in units])
+        out = [np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)]
+        for ids, length in zip(list(out), (self.length_a, self.length_b)):
+            token = np.cumsum(length[ids])
+            at = np.searchsorted(token, ends)
+            if not (token[at] == ends).all():
+                return None
+            out.append(np.diff(at, prepend=-1))
+        return out
+
     def learn(self, units: list[str]) -> None:
         """Encode units that are new, and intern their groups."""
         if not units:
             return
+        plain, rest = [u for u in units if not u[-1].isspace()], [u for u in units if u[-1].isspace()]  # only a text's last unit ends in white space
+        made = self.encode_joined(plain) if plain and not self.whole else None
+        if made is None:
+            plain, rest, made = [], units, [np.zeros(0, dtype=np.int64)] * 4
+        units = plain + rest
         raw = [u.encode("utf-8") for u in units]
-        in_a = [e.ids for e in self.a.encode_batch_fast(units, add_special_tokens=False)]
-        in_b = [[self.space] if u == " " else x for u, x in zip(units, self.b.encode([u[1:] for u in units], num_threads=1))]
-        ok = np.array([b"".join(map(self.bytes_a.get, x)) == r == b"".join(map(self.bytes_b.__getitem__, y)) if all(i in self.bytes_a for i in x) else False for r, x, y in zip(raw, in_a, in_b)])
-        in_a, in_b = [x if k else [] for x, k in zip(in_a, ok)], [x if k else [] for x, k in zip(in_b, ok)]
-        n_a, n_b = (np.fromiter(map(len, x), dtype=np.int64, count=len(x)) for x in (in_a, in_b))
-        a, b = (np.fromiter((i for ids in x for i in ids), dtype=np.int64, count=int(n.sum())) for x, n in ((in_a, n_a), (in_b, n_b)))
+        in_a = [e.ids for e in self.a.encode_batch_fast(rest, add_special_tokens=False)]
+        in_b = [[self.space] if u == " " else x for u, x in zip(rest, self.b.encode([u[1:] for u in rest], num_threads=1))] if rest else []
+        fine = [all(i in self.bytes_a for i in x) and b"".join(map(self.bytes_a.get, x)) == r == b"".join(map(self.bytes_b.__getitem__, y)) for r, x, y in zip(raw[len(plain) :], in_a, in_b)]
+        in_a, in_b = [x if k else [] for x, k in zip(in_a, fine)], [x if k else [] for x, k in zip(in_b, fine)]
+        ok = np.concatenate([np.ones(len(plain), dtype=bool), np.array(fine, dtype=bool)])
+        flat = lambda x: np.fromiter((i for ids in x for i in ids), dtype=np.int64)
+        sizes = lambda x: np.fromiter(map(len, x), dtype=np.int64, count=len(x))
+        a, b, n_a, n_b = (np.concatenate(x) for x in zip(made, (flat(in_a), flat(in_b), sizes(in_a), sizes(in_b))))
         unit_end = np.cumsum(np.where(ok, np.fromiter(map(len, raw), dtype=np.int64, count=len(raw)), 0))
         end_a, end_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
         cut = np.intersect1d(end_a, end_b, assume_unique=True)
