@@ -33,7 +33,7 @@ SCALE = 1_000_000_000
 TOP = 50
 CELLS = 2_000_000
 WIDTH = 4096
-ENTRIES = 400_000  # distinct terms that a task holds before it passes their counts on
+ENTRIES, SLICE = 250_000, 500  # distinct terms that a task holds before it passes their counts on; texts that it takes up at once
 SMALL = 100_000  # rows of a table that is broadcast
 
 #: a maximal run of letters A-Z, a-z and characters beyond ASCII, in UTF-8 with A-Z lower-cased
@@ -53,8 +53,8 @@ def count_terms(batches):
                 numbers = [pa.array(list(n.values()), pa.int64()), pa.array([docs[t] for t in n], pa.int64())]
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), pa.array([source] * len(n), pa.string()), terms, *numbers], names=["lang", "source", "term", "n", "docs"])
 
-    for batch in batches:
-        for lang, source, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "text"))):
+    for part in (batch.slice(i, SLICE) for batch in batches for i in range(0, batch.num_rows, SLICE)):
+        for lang, source, text in zip(*(part.column(c).to_pylist() for c in ("lang", "source", "text"))):
             n, docs = found.setdefault((lang, source), (Counter(), Counter()))
             terms = TERM.findall(text.encode("utf-8").translate(LOWER))
             n.update(terms)
