@@ -26,7 +26,19 @@ def one(spark, value, column):
         (scalars.tourism_category, "b", "Turistico"),
         (scalars.scrub, "call +55 71 98765-4321 now", "call [redacted] now"),
         (scalars.redact, "", ""),
-        (scalars.instagram_handle, "https://www.instagram.com/casa/?x=1", "casa"),
+        (scalars.instagram_handle, "https://www.instagram.com/casa/?x=1", "@casa"),
+        (scalars.instagram_handle, "http://instagram.com/@casa/", "@casa"),
+        (scalars.instagram_handle, "https://notinstagram.com/p", None),
+        (scalars.instagram_handle, "https://instagram.com/", None),
+        (scalars.phone_e164, "+1 415-555-2671", "+14155552671"),
+        (scalars.phone_e164, "+351 912 345 678", "+351912345678"),
+        (scalars.phone_e164, "5573999990001", "+5573999990001"),
+        (scalars.phone_e164, "12345", None),
+        (scalars.scrub, "11987654321", "[redacted]"),
+        (scalars.scrub, "(73) 9 9999-0001", "([redacted]"),
+        (scalars.scrub, "+55 73 9 9999-0001", "[redacted]"),
+        (scalars.scrub, "73\t3222\t1111 x", "[redacted] x"),
+        (scalars.scrub, "room 12-34", "room 12-34"),
         (scalars.source_of_key, "places:BA:1", "places"),
         (scalars.fold_key, None, None),
     ],
@@ -84,3 +96,15 @@ def test_token_ratios():
     assert fuzzy.set_ratio("casa azul", "casa azul grande") == 100.0
     assert fuzzy.partial_set_ratio("museu", "museu do mar") == 100.0
     assert fuzzy.set_ratio(None, "x") == 0.0
+
+
+@pytest.mark.parametrize(
+    "text, mobile, landline",
+    [
+        ("+55 73 99999-0001", "+5573999990001", None), ("+55 27 3329-0420", None, "+552733290420"), ("73999990001", "+5573999990001", None), ("+1 415 555 0123", None, "+1 415 555 0123"),
+        ("+1 491 555 2671", None, "+1 491 555 2671"), ("12345", None, "12345"), ("", None, None), (None, None, None), ("no number", None, None),
+    ],
+)
+def test_split_phone(spark, text, mobile, landline):
+    row = spark.createDataFrame([(text,)], "x string").select(scalars.split_phone(F.col("x")).alias("p")).first()["p"]
+    assert (row["mobile"], row["landline"]) == (mobile, landline)

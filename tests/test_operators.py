@@ -1,3 +1,5 @@
+import json
+
 from pyspark.sql import functions as F
 
 from varzea.operators import layers, rules
@@ -73,7 +75,9 @@ def test_listing_ends_at_the_first_empty_page(spark, tmp_path):
 
 
 def test_nodes_of_embedded_json(spark):
-    assert [n["id"] for n in pages._nodes({"a": '{"id": 1, "b": [{"id": 2}]}', "id": 0}, "id")] == [0, 1, 2]
+    rows = spark.createDataFrame([(1, json.dumps({"a": '{"id": 1, "b": [{"id": 2}]}', "id": 0}))], "k int, body string")
+    found = pages.find_nodes(rows, "k", "body", pages.has_key("id")).selectExpr("try_variant_get(node, '$.id', 'int') AS id")
+    assert sorted(r["id"] for r in found.collect()) == [0, 1, 2]
 
 
 def test_library_does_not_import_the_corpus_package():
