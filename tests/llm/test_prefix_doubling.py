@@ -1,7 +1,11 @@
+import prefix_doubling
 from fixed import SF
+from prefix_doubling import repeated_positions
+from pyspark import cloudpickle
 
 from varzea.llm import suffix_dedup
-from varzea.llm.prefix_doubling import repeated_positions
+
+cloudpickle.register_pickle_by_value(prefix_doubling)  # the tasks do not see this folder
 
 
 def test_plain_form_removes_the_same_bytes(spark):
