@@ -10,7 +10,7 @@ from varzea.functions import scalars
 from varzea.operators import layers, resolve
 from varzea.operators.enrich import rescored
 from varzea.operators.lifecycle import owner_outcome
-from varzea.operators.records import prompt_context
+from varzea.operators.records import CRITERIA, prompt_context
 
 #: seats farther away than this do not place an attraction of the national bulk
 NATIONAL_KM = 50.0
@@ -144,3 +144,29 @@ def search_results(results: DataFrame, limit: int = 20) -> DataFrame:
     w = W.partitionBy("query").orderBy("position")
     d = results.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= limit).drop("_n")
     return d.select("query", "position", "place_id", last("administrative_area_level_2", "long_text").alias("municipality"), last("administrative_area_level_1", "short_text").alias("uf"), F.coalesce(F.get(of("administrative_area_level_3"), F.lit(0))["long_text"], F.lit("")).alias("district"))
+
+
+def reprocessed(rows: DataFrame, config: scalars.ScoreConfig) -> DataFrame:
+    """Records scored and routed anew under a configuration; below its threshold the reason says by how much. Run twice it changes nothing."""
+    score, breakdown = scalars.reliability(config)
+    d = rows.drop("score", "routing", "score_version", "dlq_reason").withColumn("score", score).withColumn("score_breakdown", breakdown)
+    d = d.withColumn("routing", scalars.route(F.col("score"), config)).withColumn("score_version", F.lit(config.version))
+    return d.withColumn("dlq_reason", F.when(F.col("routing") == "dlq", F.format_string(f"score=%.2f below threshold_mar={config.threshold}", "score")))
+
+
+def score_input(payload: Column) -> Column:
+    """The five criteria of a raw payload (map of texts) as numbers, 0 where one is missing or no number."""
+    return F.struct(*(F.coalesce(F.try_element_at(payload, F.lit(k)).try_cast("double"), F.lit(0.0)).alias(k) for k in CRITERIA))
+
+
+# Outcomes of a stage, and the fields of an event's data that may be kept.
+STATUSES = ["ok", "fail", "skip"]
+DATA = ["score", "routing", "dlq_reason", "reason", "name", "uf", "locationId"]
+
+
+def record_events(stages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(events to append, refused) of (source, source_ref, stage, status, message, data map): a row for each, data without fields that
+    are no engineering data; rows of an unknown status or without a reference are refused."""
+    sound = F.coalesce(F.col("status").isin(STATUSES) & (F.col("source_ref") != ""), F.lit(False))
+    kept = stages.withColumn("data", F.map_filter("data", lambda k, v: k.isin(DATA)))
+    return kept.filter(sound), stages.filter(~sound)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from varzea.functions import scalars
 from varzea.operators import curation, insights, layers
 from varzea.operators import records as rec
 from varzea.plans.bindings import LOCATED_SQL, PLACES_SQL, SCORED_SQL, located, places, scored_orders, table
@@ -203,3 +204,33 @@ def search_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     components = F.filter(F.array(country, *(F.when(c, x) for c, x in parts)), lambda x: x.isNotNull())
     o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("query"), F.row_number().over(W.partitionBy("o_custkey").orderBy("o_orderkey")).alias("position"), k.alias("place_id"), components.alias("components"))
     return curation.search_results(o)
+
+
+_NEW = "floor((origin * 25.0 / 100.0 + completeness * 20.0 / 100.0 + corroboration * 20.0 / 100.0 + recency * 15.0 / 100.0 + human * 20.0 / 100.0) * 100 + 0.5) / 100"
+
+
+@query(f"SELECT id, score, CASE WHEN score >= 60 THEN 'mar' ELSE 'dlq' END AS routing, 'v1.1' AS score_version, CASE WHEN score < 60 THEN 'score=' || printf('%.2f', score) || ' below threshold_mar=60.0' END AS dlq_reason FROM (SELECT id, {_NEW} AS score FROM {R})")
+def reprocessed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All records under other weights and a lower threshold, twice: the second time changes nothing."""
+    config = scalars.ScoreConfig(origin=25.0, human=20.0, threshold=60.0, version="v1.1")
+    d = curation.reprocessed(curation.reprocessed(records(spark, sf_dir), config), config)
+    return d.select("id", "score", "routing", "score_version", "dlq_reason")
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN c_custkey % 101 ELSE 0 END::DOUBLE AS origem, CASE WHEN c_custkey % 4 = 0 THEN 12.5 ELSE 0 END::DOUBLE AS completude, 0.0::DOUBLE AS atualidade FROM customer")
+def score_inputs_of_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Criteria that are numbers, words, null or not there."""
+    k = F.col("c_custkey")
+    payload = F.create_map(F.lit("origem_value"), F.when(k % 3 == 0, (k % 101).cast("string")).when(k % 3 == 1, "high"), F.lit("completude_value"), F.when(k % 4 == 0, "1.25e1").otherwise(""), F.lit("name"), F.lit("7"))
+    d = table(spark, sf_dir, "customer").select(k, curation.score_input(payload).alias("s"))
+    return d.select("c_custkey", F.col("s.origem_value").alias("origem"), F.col("s.completude_value").alias("completude"), F.col("s.atualidade_value").alias("atualidade"))
+
+
+@query("SELECT event_id, CASE event_id % 5 WHEN 0 THEN 'ok' WHEN 1 THEN 'fail' ELSE 'skip' END AS status, 'dlq' AS routing, 2 - event_id % 2 AS fields FROM events WHERE event_id % 5 < 3 AND event_id % 7 <> 0")
+def record_event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of a stage: an unknown status and a missing reference are refused, personal data stays out."""
+    k = F.col("event_id")
+    status = F.when(k % 5 == 0, "ok").when(k % 5 == 1, "fail").when(k % 5 == 2, "skip").when(k % 5 == 3, "done")
+    data = F.when(k % 2 == 0, F.create_map(F.lit("routing"), F.lit("dlq"), F.lit("score"), F.lit("7"), F.lit("phone"), F.lit("+55"))).otherwise(F.create_map(F.lit("routing"), F.lit("dlq"), F.lit("email"), F.lit("x@y")))
+    e = table(spark, sf_dir, "events").select(k, F.lit("tripadvisor").alias("source"), F.when(k % 7 != 0, F.concat(F.lit("ref"), k.cast("string"))).otherwise("").alias("source_ref"), F.lit("ingested").alias("stage"), status.alias("status"), F.lit(None).cast("string").alias("message"), data.alias("data"))
+    return curation.record_events(e)[0].select("event_id", "status", F.col("data")["routing"].alias("routing"), F.size("data").cast("long").alias("fields"))
