@@ -162,7 +162,7 @@ def attractions_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return insights.zero_filled(insights.count_by(d, "sub_state"), "sub_state", _STATES)
 
 
-_IMAGES = "SELECT o_custkey AS id, substr(o_orderpriority, 1, 1) AS tier, o_orderstatus AS source, CASE WHEN o_orderkey % 4 <> 0 THEN 'CC-' || o_orderkey % 3 END AS license, CAST(o_totalprice AS BIGINT) % 20000 AS url FROM orders WHERE o_custkey % 3 <> 1"
+_IMAGES = "SELECT o_custkey AS id, substr(o_orderpriority, 1, 1) AS tier, o_orderstatus AS source, CASE WHEN o_orderkey % 4 <> 0 THEN 'CC-' || o_orderkey % 3 END AS license, CAST(floor(o_totalprice) AS BIGINT) % 20000 AS url FROM orders WHERE o_custkey % 3 <> 1"
 
 
 @query(
@@ -178,7 +178,7 @@ def image_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as pictures of customers: tiers, coverage, combinations of sources, licences and pictures used twice."""
     k = F.col("o_orderkey")
     rows = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.when(F.col("c_nationkey") % 2 == 0, "db").otherwise("control").alias("cohort"))
-    images = table(spark, sf_dir, "orders").filter("o_custkey % 3 <> 1").select(F.col("o_custkey").alias("id"), F.substring("o_orderpriority", 1, 1).alias("tier"), F.col("o_orderstatus").alias("source"), F.when(k % 4 != 0, F.concat(F.lit("CC-"), (k % 3).cast("string"))).alias("license"), (F.round("o_totalprice").cast("long") % 20000).cast("string").alias("url"))
+    images = table(spark, sf_dir, "orders").filter("o_custkey % 3 <> 1").select(F.col("o_custkey").alias("id"), F.substring("o_orderpriority", 1, 1).alias("tier"), F.col("o_orderstatus").alias("source"), F.when(k % 4 != 0, F.concat(F.lit("CC-"), (k % 3).cast("string"))).alias("license"), (F.floor("o_totalprice") % 20000).cast("string").alias("url"))
     return curation.image_report(rows, images)
 
 
