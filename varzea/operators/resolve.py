@@ -96,14 +96,25 @@ def fuzzy_place(rows: DataFrame, places: DataFrame, row_id: str, name: str, regi
 
 def best_match(rows: DataFrame, candidates: DataFrame, block: str, row_id: str, name: str, other: str, least: float = 85.0, max_km: float | None = None) -> DataFrame:
     """Best candidate by token-set ratio; where both have coordinates, those too far away are passed over. Distinct names of a
-    block are compared once, where they share enough letter pairs."""
-    named = lambda d, c: d.select(F.struct(F.col(block).alias("block"), F.col(c).alias("name")).alias("id")).distinct().select("id", "id.block", "id.name")
+    block are compared once, where they share enough letter pairs. Rows of the same name and coordinates have the same best
+    candidate, and of candidates that are alike in both only the first can be it, so that these meet and not the rows."""
+    named = lambda d, c: checkpointed(d.select(F.struct(F.col(block).alias("block"), F.col(c).alias("name")).alias("id")).distinct().select("id", "id.block", "id.name"))
     found = similar(named(rows, name), named(candidates, other), least, "set").select(F.col("l.block").alias(block), F.col("l.name").alias(name), F.col("r.name").alias(other), "ratio")
-    pairs = rows.join(found, [block, name]).join(candidates, [block, other])
+    asked_by, given_by = ([block, name], [block, other]) if max_km is None else ([block, name, "lat", "lng"], [block, other, "c_lat", "c_lng"])
+    rest = [c for c in candidates.columns if c not in ("position", *given_by)]
+    first = candidates.groupBy(*given_by).agg(F.min(F.struct("position", *rest)).alias("_first")).select(*given_by, "_first.*")
+    pairs = rows.select(*asked_by).distinct().join(found, [block, name]).join(first, [block, other])
     if max_km is not None:
         far = haversine_km(F.col("lat"), F.col("lng"), F.col("c_lat"), F.col("c_lng")) > max_km
         pairs = pairs.filter(~F.coalesce(far, F.lit(False)))
-    w = W.partitionBy(row_id).orderBy(F.desc("ratio"), "position")
+    w = W.partitionBy(*asked_by).orderBy(F.desc("ratio"), "position")
+    best = pairs.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
+    best = best.withColumnsRenamed({c: f"_{c}" for c in asked_by})
+    same = F.lit(True)
+    for c in asked_by:  # a coordinate may be null
+        same &= rows[c].eqNullSafe(best[f"_{c}"])
+    pairs = rows.join(best, same).drop(*(f"_{c}" for c in asked_by))
+    w = W.partitionBy(row_id).orderBy(F.desc("ratio"), "position")  # an id may have several names
     return pairs.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
 
 
