@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from varzea.functions import scalars
 from varzea.operators.gates import CLOSED, place_route, seat_district
 from varzea.operators.matching import partly_similar, similar, similar_among
+from varzea.shared import checkpointed
 
 
 def review_summary(reviews: Column, now: Column) -> Column:
@@ -115,17 +116,19 @@ def photo_matches(rows: DataFrame, photos: DataFrame, top: int = 3) -> DataFrame
     keys = F.when(F.col("_uf").isNotNull(), F.array("_uf", F.lit("*"))).otherwise(F.concat(states, F.array(F.lit("*"), F.lit("-"))))
     p = p.withColumn("_key", F.explode(keys)).drop("_uf").join(F.broadcast(r.select("_key").distinct()), "_key", "left_semi")  # the regions and two more at most
     texts = lambda d, c: d.select(F.struct(F.col("_key").alias("key"), F.col(c).alias("text")).alias("id")).distinct().select("id", F.col("id.key").alias("block"), F.col("id.text").alias("name"))
-    names, munis, hays = texts(r, "_name"), texts(r.filter("_muni <> ''"), "_muni"), texts(p, "_hay")
+    names, munis, hays = (checkpointed(x) for x in (texts(r, "_name"), texts(r.filter("_muni <> ''"), "_muni"), texts(p, "_hay")))  # the joins read them several times
     near = partly_similar(munis, hays, 88.0).select(F.col("l.key").alias("_key"), F.col("l.text").alias("_muni"), F.col("r.text").alias("_hay"), F.col("ratio").alias("_m"))
     both = r.select("_key", "_name", "_muni").distinct().join(near, ["_key", "_muni"])
     pairs = both.select(F.struct(F.col("_key").alias("key"), F.col("_name").alias("text")).alias("l"), F.struct(F.col("_key").alias("key"), F.col("_hay").alias("text")).alias("r")).distinct()
     split = lambda d: d.select(F.col("l.key").alias("_key"), F.col("l.text").alias("_name"), F.col("r.text").alias("_hay"), F.col("ratio").alias("_n"))
-    strong = split(similar(names, hays, 88.0, "set")).join(r, ["_key", "_name"]).select("id", "_key", "_hay", F.col("_n").alias("confidence"), F.lit("nome").alias("via"))
-    weak = split(similar_among(pairs, names, hays, 72.0)).filter("_n < 88").join(both, ["_key", "_name", "_hay"]).join(r, ["_key", "_name", "_muni"])
-    weak = weak.select("id", "_key", "_hay", F.round(0.7 * F.col("_n") + 0.3 * F.col("_m")).alias("confidence"), F.lit("nome+municipio").alias("via"))
-    w = W.partitionBy("id").orderBy(F.desc("confidence"), F.desc("area"), "photo")
-    s = strong.unionByName(weak).join(p, ["_key", "_hay"])
-    return s.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top).select("id", "photo", "confidence", "via", "rank")
+    strong = split(similar(names, hays, 88.0, "set")).join(r.select("_key", "_name", "_muni").distinct(), ["_key", "_name"]).select("_key", "_name", "_muni", "_hay", F.col("_n").alias("confidence"), F.lit("nome").alias("via"))
+    weak = split(similar_among(pairs, names, hays, 72.0)).filter("_n < 88").join(both, ["_key", "_name", "_hay"])
+    weak = weak.select("_key", "_name", "_muni", "_hay", F.round(0.7 * F.col("_n") + 0.3 * F.col("_m")).alias("confidence"), F.lit("nome+municipio").alias("via"))
+    order = [F.desc("area"), "photo"]
+    best = lambda d, by, order: d.withColumn("rank", F.row_number().over(W.partitionBy(*by).orderBy(*order))).filter(F.col("rank") <= top)
+    first = best(p, ["_key", "_hay"], order).drop("rank")  # of photographs with the same text, and records with the same texts, no more can be among the best
+    s = best(strong.unionByName(weak).join(first, ["_key", "_hay"]), ["_key", "_name", "_muni"], [F.desc("confidence"), *order]).drop("rank", "_hay")
+    return best(s.join(r, ["_key", "_name", "_muni"]), ["id"], [F.desc("confidence"), *order]).select("id", "photo", "confidence", "via", "rank")
 
 
 def image_order() -> list[Column]:
