@@ -141,9 +141,10 @@ def search_results(results: DataFrame, limit: int = 20) -> DataFrame:
     address's municipality and region (the last components of their kinds) and district (the first)."""
     of = lambda kind: F.filter("components", lambda c: F.array_contains(c["types"], kind))
     last = lambda kind, text: F.try_element_at(of(kind), F.lit(-1))[text]
+    read = [last("administrative_area_level_2", "long_text").alias("municipality"), last("administrative_area_level_1", "short_text").alias("uf"), F.coalesce(F.get(of("administrative_area_level_3"), F.lit(0))["long_text"], F.lit("")).alias("district")]
     w = W.partitionBy("query").orderBy("position")
-    d = results.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= limit).drop("_n")
-    return d.select("query", "position", "place_id", last("administrative_area_level_2", "long_text").alias("municipality"), last("administrative_area_level_1", "short_text").alias("uf"), F.coalesce(F.get(of("administrative_area_level_3"), F.lit(0))["long_text"], F.lit("")).alias("district"))
+    d = results.select("query", "position", "place_id", *read)  # read first: what is sorted are three short texts, not the components
+    return d.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= limit).drop("_n")
 
 
 def reprocessed(rows: DataFrame, config: scalars.ScoreConfig) -> DataFrame:

@@ -202,7 +202,8 @@ def search_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     country = part("country", F.lit("Brasil"), "BR")
     parts = [(k % 5 == 0, part("administrative_area_level_3", name("d", 11), None)), (k % 5 == 0, part("administrative_area_level_3", F.lit("second"), None)), (k % 3 != 0, part("administrative_area_level_2", F.lit("first"), None)), (k % 3 != 0, part("administrative_area_level_2", name("m", 7), None)), (k % 3 == 1, part("administrative_area_level_1", F.lit("Bahia"), "BA"))]
     components = F.filter(F.array(country, *(F.when(c, x) for c, x in parts)), lambda x: x.isNotNull())
-    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("query"), F.row_number().over(W.partitionBy("o_custkey").orderBy("o_orderkey")).alias("position"), k.alias("place_id"), components.alias("components"))
+    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", F.row_number().over(W.partitionBy("o_custkey").orderBy("o_orderkey")).alias("position"))
+    o = o.select(F.col("o_custkey").alias("query"), "position", k.alias("place_id"), components.alias("components"))
     return curation.search_results(o)
 
 
