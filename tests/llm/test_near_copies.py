@@ -102,3 +102,47 @@ def test_sketches_tell_the_similarity():
             a, b = bins_of([x, y])
             assert abs(((a == b) & (a > 0)).sum() / ((a | b) > 0).sum() - true) < off + 0.004
     assert not bins_of([np.zeros(0, dtype=np.uint64)]).any()
+
+
+def test_the_search_is_by_fingerprints_and_pivot_tables():
+    """Of planted pairs of 0.8 nearly all share a block of their fingerprints; no pair within the radius is discarded by the pivots;
+    sets of four and five shingles share the hash of a subset."""
+    import numpy as np
+
+    from varzea.llm.near_copies import BITS, bucket_keys, cuts, differing, fingerprint, fours, radius
+
+    rng = np.random.default_rng(6)
+    share, missed, far = differing(0.8), 0, []
+    for texts in (100, 1_000_000):
+        blocks = cuts(texts, 0.8)
+        assert blocks.max() < BITS and all(len(set(b)) == len(b) for b in blocks.tolist())
+        for size in (40, 400):
+            for _ in range(300):
+                common, a, b = (rng.integers(0, 2**63, n, dtype=np.uint64) for n in (size * 8 // 10, size // 10, size // 10))
+                p = np.stack([fingerprint(np.concatenate([common, x])) for x in (a, b)])
+                keys = bucket_keys(p, blocks)
+                missed += not (keys[0] == keys[1]).any()
+                far.append(int(np.bitwise_count(p[0] ^ p[1]).sum()))
+    assert missed <= 5 and abs(np.mean(far) / BITS - share) < 0.01 and max(far) <= radius(BITS, share) + 10
+    assert set(fours(np.arange(5, dtype=np.uint64))) & set(fours(np.arange(4, dtype=np.uint64)))
+
+
+def test_full_buckets_and_small_ones_give_the_same(spark, monkeypatch):
+    """Groups of copies in buckets over the limit go by hubs and tiles, under it by pairs; short texts differ by one shingle."""
+    from varzea.llm import near_copies
+
+    rng = random.Random(14)
+    base, rows = text_of(rng, 120), []
+    for i in range(40):
+        copy = list(base)
+        for at in rng.sample(range(5, 115, 5), rng.randrange(0, 8)):
+            copy[at] = f"own{i}_{at}"
+        rows.append((i, " ".join(copy)))
+    for g in range(20):
+        short = text_of(rng, 9)
+        rows += [(100 + 2 * g, " ".join(short)), (101 + 2 * g, " ".join(short[:8]))]  # 4 of 5 shingles
+    docs, got = spark.createDataFrame(rows, "doc_id long, text string"), []
+    for most in (2, 10_000):
+        monkeypatch.setattr(near_copies, "CROWD", most)
+        got.append(sorted(r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()))
+    assert got[0] == got[1] and [i for i in got[0] if i >= 100] == list(range(100, 140, 2))

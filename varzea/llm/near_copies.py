@@ -1,16 +1,20 @@
 """Near copies by exact Jaccard similarity of word shingles: the search of the pipeline's near_duplicates stage.
 
-At Jaccard 0.8 two SimHash fingerprints differ in about ten of 64 bits, too many for selective buckets, so candidates
-come from MinHash: HASHES minima of a text's distinct shingles, BAND of them to a bucket key. A pair of similarity 0.8
-shares a bucket with probability 0.9998, one of 0.9 with 1 - 10^-7. Every linked pair is verified by the exact Jaccard
-similarity of the two shingle sets. In a bucket all texts are compared with its hub first, the text that shares most
-buckets with others, and then with HUB_TURNS more hubs by lot, so that of a large group of near copies few are left that
-are not connected; before a text travels, a mark of 64 bits must allow the similarity. What is then left in buckets that are
-not wholly connected is compared with each other inside tasks, TILE by TILE rows, and only pairs that may be similar come out,
-each from the first bucket that it shares: texts of the group that are alike by 0.4 to 0.8, far more pairs, stay inside. The
-comparison is of sketches of BINS bytes, the least hash of each bin of a text's shingles (one permutation): short texts are in
-it whole, of long ones it tells the similarity to about 0.0125. Either test passes over a pair of 0.8 with a probability
-under 10^-5.
+The method is that of op9, SimHash fingerprints with pivot distance tables over bit-block buckets, at the width and radius that a
+similarity of 0.8 needs. There two fingerprints differ in 15 % of their bits, so a fingerprint has BITS bits instead of 64 and a
+bucket's key is one block of it: a pair of similarity 0.8 agrees in a block of 14 bits with probability 0.1 and in one at least
+of the 72 blocks with 1 - MISSED (0.0005), one of 0.85 with 1 - 2 * 10^-5, one of 0.9 with 1 - 2 * 10^-8. Blocks lengthen with the number of
+texts, and then there are more of them, so that the probability stays. Sets of four and five shingles, whose fingerprints differ in
+more bits, have the hashes of their subsets of four as keys besides.
+
+In a bucket of up to CROWD texts each pair is judged: by the numbers of shingles, by the table of distances to PIVOTS reference
+fingerprints (triangle inequality), then by the Hamming distance of the first AHEAD words, which travel. Every pair that is left is
+verified by the exact Jaccard similarity of the two shingle sets. Fuller buckets are groups of near copies: all texts are judged
+against the bucket's hub, the text that shares most full buckets with others, and then against up to HUB_TURNS more hubs by lot,
+so that few are left that are not connected. What is left in full buckets that are not wholly connected is compared with each other inside
+tasks by whole fingerprints, TILE by TILE rows, and only pairs that may be similar come out, each from the first bucket that it
+shares, after a tighter test by sketches of BINS bytes, the least hash of each bin of a text's shingles. Limits of distances lie DEVIATIONS standard deviations above the expected one: each passes over a pair of 0.8 with a
+probability of about 10^-5.
 
 Words are lower-cased (A-Z) and split at the white space of the contracts. A text of fewer than `width` words is one
 shingle of all of them; wordless texts are copies of each other.
@@ -24,14 +28,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varzea.llm.common import LOWER, Words, chunks, materialize, mix, pieces
+from varzea.llm.common import LOWER, Words, chunks, materialize, mix, pieces, release
 from varzea.llm.components import components
 
-HASHES, BAND, MARK_BITS, HUB_TURNS = 64, 4, 18, 4
-BINS, DEVIATIONS, TILE = 1024, 4.27, 1_000
+BITS, AHEAD, PIVOTS, LEAST_BLOCK, MISSED = 1024, 2, 8, 14, 5e-4
+CROWD, HUB_TURNS, BINS, DEVIATIONS, TILE = 256, 4, 1024, 4.27, 1_000
+#: up to so many shingles the bits of two sets of similarity 0.8 differ in up to 3/16 instead of 15 %
+FEW = 8
 _rng = np.random.default_rng(97)
-_FLIP = _rng.integers(0, 2**63, HASHES, dtype=np.uint64)
-_FACTOR = _rng.integers(0, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_LANE = _rng.integers(0, 2**63, BITS // 64, dtype=np.uint64)
+_PIVOT = _rng.integers(0, 2**63, (PIVOTS, AHEAD), dtype=np.uint64) * np.uint64(2) + np.arange(PIVOTS, dtype=np.uint64)[:, None] % np.uint64(2)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -52,19 +58,52 @@ def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
     return [np.unique(value[e - m : e]) for m, e in zip(many, after)]
 
 
-def sketches(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Of non-empty sets: the bucket keys, a row each, and the marks, a bit of each minimum."""
-    flat = np.concatenate(sets)
-    first = np.cumsum([0] + [len(s) for s in sets[:-1]])
-    least = np.stack([mix(np.minimum.reduceat((flat ^ f) * m, first)) for f, m in zip(_FLIP, _FACTOR)], axis=1)
-    keys = np.zeros((len(sets), HASHES // BAND), dtype=np.uint64)
-    for k in range(BAND):
-        keys = mix(keys * _STEP + least[:, k::BAND] + np.arange(HASHES // BAND, dtype=np.uint64))
-    return keys.view(np.int64), np.packbits((least & np.uint64(1)).astype(np.uint8), axis=1).view(np.int64).reshape(-1)
+def fingerprint(shingles: np.ndarray) -> np.ndarray:
+    """BITS bits as bytes: 1 where more than half of the shingles' hashes have a 1."""
+    ones = np.zeros(BITS, dtype=np.int64)
+    for i in range(0, len(shingles), 255):  # so many bits add up in a byte
+        h = mix(shingles[i : i + 255, None] ^ _LANE)
+        ones += np.add.reduce(np.unpackbits(h.view(np.uint8), axis=1), axis=0, dtype=np.uint8)
+    return np.packbits(ones * 2 > len(shingles))
+
+
+def differing(threshold: float) -> float:
+    """The share of bits in which two fingerprints of this similarity differ: the angle of the sets' vectors."""
+    return float(np.arccos(2 * threshold / (1 + threshold)) / np.pi)
+
+
+def radius(bits: int, share: float) -> int:
+    return int(bits * share + DEVIATIONS * (bits * share * (1 - share)) ** 0.5)
+
+
+def cuts(n: int, threshold: float) -> np.ndarray:
+    """The bits of each block, a row for a block, for n texts: so long that a bucket has CROWD / 2 of them at most on average (up to 24
+    bits), so many that a pair of the similarity agrees in one but for MISSED. Blocks are cut one after another from the bits, as far
+    as they go, and then from the bits in other orders."""
+    block = min(24, max(LEAST_BLOCK, int(np.ceil(np.log2(max(1, 2 * n / CROWD))))))
+    many = int(np.ceil(np.log(MISSED) / np.log(1 - (1 - differing(threshold)) ** block)))
+    lot, a_row = np.random.default_rng(41), BITS // block
+    orders = [np.arange(BITS)] + [lot.permutation(BITS) for _ in range(many // a_row)]
+    return np.concatenate([o[: a_row * block].reshape(a_row, block) for o in orders])[:many]
+
+
+def bucket_keys(prints: np.ndarray, blocks: np.ndarray) -> np.ndarray:
+    """Of fingerprints (rows of bytes) the keys: the number of the block above, its bits below."""
+    bits = np.unpackbits(prints, axis=1)
+    key = np.zeros((len(prints), len(blocks)), dtype=np.int64) + np.arange(len(blocks))
+    for at in blocks.T:
+        key = key * 2 + bits[:, at]
+    return key
+
+
+def fours(shingles: np.ndarray) -> list[int]:
+    """Of a set of four or five its subsets of four, hashed; negative, so no key of a block."""
+    subsets = [shingles] if len(shingles) == 4 else [np.delete(shingles, i) for i in range(5)] if len(shingles) == 5 else []
+    return [-1 - (xxhash.xxh64_intdigest(x.tobytes()) >> 1) for x in subsets]
 
 
 def prints(docs: DataFrame, width: int) -> DataFrame:
-    """(key, id, node, n, mark, keys) of every row of (key, id, text); texts of equal shingle sets share the node."""
+    """(key, id, node, n, print, fours) of every row of (key, id, text); texts of equal shingle sets share the node."""
     kind = dict(docs.dtypes)["id"]
 
     def run(batches):
@@ -72,18 +111,53 @@ def prints(docs: DataFrame, width: int) -> DataFrame:
             texts = [b"" if t is None else t.encode() for t in pdf["text"]]
             for c in chunks(texts):
                 sets = shingle_sets(texts[c], width)
-                keys, marks = [np.zeros(0, dtype=np.int64)] * len(sets), np.zeros(len(sets), dtype=np.int64)
-                some = [i for i, s in enumerate(sets) if len(s)]
-                if some:
-                    found, marks[some] = sketches([sets[i] for i in some])
-                    for i, row in zip(some, found):
-                        keys[i] = row
-                yield pdf.iloc[c][["key", "id"]].assign(node=[xxhash.xxh64_intdigest(s.tobytes()) >> 1 for s in sets], n=[len(s) for s in sets], mark=marks, keys=keys)
+                own = {"node": [xxhash.xxh64_intdigest(s.tobytes()) >> 1 for s in sets], "n": [len(s) for s in sets]}
+                yield pdf.iloc[c][["key", "id"]].assign(**own, print=[fingerprint(s).tobytes() for s in sets], fours=[fours(s) for s in sets])
+
+    return docs.mapInPandas(run, f"key long, id {kind}, node long, n long, print binary, fours array<long>")
+
+
+def bytes_of(column) -> np.ndarray:
+    """A row of bytes for each fingerprint."""
+    return np.frombuffer(b"".join(column), dtype=np.uint8).reshape(len(column), BITS // 8)
+
+
+def keyed(nodes: DataFrame, blocks: np.ndarray) -> DataFrame:
+    """(bucket, node, n, word0, ..., pivots): a row for each of a node's keys, with the first words of its fingerprint and the table of
+    their distances to the pivots, a byte each."""
+    words = [f"word{i}" for i in range(AHEAD)]
+
+    def run(batches):
+        for pdf in batches:
+            for at in range(0, len(pdf), 2_000):
+                part = pdf.iloc[at : at + 2_000]
+                p = bytes_of(part["print"])
+                ahead = np.ascontiguousarray(p[:, : 8 * AHEAD]).view(np.uint64)
+                table = np.bitwise_count(ahead[:, None] ^ _PIVOT).sum(axis=2).astype(np.uint8)
+                keys = [k.tolist() + list(more) for k, more in zip(bucket_keys(p, blocks), part["fours"])]
+                yield part[["node", "n"]].assign(**dict(zip(words, ahead.view(np.int64).T)), pivots=table.view(np.int64)[:, 0], keys=keys)
+
+    fields = ", ".join(f"{w} long" for w in words)
+    found = nodes.filter("n > 0").select("node", "n", "print", "fours").mapInPandas(run, f"node long, n long, {fields}, pivots long, keys array<long>")
+    return found.select(F.explode("keys").alias("bucket"), "node", "n", *words, "pivots")
+
+
+def near(a: str, b: str, threshold: float) -> str:
+    """SQL: the numbers of shingles, the pivot tables and the distance of the first words allow the similarity."""
+    most = f"(CASE WHEN least({a}.n, {b}.n) <= {FEW} THEN {radius(64 * AHEAD, max(3 / 16, differing(threshold)))} ELSE {radius(64 * AHEAD, differing(threshold))} END)"
+    byte = lambda x, i: f"(shiftrightunsigned({x}.pivots, {8 * i}) & 255)"
+    pivots = " AND ".join(f"abs({byte(a, i)} - {byte(b, i)}) <= {most}" for i in range(PIVOTS))
+    apart = " + ".join(f"bit_count({a}.word{i} ^ {b}.word{i})" for i in range(AHEAD))
+    return f"least({a}.n, {b}.n) >= {threshold} * greatest({a}.n, {b}.n) - 1e-9 AND {pivots} AND {apart} <= {most}"
+
 
-    return docs.mapInPandas(run, f"key long, id {kind}, node long, n long, mark long, keys array<long>")
+def texts_of(some: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, text) of some nodes: `docs` has the texts by key, `nodes` a key of each node."""
+    stands = nodes.select("node", "key").join(some, "node")
+    return docs.select("key", F.coalesce("text", F.lit("")).alias("text")).join(stands, "key").dropDuplicates(["node"]).select("node", "text")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, width: int, threshold: float) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, threshold: float) -> DataFrame:
     """The pairs (u, v) of nodes whose sets have at least the Jaccard similarity `threshold`. Texts travel, not sets: they are a
     third of the size when compressed, and a set is soon made again."""
 
@@ -100,6 +174,7 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, threshold: float) -
                     keep.append(both >= threshold * (len(p) + len(q) - both) - 1e-9)
                 yield part.loc[np.array(keep, dtype=bool), ["u", "v"]]
 
+    texts = materialize(texts_of(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct(), docs, nodes), "texts")
     a, b = (texts.select(F.col("node").alias(x), F.col("text").alias(y)) for x, y in (("u", "a"), ("v", "b")))
     return pairs.join(a, "u").join(b, "v").select("u", "v", "a", "b").mapInPandas(run, "u long, v long")
 
@@ -136,69 +211,84 @@ def sketched(texts: DataFrame, width: int) -> DataFrame:
     return texts.select("node", "text").mapInPandas(run, "node long, sketch binary")
 
 
-def alike(left: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
+def alike(left: DataFrame, sketches: DataFrame, blocks: np.ndarray, threshold: float) -> DataFrame:
     """Pairs (u, v) of nodes of a bucket in different components that may have the similarity. `left` has (bucket, node, n, component,
-    size), `sketches` (node, keys, sketch). A bucket of more than TILE rows is cut into tiles; a task compares two tiles."""
+    size), `sketches` (node, print, sketch). A bucket of more than TILE rows is cut into tiles; a task compares two tiles."""
+    share, words = differing(threshold), BITS // 64
+    most, most_few = radius(BITS, share), radius(BITS, max(3 / 16, share))
     least = threshold - DEVIATIONS * (threshold * (1 - threshold) / BINS) ** 0.5
     d = left.select("bucket", "node", "n", "component", F.ceil(F.col("size") / F.lit(TILE)).alias("tiles"))
     d = d.withColumn("own", F.pmod(F.xxhash64("node"), F.col("tiles"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
-    d = d.select("bucket", "node", "n", "component", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")).join(sketches, "node")
+    d = d.select("bucket", "node", "n", "component", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+    d = d.join(sketches, "node")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         node, n, component = (pdf[c].to_numpy() for c in ("node", "n", "component"))
-        keys, s = np.array(pdf["keys"].tolist(), dtype=np.int64), np.frombuffer(b"".join(pdf["sketch"]), dtype=np.uint8).reshape(len(pdf), BINS)
+        p = bytes_of(pdf["print"])
+        keys, s = bucket_keys(p, blocks), p.view(np.uint64).reshape(len(pdf), words)
+        bins = np.frombuffer(b"".join(pdf["sketch"]), dtype=np.uint8).reshape(len(pdf), BINS)
         first, bucket = pdf["own"].to_numpy() == pdf["low"].iloc[0], pdf["bucket"].iloc[0]
         one = pdf["low"].iloc[0] == pdf["high"].iloc[0]
         rows, others = (np.arange(len(pdf)), np.arange(len(pdf))) if one else (np.flatnonzero(first), np.flatnonzero(~first))
+        to_pivot = np.bitwise_count(s ^ s[0]).sum(axis=1, dtype=np.int64)  # the pivot is a member: distances to it lie further apart
         found = []
         for i in rows:
             j = others[others > i] if one else others
-            j = j[(component[j] != component[i]) & (np.minimum(n[j], n[i]) >= threshold * np.maximum(n[j], n[i]) - 1e-9)]
+            limit = np.where(np.minimum(n[j], n[i]) <= FEW, most_few, most)
+            fit = (component[j] != component[i]) & (np.minimum(n[j], n[i]) >= threshold * np.maximum(n[j], n[i]) - 1e-9) & (np.abs(to_pivot[j] - to_pivot[i]) <= limit)
+            j, limit = j[fit], limit[fit]
+            close = np.bitwise_count(s[j] ^ s[i]).sum(axis=1, dtype=np.int64) <= limit
+            j = j[close]
             same = keys[j] == keys[i]
-            j = j[keys[i][np.argmax(same, axis=1)] == bucket] if len(j) else j  # of the buckets that they share this is the first
+            j = j[(keys[i][np.argmax(same, axis=1)] == bucket) | ~same.any(axis=1)] if len(j) else j  # of the buckets that they share this is the first
             for at in range(0, len(j), 512):
                 k = j[at : at + 512]
-                both = ((s[k] == s[i]) & (s[k] > 0)).sum(axis=1)
-                k = k[both >= least * ((s[k] | s[i]) > 0).sum(axis=1) - 1e-9]
+                both = ((bins[k] == bins[i]) & (bins[k] > 0)).sum(axis=1)
+                k = k[both >= least * ((bins[k] | bins[i]) > 0).sum(axis=1) - 1e-9]
                 found.append(np.stack([np.full(len(k), node[i]), node[k]], axis=1))
         return pd.DataFrame(np.concatenate(found) if found else np.zeros((0, 2), dtype=np.int64), columns=["u", "v"])
 
     return d.groupBy("bucket", "low", "high").applyInPandas(run, "u long, v long")
 
 
-def apart(live: DataFrame, groups: DataFrame) -> DataFrame:
+def apart(crowds: DataFrame, groups: DataFrame) -> DataFrame:
     """The bucket rows with each node's component, of buckets whose nodes are not all connected."""
-    left = live.filter("size > 2").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    left = crowds.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     several = left.groupBy("bucket").agg((F.min("component") < F.max("component")).alias("apart")).filter("apart").select("bucket")
     return left.join(several, "bucket", "left_semi")
 
 
 def links(rows: DataFrame, docs: DataFrame, width: int, threshold: float) -> DataFrame:
     """Edges (u, v) between nodes, enough to connect all whose similarity is `threshold` or more. `docs` has the texts by key."""
-    nodes = rows.select("node", "n", "mark", "keys").dropDuplicates(["node"])
-    keyed = materialize(nodes.select("node", "n", "mark", F.explode("keys").alias("bucket")), "bands")
-    full = keyed.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
-    live = materialize(keyed.join(full, "bucket"), "buckets")
-    stands = rows.groupBy("node").agg(F.min("key").alias("key")).join(live.select("node").distinct(), "node", "left_semi")
-    texts = docs.select("key", F.coalesce("text", F.lit("")).alias("text")).join(stands, "key").dropDuplicates(["node"]).select("node", "text")
-    texts = materialize(texts, "texts")
-    near = lambda a, b: f"least({a}.n, {b}.n) >= {threshold} * greatest({a}.n, {b}.n) - 1e-9 AND bit_count({a}.mark ^ {b}.mark) <= {MARK_BITS}"
-    central = live.groupBy("node").agg(F.sum("size").alias("central"))
-    hubs = live.join(central, "node").groupBy("bucket").agg(F.max(F.struct("central", "node", "n", "mark")).alias("hub"))
-    stars = live.alias("a").join(hubs, "bucket").filter("a.node <> hub.node").filter(near("a", "hub"))
-    stars = materialize(stars.select(F.col("a.node").alias("u"), F.col("hub.node").alias("v")).distinct(), "stars")
-    linked = materialize(verified(stars, texts, width, threshold), "hubs")
+    stands = rows.groupBy("node").agg(F.min_by(F.struct("n", "print", "fours"), "key").alias("own"), F.min("key").alias("key"))
+    nodes = materialize(stands.select("node", "key", "own.*"), "nodes")
+    blocks = cuts(nodes.count(), threshold)
+    buckets = keyed(nodes, blocks)
+    full = materialize(buckets.groupBy("bucket").agg(F.count("*").alias("size")).filter(F.col("size") > CROWD), "full")
+    few = buckets.join(full, "bucket", "left_anti")
+    pairs = few.alias("a").join(few.alias("b"), F.expr("a.bucket = b.bucket AND a.node < b.node") & F.expr(near("a", "b", threshold)))
+    pairs = materialize(pairs.select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct(), "pairs")
+    crowds = materialize(buckets.join(full, "bucket"), "crowds")
+    central = crowds.groupBy("node").agg(F.sum("size").alias("central"))
+    own = ["node", "n", *(f"word{i}" for i in range(AHEAD)), "pivots"]
+    hubs = crowds.join(central, "node").groupBy("bucket").agg(F.max(F.struct("central", *own)).alias("hub"))
+    stars = crowds.alias("a").join(hubs, "bucket").filter("a.node <> hub.node").filter(near("a", "hub", threshold))
+    pairs = materialize(pairs.unionByName(stars.select(F.col("a.node").alias("u"), F.col("hub.node").alias("v"))).distinct(), "stars")
+    linked = materialize(verified(pairs, docs, nodes, width, threshold), "hubs")
+    left = materialize(apart(crowds, components(linked)), "labelled")
     for turn in range(HUB_TURNS):
-        left = apart(live, components(linked))
-        hubs = left.groupBy("bucket").agg(F.max(F.struct(F.xxhash64("node", F.lit(turn)).alias("draw"), "node", "n", "mark", "component")).alias("hub"))
-        stars = left.alias("a").join(hubs, "bucket").filter("a.component <> hub.component").filter(near("a", "hub"))
+        if left.isEmpty():
+            return linked
+        hubs = left.groupBy("bucket").agg(F.max(F.struct(F.xxhash64("node", F.lit(turn)).alias("draw"), *own, "component")).alias("hub"))
+        stars = left.alias("a").join(hubs, "bucket").filter("a.component <> hub.component").filter(near("a", "hub", threshold))
         stars = materialize(stars.select(F.col("a.node").alias("u"), F.col("hub.node").alias("v")).distinct(), "stars")
-        linked = materialize(linked.unionByName(verified(stars, texts, width, threshold)), "hubs")
-    left = materialize(apart(live, components(linked)), "labelled")
-    some = texts.join(left.select("node").distinct(), "node", "left_semi")
-    sketches = materialize(sketched(some, width).join(nodes.select("node", "keys"), "node"), "sketches")
-    rest = materialize(alike(left, sketches, threshold).distinct(), "pairs")
-    return linked.unionByName(verified(rest, texts, width, threshold))
+        linked = materialize(linked.unionByName(verified(stars, docs, nodes, width, threshold)), "hubs")
+        before, left = left, materialize(apart(crowds, components(linked)), "labelled")
+        release(left.sparkSession, before)
+    some = texts_of(left.select("node").distinct(), docs, nodes)
+    sketches = materialize(sketched(some, width).join(nodes.select("node", "print"), "node"), "sketches")
+    rest = materialize(alike(left, sketches, blocks, threshold).distinct(), "rest")
+    return linked.unionByName(verified(rest, docs, nodes, width, threshold))
 
 
 def kept_keys(docs: DataFrame, width: int, threshold: float) -> DataFrame:

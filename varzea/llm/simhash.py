@@ -11,7 +11,8 @@ Defined cases: null, empty and wordless texts have fingerprint zero and are link
 the same id each get a row; a row without doc_id takes part with its fingerprint, and its component is the smallest
 non-null id reachable (null if there is none); further columns do not disturb.
 
-The pipeline stage (`keep_one`) is not bound to these values: it links texts by exact Jaccard similarity (near_copies.py).
+The pipeline stage (`keep_one`) goes by the same method, with fingerprints of 1,024 bits and the radius that a Jaccard similarity
+of 0.8 needs, and verifies each pair by the exact similarity (near_copies.py).
 """
 
 from __future__ import annotations
