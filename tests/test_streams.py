@@ -86,3 +86,18 @@ def test_a_required_lookup_fails_on_a_miss(spark):
     assert {r["k"]: r["v"] for r in files.first_known(rows, "k", "v", seed).collect()} == {1: "x", 2: None}
     with pytest.raises(Exception, match="no v for 2"):
         files.first_known(rows, "k", "v", seed, required=True).collect()
+
+
+def test_nodes_of_one_file_are_found_by_several_tasks_in_few_passes(spark, monkeypatch):
+    """Levels are opened several at a time, over all tasks, whatever the file's splits; scalars are no rows."""
+    held, plain = [], pages.checkpointed
+    monkeypatch.setattr(pages, "checkpointed", lambda df: held.append(out := plain(df)) or out)
+    deep = {"id": 4}
+    for key in "hgfedcbaz":
+        deep = {key: deep}
+    body = json.dumps({"id": 1, "x": [1, "s", None, [{"id": 2, "y": json.dumps([{"id": 3}])}]], **deep})
+    rows = spark.createDataFrame([(k, body) for k in range(50)], "k int, body string").coalesce(1)
+    found = pages.find_nodes(rows, "k", "body", pages.has_key("id")).selectExpr("k", "try_variant_get(node, '$.id', 'int') AS id")
+    assert sorted(map(tuple, found.collect())) == [(k, i) for k in range(50) for i in (1, 2, 3, 4)]
+    assert len(held) == 2 and held[0].rdd.getNumPartitions() >= 4
+    assert held[0].count() == 50 * 4  # three nodes and what is still to be opened

@@ -34,25 +34,38 @@ def json_island(pages: DataFrame, marker: str) -> DataFrame:
     return pages.select("page_id", F.try_url_decode(F.nullif(literal, F.lit(""))).alias("body")).filter("body IS NOT NULL")
 
 
+#: levels of a JSON text that are opened between two checkpoints
+LEVELS = 8
+
+
+def _children(v: Column) -> Column:
+    """The objects and arrays directly in a variant; a string that holds JSON is opened, other scalars fall out."""
+    inside = lambda x: F.coalesce(F.map_values(F.try_variant_get(x, "$", "map<string,variant>")), F.try_variant_get(x, "$", "array<variant>"))
+    text = lambda x: F.try_variant_get(x, "$", "string")
+    opened = lambda x: F.when(inside(x).isNotNull(), x).when(text(x).rlike(r"^\s*[{\[]"), F.try_parse_json(text(x)))
+    return F.filter(F.transform(inside(v), opened), lambda x: x.isNotNull())
+
+
 def find_nodes(rows: DataFrame, row_id: str, body: str, is_node: Callable[[Column], Column], limit: int = 40) -> DataFrame:
     """(row_id, node) of every object in a JSON text for which `is_node` holds, as a variant; strings that hold JSON are opened.
 
-    One level of all documents at a time, `limit` levels at most: objects and arrays are exploded, scalars fall out. Levels are
-    checkpointed, so that a level is worked out once. A text that is no JSON has no nodes."""
+    One level of all documents at a time, `limit` levels at most: a level gives its nodes, which later levels pass on, and the objects
+    and arrays in it; scalars are no rows. LEVELS levels are one pass, then rows are checkpointed. Rows are dealt over all tasks first,
+    as a small file of pages would be opened by one. A text that is no JSON has no nodes."""
     spark = rows.sparkSession
-    parsed = lambda v: F.coalesce(F.when(F.try_variant_get(v, "$", "string").rlike(r"^\s*[{\[]"), F.try_parse_json(F.try_variant_get(v, "$", "string"))), v)
-    level = rows.select(F.col(row_id).alias("_row"), F.try_parse_json(body).alias("v")).filter("v IS NOT NULL")
-    found = []
-    for _ in range(limit + 1):
-        level = checkpointed(level)
-        if level.isEmpty():
-            break
-        found.append(level.filter(is_node(F.col("v"))).select(F.col("_row").alias(row_id), F.col("v").alias("node")))
-        level = level.lateralJoin(spark.tvf.variant_explode(F.col("v").outer())).select("_row", parsed(F.col("value")).alias("v"))
-    out = found[0] if found else level.select(F.col("_row").alias(row_id), F.col("v").alias("node"))
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    entry = lambda v, found: F.struct(v.alias("v"), F.lit(found).alias("found"))
+    v, none = F.col("v"), F.array().cast("array<struct<v:variant,found:boolean>>")
+    own = F.when(is_node(v), F.array(entry(v, True))).otherwise(none)
+    inner = F.coalesce(F.transform(_children(v), lambda x: entry(x, False)), none)
+    level = rows.select(F.col(row_id).alias("_row"), body).repartition(tasks).select("_row", F.try_parse_json(body).alias("v"), F.lit(False).alias("found")).filter("v IS NOT NULL")
+    for depth in range(limit + 1):
+        level = level.select("_row", F.explode(F.when(F.col("found"), F.array(entry(v, True))).otherwise(F.concat(own, inner))).alias("_one")).select("_row", "_one.v", "_one.found")
+        if depth % LEVELS == LEVELS - 1:
+            level = checkpointed(level)
+            if level.filter("NOT found").isEmpty():
+                break
+    return level.filter("found").select(F.col("_row").alias(row_id), v.alias("node"))
 
 
 def has_key(key: str) -> Callable[[Column], Column]:
