@@ -146,3 +146,26 @@ def test_full_buckets_and_small_ones_give_the_same(spark, monkeypatch):
         monkeypatch.setattr(near_copies, "CROWD", most)
         got.append(sorted(r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()))
     assert got[0] == got[1] and [i for i in got[0] if i >= 100] == list(range(100, 140, 2))
+
+
+def test_pairs_grow_with_a_group_not_with_its_square(spark, monkeypatch):
+    """Of a group of near copies smaller than a full bucket a few pairs a text are verified, not each with each; all of it is linked."""
+    from varzea.llm import near_copies
+
+    tried, whole = [], near_copies.verified
+
+    def counted(pairs, *more):
+        tried.append(pairs.count())
+        return whole(pairs, *more)
+
+    monkeypatch.setattr(near_copies, "verified", counted)
+    rng = random.Random(15)
+    base, many = text_of(rng, 300), 200
+    rows = [(1000 + i, " ".join(text_of(rng, 50))) for i in range(100)]
+    for i in range(many):
+        copy = list(base)
+        copy[rng.randrange(5, 295)] = f"own{i}"
+        rows.append((i, " ".join(copy)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, "").collect())
+    assert got == [0, *range(1000, 1100)] and many - 1 <= sum(tried) <= 3 * many

@@ -7,14 +7,16 @@ of the 72 blocks with 1 - MISSED (0.0005), one of 0.85 with 1 - 2 * 10^-5, one o
 texts, and then there are more of them, so that the probability stays. Sets of four and five shingles, whose fingerprints differ in
 more bits, have the hashes of their subsets of four as keys besides.
 
-In a bucket of up to CROWD texts each pair is judged: by the numbers of shingles, by the table of distances to PIVOTS reference
-fingerprints (triangle inequality), then by the Hamming distance of the first AHEAD words, which travel. Every pair that is left is
-verified by the exact Jaccard similarity of the two shingle sets. Fuller buckets are groups of near copies: all texts are judged
-against the bucket's hub, the text that shares most full buckets with others, and then against up to HUB_TURNS more hubs by lot,
-so that few are left that are not connected. What is left in full buckets that are not wholly connected is compared with each other inside
-tasks by whole fingerprints, TILE by TILE rows, and only pairs that may be similar come out, each from the first bucket that it
-shares, after a tighter test by sketches of BINS bytes, the least hash of each bin of a text's shingles. Limits of distances lie DEVIATIONS standard deviations above the expected one: each passes over a pair of 0.8 with a
-probability of about 10^-5.
+In a bucket of up to CROWD texts those go on that have a near one there: by the numbers of shingles, by the table of distances to
+PIVOTS reference fingerprints (triangle inequality), then by the Hamming distance of the first AHEAD words, which travel. Of fuller
+buckets all go on. What goes on are texts, not pairs, so a group of near copies gives no quadratic number of rows. Each text is then
+linked to one hub, of its buckets' hubs the text that meets most others, and the pair is verified by the exact Jaccard similarity
+of the two shingle sets. In buckets of more than HUBLESS texts that are not wholly connected up to HUB_TURNS more hubs by lot
+follow, so that few are left. What is left in buckets, of whatever size, that are not wholly connected is compared with each other
+inside tasks by whole fingerprints, TILE by TILE rows, and only pairs of different components that may be similar come out, each
+from the first bucket that it shares, after a tighter test by sketches of BINS bytes, the least hash of each bin of a text's
+shingles; these are verified too, so no link between components is lost. Limits of distances lie DEVIATIONS standard deviations
+above the expected one: each passes over a pair of 0.8 with a probability of about 10^-5.
 
 Words are lower-cased (A-Z) and split at the white space of the contracts. A text of fewer than `width` words is one
 shingle of all of them; wordless texts are copies of each other.
@@ -25,14 +27,14 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from varzea.llm.common import LOWER, Words, chunks, materialize, mix, pieces, release
 from varzea.llm.components import components
 
 BITS, AHEAD, PIVOTS, LEAST_BLOCK, MISSED = 1024, 2, 8, 14, 5e-4
-CROWD, HUB_TURNS, BINS, DEVIATIONS, TILE = 256, 4, 1024, 4.27, 1_000
+CROWD, HUB_TURNS, HUBLESS, BINS, DEVIATIONS, TILE = 256, 4, 16, 1024, 4.27, 1_000
 #: up to so many shingles the bits of two sets of similarity 0.8 differ in up to 3/16 instead of 15 %
 FEW = 8
 _rng = np.random.default_rng(97)
@@ -123,8 +125,8 @@ def bytes_of(column) -> np.ndarray:
 
 
 def keyed(nodes: DataFrame, blocks: np.ndarray) -> DataFrame:
-    """(bucket, node, n, word0, ..., pivots): a row for each of a node's keys, with the first words of its fingerprint and the table of
-    their distances to the pivots, a byte each."""
+    """(node, n, word0, ..., pivots, keys): a node's keys, the first words of its fingerprint and the table of their distances to the
+    pivots, a byte each."""
     words = [f"word{i}" for i in range(AHEAD)]
 
     def run(batches):
@@ -138,8 +140,7 @@ def keyed(nodes: DataFrame, blocks: np.ndarray) -> DataFrame:
                 yield part[["node", "n"]].assign(**dict(zip(words, ahead.view(np.int64).T)), pivots=table.view(np.int64)[:, 0], keys=keys)
 
     fields = ", ".join(f"{w} long" for w in words)
-    found = nodes.filter("n > 0").select("node", "n", "print", "fours").mapInPandas(run, f"node long, n long, {fields}, pivots long, keys array<long>")
-    return found.select(F.explode("keys").alias("bucket"), "node", "n", *words, "pivots")
+    return nodes.filter("n > 0").select("node", "n", "print", "fours").mapInPandas(run, f"node long, n long, {fields}, pivots long, keys array<long>")
 
 
 def near(a: str, b: str, threshold: float) -> str:
@@ -157,9 +158,9 @@ def texts_of(some: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return docs.select("key", F.coalesce("text", F.lit("")).alias("text")).join(stands, "key").dropDuplicates(["node"]).select("node", "text")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, threshold: float) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame, width: int, threshold: float) -> DataFrame:
     """The pairs (u, v) of nodes whose sets have at least the Jaccard similarity `threshold`. Texts travel, not sets: they are a
-    third of the size when compressed, and a set is soon made again."""
+    third of the size when compressed, and a set is soon made again. The pairs of a v that has many are dealt over several tasks."""
 
     def run(batches):
         for pdf in batches:
@@ -174,9 +175,12 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, th
                     keep.append(both >= threshold * (len(p) + len(q) - both) - 1e-9)
                 yield part.loc[np.array(keep, dtype=bool), ["u", "v"]]
 
-    texts = materialize(texts_of(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct(), docs, nodes), "texts")
-    a, b = (texts.select(F.col("node").alias(x), F.col("text").alias(y)) for x, y in (("u", "a"), ("v", "b")))
-    return pairs.join(a, "u").join(b, "v").select("u", "v", "a", "b").mapInPandas(run, "u long, v long")
+    lots = pairs.groupBy("v").agg(F.ceil(F.count("*") / F.lit(TILE)).alias("lots"))
+    dealt = pairs.join(lots, "v").select("u", "v", F.pmod(F.xxhash64("u"), F.col("lots")).alias("lot"))
+    a = texts.select(F.col("node").alias("u"), F.col("text").alias("a"))
+    b = texts.select(F.col("node").alias("v"), F.col("text").alias("b")).join(lots, "v")
+    b = b.select("v", "b", F.explode(F.sequence(F.lit(0).cast("long"), F.col("lots") - 1)).alias("lot"))
+    return dealt.join(a, "u").join(b, ["v", "lot"]).select("u", "v", "a", "b").mapInPandas(run, "u long, v long")
 
 
 def stretches(sizes: np.ndarray, budget: int = 4_000_000):
@@ -213,16 +217,19 @@ def sketched(texts: DataFrame, width: int) -> DataFrame:
 
 def alike(left: DataFrame, sketches: DataFrame, blocks: np.ndarray, threshold: float) -> DataFrame:
     """Pairs (u, v) of nodes of a bucket in different components that may have the similarity. `left` has (bucket, node, n, component,
-    size), `sketches` (node, print, sketch). A bucket of more than TILE rows is cut into tiles; a task compares two tiles."""
+    size), `sketches` (node, print, sketch). A bucket of more than TILE rows is cut into tiles, and a task compares two tiles; smaller
+    ones are taken together, some 2 * TILE rows at once."""
     share, words = differing(threshold), BITS // 64
     most, most_few = radius(BITS, share), radius(BITS, max(3 / 16, share))
     least = threshold - DEVIATIONS * (threshold * (1 - threshold) / BINS) ** 0.5
+    lots = 1 + left.count() // (2 * TILE)
     d = left.select("bucket", "node", "n", "component", F.ceil(F.col("size") / F.lit(TILE)).alias("tiles"))
     d = d.withColumn("own", F.pmod(F.xxhash64("node"), F.col("tiles"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
-    d = d.select("bucket", "node", "n", "component", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+    lot = F.when(F.col("tiles") == 1, F.pmod(F.xxhash64("bucket"), F.lit(lots)))  # null for a bucket of tiles
+    d = d.select("bucket", "node", "n", "component", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), lot.alias("lot"), F.when(lot.isNull(), F.col("bucket")).alias("alone"))
     d = d.join(sketches, "node")
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+    def in_bucket(pdf: pd.DataFrame) -> list[np.ndarray]:
         node, n, component = (pdf[c].to_numpy() for c in ("node", "n", "component"))
         p = bytes_of(pdf["print"])
         keys, s = bucket_keys(p, blocks), p.view(np.uint64).reshape(len(pdf), words)
@@ -246,49 +253,69 @@ def alike(left: DataFrame, sketches: DataFrame, blocks: np.ndarray, threshold: f
                 both = ((bins[k] == bins[i]) & (bins[k] > 0)).sum(axis=1)
                 k = k[both >= least * ((bins[k] | bins[i]) > 0).sum(axis=1) - 1e-9]
                 found.append(np.stack([np.full(len(k), node[i]), node[k]], axis=1))
+        return found
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        found = [f for _, some in pdf.groupby("bucket") for f in in_bucket(some)]
         return pd.DataFrame(np.concatenate(found) if found else np.zeros((0, 2), dtype=np.int64), columns=["u", "v"])
 
-    return d.groupBy("bucket", "low", "high").applyInPandas(run, "u long, v long")
+    return d.groupBy("lot", "alone", "low", "high").applyInPandas(run, "u long, v long")
 
 
-def apart(crowds: DataFrame, groups: DataFrame) -> DataFrame:
+def apart(live: DataFrame, groups: DataFrame) -> DataFrame:
     """The bucket rows with each node's component, of buckets whose nodes are not all connected."""
-    left = crowds.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    left = live.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     several = left.groupBy("bucket").agg((F.min("component") < F.max("component")).alias("apart")).filter("apart").select("bucket")
     return left.join(several, "bucket", "left_semi")
 
 
+def meeting(keys: DataFrame, threshold: float) -> DataFrame:
+    """The bucket rows (bucket, node, n, word0, ..., pivots, size) of nodes that have a near one in the bucket, and all rows of buckets
+    of more than CROWD; size is the number of them in the bucket. A row comes out once, however many near ones it meets."""
+    own = [c for c in keys.columns if c != "keys"]
+    buckets = keys.select(F.explode("keys").alias("bucket"), *own)
+    full = materialize(buckets.groupBy("bucket").agg(F.count("*").alias("many")).filter(F.col("many") > CROWD).select("bucket"), "full")
+    few = buckets.join(full, "bucket", "left_anti")
+    met = few.alias("a").join(few.alias("b"), F.expr("a.bucket = b.bucket AND a.node <> b.node") & F.expr(near("a", "b", threshold)), "left_semi")
+    live = met.unionByName(buckets.join(full, "bucket"))
+    return live.withColumn("size", F.count("*").over(Window.partitionBy("bucket")))
+
+
+def stars(left: DataFrame, draw: str, threshold: float) -> DataFrame:
+    """(u, v): to each node u one hub v, near it but in another component, of the hubs of its buckets: those with the largest `draw`."""
+    own = [c for c in left.columns if c not in ("bucket", "size", "draw")]
+    hubs = left.groupBy("bucket").agg(F.max(F.struct(F.expr(draw).alias("draw"), *own)).alias("hub"))
+    met = left.alias("a").join(hubs, "bucket").filter("a.component <> hub.component").filter(near("a", "hub", threshold))
+    return met.groupBy(F.col("a.node").alias("u")).agg(F.max(F.struct("hub.draw", "hub.node")).alias("best")).select("u", F.col("best.node").alias("v"))
+
+
 def links(rows: DataFrame, docs: DataFrame, width: int, threshold: float) -> DataFrame:
     """Edges (u, v) between nodes, enough to connect all whose similarity is `threshold` or more. `docs` has the texts by key."""
     stands = rows.groupBy("node").agg(F.min_by(F.struct("n", "print", "fours"), "key").alias("own"), F.min("key").alias("key"))
     nodes = materialize(stands.select("node", "key", "own.*"), "nodes")
     blocks = cuts(nodes.count(), threshold)
-    buckets = keyed(nodes, blocks)
-    full = materialize(buckets.groupBy("bucket").agg(F.count("*").alias("size")).filter(F.col("size") > CROWD), "full")
-    few = buckets.join(full, "bucket", "left_anti")
-    pairs = few.alias("a").join(few.alias("b"), F.expr("a.bucket = b.bucket AND a.node < b.node") & F.expr(near("a", "b", threshold)))
-    pairs = materialize(pairs.select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct(), "pairs")
-    crowds = materialize(buckets.join(full, "bucket"), "crowds")
-    central = crowds.groupBy("node").agg(F.sum("size").alias("central"))
-    own = ["node", "n", *(f"word{i}" for i in range(AHEAD)), "pivots"]
-    hubs = crowds.join(central, "node").groupBy("bucket").agg(F.max(F.struct("central", *own)).alias("hub"))
-    stars = crowds.alias("a").join(hubs, "bucket").filter("a.node <> hub.node").filter(near("a", "hub", threshold))
-    pairs = materialize(pairs.unionByName(stars.select(F.col("a.node").alias("u"), F.col("hub.node").alias("v"))).distinct(), "stars")
-    linked = materialize(verified(pairs, docs, nodes, width, threshold), "hubs")
-    left = materialize(apart(crowds, components(linked)), "labelled")
-    for turn in range(HUB_TURNS):
+    keys = materialize(keyed(nodes, blocks), "keys")
+    live = materialize(meeting(keys, threshold), "live")
+    release(live.sparkSession, keys)
+    texts = materialize(texts_of(live.select("node").distinct(), docs, nodes), "texts")
+    central = live.groupBy("node").agg(F.sum("size").alias("central"))
+    linked, left = None, live.join(central, "node").withColumn("component", F.col("node"))
+    for turn in range(1 + HUB_TURNS):
+        drawn = stars(left.filter(F.col("size") > HUBLESS), f"xxhash64(node, {turn})", threshold) if turn else stars(left, "central", threshold)
+        drawn = materialize(drawn, "stars")
+        new = materialize(verified(drawn, texts, width, threshold), "hubs")
+        linked = linked.unionByName(new) if turn else new
+        if turn and new.isEmpty():
+            break
+        before, left = left, materialize(apart(live, components(linked)), "labelled")
+        if turn:
+            release(left.sparkSession, before)
         if left.isEmpty():
             return linked
-        hubs = left.groupBy("bucket").agg(F.max(F.struct(F.xxhash64("node", F.lit(turn)).alias("draw"), *own, "component")).alias("hub"))
-        stars = left.alias("a").join(hubs, "bucket").filter("a.component <> hub.component").filter(near("a", "hub", threshold))
-        stars = materialize(stars.select(F.col("a.node").alias("u"), F.col("hub.node").alias("v")).distinct(), "stars")
-        linked = materialize(linked.unionByName(verified(stars, docs, nodes, width, threshold)), "hubs")
-        before, left = left, materialize(apart(crowds, components(linked)), "labelled")
-        release(left.sparkSession, before)
-    some = texts_of(left.select("node").distinct(), docs, nodes)
+    some = texts.join(left.select("node").distinct(), "node", "left_semi")
     sketches = materialize(sketched(some, width).join(nodes.select("node", "print"), "node"), "sketches")
     rest = materialize(alike(left, sketches, blocks, threshold).distinct(), "rest")
-    return linked.unionByName(verified(rest, docs, nodes, width, threshold))
+    return linked.unionByName(verified(rest, texts, width, threshold))
 
 
 def kept_keys(docs: DataFrame, width: int, threshold: float) -> DataFrame:
