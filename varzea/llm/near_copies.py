@@ -273,9 +273,9 @@ def meeting(keys: DataFrame, threshold: float) -> DataFrame:
     """The bucket rows (bucket, node, n, word0, ..., pivots, size) of nodes that have a near one in the bucket, and all rows of buckets
     of more than CROWD; size is the number of them in the bucket. A row comes out once, however many near ones it meets."""
     own = [c for c in keys.columns if c != "keys"]
-    buckets = keys.select(F.explode("keys").alias("bucket"), *own)
+    buckets = keys.select(*own, F.explode("keys").alias("bucket"))  # in this order both sides of the join read one exchange
     full = materialize(buckets.groupBy("bucket").agg(F.count("*").alias("many")).filter(F.col("many") > CROWD).select("bucket"), "full")
-    few = buckets.join(full, "bucket", "left_anti")
+    few = buckets.join(full.withColumnRenamed("bucket", "crowded"), F.expr("bucket = crowded"), "left_anti")
     met = few.alias("a").join(few.alias("b"), F.expr("a.bucket = b.bucket AND a.node <> b.node") & F.expr(near("a", "b", threshold)), "left_semi")
     live = met.unionByName(buckets.join(full, "bucket"))
     return live.withColumn("size", F.count("*").over(Window.partitionBy("bucket")))
