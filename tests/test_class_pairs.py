@@ -1,5 +1,7 @@
 """Pairs within blocks: every pair once, values compared once for each pair of classes of equal rows."""
 
+from pathlib import Path
+
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -41,3 +43,34 @@ def test_many_copies_of_a_part(spark, tmp_path):
         want = spark.sql(f"SELECT {a} AS a, {b} AS b FROM part a JOIN part b ON {on} AND {a} < {b}")
         got = registry.queries()[name](spark, str(tmp_path))
         assert got.select("a", "b").exceptAll(want).isEmpty() and got.count() == want.count() > 40 * 60
+
+
+def shuffled(df):
+    """Bytes that the exchanges of a query's plan have written, a reused one once."""
+
+    def walk(plan):
+        kind, kids = plan.getClass().getSimpleName(), plan.children()
+        below = [walk(kids.apply(i)) for i in range(kids.size())]
+        for name, inner in (("AdaptiveSparkPlanExec", "executedPlan"), ("ResultQueryStageExec", "plan"), ("ShuffleQueryStageExec", "plan"), ("BroadcastQueryStageExec", "plan")):
+            if kind == name:
+                below.append(walk(getattr(plan, inner)()))
+        return (plan.metrics().apply("shuffleBytesWritten").value() if kind == "ShuffleExchangeExec" else 0) + sum(below)
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_pairs_are_not_shuffled(spark):
+    """An id travels once in a block of one stripe, and not once for each other class of its block."""
+    d = spark.range(6000).select("id", F.lit("u").alias("block"), (F.col("id") % 100).cast("string").alias("v"))
+    pairs = resolve.pairs_by_class(d, ["block"], ["v"], "id", lambda x, y: [(x["v"] == y["v"]).alias("same")]).groupBy("same").count()
+    assert dict(map(tuple, pairs.collect())) == {True: 100 * 60 * 59 // 2, False: 6000 * 5999 // 2 - 100 * 60 * 59 // 2}
+    assert 0 < shuffled(pairs) < 40 * 6000
+
+
+def test_pairs_are_written_in_few_bytes(spark, tmp_path):
+    """The rows come in runs and repeated sequences, also where many blocks go through a task."""
+    d = spark.range(24000).select("id", (F.col("id") % 10).cast("string").alias("block"), (F.col("id") % 70).cast("string").alias("v"))
+    resolve.pairs_by_class(d, ["block"], ["v"], "id", lambda x, y: [(x["v"] == y["v"]).alias("same")]).write.parquet(f"{tmp_path}/pairs")
+    n = spark.read.parquet(f"{tmp_path}/pairs").count()
+    size = sum(f.stat().st_size for f in Path(f"{tmp_path}/pairs").glob("*.parquet"))
+    assert n == 10 * 2400 * 2399 // 2 and size < 0.35 * n, size / n
