@@ -169,3 +169,28 @@ def test_pairs_grow_with_a_group_not_with_its_square(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted(r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, "").collect())
     assert got == [0, *range(1000, 1100)] and many - 1 <= sum(tried) <= 3 * many
+
+
+def test_connected_buckets_are_passed_over_once(spark, monkeypatch):
+    """A chain of copies takes several hubs; the bucket rows go through the join that leaves out connected buckets once, not each turn."""
+    from varzea.llm import near_copies
+
+    semi, turns, stars = [], [], near_copies.stars
+
+    def counted(self, other, on=None, how=None):
+        semi.append(isinstance(on, str) and (on, how) == ("bucket", "left_semi"))
+        return join(self, other, on, how)
+
+    monkeypatch.setattr(near_copies, "HUBLESS", 0)
+    monkeypatch.setattr(near_copies, "stars", lambda *given: turns.append(1) or stars(*given))
+    rng = random.Random(16)
+    words, rows = text_of(rng, 300), [(1000 + i, " ".join(text_of(rng, 50))) for i in range(50)]
+    for i in range(20):
+        rows.append((i, " ".join(words)))
+        words[12 * i : 12 * i + 12] = text_of(rng, 12)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    join = type(docs).join
+    monkeypatch.setattr(type(docs), "join", counted)
+    kept = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, *range(1000, 1050)]
+    assert len(turns) > 2 and sum(semi) <= 1

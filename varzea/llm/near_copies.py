@@ -262,11 +262,14 @@ def alike(left: DataFrame, sketches: DataFrame, blocks: np.ndarray, threshold: f
     return d.groupBy("lot", "alone", "low", "high").applyInPandas(run, "u long, v long")
 
 
-def apart(live: DataFrame, groups: DataFrame) -> DataFrame:
-    """The bucket rows with each node's component, of buckets whose nodes are not all connected."""
-    left = live.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    several = left.groupBy("bucket").agg((F.min("component") < F.max("component")).alias("apart")).filter("apart").select("bucket")
-    return left.join(several, "bucket", "left_semi")
+def labelled(live: DataFrame, groups: DataFrame) -> DataFrame:
+    """The bucket rows with each node's component."""
+    return live.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
+def unconnected(rows: DataFrame) -> DataFrame:
+    """The buckets whose nodes are not all connected."""
+    return rows.groupBy("bucket").agg((F.min("component") < F.max("component")).alias("apart")).filter("apart").select("bucket")
 
 
 def meeting(keys: DataFrame, threshold: float) -> DataFrame:
@@ -307,11 +310,13 @@ def links(rows: DataFrame, docs: DataFrame, width: int, threshold: float) -> Dat
         linked = linked.unionByName(new) if turn else new
         if turn and new.isEmpty():
             break
-        before, left = left, materialize(apart(live, components(linked)), "labelled")
+        before, left = left, materialize(labelled(live, components(linked)), "labelled")
         if turn:
             release(left.sparkSession, before)
-        if left.isEmpty():
+        if unconnected(left).isEmpty():
             return linked
+    before, left = left, materialize(left.join(unconnected(left), "bucket", "left_semi"), "apart")  # once: other buckets' hubs give no edges
+    release(left.sparkSession, before)
     some = texts.join(left.select("node").distinct(), "node", "left_semi")
     sketches = materialize(sketched(some, width).join(nodes.select("node", "print"), "node"), "sketches")
     rest = materialize(alike(left, sketches, blocks, threshold).distinct(), "rest")
